@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The workload is a daily batch: every input is a static table, and there are no
+watermarks, event-time windows or stateful operators to rebuild. New days are
+processed by re-running the batch jobs in ``tillroll.plans`` (they are
+idempotent: every sink overwrites).
+"""
