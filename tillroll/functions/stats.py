@@ -37,11 +37,18 @@ def stat_name(col: str, stat: str, suffix: str = "") -> str:
     return f"{col}_{stat}{suffix}"
 
 
+def quantile_array_name(col: str, suffix: str = "") -> str:
+    return f"_{col}_quantiles{suffix}"
+
+
 def stats_exprs(col: str, stats: Sequence[str] = DEFAULT_STATS,
                 quantiles: Sequence = DEFAULT_QUANTILES, window=None,
                 suffix: str = "", null_if_any_null: bool = False) -> list[Column]:
     """Named statistics of ``col``; evaluated over ``window`` when given.
 
+    Quantiles come back as ONE array column (``quantile_array_name``) holding all
+    requested quantiles; ``split_quantiles`` turns it into named columns in the
+    next projection (so the frame is sorted once, not once per quantile).
     ``null_if_any_null`` makes quantiles null when the group holds a null value
     (NumPy's quantile of an array with NaN is NaN).
     """
@@ -55,14 +62,25 @@ def stats_exprs(col: str, stats: Sequence[str] = DEFAULT_STATS,
         out.append(over(_AGGS[s](c)).alias(stat_name(col, s, suffix)))
     if quantiles:
         arr = over(F.percentile(c, [float(q) / 100 for q in quantiles]))
-        has_null = None
         if null_if_any_null:
             has_null = over(F.count(F.lit(1))) > over(F.count(c))
-        for i, q in enumerate(quantiles):
-            v = arr.getItem(i)
-            if has_null is not None:
-                v = F.when(has_null, F.lit(None).cast("double")).otherwise(v)
-            out.append(v.alias(stat_name(col, quantile_label(q), suffix)))
+            arr = F.when(~has_null, arr)
+        out.append(arr.alias(quantile_array_name(col, suffix)))
+    return out
+
+
+def split_quantiles(col: str, quantiles: Sequence = DEFAULT_QUANTILES, suffix: str = "") -> list[Column]:
+    """Named quantile columns from the array built by ``stats_exprs``."""
+    arr = F.col(quantile_array_name(col, suffix))
+    return [arr.getItem(i).alias(stat_name(col, quantile_label(q), suffix)) for i, q in enumerate(quantiles)]
+
+
+def final_stat_columns(col: str, stats: Sequence[str] = DEFAULT_STATS,
+                       quantiles: Sequence = DEFAULT_QUANTILES, suffix: str = "") -> list[Column]:
+    """Projection after ``stats_exprs``: plain stats by name, quantiles split out."""
+    out = [F.col(stat_name(col, s, suffix)) for s in stats]
+    if quantiles:
+        out += split_quantiles(col, quantiles, suffix)
     return out
 
 

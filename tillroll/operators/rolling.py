@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.stats import (DEFAULT_QUANTILES, DEFAULT_STATS, feature_suffix,
-                                      stat_labels, stat_name, stats_exprs)
+                                      final_stat_columns, stat_labels, stat_name, stats_exprs)
 
 DAY = "_day"
 
@@ -93,25 +93,45 @@ def lagged_rolling_features(totals: DataFrame, group_cols: Sequence[str] = (),
                             windows: Sequence[int] = DEFAULT_WINDOWS, lag: int = DEFAULT_LAG,
                             stats: Sequence[str] = DEFAULT_STATS,
                             quantiles: Sequence = DEFAULT_QUANTILES,
-                            date_col: str = "date") -> DataFrame:
+                            date_col: str = "date", method: str = "auto") -> DataFrame:
     """Rolling statistics over the last ``w`` rows (observed dates), moved ``lag``
     calendar days forward onto the existing (date, group) keys; gaps become 0.
 
     Window sizes count rows of the dense series, the lag counts calendar days:
     a date whose ``date - lag`` was not observed gets 0, as do the first ``lag``
-    days and the (null) deviation of a one-row frame.  All window sizes share one
-    partition/sort; the lag is a one-day RANGE frame on the same order, so the
-    shift needs no join and no extra shuffle.
+    days and the (null) deviation of a one-row frame.
+
+    ``method``:
+
+    * ``"window"`` -- Spark window frames.  All window sizes share one
+      partition/sort and the lag is a one-day RANGE frame on the same order, so
+      there is no join and no extra shuffle.  Spark re-aggregates a sliding frame
+      for every row (cost rows x frame), which is fine for short frames.
+    * ``"series"`` -- one grouped ``applyInPandas`` call per category series:
+      vectorised NumPy mean / two-pass deviation over sliding views, pandas'
+      O(n log w) rolling quantiles and O(n) rolling min / max.  A series holds one
+      row per observed day, so a group is bounded by the calendar length, never
+      by the fact table's size.
+    * ``"auto"`` -- ``"window"`` for frames up to 7 rows without quantiles,
+      ``"series"`` otherwise.
     """
+    if method == "auto":
+        method = "window" if (max(windows) <= 7 and not quantiles) else "series"
+    if method == "series":
+        from tillroll.operators.series_stats import rolling_series_features
+        return rolling_series_features(totals, group_cols, value_cols, windows, lag, stats,
+                                       quantiles, date_col)
     g = list(group_cols)
     base = _series_window(g)
-    exprs = []
+    exprs, finals = [], []
     for w in windows:
         frame = base.rowsBetween(-(int(w) - 1), Window.currentRow)
         suffix = feature_suffix(g, lag, w)
         for v in value_cols:
             exprs += stats_exprs(v, stats, quantiles, window=frame, suffix=suffix)
-    rolled = totals.withColumn(DAY, day_number(date_col)).select(date_col, *g, DAY, *exprs)
+            finals += final_stat_columns(v, stats, quantiles, suffix)
+    rolled = (totals.withColumn(DAY, day_number(date_col)).select(date_col, *g, DAY, *exprs)
+              .select(date_col, *g, DAY, *finals))
     names = rolling_feature_names(g, value_cols, windows, lag, stats, quantiles)
     shift = base.rangeBetween(-int(lag), -int(lag))
     shifted = [F.coalesce(F.first(n).over(shift), F.lit(0.0)).alias(n) for n in names]
@@ -121,11 +141,12 @@ def lagged_rolling_features(totals: DataFrame, group_cols: Sequence[str] = (),
 def compute_rolling_stats(df: DataFrame, group_cols: Sequence[str] = (), value_col: str = "sales",
                           windows: Sequence[int] = DEFAULT_WINDOWS, lag: int = DEFAULT_LAG,
                           stats: Sequence[str] = DEFAULT_STATS,
-                          quantiles: Sequence = DEFAULT_QUANTILES, date_col: str = "date") -> DataFrame:
+                          quantiles: Sequence = DEFAULT_QUANTILES, date_col: str = "date",
+                          method: str = "auto") -> DataFrame:
     """Totals then lagged rolling features: one feature table per group."""
     totals = daily_totals(df, group_cols, value_col, date_col)
     return lagged_rolling_features(totals, group_cols, (value_col, "log_sales"), windows, lag,
-                                   stats, quantiles, date_col)
+                                   stats, quantiles, date_col, method)
 
 
 # --- cross-sectional daily statistics and their rolled variant -------------------------
@@ -142,10 +163,11 @@ def daily_stats(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence[s
     """
     g = list(group_cols)
     suffix = feature_suffix(g)
-    aggs = []
+    aggs, finals = [], []
     for v in value_cols:
         aggs += stats_exprs(v, stats, quantiles, suffix=suffix, null_if_any_null=nan_quantiles)
-    out = df.groupBy(date_col, *g).agg(*aggs)
+        finals += final_stat_columns(v, stats, quantiles, suffix)
+    out = df.groupBy(date_col, *g).agg(*aggs).select(date_col, *g, *finals)
     if g and densify:
         out = dense_grid(out, g, date_col).join(out, [date_col, *g], "left")
     names = [stat_name(v, s, suffix) for v in value_cols for s in stat_labels(stats, quantiles)]
