@@ -5,10 +5,12 @@ costs 365 updates per row and percentile sorts the frame per row.  Each
 category series here holds one row per observed day (bounded by the calendar),
 so a whole series fits one ``applyInPandas`` group; inside it:
 
-* mean and sample deviation: two-pass over ``sliding_window_view`` (NaN-padded
-  head for partial frames), as precise as a fresh aggregation per frame;
+* mean and sample deviation: O(n) trailing sums of the centred series in
+  extended precision (a constant frame gets deviation exactly 0);
 * min / max: pandas' O(n) monotone-deque rolling extrema;
-* quantiles: pandas' O(n log w) skip-list rolling quantile, linear interpolation;
+* quantiles: short frames sort one sliding matrix and read every quantile from
+  it; long frames use pandas' O(n log w) skip-list rolling quantile; both
+  interpolate linearly between order statistics;
 * lag: values of day ``d - lag`` looked up with ``searchsorted`` on the day
   ordinal; missing days and undefined statistics become 0.
 """
@@ -31,36 +33,81 @@ DAY = "_day"
 ALL_KEY = "_series"
 
 
-def _mean_std(x: np.ndarray, w: int):
+# Frames up to this many rows take quantiles from one sorted sliding matrix;
+# longer frames use pandas' skip-list rolling quantile.
+SORTED_MATRIX_MAX_WINDOW = 32
+
+
+def _trailing_sums(v: np.ndarray, w: int) -> np.ndarray:
+    """Sum of the trailing ``w`` values (fewer at the head), extended precision."""
+    p = np.concatenate([np.zeros(1, dtype=np.longdouble), np.cumsum(v, dtype=np.longdouble)])
+    idx = np.arange(1, len(v) + 1)
+    return p[idx] - p[np.maximum(idx - w, 0)]
+
+
+def _mean_std(x: np.ndarray, w: int, lo: np.ndarray | None = None, hi: np.ndarray | None = None):
+    """Trailing mean and sample deviation in O(n).
+
+    Sums are centred on the series mean and accumulated in extended precision;
+    a frame whose min equals its max has deviation exactly 0.
+    """
     n = len(x)
-    pad = np.concatenate([np.full(w - 1, np.nan), x])
-    m = sliding_window_view(pad, w)
-    cnt = np.minimum(np.arange(1, n + 1), w).astype(float)
-    filled = np.where(np.isnan(m), 0.0, m)
-    mean = filled.sum(axis=1) / cnt
-    dev = np.where(np.isnan(m), 0.0, m - mean[:, None])
+    cnt = np.minimum(np.arange(1, n + 1), w).astype(np.longdouble)
+    c = np.longdouble(x.mean()) if n else np.longdouble(0)
+    y = x.astype(np.longdouble) - c
+    s1 = _trailing_sums(y, w)
+    s2 = _trailing_sums(y * y, w)
+    mean = (s1 / cnt + c).astype(float)
     with np.errstate(divide="ignore", invalid="ignore"):
-        var = (dev * dev).sum(axis=1) / (cnt - 1)
+        var = (s2 - s1 * s1 / cnt) / (cnt - 1)
+    var = np.maximum(var.astype(float), 0.0)
     var[cnt < 2] = np.nan
+    if lo is not None and hi is not None:
+        var[(lo == hi) & (cnt >= 2)] = 0.0
     return mean, np.sqrt(var)
 
 
+def _quantiles_sorted(x: np.ndarray, w: int, qs: Sequence) -> list[np.ndarray]:
+    """All quantiles of short trailing frames from one sorted sliding matrix."""
+    n = len(x)
+    # NaN padding of partial head frames sorts last: valid values start at column 0.
+    m = np.sort(sliding_window_view(np.concatenate([np.full(w - 1, np.nan), x]), w), axis=1)
+    cnt = np.minimum(np.arange(1, n + 1), w)
+    rows = np.arange(n)
+    out = []
+    for q in qs:
+        pos = (float(q) / 100) * (cnt - 1)
+        lo = np.floor(pos).astype(np.int64)
+        hi = np.minimum(lo + 1, cnt - 1)
+        vlo, vhi = m[rows, lo], m[rows, hi]
+        out.append(np.where(pos == lo, vlo, vlo + (vhi - vlo) * (pos - lo)))
+    return out
+
+
 def series_stats(x: np.ndarray, w: int, stats: Sequence[str], quantiles: Sequence) -> dict[str, np.ndarray]:
     """Statistics of the trailing ``w`` rows (at least one) for every position."""
     out: dict[str, np.ndarray] = {}
+    if w == 1:
+        for s in stats:
+            out[s] = np.full(len(x), np.nan) if s == "std" else x.copy()
+        for q in quantiles:
+            out[quantile_label(q)] = x.copy()
+        return out
+    roll = pd.Series(x).rolling(w, min_periods=1)
+    lo = roll.min().to_numpy()
+    hi = roll.max().to_numpy()
+    out["min"], out["max"] = lo, hi
     if "mean" in stats or "std" in stats:
-        mean, std = _mean_std(x, w)
-        out["mean"], out["std"] = mean, std
-    s = pd.Series(x)
-    roll = s.rolling(w, min_periods=1)
-    if "min" in stats:
-        out["min"] = roll.min().to_numpy()
-    if "max" in stats:
-        out["max"] = roll.max().to_numpy()
+        out["mean"], out["std"] = _mean_std(x, w, lo, hi)
     if "sum" in stats:
-        out["sum"] = roll.sum().to_numpy()
-    for q in quantiles:
-        out[quantile_label(q)] = roll.quantile(float(q) / 100, interpolation="linear").to_numpy()
+        out["sum"] = _trailing_sums(x, w).astype(float)
+    if quantiles:
+        if w <= SORTED_MATRIX_MAX_WINDOW:
+            vals = _quantiles_sorted(x, w, quantiles)
+        else:
+            vals = [roll.quantile(float(q) / 100, interpolation="linear").to_numpy() for q in quantiles]
+        for q, v in zip(quantiles, vals):
+            out[quantile_label(q)] = v
     return out
 
 
