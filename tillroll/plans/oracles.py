@@ -103,4 +103,132 @@ def registry() -> dict[str, str]:
     for g in GROUPS:
         for w in DEFAULT_WINDOWS:
             o[f"rolling_{g}_w{w}"] = rolling_sql(g, w)
+    for extra in EXTRA_REGISTRIES:
+        o.update(extra())
     return o
+
+
+# --- oil series and calendar ------------------------------------------------------------
+
+OIL_FILLED = [("oil", None),
+              ("b", "SELECT MIN(date) AS lo, MAX(date) AS hi FROM oil"),
+              ("cal", "SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), "
+                      "INTERVAL 1 DAY)) AS DATE) AS date FROM b"),
+              ("j", "SELECT cal.date, oil.dcoilwtico FROM cal LEFT JOIN oil ON cal.date = oil.date"),
+              ("filled", "SELECT date, COALESCE("
+                         "LAST_VALUE(dcoilwtico IGNORE NULLS) OVER (ORDER BY date ROWS BETWEEN "
+                         "UNBOUNDED PRECEDING AND CURRENT ROW), "
+                         "FIRST_VALUE(dcoilwtico IGNORE NULLS) OVER (ORDER BY date ROWS BETWEEN "
+                         "CURRENT ROW AND UNBOUNDED FOLLOWING)) AS dcoilwtico FROM j")]
+
+CALENDAR_COLS = (
+    "dayname(date) AS dayOfWeek, dayofweek(date) IN (0, 6) AS isWeekend, "
+    "CAST(month(date) AS INTEGER) AS Month, "
+    "CAST(CASE WHEN day(date) >= 15 THEN day(date) - 15 "
+    "ELSE day(date_trunc('month', date) - INTERVAL 1 DAY) - 15 + day(date) END AS INTEGER) AS daysSince15th, "
+    "CAST(CASE WHEN day(date) = day(last_day(date)) - 1 THEN 0 ELSE day(date) END AS INTEGER) AS daysSinceLast, "
+    "CAST(least(CASE WHEN day(date) >= 15 THEN day(date) - 15 "
+    "ELSE day(date_trunc('month', date) - INTERVAL 1 DAY) - 15 + day(date) END, "
+    "CASE WHEN day(date) = day(last_day(date)) - 1 THEN 0 ELSE day(date) END) AS INTEGER) AS daysSincePaycheck")
+
+
+def pct_sql(col: str, n: int) -> str:
+    prev = f"LAG({col}, {n}) OVER (ORDER BY date)"
+    return (f"CASE WHEN {prev} IS NULL OR {col} IS NULL THEN 0.0 "
+            f"WHEN {prev} = 0 THEN CASE WHEN {col} > 0 THEN CAST('inf' AS DOUBLE) "
+            f"WHEN {col} < 0 THEN CAST('-inf' AS DOUBLE) ELSE 0.0 END "
+            f"ELSE {col} / {prev} - 1 END")
+
+
+def oil_pct_cols() -> list[tuple[str, str]]:
+    from tillroll.operators.series import oil_pct_periods
+    return [(name, pct_sql("dcoilwtico", n)) for name, n in oil_pct_periods().items()]
+
+
+def process_oil_ctes() -> list[tuple[str, str]]:
+    pct = ", ".join(f"{e} AS \"{n}\"" for n, e in oil_pct_cols())
+    return OIL_FILLED + [("oilfe", f"SELECT date, dcoilwtico, {CALENDAR_COLS}, {pct} FROM filled")]
+
+
+def select_rounded(table: str, double_cols: list[str], other_cols: list[str]) -> str:
+    cols = other_cols + [r(f'"{c}"', c) for c in double_cols]
+    return f"SELECT {', '.join(cols)} FROM {table}"
+
+
+OIL_DOUBLES = ["dcoilwtico"]
+CAL_OTHER = ["date", "dayOfWeek", "isWeekend", "Month", "daysSince15th", "daysSinceLast", "daysSincePaycheck"]
+
+
+def pct_names() -> list[str]:
+    return [n for n, _ in oil_pct_cols()]
+
+
+# --- holidays ---------------------------------------------------------------------------
+
+HOL_CLEAN = ("SELECT date, CASE WHEN type = 'Transfer' THEN 'Holiday' ELSE type END AS type, locale, "
+             "locale_name, description, transferred FROM holidays_events")
+COMBO = "'combo_(''' || locale || ''', ''' || locale_name || ''', ''' || type || ''')'"
+HOL_CTES = [("holidays_events", None), ("hc", HOL_CLEAN),
+            ("hl", f"SELECT date, {COMBO} AS combo FROM hc"),
+            # a dynamic PIVOT reads its values in a separate query: keep its source self-contained
+            ("hp", "PIVOT (SELECT date, " + COMBO + " AS combo FROM ("
+                   + HOL_CLEAN.replace("FROM holidays_events", "FROM (" + FIXTURE_SQL["holidays_events"] + ")")
+                   + ")) ON combo USING max(1) GROUP BY date"),
+            ("onehot", "SELECT date, COALESCE(COLUMNS(* EXCLUDE (date)), 0), 1 AS is_holiday_event FROM hp")]
+
+# long form of (oil LEFT JOIN onehot, filled with 0), then neighbours per column
+NEIGHBOUR_CTES = [
+    ("combos", "SELECT DISTINCT combo AS name FROM hl UNION ALL SELECT 'is_holiday_event'"),
+    ("hv", "SELECT date, combo AS name, 1 AS v FROM hl GROUP BY ALL "
+           "UNION ALL SELECT DISTINCT date, 'is_holiday_event', 1 FROM hl"),
+    ("dense", "SELECT f.date, c.name, CAST(COALESCE(hv.v, 0) AS INTEGER) AS v FROM filled f CROSS JOIN combos c "
+              "LEFT JOIN hv ON hv.date = f.date AND hv.name = c.name"),
+    ("shifted", "SELECT date, name, v FROM dense UNION ALL "
+                "SELECT date, name || '_1next', COALESCE(LEAD(v, 1) OVER w, 0) FROM dense WINDOW w AS "
+                "(PARTITION BY name ORDER BY date) UNION ALL "
+                "SELECT date, name || '_2next', COALESCE(LEAD(v, 2) OVER w, 0) FROM dense WINDOW w AS "
+                "(PARTITION BY name ORDER BY date) UNION ALL "
+                "SELECT date, name || '_1before', COALESCE(LAG(v, 1) OVER w, 0) FROM dense WINDOW w AS "
+                "(PARTITION BY name ORDER BY date) UNION ALL "
+                "SELECT date, name || '_2before', COALESCE(LAG(v, 2) OVER w, 0) FROM dense WINDOW w AS "
+                "(PARTITION BY name ORDER BY date)"),
+    ]
+# the PIVOT source carries its own WITH clause (dynamic PIVOT values are read separately)
+NEIGHBOUR_CTES.append(("wide", "PIVOT (" + sql(
+    OIL_FILLED + [c for c in HOL_CTES if c[0] in ("holidays_events", "hc", "hl")] + NEIGHBOUR_CTES,
+    "SELECT date, name, v FROM shifted") + ") ON name USING max(v) GROUP BY date"))
+
+
+def registry_series() -> dict[str, str]:
+    pct = pct_names()
+    return {
+        "oil_fill": sql(OIL_FILLED, select_rounded("filled", OIL_DOUBLES, ["date"])),
+        "calendar_features": sql(OIL_FILLED + [("c", f"SELECT date, dcoilwtico, {CALENDAR_COLS} FROM filled")],
+                                 select_rounded("c", OIL_DOUBLES, CAL_OTHER)),
+        "oil_pct_change": sql(OIL_FILLED + [("p", "SELECT date, dcoilwtico, " + ", ".join(
+            f"{e} AS \"{n}\"" for n, e in oil_pct_cols()) + " FROM filled")],
+            select_rounded("p", OIL_DOUBLES + pct, ["date"])),
+        "process_oil": sql(process_oil_ctes(), select_rounded("oilfe", OIL_DOUBLES + pct, CAL_OTHER)),
+        "holiday_clean": sql([("holidays_events", None)], HOL_CLEAN),
+        "holiday_onehot": sql(HOL_CTES, "SELECT * FROM onehot"),
+        "holiday_neighbours": sql(OIL_FILLED + HOL_CTES + NEIGHBOUR_CTES,
+                                  f"SELECT wide.*, {r('f.dcoilwtico', 'dcoilwtico')} FROM wide "
+                                  "JOIN filled f ON f.date = wide.date"),
+        "merge_all": sql(BASE_STORES + process_oil_ctes() + HOL_CTES + NEIGHBOUR_CTES + [
+            ("oilr", select_rounded("oilfe", OIL_DOUBLES + pct, CAL_OTHER))],
+            "SELECT ms.id, ms.date, ms.store_nbr, ms.family, ms.onpromotion, "
+            f"{rexpr('ms.sales')} AS sales, ms.is_train, ms.is_test, {rexpr('ms.log_sales')} AS log_sales, "
+            "ms.city, ms.state, ms.type, ms.cluster, oilr.* EXCLUDE (date), wide.* EXCLUDE (date) "
+            "FROM main_stores ms LEFT JOIN oilr ON oilr.date = ms.date LEFT JOIN wide ON wide.date = ms.date"),
+        "merge_fill": sql(BASE + process_oil_ctes(),
+                          f"SELECT m.date, {rexpr('m.sales')} AS sales, o.dayOfWeek, o.isWeekend, "
+                          "COALESCE(o.Month, 0) AS Month, COALESCE(o.daysSince15th, 0) AS daysSince15th, "
+                          "COALESCE(o.daysSinceLast, 0) AS daysSinceLast, "
+                          "COALESCE(o.daysSincePaycheck, 0) AS daysSincePaycheck, "
+                          + ", ".join(f"{rexpr(f'COALESCE(o.{chr(34)}{c}{chr(34)}, 0)')} AS \"{c}\""
+                                      for c in ["dcoilwtico"] + pct)
+                          + " FROM main_log m LEFT JOIN oilfe o ON o.date = m.date"),
+    }
+
+
+EXTRA_REGISTRIES = [registry_series]

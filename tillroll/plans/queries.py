@@ -66,4 +66,75 @@ def registry() -> dict[str, Query]:
     for g in GROUPS:
         for w in rolling.DEFAULT_WINDOWS:
             q[f"rolling_{g}_w{w}"] = _rolling(g, (w,))
+    for extra in EXTRA_REGISTRIES:
+        q.update(extra())
     return q
+
+
+# --- oil series and calendar ------------------------------------------------------------
+
+from tillroll.operators import holidays as _hol  # noqa: E402
+from tillroll.operators import joins as _joins  # noqa: E402
+from tillroll.operators import series as _series  # noqa: E402
+
+
+def q_oil_fill(spark, sf_dir):
+    return rounded(_series.clean_oil(fixtures.oil_view(spark, sf_dir)))
+
+
+def q_calendar_features(spark, sf_dir):
+    return rounded(_series.calendar_features(_series.clean_oil(fixtures.oil_view(spark, sf_dir))))
+
+
+def q_oil_pct_change(spark, sf_dir):
+    filled = _series.clean_oil(fixtures.oil_view(spark, sf_dir))
+    return rounded(_series.pct_change_features(filled, "dcoilwtico", _series.oil_pct_periods()))
+
+
+def q_process_oil(spark, sf_dir):
+    return rounded(_series.process_oil(fixtures.oil_view(spark, sf_dir)))
+
+
+# --- holidays ---------------------------------------------------------------------------
+
+def q_holiday_clean(spark, sf_dir):
+    return clean.clean_holidays_events(fixtures.holidays_events_view(spark, sf_dir))
+
+
+def q_holiday_onehot(spark, sf_dir):
+    return _hol.process_holidays_events(fixtures.holidays_events_view(spark, sf_dir))
+
+
+def q_holiday_neighbours(spark, sf_dir):
+    oil = _series.clean_oil(fixtures.oil_view(spark, sf_dir))
+    hol = _hol.process_holidays_events(fixtures.holidays_events_view(spark, sf_dir))
+    return rounded(_joins.merge_series_holidays(oil, hol))
+
+
+def q_merge_all(spark, sf_dir):
+    oil = _series.process_oil(fixtures.oil_view(spark, sf_dir))
+    hol = _hol.process_holidays_events(fixtures.holidays_events_view(spark, sf_dir))
+    return rounded(_joins.merge_all(main_df(spark, sf_dir), fixtures.stores_view(spark, sf_dir), oil, hol))
+
+
+def q_merge_fill(spark, sf_dir):
+    m = main_df(spark, sf_dir).select("date", "sales")
+    oil = _series.process_oil(fixtures.oil_view(spark, sf_dir))
+    return rounded(_joins.merge_fill(m, oil, "date", fill_num_nas=0))
+
+
+def registry_series() -> dict[str, Query]:
+    return {
+        "oil_fill": q_oil_fill,
+        "calendar_features": q_calendar_features,
+        "oil_pct_change": q_oil_pct_change,
+        "process_oil": q_process_oil,
+        "holiday_clean": q_holiday_clean,
+        "holiday_onehot": q_holiday_onehot,
+        "holiday_neighbours": q_holiday_neighbours,
+        "merge_all": q_merge_all,
+        "merge_fill": q_merge_fill,
+    }
+
+
+EXTRA_REGISTRIES = [registry_series]
