@@ -88,28 +88,10 @@ def get_targets(df: DataFrame, target: str = TARGET_COL) -> DataFrame:
     return df.select(target)
 
 
-def apply_categories(df: DataFrame, categories: DataFrame, column_col: str = "column",
-                     value_col: str = "value") -> DataFrame:
-    """Values outside a column's category list become null.
-
-    ``categories`` is a (column, value) table (see ``sources.catmeta``).  Each
-    listed column is resolved with a left join against its own category list,
-    so the lists stay distributed (broadcast is left to AQE's size statistics).
-    Columns without a list are left unchanged.
-    """
-    cat_cols = [r[0] for r in categories.select(column_col).distinct().collect()]
-    out = df
-    for c in cat_cols:
-        if c not in df.columns:
-            continue
-        src_type = dict(df.dtypes)[c]
-        allowed = (categories.where(F.col(column_col) == c)
-                   .select(F.col(value_col).cast(src_type).alias(c)).distinct()
-                   .withColumn("_known", F.lit(True)))
-        out = (out.join(allowed, c, "left")
-               .withColumn(c, F.when(F.col("_known"), F.col(c)))
-               .drop("_known"))
-    return out.select(*df.columns)
+def apply_categories(df: DataFrame, categories: DataFrame) -> DataFrame:
+    """Values outside a column's category list become null (see ``sources.catmeta``)."""
+    from tillroll.sources.catmeta import apply_cat_meta
+    return apply_cat_meta(df, categories)
 
 
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:

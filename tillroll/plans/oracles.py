@@ -232,3 +232,59 @@ def registry_series() -> dict[str, str]:
 
 
 EXTRA_REGISTRIES = [registry_series]
+
+
+# --- sources, category metadata, assembly -----------------------------------------------
+
+MAIN_COLS_ROUNDED = (f"id, date, store_nbr, family, onpromotion, {rexpr('sales')} AS sales, is_train, is_test, "
+                     f"{rexpr('log_sales')} AS log_sales")
+
+
+def cat_pairs(table: str, cols: list[str]) -> str:
+    return " UNION ".join(f"SELECT DISTINCT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value FROM {table} "
+                          f"WHERE {c} IS NOT NULL" for c in cols)
+
+
+def rolling_table_sql(group: str, window: int) -> str:
+    return rolling_sql(group, window)
+
+
+def registry_sources() -> dict[str, str]:
+    cat_cols = ["store_nbr", "family", "city", "state", "type", "cluster"]
+    fam7 = rolling_sql("family", 7)
+    typ28 = rolling_sql("type", 28)
+    pct = pct_names()
+    assembly = sql(
+        BASE + [("stores", None)] + process_oil_ctes() + HOL_CTES + [
+            ("oilr", select_rounded("oilfe", OIL_DOUBLES + pct, CAL_OTHER)),
+            ("rf", "SELECT * FROM (" + fam7 + ")"), ("rt", "SELECT * FROM (" + typ28 + ")")],
+        f"SELECT m.id, m.date, m.store_nbr, m.family, m.onpromotion, {rexpr('m.sales')} AS sales, "
+        f"m.is_train, m.is_test, {rexpr('m.log_sales')} AS log_sales, st.city, st.state, st.type, st.cluster, "
+        "oilr.* EXCLUDE (date), onehot.* EXCLUDE (date), rf.* EXCLUDE (date, family), "
+        "rt.* EXCLUDE (date, type) "
+        "FROM main_log m LEFT JOIN stores st ON st.store_nbr = m.store_nbr "
+        "LEFT JOIN oilr ON oilr.date = m.date LEFT JOIN onehot ON onehot.date = m.date "
+        "LEFT JOIN rf ON rf.date = m.date AND rf.family = m.family "
+        "LEFT JOIN rt ON rt.date = m.date AND rt.type = st.type")
+    return {
+        "scan_date_range": sql(BASE, f"SELECT {MAIN_COLS_ROUNDED} FROM main_log "
+                                     "WHERE date BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'"),
+        "category_metadata": sql(BASE_STORES, cat_pairs("main_stores", cat_cols)),
+        "category_union": sql(BASE + [("stores", None),
+                                      ("u", cat_pairs("main_log", ["store_nbr", "family"]) + " UNION "
+                                       + cat_pairs("stores", ["store_nbr", "city", "state", "type", "cluster"]))],
+                              "SELECT \"column\", COUNT(*) AS n_categories, "
+                              "array_to_string(list_sort(list(value)), '|') AS categories FROM u "
+                              "GROUP BY \"column\""),
+        "apply_categories": sql(BASE + [("k", "SELECT DISTINCT family FROM main_log WHERE is_train = 1"),
+                                        ("ks", "SELECT DISTINCT store_nbr FROM main_log WHERE is_train = 1")],
+                                f"SELECT id, date, CASE WHEN store_nbr IN (SELECT store_nbr FROM ks) "
+                                f"THEN store_nbr END AS store_nbr, "
+                                f"CASE WHEN family IN (SELECT family FROM k) THEN family END AS family, "
+                                f"onpromotion, {rexpr('sales')} AS sales, is_train, is_test, "
+                                f"{rexpr('log_sales')} AS log_sales FROM main_log"),
+        "feature_assembly": assembly,
+    }
+
+
+EXTRA_REGISTRIES.append(registry_sources)

@@ -138,3 +138,85 @@ def registry_series() -> dict[str, Query]:
 
 
 EXTRA_REGISTRIES = [registry_series]
+
+
+# --- sources, sinks, category metadata, assembly ----------------------------------------
+
+import uuid  # noqa: E402
+
+from tillroll.operators.assemble import assemble_features  # noqa: E402
+from tillroll.session import scratch_path  # noqa: E402
+from tillroll.sources import catmeta as _cm  # noqa: E402
+from tillroll.sources import files as _files  # noqa: E402
+
+CAT_COLUMNS = ["store_nbr", "family", "city", "state", "type", "cluster"]
+# An example inclusive date range for the range scan.
+RANGE_START, RANGE_END = "1998-01-01", "1998-12-31"
+
+
+def _scratch(spark, name):
+    return scratch_path(spark, f"queries/{name}-{uuid.uuid4().hex}")
+
+
+def q_scan_csv_raw(spark, sf_dir):
+    path = _scratch(spark, "stores_csv")
+    _files.write_csv(fixtures.stores_view(spark, sf_dir), path)
+    return _files.read_csv(spark, path, "stores")
+
+
+def q_parquet_roundtrip(spark, sf_dir):
+    path = _scratch(spark, "main_parquet")
+    _files.save_as_parquet(main_df(spark, sf_dir), path)
+    return rounded(_files.load_from_parquet(spark, path))
+
+
+def q_scan_date_range(spark, sf_dir):
+    return rounded(_files.filter_date_range(main_df(spark, sf_dir), RANGE_START, RANGE_END))
+
+
+def q_category_metadata(spark, sf_dir):
+    return _cm.category_metadata(main_stores(spark, sf_dir), CAT_COLUMNS)
+
+
+def q_category_union(spark, sf_dir):
+    metas = [_cm.category_metadata(main_df(spark, sf_dir), ["store_nbr", "family"]),
+             _cm.category_metadata(fixtures.stores_view(spark, sf_dir), ["store_nbr", "city", "state",
+                                                                        "type", "cluster"])]
+    return _cm.categories_by_column(_cm.union_cat_meta(metas))
+
+
+def q_apply_categories(spark, sf_dir):
+    m = main_df(spark, sf_dir)
+    known = _cm.category_metadata(clean.get_train(m), ["family", "store_nbr"])
+    return rounded(clean.apply_categories(m, known))
+
+
+def feature_tables(spark, sf_dir):
+    m = main_df(spark, sf_dir)
+    ms = main_stores(spark, sf_dir)
+    secondary = [(fixtures.stores_view(spark, sf_dir), ["store_nbr"]),
+                 (_series.process_oil(fixtures.oil_view(spark, sf_dir)), ["date"]),
+                 (_hol.process_holidays_events(fixtures.holidays_events_view(spark, sf_dir)), ["date"])]
+    rolls = [(rolling.compute_rolling_stats(ms, ["family"], windows=(7,)), ["date", "family"]),
+             (rolling.compute_rolling_stats(ms, ["type"], windows=(28,)), ["date", "type"])]
+    return m, secondary, rolls
+
+
+def q_feature_assembly(spark, sf_dir):
+    m, secondary, rolls = feature_tables(spark, sf_dir)
+    return rounded(assemble_features(m, secondary, rolls))
+
+
+def registry_sources() -> dict[str, Query]:
+    return {
+        "scan_csv_raw": q_scan_csv_raw,
+        "parquet_roundtrip": q_parquet_roundtrip,
+        "scan_date_range": q_scan_date_range,
+        "category_metadata": q_category_metadata,
+        "category_union": q_category_union,
+        "apply_categories": q_apply_categories,
+        "feature_assembly": q_feature_assembly,
+    }
+
+
+EXTRA_REGISTRIES.append(registry_sources)
