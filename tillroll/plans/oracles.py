@@ -288,3 +288,65 @@ def registry_sources() -> dict[str, str]:
 
 
 EXTRA_REGISTRIES.append(registry_sources)
+
+
+# --- library variants -------------------------------------------------------------------
+
+def daily_stats_select(g: str, v: str = "sales") -> str:
+    sfx = f"_wrt_{g}"
+    parts = [f"AVG({v}) AS \"{v}_mean{sfx}\"", f"STDDEV_SAMP({v}) AS \"{v}_std{sfx}\"",
+             f"MIN({v}) AS \"{v}_min{sfx}\"", f"MAX({v}) AS \"{v}_max{sfx}\""]
+    for q in DEFAULT_QUANTILES:
+        parts.append(f"CASE WHEN COUNT(*) > COUNT({v}) THEN NULL ELSE quantile_cont({v}, {q / 100}) END "
+                     f"AS \"{v}_{quantile_label(q)}{sfx}\"")
+    return ", ".join(parts)
+
+
+def daily_stats_names(g: str, v: str = "sales") -> list[str]:
+    return [f"{v}_{s}_wrt_{g}" for s in list(DEFAULT_STATS) + [quantile_label(q) for q in DEFAULT_QUANTILES]]
+
+
+def daily_stats_ctes(g: str) -> list[tuple[str, str]]:
+    return BASE_STORES + [
+        ("ds", f"SELECT date, {g}, {daily_stats_select(g)} FROM main_stores GROUP BY date, {g}"),
+        ("d", "SELECT DISTINCT date FROM ds"),
+        ("c", f"SELECT DISTINCT {g} FROM ds WHERE {g} IS NOT NULL"),
+        ("dsd", f"SELECT d.date, c.{g}, ds.* EXCLUDE (date, {g}) FROM d CROSS JOIN c "
+                f"LEFT JOIN ds ON ds.date = d.date AND ds.{g} = c.{g}")]
+
+
+def registry_variants() -> dict[str, str]:
+    g = "family"
+    names = daily_stats_names(g)
+    rolled = ", ".join(f"AVG(\"{n}\") OVER (PARTITION BY {g} ORDER BY date ROWS BETWEEN 6 PRECEDING AND "
+                       f"CURRENT ROW) AS \"{n}\"" for n in names)
+    shifted = ", ".join(f"LAG(\"{n}\", 16) OVER (PARTITION BY {g} ORDER BY date) AS \"{n}_lag16_window7\""
+                        for n in names)
+    not_all_null = " OR ".join(f"\"{n}_lag16_window7\" IS NOT NULL" for n in names)
+    w7 = "WINDOW w AS ({p}ORDER BY date RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW)"
+    stats7 = ("AVG(sales) OVER w AS sales_mean, STDDEV_SAMP(sales) OVER w AS sales_std, "
+              "MIN(sales) OVER w AS sales_min, MAX(sales) OVER w AS sales_max")
+    r7 = ", ".join(r(c, c) for c in ("sales_mean", "sales_std", "sales_min", "sales_max"))
+    return {
+        "daily_stats": sql(daily_stats_ctes(g), select_rounded("dsd", names, ["date", g])),
+        "roll_daily_stats": sql(daily_stats_ctes(g) + [
+            ("rl", f"SELECT date, {g}, {rolled} FROM dsd"),
+            ("sh", f"SELECT date, {g}, {shifted} FROM rl")],
+            select_rounded(f"sh WHERE {not_all_null}", [n + "_lag16_window7" for n in names], ["date", g])),
+        "rolling_7d_global": sql(BASE + [
+            ("ds", "SELECT date, SUM(sales) AS sales FROM main_log WHERE is_train = 1 GROUP BY date"),
+            ("rw", f"SELECT date, {stats7} FROM ds " + w7.format(p=""))],
+            f"SELECT date, {r7} FROM rw"),
+        "rolling_7d_store": sql(BASE + [
+            ("ds", "SELECT store_nbr, date, SUM(sales) AS sales FROM main_log WHERE is_train = 1 "
+                   "GROUP BY store_nbr, date"),
+            ("rw", f"SELECT store_nbr, date, {stats7} FROM ds " + w7.format(p="PARTITION BY store_nbr "))],
+            f"SELECT store_nbr, date, {r7} FROM rw"),
+        "ascending_dates": sql(BASE, "SELECT id, CAST(MIN(date) OVER () + CAST(ROW_NUMBER() OVER (ORDER BY id) - 1 "
+                                     "AS INTEGER) AS DATE) AS date, store_nbr, family, onpromotion, "
+                                     f"{rexpr('sales')} AS sales, is_train, is_test, "
+                                     f"{rexpr('log_sales')} AS log_sales FROM main_log"),
+    }
+
+
+EXTRA_REGISTRIES.append(registry_variants)

@@ -220,3 +220,41 @@ def registry_sources() -> dict[str, Query]:
 
 
 EXTRA_REGISTRIES.append(registry_sources)
+
+
+# --- library variants: cross-sectional stats, rolled stats, time-range rolling ---------
+
+def q_daily_stats(spark, sf_dir):
+    return rounded(rolling.daily_stats(main_stores(spark, sf_dir), ["sales"], ["family"]))
+
+
+def q_roll_daily_stats(spark, sf_dir):
+    stats = rolling.daily_stats(main_stores(spark, sf_dir), ["sales"], ["family"])
+    return rounded(rolling.roll_daily_stats(stats, ["family"], lag=16, window=7))
+
+
+def q_rolling_7d_global(spark, sf_dir):
+    daily = _series.daily_sum(clean.get_train(main_df(spark, sf_dir)))
+    return rounded(_series.rolling_time_range(daily, "sales", days=7))
+
+
+def q_rolling_7d_store(spark, sf_dir):
+    daily = _series.daily_sum(clean.get_train(main_df(spark, sf_dir)), group_cols=["store_nbr"])
+    return rounded(_series.rolling_time_range(daily, "sales", days=7, group_cols=["store_nbr"]))
+
+
+def q_ascending_dates(spark, sf_dir):
+    return rounded(_series.assign_ascending_dates(main_df(spark, sf_dir), ["id"]))
+
+
+def registry_variants() -> dict[str, Query]:
+    return {
+        "daily_stats": q_daily_stats,
+        "roll_daily_stats": q_roll_daily_stats,
+        "rolling_7d_global": q_rolling_7d_global,
+        "rolling_7d_store": q_rolling_7d_store,
+        "ascending_dates": q_ascending_dates,
+    }
+
+
+EXTRA_REGISTRIES.append(registry_variants)
