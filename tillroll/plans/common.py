@@ -16,14 +16,18 @@ DECIMALS = 4
 GROUPS = ("store_nbr", "family", "city", "state", "type", "cluster")
 
 
+# Fixed value: magnitudes from here on keep no 6th decimal in a double; they pass unrounded.
+LARGE = 1e9
+
+
 def round_half_up(c, decimals: int = DECIMALS):
     """Round a double half-up at ``decimals`` through DECIMAL(38, decimals + 2).
 
     The intermediate decimal absorbs last-bit differences of floating sums, so
     exact ties (e.g. a mean of 2-decimal money over 8 rows) round the same way
-    in every engine.  NaN and infinities pass through unchanged.
+    in every engine.  NaN, infinities and magnitudes >= ``LARGE`` pass through.
     """
-    special = F.isnan(c) | (F.abs(c) == float("inf"))
+    special = F.isnan(c) | (F.abs(c) >= LARGE)
     exact = F.round(c.cast(f"decimal(38,{decimals + 2})"), decimals).cast("double")
     return F.when(special, c).otherwise(exact)
 

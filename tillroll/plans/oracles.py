@@ -32,7 +32,7 @@ BASE_STORES = BASE + [("stores", None), ("main_stores", MAIN_STORES)]
 
 def rexpr(expr: str) -> str:
     """Same rounding as ``common.round_half_up``."""
-    return (f"CASE WHEN isnan({expr}) OR isinf({expr}) THEN {expr} "
+    return (f"CASE WHEN isnan({expr}) OR abs({expr}) >= 1e9 THEN {expr} "
             f"ELSE CAST(ROUND(CAST({expr} AS DECIMAL(38,{D + 2})), {D}) AS DOUBLE) END")
 
 
@@ -65,7 +65,7 @@ STAT_SQL = {"mean": "AVG({c})", "std": "STDDEV_SAMP({c})", "min": "MIN({c})", "m
 
 
 def rolling_sql(group: str | None, window: int, lag: int = DEFAULT_LAG,
-                stats=DEFAULT_STATS, quantiles=DEFAULT_QUANTILES) -> str:
+                stats=DEFAULT_STATS, quantiles=DEFAULT_QUANTILES, round_output: bool = True) -> str:
     g = [group] if group else []
     suffix = feature_suffix(g, lag, window)
     exprs, names = [], []
@@ -81,7 +81,8 @@ def rolling_sql(group: str | None, window: int, lag: int = DEFAULT_LAG,
     roll = (f"SELECT {keys}, {', '.join(exprs)} FROM t "
             f"WINDOW w AS ({part}ORDER BY date ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW)")
     on = " AND ".join([f"rr.{x} = t.{x}" for x in g] + [f"rr.date + {lag} = t.date"])
-    outs = ", ".join(r(f"COALESCE(rr.\"{n}\", 0)", n) for n in names)
+    outs = ", ".join((r(f"COALESCE(rr.\"{n}\", 0)", n) if round_output
+                      else f"COALESCE(rr.\"{n}\", 0) AS \"{n}\"") for n in names)
     tkeys = ", ".join(f"t.{x}" for x in ["date", *g])
     return sql(totals_ctes(group) + [("rr", roll)], f"SELECT {tkeys}, {outs} FROM t LEFT JOIN rr ON {on}")
 
@@ -350,3 +351,118 @@ def registry_variants() -> dict[str, str]:
 
 
 EXTRA_REGISTRIES.append(registry_variants)
+
+
+# --- evaluation and profiling -----------------------------------------------------------
+
+PRED = "log_sales_mean_wrt_family_lag16_window7"
+CANDIDATES = ("log_sales_mean_wrt_family_lag16_window7", "log_sales_q50_wrt_family_lag16_window7",
+              "log_sales_min_wrt_family_lag16_window7", "log_sales_max_wrt_family_lag16_window7")
+FOLDS, DAYS = 8, 16
+
+
+def scored_ctes() -> list[tuple[str, str]]:
+    return BASE + [("rf", "SELECT * FROM (" + rolling_sql("family", 7, round_output=False) + ")"),
+                   ("scored", "SELECT m.*, rf.* EXCLUDE (date, family) FROM main_log m "
+                              "LEFT JOIN rf ON rf.date = m.date AND rf.family = m.family"),
+                   ("tr", "SELECT * FROM scored WHERE is_train = 1"),
+                   ("lastd", "SELECT MAX(date) AS last FROM tr")]
+
+
+def fold_ctes() -> list[tuple[str, str]]:
+    return [("folds", f"SELECT CAST(i AS INTEGER) AS fold, CAST(last - CAST((i + 1) * {DAYS} AS INTEGER) AS DATE) "
+                      f"AS first_val_date, CAST(last - CAST(i * {DAYS} AS INTEGER) AS DATE) AS last_val_date "
+                      f"FROM range({FOLDS}) t(i), lastd"),
+            ("sizes", "SELECT f.fold, f.first_val_date, f.last_val_date, "
+                      "(SELECT COUNT(*) FROM tr WHERE tr.date < f.first_val_date) AS n_train, "
+                      "(SELECT COUNT(*) FROM tr WHERE tr.date > f.first_val_date AND tr.date <= f.last_val_date) "
+                      "AS n_val FROM folds f")]
+
+
+def fold_loss_sql(pred: str) -> str:
+    return ("SELECT s.fold, s.first_val_date, s.last_val_date, s.n_train, s.n_val, "
+            "CASE WHEN s.n_train = 0 THEN 0.0 ELSE (SELECT SQRT(AVG(POWER(tr.log_sales - "
+            f"GREATEST(tr.\"{pred}\", 0), 2))) FROM tr WHERE tr.date > s.first_val_date "
+            "AND tr.date <= s.last_val_date) END AS loss FROM sizes s")
+
+
+def registry_eval() -> dict[str, str]:
+    trials = " UNION ALL ".join(
+        f"SELECT {i} AS trial_id, '{c}' AS predictor, (SELECT AVG(COALESCE(loss, 0.0)) FROM ({fold_loss_sql(c)})) "
+        "AS loss" for i, c in enumerate(CANDIDATES))
+    corr_cols = ["id", "store_nbr", "onpromotion", "log_sales", "is_train", "is_test"]
+    corr_rows = " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", ROUND(CAST(covar_samp(CASE WHEN sales IS NOT NULL THEN {c} END, "
+        f"CASE WHEN {c} IS NOT NULL THEN sales END) / NULLIF(stddev_samp(CASE WHEN sales IS NOT NULL THEN {c} END) * "
+        f"stddev_samp(CASE WHEN {c} IS NOT NULL THEN sales END), 0) AS DOUBLE), 3) AS corr FROM main_log"
+        for c in corr_cols)
+    num = ["id", "store_nbr", "onpromotion", "sales", "log_sales"]
+    long_num = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value FROM main_log "
+                                  f"WHERE {c} IS NOT NULL" for c in num)
+    prof_cols = ["id", "date", "store_nbr", "family", "onpromotion", "sales", "is_train", "is_test", "log_sales"]
+    prof = " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", COUNT(*) AS n_rows, COUNT(*) - COUNT({c}) AS n_null, "
+        f"COUNT(DISTINCT CAST({c} AS VARCHAR)) AS n_distinct FROM main_log" for c in prof_cols)
+    sc_cols = ["log_sales", "onpromotion", "store_nbr"]
+    long_sc = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value, "
+                                 f"CAST(sales AS DOUBLE) AS y FROM main_log WHERE {c} IS NOT NULL AND sales IS NOT NULL"
+                                 for c in sc_cols)
+    cat_cols = ["store_nbr", "family", "city", "state", "type", "cluster"]
+    long_cat = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value FROM main_stores "
+                                  f"WHERE {c} IS NOT NULL" for c in cat_cols)
+
+    def bucket(v, mn, mx, bins):
+        return (f"CAST(CASE WHEN {mx} - {mn} = 0 THEN 0 ELSE LEAST(FLOOR(({v} - {mn}) / ({mx} - {mn}) * {bins}), "
+                f"{bins - 1}) END AS INTEGER)")
+
+    return {
+        "split_train_test": sql(BASE, f"SELECT {MAIN_COLS_ROUNDED} FROM main_log WHERE is_train = 1"),
+        "feature_projection": sql(BASE_STORES, "SELECT store_nbr, family, onpromotion, city, state, type, cluster "
+                                               "FROM main_stores"),
+        "backtest_folds": sql(BASE + [("tr", "SELECT * FROM main_log WHERE is_train = 1"),
+                                      ("lastd", "SELECT MAX(date) AS last FROM tr")] + fold_ctes(),
+                              "SELECT fold, first_val_date, last_val_date, n_train, n_val FROM sizes"),
+        "rmse_clipped": sql(scored_ctes(), f"SELECT {rexpr(f'SQRT(AVG(POWER(log_sales - GREATEST({PRED}, 0), 2)))')} "
+                                           "AS rmse FROM tr"),
+        "backtest_loss": sql(scored_ctes() + fold_ctes() + [("fl", fold_loss_sql(PRED))],
+                             f"SELECT fold, first_val_date, last_val_date, n_train, n_val, {rexpr('loss')} AS loss, "
+                             f"{rexpr('AVG(COALESCE(loss, 0.0)) OVER ()')} AS mean_loss FROM fl"),
+        "best_trial": sql(scored_ctes() + fold_ctes() + [("trials", trials)],
+                          f"SELECT trial_id, predictor, {rexpr('loss')} AS loss FROM trials "
+                          "ORDER BY loss, trial_id LIMIT 1"),
+        "submission": sql(scored_ctes(), f"SELECT CAST(id AS BIGINT) AS id, {rexpr(f'EXP({PRED}) - 1')} AS sales "
+                                         "FROM scored WHERE is_test = 1"),
+        "profile_table": sql(BASE, prof),
+        "histogram": sql(BASE + [("l", long_num), ("rg", "SELECT \"column\", MIN(value) AS mn, MAX(value) AS mx "
+                                                         "FROM l GROUP BY 1"),
+                                 ("b", f"SELECT l.\"column\", {bucket('value', 'mn', 'mx', 100)} AS bin, COUNT(*) AS n "
+                                       "FROM l JOIN rg USING (\"column\") GROUP BY 1, 2")],
+                         "SELECT b.\"column\", b.bin, " + r("mn + (mx - mn) * bin / 100", "lo") + ", "
+                         + r("mn + (mx - mn) * (bin + 1) / 100", "hi") + ", n FROM b JOIN rg USING (\"column\")"),
+        "correlations": sql(BASE + [("c", corr_rows)],
+                            "SELECT \"column\", corr, CAST(ROW_NUMBER() OVER (ORDER BY abs(corr) DESC NULLS LAST, "
+                            "\"column\") AS INTEGER) AS rank FROM c QUALIFY rank <= 15"),
+        "scatter_bins": sql(BASE + [("l", long_sc), ("rg", "SELECT \"column\", MIN(value) xmn, MAX(value) xmx, "
+                                                           "MIN(y) ymn, MAX(y) ymx FROM l GROUP BY 1")],
+                            f"SELECT \"column\", {bucket('value', 'xmn', 'xmx', 50)} AS x_bin, "
+                            f"{bucket('y', 'ymn', 'ymx', 50)} AS y_bin, COUNT(*) AS n FROM l JOIN rg "
+                            "USING (\"column\") GROUP BY 1, 2, 3"),
+        "distribution_by_category": sql(BASE_STORES, "SELECT type, COUNT(*) AS n, " + r("AVG(sales)", "mean") + ", "
+                                        + r("MIN(sales)", "min") + ", " + r("MAX(sales)", "max") + ", "
+                                        + r("quantile_cont(sales, 0.25)", "q25") + ", "
+                                        + r("quantile_cont(sales, 0.5)", "q50") + ", "
+                                        + r("quantile_cont(sales, 0.75)", "q75")
+                                        + " FROM main_stores WHERE sales IS NOT NULL GROUP BY type"),
+        "date_spans": sql(BASE, "SELECT 'all' AS subset, MIN(date) AS min_date, MAX(date) AS max_date FROM main_log "
+                                "UNION ALL SELECT 'train', MIN(date), MAX(date) FROM main_log WHERE is_train = 1 "
+                                "UNION ALL SELECT 'test', MIN(date), MAX(date) FROM main_log WHERE is_test = 1"),
+        "duplicate_rows": sql(BASE, "SELECT date, family, onpromotion, COUNT(*) AS n FROM main_log "
+                                    "GROUP BY ALL HAVING COUNT(*) > 1"),
+        "top_categories": sql(BASE_STORES + [("l", long_cat), ("cnt", "SELECT \"column\", value, COUNT(*) AS n "
+                                                                      "FROM l GROUP BY 1, 2")],
+                              "SELECT \"column\", value, n, CAST(ROW_NUMBER() OVER (PARTITION BY \"column\" "
+                              "ORDER BY n DESC, value) AS INTEGER) AS rank FROM cnt QUALIFY rank <= 20"),
+    }
+
+
+EXTRA_REGISTRIES.append(registry_eval)

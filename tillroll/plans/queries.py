@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillroll import fixtures
@@ -258,3 +258,130 @@ def registry_variants() -> dict[str, Query]:
 
 
 EXTRA_REGISTRIES.append(registry_variants)
+
+
+# --- evaluation -------------------------------------------------------------------------
+
+from tillroll.operators import evaluate as _ev  # noqa: E402
+from tillroll.operators import profile as _pf  # noqa: E402
+
+# Folds of the tuning job (8 folds of 16 days) and the predictors
+# scored as trials (lagged weekly family statistics of log sales).
+TUNE_FOLDS, TUNE_DAYS = 8, 16
+PRED_COL = "log_sales_mean_wrt_family_lag16_window7"
+CANDIDATES = ("log_sales_mean_wrt_family_lag16_window7", "log_sales_q50_wrt_family_lag16_window7",
+              "log_sales_min_wrt_family_lag16_window7", "log_sales_max_wrt_family_lag16_window7")
+
+
+def scored_frame(spark, sf_dir):
+    """Fact with the lagged weekly family features as ready-made predictions."""
+    feats = rolling.compute_rolling_stats(main_stores(spark, sf_dir), ["family"], windows=(7,))
+    return main_df(spark, sf_dir).join(feats, ["date", "family"], "left")
+
+
+def q_split_train_test(spark, sf_dir):
+    return rounded(clean.get_train(main_df(spark, sf_dir)))
+
+
+def q_feature_projection(spark, sf_dir):
+    return rounded(clean.get_features(main_stores(spark, sf_dir)))
+
+
+def q_backtest_folds(spark, sf_dir):
+    return _ev.fold_sizes(clean.get_train(main_df(spark, sf_dir)), TUNE_FOLDS, TUNE_DAYS)
+
+
+def q_rmse_clipped(spark, sf_dir):
+    return rounded(_ev.rmse_clipped(clean.get_train(scored_frame(spark, sf_dir)), "log_sales", PRED_COL))
+
+
+def q_backtest_loss(spark, sf_dir):
+    folds = _ev.backtest_predictor(clean.get_train(scored_frame(spark, sf_dir)), "log_sales", PRED_COL,
+                                   TUNE_FOLDS, TUNE_DAYS)
+    # the fold table has TUNE_FOLDS rows, so an un-partitioned window over it is tiny
+    return rounded(folds.withColumn("mean_loss", F.avg(F.coalesce("loss", F.lit(0.0))).over(
+        Window.partitionBy())))
+
+
+def predictor_trials(spark, sf_dir):
+    train = clean.get_train(scored_frame(spark, sf_dir)).cache()
+    rows = []
+    for i, c in enumerate(CANDIDATES):
+        folds = _ev.backtest_predictor(train, "log_sales", c, TUNE_FOLDS, TUNE_DAYS)
+        rows.append(_ev.mean_loss(folds).select(F.lit(i).alias("trial_id"), F.lit(c).alias("predictor"),
+                                                F.col("mean_loss").alias("loss")))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+def q_best_trial(spark, sf_dir):
+    return rounded(_ev.best_trial(predictor_trials(spark, sf_dir)))
+
+
+def q_submission(spark, sf_dir):
+    return rounded(_ev.submission(clean.get_test(scored_frame(spark, sf_dir)), PRED_COL))
+
+
+# --- profiling --------------------------------------------------------------------------
+
+PROFILE_NUMERIC = ["id", "store_nbr", "onpromotion", "sales", "log_sales"]
+
+
+def q_profile_table(spark, sf_dir):
+    return _pf.profile_table(main_df(spark, sf_dir)).drop("dtype")
+
+
+def q_histogram(spark, sf_dir):
+    return rounded(_pf.histogram(main_df(spark, sf_dir), PROFILE_NUMERIC, bins=100))
+
+
+def q_correlations(spark, sf_dir):
+    m = main_df(spark, sf_dir)
+    return rounded(_pf.correlations(m, "sales", ["id", "store_nbr", "onpromotion", "log_sales",
+                                                 "is_train", "is_test"]))
+
+
+def q_scatter_bins(spark, sf_dir):
+    return _pf.scatter_bins(main_df(spark, sf_dir), "sales", ["log_sales", "onpromotion", "store_nbr"], bins=50)
+
+
+def q_distribution_by_category(spark, sf_dir):
+    return rounded(_pf.distribution_by_category(main_stores(spark, sf_dir), "type", "sales"))
+
+
+def q_date_spans(spark, sf_dir):
+    return _pf.date_spans(main_df(spark, sf_dir))
+
+
+def q_duplicate_rows(spark, sf_dir):
+    return _pf.duplicate_rows(main_df(spark, sf_dir).select("date", "family", "onpromotion"))
+
+
+def q_top_categories(spark, sf_dir):
+    return _pf.top_categories(main_stores(spark, sf_dir), ["store_nbr", "family", "city", "state", "type",
+                                                           "cluster"], top=20)
+
+
+def registry_eval() -> dict[str, Query]:
+    return {
+        "split_train_test": q_split_train_test,
+        "feature_projection": q_feature_projection,
+        "backtest_folds": q_backtest_folds,
+        "rmse_clipped": q_rmse_clipped,
+        "backtest_loss": q_backtest_loss,
+        "best_trial": q_best_trial,
+        "submission": q_submission,
+        "profile_table": q_profile_table,
+        "histogram": q_histogram,
+        "correlations": q_correlations,
+        "scatter_bins": q_scatter_bins,
+        "distribution_by_category": q_distribution_by_category,
+        "date_spans": q_date_spans,
+        "duplicate_rows": q_duplicate_rows,
+        "top_categories": q_top_categories,
+    }
+
+
+EXTRA_REGISTRIES.append(registry_eval)
