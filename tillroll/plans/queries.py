@@ -385,3 +385,93 @@ def registry_eval() -> dict[str, Query]:
 
 
 EXTRA_REGISTRIES.append(registry_eval)
+
+
+# --- models, trials and sinks (rows-only checks) ----------------------------------------
+
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+
+from tillroll.operators import model as _model  # noqa: E402
+
+# Small-run settings for the driver-run model keys (2 trials,
+# 2 folds of 16 days, at most 10 boosting rounds).
+SMOKE_TRIALS, SMOKE_FOLDS, SMOKE_DAYS, SMOKE_ITER = 2, 2, 16, 10
+GBT_PARAMS = _model.add_constant_hyperparams({"n_estimators": 10, "max_depth": 4, "learning_rate": 0.3,
+                                              "subsample": 1.0, "colsample_bytree": 1.0, "max_bin": 32})
+
+
+def model_frame(spark, sf_dir):
+    return main_stores(spark, sf_dir)
+
+
+def q_sample_fact(spark, sf_dir):
+    return rounded(main_df(spark, sf_dir).sample(withReplacement=False, fraction=0.1, seed=42))
+
+
+def q_encode_features(spark, sf_dir):
+    df = model_frame(spark, sf_dir)
+    enc = _model.encode_features(clean.get_train(df), df)
+    return enc.select("id", vector_to_array("features").alias("features"))
+
+
+def q_fit_gbt(spark, sf_dir):
+    df = model_frame(spark, sf_dir)
+    model = _model.build_model(df, GBT_PARAMS).fit(clean.get_train(df))
+    return model.transform(clean.get_test(df)).select("id", "prediction")
+
+
+def q_model_roundtrip(spark, sf_dir):
+    df = model_frame(spark, sf_dir)
+    model = _model.build_model(df, GBT_PARAMS).fit(clean.get_train(df))
+    path = _scratch(spark, "model")
+    _model.save_model(model, path)
+    loaded = _model.load_model(path)
+    test = clean.get_test(df)
+    a = model.transform(test).select("id", F.col("prediction").alias("p_fitted"))
+    b = loaded.transform(test).select("id", F.col("prediction").alias("p_loaded"))
+    return a.join(b, "id").withColumn("equal", F.col("p_fitted") == F.col("p_loaded"))
+
+
+def q_tune(spark, sf_dir):
+    df = clean.get_train(model_frame(spark, sf_dir)).cache()
+    return _model.tune(df, SMOKE_TRIALS, _scratch(spark, "trials"), n_backtests=SMOKE_FOLDS,
+                       valset_size=SMOKE_DAYS, max_iter_cap=SMOKE_ITER)
+
+
+def q_train_best(spark, sf_dir):
+    df = model_frame(spark, sf_dir)
+    trials = q_tune(spark, sf_dir)
+    hp = _model.best_params(trials)
+    res = _model.train_best(df, hp, n_seeds=1, sample_frac=0.1, n_iter=2, max_iter_cap=SMOKE_ITER)
+    return spark.createDataFrame([(s, r) for s, _, r in res], "seed int, train_rmse double")
+
+
+def q_trials_append(spark, sf_dir):
+    trials = predictor_trials(spark, sf_dir).collect()  # a handful of rows, one per candidate
+    path = _scratch(spark, "trials_table")
+    for t in trials:
+        _model.append_trials(spark, [(int(t["trial_id"]), "predictor", t["predictor"], float(t["loss"]), 8)], path)
+    return _model.load_trials(spark, path)
+
+
+def q_write_submission(spark, sf_dir):
+    sub = _ev.submission(clean.get_test(scored_frame(spark, sf_dir)), PRED_COL)
+    path = _scratch(spark, "submission_csv")
+    _files.write_csv(sub, path)
+    return _files.read_csv(spark, path, "id long, sales double")
+
+
+def registry_models() -> dict[str, Query]:
+    return {
+        "sample_fact": q_sample_fact,
+        "encode_features": q_encode_features,
+        "fit_gbt": q_fit_gbt,
+        "model_roundtrip": q_model_roundtrip,
+        "tune": q_tune,
+        "train_best": q_train_best,
+        "trials_append": q_trials_append,
+        "write_submission": q_write_submission,
+    }
+
+
+EXTRA_REGISTRIES.append(registry_models)
