@@ -21,6 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.session import materialize
 from tillroll.functions.stats import (DEFAULT_QUANTILES, DEFAULT_STATS, feature_suffix,
                                       final_stat_columns, stat_labels, stat_name, stats_exprs)
 
@@ -60,15 +61,21 @@ def dense_grid(keys: DataFrame, group_cols: Sequence[str], date_col: str = "date
 
 def daily_totals(df: DataFrame, group_cols: Sequence[str] = (), value_col: str = "sales",
                  date_col: str = "date", densify: bool = True,
-                 log_col: str | None = "log_sales") -> DataFrame:
+                 log_col: str | None = "log_sales", materialize_sums: bool = True) -> DataFrame:
     """Daily totals of ``value_col`` per group, densified over observed dates.
 
     Missing cells and all-null sums become 0 (test rows carry null sales), and
     ``log_col`` = log1p(total).  Output: date, *group_cols, value_col, log_col.
+
+    The grid reads the (date, group) sums four times (dates, categories, first
+    and last day); ``materialize_sums`` checkpoints that small aggregate so the
+    fact table is scanned and aggregated once.
     """
     g = list(group_cols)
     sums = df.groupBy(date_col, *g).agg(F.sum(value_col).alias(value_col))
     if g and densify:
+        if materialize_sums:
+            sums = materialize(sums)
         sums = dense_grid(sums, g, date_col).join(sums, [date_col, *g], "left")
     total = F.coalesce(F.col(value_col).cast("double"), F.lit(0.0))
     cols = [F.col(date_col), *[F.col(c) for c in g], total.alias(value_col)]
@@ -169,6 +176,7 @@ def daily_stats(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence[s
         finals += final_stat_columns(v, stats, quantiles, suffix)
     out = df.groupBy(date_col, *g).agg(*aggs).select(date_col, *g, *finals)
     if g and densify:
+        out = materialize(out)
         out = dense_grid(out, g, date_col).join(out, [date_col, *g], "left")
     names = [stat_name(v, s, suffix) for v in value_cols for s in stat_labels(stats, quantiles)]
     return out.select(date_col, *g, *names)

@@ -145,7 +145,7 @@ EXTRA_REGISTRIES = [registry_series]
 import uuid  # noqa: E402
 
 from tillroll.operators.assemble import assemble_features  # noqa: E402
-from tillroll.session import scratch_path  # noqa: E402
+from tillroll.session import materialize, scratch_path  # noqa: E402
 from tillroll.sources import catmeta as _cm  # noqa: E402
 from tillroll.sources import files as _files  # noqa: E402
 
@@ -274,9 +274,13 @@ CANDIDATES = ("log_sales_mean_wrt_family_lag16_window7", "log_sales_q50_wrt_fami
 
 
 def scored_frame(spark, sf_dir):
-    """Fact with the lagged weekly family features as ready-made predictions."""
+    """Fact with the lagged weekly family features as ready-made predictions.
+
+    Folds, sizes and losses each read this frame, so it is written once to the
+    checkpoint folder (as the tuning job persists its assembled frame).
+    """
     feats = rolling.compute_rolling_stats(main_stores(spark, sf_dir), ["family"], windows=(7,))
-    return main_df(spark, sf_dir).join(feats, ["date", "family"], "left")
+    return materialize(main_df(spark, sf_dir).join(feats, ["date", "family"], "left"))
 
 
 def q_split_train_test(spark, sf_dir):

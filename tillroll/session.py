@@ -56,3 +56,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared checkpoint folder for intermediate tables."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
+
+
+def materialize(df):
+    """Write ``df`` to the shared checkpoint folder and continue from the written copy.
+
+    Used for small intermediate aggregates that several branches of one plan
+    read (so the expensive input is computed once), and to cut long lineages.
+    Reliable checkpoints survive executor loss; local checkpoints are not used.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
