@@ -7,9 +7,9 @@ so a whole series fits one ``applyInPandas`` group; inside it:
 
 * mean and sample deviation: O(n) trailing sums of the centred series in
   extended precision (a constant frame gets deviation exactly 0);
-* min / max: pandas' O(n) monotone-deque rolling extrema;
-* quantiles: short frames sort one sliding matrix and read every quantile from
-  it; long frames use pandas' O(n log w) skip-list rolling quantile; both
+* min / max / quantiles: frames up to ``SORTED_MATRIX_MAX_WINDOW`` rows sort one
+  sliding matrix and read every order statistic from it; longer frames use
+  pandas' O(n) rolling extrema and O(n log w) skip-list quantiles; quantiles
   interpolate linearly between order statistics;
 * lag: values of day ``d - lag`` looked up with ``searchsorted`` on the day
   ordinal; missing days and undefined statistics become 0.
@@ -33,9 +33,10 @@ DAY = "_day"
 ALL_KEY = "_series"
 
 
-# Frames up to this many rows take quantiles from one sorted sliding matrix;
-# longer frames use pandas' skip-list rolling quantile.
-SORTED_MATRIX_MAX_WINDOW = 32
+# Frames up to this many rows take min, max and all quantiles from one sorted
+# sliding matrix (n x w doubles); longer frames use pandas' O(n) rolling extrema
+# and O(n log w) skip-list quantiles.  Both give identical order statistics.
+SORTED_MATRIX_MAX_WINDOW = 512
 
 
 def _trailing_sums(v: np.ndarray, w: int) -> np.ndarray:
@@ -67,13 +68,16 @@ def _mean_std(x: np.ndarray, w: int, lo: np.ndarray | None = None, hi: np.ndarra
     return mean, np.sqrt(var)
 
 
-def _quantiles_sorted(x: np.ndarray, w: int, qs: Sequence) -> list[np.ndarray]:
-    """All quantiles of short trailing frames from one sorted sliding matrix."""
-    n = len(x)
-    # NaN padding of partial head frames sorts last: valid values start at column 0.
+def _sorted_frames(x: np.ndarray, w: int):
+    """Every trailing frame sorted (NaN padding of partial head frames sorts last)."""
     m = np.sort(sliding_window_view(np.concatenate([np.full(w - 1, np.nan), x]), w), axis=1)
-    cnt = np.minimum(np.arange(1, n + 1), w)
-    rows = np.arange(n)
+    return m, np.minimum(np.arange(1, len(x) + 1), w)
+
+
+def _quantiles_sorted(x: np.ndarray, w: int, qs: Sequence, sorted_frames=None) -> list[np.ndarray]:
+    """All quantiles of the trailing frames from one sorted sliding matrix."""
+    m, cnt = sorted_frames if sorted_frames is not None else _sorted_frames(x, w)
+    rows = np.arange(len(x))
     out = []
     for q in qs:
         pos = (float(q) / 100) * (cnt - 1)
@@ -93,21 +97,22 @@ def series_stats(x: np.ndarray, w: int, stats: Sequence[str], quantiles: Sequenc
         for q in quantiles:
             out[quantile_label(q)] = x.copy()
         return out
-    roll = pd.Series(x).rolling(w, min_periods=1)
-    lo = roll.min().to_numpy()
-    hi = roll.max().to_numpy()
+    if w <= SORTED_MATRIX_MAX_WINDOW:
+        frames = _sorted_frames(x, w)
+        m, cnt = frames
+        lo, hi = m[:, 0], m[np.arange(len(x)), cnt - 1]
+        qvals = _quantiles_sorted(x, w, quantiles, frames) if quantiles else []
+    else:
+        roll = pd.Series(x).rolling(w, min_periods=1)
+        lo, hi = roll.min().to_numpy(), roll.max().to_numpy()
+        qvals = [roll.quantile(float(q) / 100, interpolation="linear").to_numpy() for q in quantiles]
     out["min"], out["max"] = lo, hi
     if "mean" in stats or "std" in stats:
         out["mean"], out["std"] = _mean_std(x, w, lo, hi)
     if "sum" in stats:
         out["sum"] = _trailing_sums(x, w).astype(float)
-    if quantiles:
-        if w <= SORTED_MATRIX_MAX_WINDOW:
-            vals = _quantiles_sorted(x, w, quantiles)
-        else:
-            vals = [roll.quantile(float(q) / 100, interpolation="linear").to_numpy() for q in quantiles]
-        for q, v in zip(quantiles, vals):
-            out[quantile_label(q)] = v
+    for q, v in zip(quantiles, qvals):
+        out[quantile_label(q)] = v
     return out
 
 
@@ -132,10 +137,21 @@ def _roll_one_series(pdf: pd.DataFrame, keys: list[str], value_cols, windows, la
     return pd.DataFrame(out, columns=[*keys, DAY, *names])
 
 
+def _ship_by_value() -> None:
+    """Pickle this module and the naming helpers by value, so Python workers
+    need neither the package installed nor the driver's working directory."""
+    import sys
+
+    from pyspark import cloudpickle
+    for name in (__name__, "tillroll.functions.stats"):
+        cloudpickle.register_pickle_by_value(sys.modules[name])
+
+
 def rolling_series_features(totals: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str],
                             windows: Sequence[int], lag: int, stats: Sequence[str],
                             quantiles: Sequence, date_col: str = "date") -> DataFrame:
     from tillroll.operators.rolling import rolling_feature_names
+    _ship_by_value()
     g = list(group_cols)
     names = rolling_feature_names(g, value_cols, windows, lag, stats, quantiles)
     keys = g if g else [ALL_KEY]
