@@ -173,3 +173,26 @@ def test_ascending_dates(spark):
     df = spark.createDataFrame([(i, D(2017, 1, 5)) for i in (5, 3, 9, 1)], "id int, date date").repartition(3)
     got = sorted((r.id, r.date) for r in series.assign_ascending_dates(df, ["id"]).collect())
     assert got == [(1, D(2017, 1, 5)), (3, D(2017, 1, 6)), (5, D(2017, 1, 7)), (9, D(2017, 1, 8))]
+
+
+def test_series_path_with_series_split_across_batches(spark):
+    import random
+    rnd = random.Random(11)
+    rows = [(D(2017, 1, 1) + dt.timedelta(days=d), g, round(rnd.uniform(0, 50), 2))
+            for d in range(40) for g in "abcd" if rnd.random() > 0.1]
+    totals = rolling.daily_totals(_main(spark, rows), ["g"])
+    expected = {(r.date, r.g): r for r in
+                rolling.lagged_rolling_features(totals, ["g"], windows=[3, 10], lag=2, method="window").collect()}
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "7")
+    try:
+        got = rolling.lagged_rolling_features(totals, ["g"], windows=[3, 10], lag=2, method="series").collect()
+    finally:
+        spark.conf.set(key, old)
+    assert len(got) == len(expected)
+    for r in got:
+        e = expected[(r.date, r.g)]
+        for c in r.asDict():
+            if c not in ("date", "g"):
+                assert r[c] == pytest.approx(e[c], rel=1e-9, abs=1e-9), (r.date, r.g, c)

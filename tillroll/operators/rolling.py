@@ -114,7 +114,8 @@ def lagged_rolling_features(totals: DataFrame, group_cols: Sequence[str] = (),
       partition/sort and the lag is a one-day RANGE frame on the same order, so
       there is no join and no extra shuffle.  Spark re-aggregates a sliding frame
       for every row (cost rows x frame), which is fine for short frames.
-    * ``"series"`` -- one grouped ``applyInPandas`` call per category series:
+    * ``"series"`` -- ``mapInPandas`` over series clustered by key (see
+      ``series_stats``):
       vectorised NumPy mean / two-pass deviation over sliding views, pandas'
       O(n log w) rolling quantiles and O(n) rolling min / max.  A series holds one
       row per observed day, so a group is bounded by the calendar length, never

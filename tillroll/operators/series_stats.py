@@ -1,9 +1,10 @@
-"""Per-series rolling statistics with NumPy / pandas inside grouped Pandas UDFs.
+"""Per-series rolling statistics with NumPy / pandas inside a Pandas UDF.
 
 Spark re-aggregates a sliding window frame for every row, so a 365-row frame
 costs 365 updates per row and percentile sorts the frame per row.  Each
 category series here holds one row per observed day (bounded by the calendar),
-so a whole series fits one ``applyInPandas`` group; inside it:
+so a whole series is processed at once inside ``mapInPandas`` over data
+hash-partitioned by series and sorted by day; for each series:
 
 * mean and sample deviation: O(n) trailing sums of the centred series in
   extended precision (a constant frame gets deviation exactly 0);
@@ -117,15 +118,16 @@ def series_stats(x: np.ndarray, w: int, stats: Sequence[str], quantiles: Sequenc
 
 
 def _roll_one_series(pdf: pd.DataFrame, keys: list[str], value_cols, windows, lag, stats, quantiles,
-                     names: list[str]) -> pd.DataFrame:
+                     names: list[str]):
+    """(key columns, day ordinals, n x len(names) feature block) of one series."""
     pdf = pdf.sort_values(DAY, kind="stable")
     days = pdf[DAY].to_numpy(dtype=np.int64)
     n = len(days)
     src = np.searchsorted(days, days - lag)
     src_c = np.minimum(src, n - 1)
     hit = (src < n) & (days[src_c] == days - lag)
-    out = {k: pdf[k].to_numpy() for k in keys}
-    out[DAY] = days
+    feats = np.empty((n, len(names)))
+    col = {name: i for i, name in enumerate(names)}
     group_cols = [k for k in keys if k != ALL_KEY]
     for w in windows:
         suffix = feature_suffix(group_cols, lag, w)
@@ -133,8 +135,8 @@ def _roll_one_series(pdf: pd.DataFrame, keys: list[str], value_cols, windows, la
             res = series_stats(pdf[v].to_numpy(dtype=float), int(w), stats, quantiles)
             for label in list(stats) + [quantile_label(q) for q in quantiles]:
                 moved = np.where(hit, res[label][src_c], 0.0)
-                out[stat_name(v, label, suffix)] = np.nan_to_num(moved, nan=0.0)
-    return pd.DataFrame(out, columns=[*keys, DAY, *names])
+                feats[:, col[stat_name(v, label, suffix)]] = np.nan_to_num(moved, nan=0.0)
+    return {k: pdf[k].to_numpy() for k in keys}, days, feats
 
 
 def _ship_by_value() -> None:
@@ -163,12 +165,46 @@ def rolling_series_features(totals: DataFrame, group_cols: Sequence[str], value_
                            *[T.StructField(n, T.DoubleType()) for n in names]])
     vc, wins, qs, st = tuple(value_cols), tuple(int(w) for w in windows), tuple(quantiles), tuple(stats)
 
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        with warnings.catch_warnings():
-            warnings.simplefilter("ignore")
-            res = _roll_one_series(pdf, keys, vc, wins, int(lag), st, qs, names)
-        res[DAY] = res[DAY].astype(np.int32)
+    def roll_groups(pdf: pd.DataFrame) -> pd.DataFrame:
+        parts = [_roll_one_series(g, keys, vc, wins, int(lag), st, qs, names)
+                 for _, g in pdf.groupby(keys, sort=False)]
+        res = pd.DataFrame(np.concatenate([p[2] for p in parts]), columns=names)
+        res.insert(0, DAY, np.concatenate([p[1] for p in parts]).astype(np.int32))
+        for i, k in enumerate(keys):
+            res.insert(i, k, np.concatenate([p[0][k] for p in parts]))
         return res
 
-    rolled = src.groupBy(*keys).applyInPandas(fn, schema)
+    def fn(batches):
+        # rows arrive clustered by series and sorted by day; a series may span two
+        # Arrow batches, so the last (possibly incomplete) series is carried over
+        carry = None
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore")
+            for pdf in batches:
+                if carry is not None and len(carry):
+                    pdf = pd.concat([carry, pdf], ignore_index=True)
+                if pdf.empty:
+                    continue
+                last = np.ones(len(pdf), dtype=bool)
+                for k in keys:
+                    col = pdf[k].to_numpy()
+                    last &= col == col[-1]
+                carry = pdf[last]
+                done = pdf[~last]
+                if len(done):
+                    yield roll_groups(done)
+            if carry is not None and len(carry):
+                yield roll_groups(carry)
+
+    # hash-partition by series and sort by day: every series is contiguous inside
+    # one partition, so whole Arrow batches of many series go through pandas
+    # (cheaper than one grouped call per series)
+    # The partition count is fixed (shuffle partitions, at least the core count):
+    # the input is small per row, so AQE would otherwise coalesce it into a few
+    # partitions and serialise the Python work.
+    spark = totals.sparkSession
+    n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                  spark.sparkContext.defaultParallelism)
+    clustered = src.repartition(n_parts, *keys).sortWithinPartitions(*keys, DAY)
+    rolled = clustered.mapInPandas(fn, schema)
     return rolled.select(F.date_from_unix_date(DAY).alias(date_col), *g, *names)
