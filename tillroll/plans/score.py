@@ -11,6 +11,7 @@ import os
 from pyspark.sql import SparkSession
 
 from tillroll.operators import model
+from tillroll.session import job_session
 from tillroll.sources import files
 from tillroll.sources.manifest import load_and_merge_from_manifest
 
@@ -37,7 +38,7 @@ def main(argv=None):
     ap.add_argument("--study", default="gbt")
     ap.add_argument("--n-seeds", type=int, default=1)
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("tillroll-score").getOrCreate()
+    spark = job_session("tillroll-score")
     run(spark, a.manifest, a.models, a.out, a.start, a.end, a.study, a.n_seeds)
 
 

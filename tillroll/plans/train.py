@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.operators import model
+from tillroll.session import job_session
 from tillroll.sources.manifest import load_and_merge_from_manifest
 
 
@@ -39,7 +40,7 @@ def main(argv=None):
     ap.add_argument("--n-iter", type=int, default=10)
     ap.add_argument("--max-iter-cap", type=int)
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("tillroll-train").getOrCreate()
+    spark = job_session("tillroll-train")
     run(spark, a.manifest, a.trials, a.models, a.study, a.n_seeds, a.sample_frac, a.n_iter, a.max_iter_cap)
 
 

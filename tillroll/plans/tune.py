@@ -11,6 +11,7 @@ from pyspark import StorageLevel
 from pyspark.sql import SparkSession
 
 from tillroll.operators import clean, model
+from tillroll.session import job_session
 from tillroll.sources.manifest import load_and_merge_from_manifest
 
 
@@ -35,7 +36,7 @@ def main(argv=None):
     ap.add_argument("--study", default="gbt")
     ap.add_argument("--max-iter-cap", type=int)
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("tillroll-tune").getOrCreate()
+    spark = job_session("tillroll-tune")
     run(spark, a.manifest, a.trials, a.n_trials, a.n_backtests, a.valset_size, a.n_jobs, a.study,
         max_iter_cap=a.max_iter_cap)
 

@@ -21,6 +21,21 @@ LOCAL_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# Job-level settings for the feature jobs: the assembled table has ~600 columns,
+# beyond the default 100-field limit of whole-stage code generation (Spark falls
+# back to interpreted code by itself if a generated method grows too large).
+JOB_DEFAULTS = {
+    "spark.sql.codegen.maxFields": "1000",
+}
+
+
+def job_session(app_name: str) -> SparkSession:
+    """Session for the batch jobs: the cluster's settings plus ``JOB_DEFAULTS``."""
+    builder = SparkSession.builder.appName(app_name)
+    for key, value in JOB_DEFAULTS.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "tillroll", driver_memory: str = "16g") -> SparkSession:
@@ -28,7 +43,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app_name)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", driver_memory))
-    for key, value in LOCAL_DEFAULTS.items():
+    for key, value in {**LOCAL_DEFAULTS, **JOB_DEFAULTS}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
