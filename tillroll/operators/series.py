@@ -129,7 +129,11 @@ def assign_ascending_dates(df: DataFrame, order_cols: Sequence[str], date_col: s
     count over one row per partition (a table bounded by the partition count).
     """
     start = df.agg(F.min(date_col)).scalar()
-    ordered = df.orderBy(*order_cols).checkpoint()
+    # the checkpoint keeps the sorted partitions in order (a Parquet re-read would
+    # not); persisting first lets the checkpoint write reuse the sort
+    sorted_df = df.orderBy(*order_cols).persist()
+    ordered = sorted_df.checkpoint(eager=True)
+    sorted_df.unpersist()
     mid = F.monotonically_increasing_id()
     t = (ordered.withColumn("_mid", mid)
          .withColumn("_pid", F.shiftright("_mid", 33))

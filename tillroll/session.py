@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -73,12 +74,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), name)
 
 
-def materialize(df):
-    """Write ``df`` to the shared checkpoint folder and continue from the written copy.
+def materialize(df, name: str = "materialized"):
+    """Write ``df`` as Parquet below the shared checkpoint folder and continue from
+    the written table.
 
-    Used for small intermediate aggregates that several branches of one plan
-    read (so the expensive input is computed once), and to cut long lineages.
-    Reliable checkpoints survive executor loss; local checkpoints are not used.
+    Used for intermediate aggregates that several branches of one plan read (so
+    the expensive input is computed once) and to cut long lineages.  One job
+    writes the table (an eager ``checkpoint()`` of an unpersisted frame would
+    compute it twice); the files live on the shared checkpoint storage, so they
+    survive executor loss.  Local checkpoints are not used.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}/{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
