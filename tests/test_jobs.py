@@ -34,3 +34,18 @@ def test_jobs_end_to_end(spark, sf_small, tmp_path):
     sub = spark.read.option("header", True).csv(paths[0])
     assert sub.columns == ["id", "sales"]
     assert sub.count() == main.where(F.col("is_test") == 1).count()
+
+
+def test_store_level_rollup_equals_direct_totals(spark, sf_small, tmp_path):
+    from tillroll import fixtures
+    from tillroll.operators import rolling
+    from tillroll.operators.joins import main_stores_join
+    main = fixtures.main_view(spark, sf_small)
+    stores = fixtures.stores_view(spark, sf_small)
+    direct = rolling.daily_totals(main_stores_join(main, stores), ["type"])
+    store_daily = main.groupBy("date", "store_nbr").agg(F.sum("sales").alias("sales"))
+    rolled = rolling.daily_totals(main_stores_join(store_daily, stores), ["type"])
+    a = {(r.date, r.type): r.sales for r in direct.collect()}
+    b = {(r.date, r.type): r.sales for r in rolled.collect()}
+    assert a.keys() == b.keys()
+    assert all(abs(a[k] - b[k]) <= 1e-6 * max(1.0, abs(a[k])) for k in a)
