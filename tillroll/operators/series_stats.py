@@ -201,10 +201,13 @@ def rolling_series_features(totals: DataFrame, group_cols: Sequence[str], value_
     # (cheaper than one grouped call per series)
     # The partition count is fixed (shuffle partitions, at least the core count):
     # the input is small per row, so AQE would otherwise coalesce it into a few
-    # partitions and serialise the Python work.
+    # partitions and serialise the Python work.  Partitioning on a hash of the key
+    # (not the key itself) keeps the optimizer from treating this exchange as
+    # redundant with an upstream, coalescable partitioning on the same key.
     spark = totals.sparkSession
     n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                   spark.sparkContext.defaultParallelism)
-    clustered = src.repartition(n_parts, *keys).sortWithinPartitions(*keys, DAY)
+    clustered = (src.repartition(n_parts, F.xxhash64(*keys).alias("_series_hash"))
+                 .sortWithinPartitions(*keys, DAY))
     rolled = clustered.mapInPandas(fn, schema)
     return rolled.select(F.date_from_unix_date(DAY).alias(date_col), *g, *names)
