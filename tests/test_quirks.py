@@ -196,3 +196,10 @@ def test_series_path_with_series_split_across_batches(spark):
         for c in r.asDict():
             if c not in ("date", "g"):
                 assert r[c] == pytest.approx(e[c], rel=1e-9, abs=1e-9), (r.date, r.g, c)
+
+
+def test_column_selection_helpers(spark):
+    df = spark.createDataFrame([(1, "a", 2.0, 3)], "id int, combo_x string, sales_lag16_window365 double, n long")
+    assert clean.columns_matching(df, contains="lag16_window365") == ["sales_lag16_window365"]
+    assert clean.columns_matching(df, prefix="combo_") == ["combo_x"]
+    assert clean.columns_of_type(df, numeric=True) == ["id", "sales_lag16_window365", "n"]

@@ -96,3 +96,25 @@ def apply_categories(df: DataFrame, categories: DataFrame) -> DataFrame:
 
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
+
+
+def columns_matching(df: DataFrame, contains: str | None = None, prefix: str | None = None,
+                     regex: str | None = None) -> list[str]:
+    """Column names selected by substring, prefix or regular expression (schema only)."""
+    import re
+    out = []
+    for c in df.columns:
+        if contains is not None and contains not in c:
+            continue
+        if prefix is not None and not c.startswith(prefix):
+            continue
+        if regex is not None and not re.search(regex, c):
+            continue
+        out.append(c)
+    return out
+
+
+def columns_of_type(df: DataFrame, numeric: bool) -> list[str]:
+    """Numeric columns (``numeric=True``) or the others; read from the schema only."""
+    from tillroll.operators.joins import is_numeric
+    return [c for c, t in df.dtypes if is_numeric(t) == numeric]

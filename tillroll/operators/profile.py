@@ -143,3 +143,8 @@ def top_categories(df: DataFrame, columns: Sequence[str], top: int = 20) -> Data
     counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("column").orderBy(F.col("n").desc(), F.col("value"))
     return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
+
+
+def preview(df: DataFrame, n: int = 5, order_cols: Sequence[str] = ()) -> DataFrame:
+    """First ``n`` rows in an explicit order (a top-n, not a full sort)."""
+    return (df.orderBy(*order_cols) if order_cols else df).limit(n)
