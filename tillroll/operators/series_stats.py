@@ -199,14 +199,15 @@ def rolling_series_features(totals: DataFrame, group_cols: Sequence[str], value_
     # hash-partition by series and sort by day: every series is contiguous inside
     # one partition, so whole Arrow batches of many series go through pandas
     # (cheaper than one grouped call per series)
-    # The partition count is fixed (shuffle partitions, at least the core count):
-    # the input is small per row, so AQE would otherwise coalesce it into a few
-    # partitions and serialise the Python work.  Partitioning on a hash of the key
-    # (not the key itself) keeps the optimizer from treating this exchange as
-    # redundant with an upstream, coalescable partitioning on the same key.
+    # The partition count is fixed at min(shuffle partitions, 2 x cores): the input
+    # is small per row, so AQE would otherwise coalesce it into a few partitions
+    # and serialise the Python work, while more partitions than task slots only
+    # adds idle Python tasks.  Partitioning on a hash of the key (not the key
+    # itself) keeps the optimizer from treating this exchange as redundant with an
+    # upstream, coalescable partitioning on the same key.
     spark = totals.sparkSession
-    n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                  spark.sparkContext.defaultParallelism)
+    n_parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                         2 * spark.sparkContext.defaultParallelism))
     clustered = (src.repartition(n_parts, F.xxhash64(*keys).alias("_series_hash"))
                  .sortWithinPartitions(*keys, DAY))
     rolled = clustered.mapInPandas(fn, schema)
