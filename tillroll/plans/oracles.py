@@ -87,7 +87,7 @@ def rolling_sql(group: str | None, window: int, lag: int = DEFAULT_LAG,
     return sql(totals_ctes(group) + [("rr", roll)], f"SELECT {tkeys}, {outs} FROM t LEFT JOIN rr ON {on}")
 
 
-def registry() -> dict[str, str]:
+def registry_core() -> dict[str, str]:
     o = {
         "combine_train_test": sql([("main", None)], "SELECT * FROM main"),
         "log_target": sql(BASE, f"SELECT id, date, store_nbr, family, onpromotion, {r('sales', 'sales')}, "
@@ -104,8 +104,6 @@ def registry() -> dict[str, str]:
     for g in GROUPS:
         for w in DEFAULT_WINDOWS:
             o[f"rolling_{g}_w{w}"] = rolling_sql(g, w)
-    for extra in EXTRA_REGISTRIES:
-        o.update(extra())
     return o
 
 
@@ -232,9 +230,6 @@ def registry_series() -> dict[str, str]:
     }
 
 
-EXTRA_REGISTRIES = [registry_series]
-
-
 # --- sources, category metadata, assembly -----------------------------------------------
 
 MAIN_COLS_ROUNDED = (f"id, date, store_nbr, family, onpromotion, {rexpr('sales')} AS sales, is_train, is_test, "
@@ -288,9 +283,6 @@ def registry_sources() -> dict[str, str]:
     }
 
 
-EXTRA_REGISTRIES.append(registry_sources)
-
-
 # --- library variants -------------------------------------------------------------------
 
 def daily_stats_select(g: str, v: str = "sales") -> str:
@@ -350,9 +342,6 @@ def registry_variants() -> dict[str, str]:
     }
 
 
-EXTRA_REGISTRIES.append(registry_variants)
-
-
 # --- evaluation and profiling -----------------------------------------------------------
 
 PRED = "log_sales_mean_wrt_family_lag16_window7"
@@ -465,4 +454,11 @@ def registry_eval() -> dict[str, str]:
     }
 
 
-EXTRA_REGISTRIES.append(registry_eval)
+def registry() -> dict[str, str]:
+    o: dict[str, str] = {}
+    o.update(registry_core())
+    o.update(registry_series())
+    o.update(registry_sources())
+    o.update(registry_variants())
+    o.update(registry_eval())
+    return o

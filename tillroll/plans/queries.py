@@ -7,13 +7,25 @@ comparison with the DuckDB oracles in ``oracles.py``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillroll import fixtures
 from tillroll.operators import clean, rolling
+from tillroll.operators import evaluate as _ev
+from tillroll.operators import holidays as _hol
+from tillroll.operators import joins as _joins
+from tillroll.operators import model as _model
+from tillroll.operators import profile as _pf
+from tillroll.operators import series as _series
+from tillroll.operators.assemble import assemble_features
+from tillroll.session import materialize, scratch_path
+from tillroll.sources import catmeta as _cm
+from tillroll.sources import files as _files
 from tillroll.plans.common import GROUPS, main_df, main_stores, rounded
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,7 +65,7 @@ def _rolling(group, windows):
     return q
 
 
-def registry() -> dict[str, Query]:
+def registry_core() -> dict[str, Query]:
     q: dict[str, Query] = {
         "combine_train_test": q_combine_train_test,
         "log_target": q_log_target,
@@ -66,17 +78,11 @@ def registry() -> dict[str, Query]:
     for g in GROUPS:
         for w in rolling.DEFAULT_WINDOWS:
             q[f"rolling_{g}_w{w}"] = _rolling(g, (w,))
-    for extra in EXTRA_REGISTRIES:
-        q.update(extra())
     return q
 
 
 # --- oil series and calendar ------------------------------------------------------------
 
-from tillroll.operators import holidays as _hol  # noqa: E402
-from tillroll.operators import joins as _joins  # noqa: E402
-from tillroll.operators import series as _series  # noqa: E402
-
 
 def q_oil_fill(spark, sf_dir):
     return rounded(_series.clean_oil(fixtures.oil_view(spark, sf_dir)))
@@ -137,17 +143,8 @@ def registry_series() -> dict[str, Query]:
     }
 
 
-EXTRA_REGISTRIES = [registry_series]
-
-
 # --- sources, sinks, category metadata, assembly ----------------------------------------
 
-import uuid  # noqa: E402
-
-from tillroll.operators.assemble import assemble_features  # noqa: E402
-from tillroll.session import materialize, scratch_path  # noqa: E402
-from tillroll.sources import catmeta as _cm  # noqa: E402
-from tillroll.sources import files as _files  # noqa: E402
 
 CAT_COLUMNS = ["store_nbr", "family", "city", "state", "type", "cluster"]
 # An example inclusive date range for the range scan.
@@ -219,9 +216,6 @@ def registry_sources() -> dict[str, Query]:
     }
 
 
-EXTRA_REGISTRIES.append(registry_sources)
-
-
 # --- library variants: cross-sectional stats, rolled stats, time-range rolling ---------
 
 def q_daily_stats(spark, sf_dir):
@@ -257,13 +251,8 @@ def registry_variants() -> dict[str, Query]:
     }
 
 
-EXTRA_REGISTRIES.append(registry_variants)
-
-
 # --- evaluation -------------------------------------------------------------------------
 
-from tillroll.operators import evaluate as _ev  # noqa: E402
-from tillroll.operators import profile as _pf  # noqa: E402
 
 # Folds of the tuning job (8 folds of 16 days) and the predictors
 # scored as trials (lagged weekly family statistics of log sales).
@@ -388,14 +377,8 @@ def registry_eval() -> dict[str, Query]:
     }
 
 
-EXTRA_REGISTRIES.append(registry_eval)
-
-
 # --- models, trials and sinks (rows-only checks) ----------------------------------------
 
-from pyspark.ml.functions import vector_to_array  # noqa: E402
-
-from tillroll.operators import model as _model  # noqa: E402
 
 # Small-run settings for the driver-run model keys (2 trials,
 # 2 folds of 16 days, at most 10 boosting rounds).
@@ -478,4 +461,12 @@ def registry_models() -> dict[str, Query]:
     }
 
 
-EXTRA_REGISTRIES.append(registry_models)
+def registry() -> dict[str, Query]:
+    q: dict[str, Query] = {}
+    q.update(registry_core())
+    q.update(registry_series())
+    q.update(registry_sources())
+    q.update(registry_variants())
+    q.update(registry_eval())
+    q.update(registry_models())
+    return q
