@@ -205,9 +205,9 @@ def rolling_series_features(totals: DataFrame, group_cols: Sequence[str], value_
     # adds idle Python tasks.  Partitioning on a hash of the key (not the key
     # itself) keeps the optimizer from treating this exchange as redundant with an
     # upstream, coalescable partitioning on the same key.
+    from tillroll.session import task_slots
     spark = totals.sparkSession
-    n_parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                         2 * spark.sparkContext.defaultParallelism))
+    n_parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * task_slots(spark)))
     clustered = (src.repartition(n_parts, F.xxhash64(*keys).alias("_series_hash"))
                  .sortWithinPartitions(*keys, DAY))
     rolled = clustered.mapInPandas(fn, schema)

@@ -58,7 +58,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this must be a shared file system path set by the operator;
     only when it is unset (local runs, tests) a scratch folder is created.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext on the client
+        sc = None
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            configured = tempfile.mkdtemp(prefix="tillroll-ckpt-")
+            spark.conf.set("spark.checkpoint.dir", configured)
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -88,3 +97,11 @@ def materialize(df, name: str = "materialized"):
     path = scratch_path(spark, f"{name}/{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def task_slots(spark: SparkSession) -> int:
+    """Parallel task slots of the session (shuffle partitions under Spark Connect)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext on the client
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
