@@ -5,7 +5,7 @@ import datetime as dt
 import __spark_entry__ as E
 from tillroll.sources import files
 
-# grouped Pandas UDFs are the one deliberate Python stage (per-series rolling)
+# the per-series rolling step (mapInPandas) is the one deliberate Python stage
 PANDAS_OK = ("rolling_", "entry", "feature_assembly", "rmse_clipped", "backtest_loss", "best_trial",
              "submission", "write_submission", "trials_append")
 
@@ -21,7 +21,8 @@ def test_no_row_at_a_time_python_udfs(spark, sf_small):
         plan = _plan(q(spark, sf_small))
         assert "BatchEvalPython" not in plan, key
         if not key.startswith(PANDAS_OK):
-            assert "FlatMapGroupsInPandas" not in plan and "ArrowEvalPython" not in plan, key
+            assert "MapInPandas" not in plan and "FlatMapGroupsInPandas" not in plan \
+                and "ArrowEvalPython" not in plan, key
 
 
 def test_date_range_pushed_to_parquet_scan(spark, tmp_path):
