@@ -120,8 +120,10 @@ def series_stats(x: np.ndarray, w: int, stats: Sequence[str], quantiles: Sequenc
 def _roll_one_series(pdf: pd.DataFrame, keys: list[str], value_cols, windows, lag, stats, quantiles,
                      names: list[str]):
     """(key columns, day ordinals, n x len(names) feature block) of one series."""
-    pdf = pdf.sort_values(DAY, kind="stable")
     days = pdf[DAY].to_numpy(dtype=np.int64)
+    if len(days) > 1 and not np.all(days[1:] > days[:-1]):  # arrives sorted; sort otherwise
+        pdf = pdf.sort_values(DAY, kind="stable")
+        days = pdf[DAY].to_numpy(dtype=np.int64)
     n = len(days)
     src = np.searchsorted(days, days - lag)
     src_c = np.minimum(src, n - 1)
@@ -166,8 +168,14 @@ def rolling_series_features(totals: DataFrame, group_cols: Sequence[str], value_
     vc, wins, qs, st = tuple(value_cols), tuple(int(w) for w in windows), tuple(quantiles), tuple(stats)
 
     def roll_groups(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = [_roll_one_series(g, keys, vc, wins, int(lag), st, qs, names)
-                 for _, g in pdf.groupby(keys, sort=False)]
+        # rows are clustered by series: split at key changes instead of hashing
+        change = np.zeros(len(pdf), dtype=bool)
+        for k in keys:
+            col = pdf[k].to_numpy()
+            change[1:] |= col[1:] != col[:-1]
+        bounds = [0, *np.flatnonzero(change).tolist(), len(pdf)]
+        parts = [_roll_one_series(pdf.iloc[a:b], keys, vc, wins, int(lag), st, qs, names)
+                 for a, b in zip(bounds[:-1], bounds[1:])]
         res = pd.DataFrame(np.concatenate([p[2] for p in parts]), columns=names)
         res.insert(0, DAY, np.concatenate([p[1] for p in parts]).astype(np.int32))
         for i, k in enumerate(keys):
