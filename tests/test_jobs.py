@@ -49,3 +49,28 @@ def test_store_level_rollup_equals_direct_totals(spark, sf_small, tmp_path):
     b = {(r.date, r.type): r.sales for r in rolled.collect()}
     assert a.keys() == b.keys()
     assert all(abs(a[k] - b[k]) <= 1e-6 * max(1.0, abs(a[k])) for k in a)
+
+
+def test_process_job_from_raw_csv(spark, sf_small, tmp_path):
+    """The raw-file entry: train / test / stores / oil / holidays CSVs with explicit schemas."""
+    from tillroll import fixtures
+    from tillroll.sources import files
+    raw = tmp_path / "raw"
+    main = fixtures.main_view(spark, sf_small)
+    cols = ["id", "date", "store_nbr", "family", "sales", "onpromotion"]
+    files.write_csv(main.where(F.col("is_train") == 1).select(*cols), str(raw / "train.csv"))
+    files.write_csv(main.where(F.col("is_test") == 1).select(*[c for c in cols if c != "sales"]),
+                    str(raw / "test.csv"))
+    files.write_csv(fixtures.stores_view(spark, sf_small), str(raw / "stores.csv"))
+    files.write_csv(fixtures.oil_view(spark, sf_small), str(raw / "oil.csv"))
+    files.write_csv(fixtures.holidays_events_view(spark, sf_small), str(raw / "holidays_events.csv"))
+    out = str(tmp_path / "clean")
+    spec = process_data.run(spark, out, raw_dir=str(raw), groups=("type",), windows=(7,))
+    got = spark.read.parquet(spec["main_data"]["parquet_path"])
+    assert got.count() == main.count()
+    flags = {(r.is_train, r.is_test): r["count"] for r in got.groupBy("is_train", "is_test").count().collect()}
+    assert flags == {(1, 0): main.where(F.col("is_train") == 1).count(),
+                     (0, 1): main.where(F.col("is_test") == 1).count()}
+    assert got.where(F.col("is_test") == 1).where(F.col("log_sales").isNotNull()).count() == 0
+    feats = spark.read.parquet(spec["rolling_stats"][0]["parquet_path"])
+    assert "log_sales_q95_wrt_type_lag16_window7" in feats.columns and feats.count() > 0
