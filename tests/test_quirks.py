@@ -203,3 +203,16 @@ def test_column_selection_helpers(spark):
     assert clean.columns_matching(df, contains="lag16_window365") == ["sales_lag16_window365"]
     assert clean.columns_matching(df, prefix="combo_") == ["combo_x"]
     assert clean.columns_of_type(df, numeric=True) == ["id", "sales_lag16_window365", "n"]
+
+
+def test_approx_quantiles_are_bounded_and_close(spark):
+    from tillroll.operators import profile
+    rows = [(D(2017, 1, 1), "hot" if i % 3 else "cold", float(i)) for i in range(3000)]
+    m = _main(spark, rows)
+    exact = {r.g: r for r in rolling.daily_stats(m, ["sales"], ["g"], quantiles=(50,)).collect()}
+    approx = {r.g: r for r in rolling.daily_stats(m, ["sales"], ["g"], quantiles=(50,),
+                                                  approx_accuracy=10000).collect()}
+    for g in ("hot", "cold"):
+        assert abs(exact[g]["sales_q50_wrt_g"] - approx[g]["sales_q50_wrt_g"]) <= 3.0
+    d = {r.g: r for r in profile.distribution_by_category(m, "g", "sales", approx_accuracy=10000).collect()}
+    assert d["hot"].n == 2000 and abs(d["hot"].q50 - 1500) <= 3.0

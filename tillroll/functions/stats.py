@@ -43,14 +43,18 @@ def quantile_array_name(col: str, suffix: str = "") -> str:
 
 def stats_exprs(col: str, stats: Sequence[str] = DEFAULT_STATS,
                 quantiles: Sequence = DEFAULT_QUANTILES, window=None,
-                suffix: str = "", null_if_any_null: bool = False) -> list[Column]:
+                suffix: str = "", null_if_any_null: bool = False,
+                approx_accuracy: int | None = None) -> list[Column]:
     """Named statistics of ``col``; evaluated over ``window`` when given.
 
     Quantiles come back as ONE array column (``quantile_array_name``) holding all
     requested quantiles; ``split_quantiles`` turns it into named columns in the
     next projection (so the frame is sorted once, not once per quantile).
     ``null_if_any_null`` makes quantiles null when the group holds a null value
-    (NumPy's quantile of an array with NaN is NaN).
+    (NumPy's quantile of an array with NaN is NaN).  ``approx_accuracy`` switches
+    grouped quantiles to ``percentile_approx``: a mergeable sketch of bounded size
+    (relative rank error 1/accuracy), for groups too large to hold their values
+    in one task; the exact default keeps a group's distinct values together.
     """
     c = F.col(col)
 
@@ -61,7 +65,11 @@ def stats_exprs(col: str, stats: Sequence[str] = DEFAULT_STATS,
     for s in stats:
         out.append(over(_AGGS[s](c)).alias(stat_name(col, s, suffix)))
     if quantiles:
-        arr = over(F.percentile(c, [float(q) / 100 for q in quantiles]))
+        fractions = [float(q) / 100 for q in quantiles]
+        if approx_accuracy is not None:
+            arr = over(F.percentile_approx(c, fractions, approx_accuracy).cast("array<double>"))
+        else:
+            arr = over(F.percentile(c, fractions))
         if null_if_any_null:
             has_null = over(F.count(F.lit(1))) > over(F.count(c))
             arr = F.when(~has_null, arr)

@@ -107,10 +107,17 @@ def scatter_bins(df: DataFrame, target: str, columns: Sequence[str], bins: int =
 
 
 def distribution_by_category(df: DataFrame, category: str, target: str,
-                             quantiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """Target distribution per category value: count, mean, min, quartiles, max."""
+                             quantiles: Sequence[float] = (0.25, 0.5, 0.75),
+                             approx_accuracy: int | None = None) -> DataFrame:
+    """Target distribution per category value: count, mean, min, quartiles, max.
+
+    Exact quartiles hold one category's distinct values in one task; with
+    ``approx_accuracy`` they come from bounded, mergeable ``percentile_approx``
+    sketches instead (use it when one category holds a large share of the rows).
+    """
     y = F.col(target)
-    q = F.percentile(y, list(quantiles))
+    q = (F.percentile_approx(y, list(quantiles), approx_accuracy).cast("array<double>")
+         if approx_accuracy is not None else F.percentile(y, list(quantiles)))
     out = df.where(y.isNotNull()).groupBy(category).agg(
         F.count(F.lit(1)).alias("n"), F.avg(y).alias("mean"), F.min(y).alias("min"),
         F.max(y).alias("max"), q.alias("_q"))

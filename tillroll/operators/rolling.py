@@ -162,18 +162,21 @@ def compute_rolling_stats(df: DataFrame, group_cols: Sequence[str] = (), value_c
 def daily_stats(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence[str] = (),
                 stats: Sequence[str] = DEFAULT_STATS, quantiles: Sequence = DEFAULT_QUANTILES,
                 date_col: str = "date", densify: bool = True,
-                nan_quantiles: bool = True) -> DataFrame:
+                nan_quantiles: bool = True, approx_accuracy: int | None = None) -> DataFrame:
     """Statistics over the rows of each (date, group); names ``{col}_{stat}_wrt_{groups}``.
 
     With ``densify`` every observed date x category appears (statistics of an
     empty cell are null).  ``nan_quantiles`` makes a quantile null when the cell
-    holds a null value, as NumPy does.
+    holds a null value, as NumPy does.  Exact quantiles keep each (date, group)'s
+    distinct values in one task; pass ``approx_accuracy`` for hot groups (bounded,
+    mergeable sketches, partial aggregation map-side).
     """
     g = list(group_cols)
     suffix = feature_suffix(g)
     aggs, finals = [], []
     for v in value_cols:
-        aggs += stats_exprs(v, stats, quantiles, suffix=suffix, null_if_any_null=nan_quantiles)
+        aggs += stats_exprs(v, stats, quantiles, suffix=suffix, null_if_any_null=nan_quantiles,
+                            approx_accuracy=approx_accuracy)
         finals += final_stat_columns(v, stats, quantiles, suffix)
     out = df.groupBy(date_col, *g).agg(*aggs).select(date_col, *g, *finals)
     if g and densify:
