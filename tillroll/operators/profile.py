@@ -144,12 +144,22 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
         .where(F.col("n") > 1)
 
 
-def top_categories(df: DataFrame, columns: Sequence[str], top: int = 20) -> DataFrame:
-    """The ``top`` most frequent non-null values per column (ties by value)."""
+def top_categories(df: DataFrame, columns: Sequence[str], top: int = 20, buckets: int = 64) -> DataFrame:
+    """The ``top`` most frequent non-null values per column (ties by value).
+
+    Two stages, so no column's whole domain meets in one task: a top-``top`` per
+    (column, hash bucket of the value), then the final ranking over at most
+    ``buckets * top`` candidates per column.  Exact, because the order (count
+    desc, value) is total and every global winner wins its own bucket.
+    """
     long = df.select(F.expr(_stack(columns))).where(F.col("value").isNotNull())
     counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("column").orderBy(F.col("n").desc(), F.col("value"))
-    return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
+    order = (F.col("n").desc(), F.col("value"))
+    local = (counts.withColumn("_b", F.pmod(F.xxhash64("value"), F.lit(buckets)))
+             .withColumn("_r", F.row_number().over(Window.partitionBy("column", "_b").orderBy(*order)))
+             .where(F.col("_r") <= top).drop("_b", "_r"))
+    w = Window.partitionBy("column").orderBy(*order)
+    return local.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
 
 
 def preview(df: DataFrame, n: int = 5, order_cols: Sequence[str] = ()) -> DataFrame:
