@@ -216,3 +216,18 @@ def test_approx_quantiles_are_bounded_and_close(spark):
         assert abs(exact[g]["sales_q50_wrt_g"] - approx[g]["sales_q50_wrt_g"]) <= 3.0
     d = {r.g: r for r in profile.distribution_by_category(m, "g", "sales", approx_accuracy=10000).collect()}
     assert d["hot"].n == 2000 and abs(d["hot"].q50 - 1500) <= 3.0
+
+
+def test_exact_grouped_quantiles_spread_hot_group(spark):
+    import random
+    from tillroll.operators import profile
+    rnd = random.Random(3)
+    rows = [("hot" if rnd.random() < 0.6 else rnd.choice("abc"), float(rnd.randint(0, 500))) for _ in range(3000)]
+    rows.append(("solo", 7.0))
+    df = spark.createDataFrame(rows, "g string, v double")
+    fr = [0.05, 0.25, 0.5, 0.75, 0.95]
+    got = {r.g: r._q for r in profile.exact_grouped_quantiles(df, ["g"], "v", fr, partitions=7).collect()}
+    want = {r.g: r.q for r in df.groupBy("g").agg(F.percentile("v", fr).alias("q")).collect()}
+    assert got.keys() == want.keys()
+    for k in want:
+        assert got[k] == pytest.approx(want[k], abs=1e-9), k

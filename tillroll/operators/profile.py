@@ -111,19 +111,22 @@ def distribution_by_category(df: DataFrame, category: str, target: str,
                              approx_accuracy: int | None = None) -> DataFrame:
     """Target distribution per category value: count, mean, min, quartiles, max.
 
-    Exact quartiles hold one category's distinct values in one task; with
-    ``approx_accuracy`` they come from bounded, mergeable ``percentile_approx``
-    sketches instead (use it when one category holds a large share of the rows).
+    Count, mean, min and max combine map-side.  Exact quartiles come from
+    ``exact_grouped_quantiles`` (a hot category is spread over many tasks);
+    ``approx_accuracy`` uses bounded ``percentile_approx`` sketches instead.
     """
     y = F.col(target)
-    q = (F.percentile_approx(y, list(quantiles), approx_accuracy).cast("array<double>")
-         if approx_accuracy is not None else F.percentile(y, list(quantiles)))
-    out = df.where(y.isNotNull()).groupBy(category).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(y).alias("mean"), F.min(y).alias("min"),
-        F.max(y).alias("max"), q.alias("_q"))
+    present = df.where(y.isNotNull())
+    out = present.groupBy(category).agg(
+        F.count(F.lit(1)).alias("n"), F.avg(y).alias("mean"), F.min(y).alias("min"), F.max(y).alias("max"))
+    if approx_accuracy is not None:
+        q = present.groupBy(category).agg(
+            F.percentile_approx(y, list(quantiles), approx_accuracy).cast("array<double>").alias("_q"))
+    else:
+        q = exact_grouped_quantiles(present, [category], target, quantiles)
     names = [f"q{int(round(p * 100))}" for p in quantiles]
-    return out.select(category, "n", "mean", "min", "max",
-                      *[F.col("_q").getItem(i).alias(n) for i, n in enumerate(names)])
+    return out.join(q, category).select(category, "n", "mean", "min", "max",
+                                        *[F.col("_q").getItem(i).alias(n) for i, n in enumerate(names)])
 
 
 def date_spans(df: DataFrame, date_col: str = "date") -> DataFrame:
@@ -165,3 +168,52 @@ def top_categories(df: DataFrame, columns: Sequence[str], top: int = 20, buckets
 def preview(df: DataFrame, n: int = 5, order_cols: Sequence[str] = ()) -> DataFrame:
     """First ``n`` rows in an explicit order (a top-n, not a full sort)."""
     return (df.orderBy(*order_cols) if order_cols else df).limit(n)
+
+
+def exact_grouped_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
+                            fractions: Sequence[float], partitions: int | None = None) -> DataFrame:
+    """Exact linear-interpolated quantiles per group, with no group held by one task.
+
+    Rows are range-partitioned on (group, value), so a hot group spans many
+    partitions; the sorted layout is checkpointed (fixing partition membership),
+    every row's rank inside its group is its in-partition rank plus the counts of
+    the group in earlier partitions (a table of #partitions x #groups rows), and
+    only the rows at the needed ranks are kept and interpolated.
+    Output: group columns and one ``_q`` array in the order of ``fractions``.
+    """
+    g = list(group_cols)
+    spark = df.sparkSession
+    from tillroll.session import ensure_checkpoint_dir, task_slots
+    ensure_checkpoint_dir(spark)
+    n_parts = partitions or max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                                       2 * task_slots(spark)))
+    v = df.select(*g, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    laid = v.repartitionByRange(n_parts, *g, "_v").sortWithinPartitions(*g, "_v").persist()
+    fixed = laid.checkpoint(eager=True)
+    laid.unpersist()
+    mid = F.monotonically_increasing_id()
+    t = (fixed.withColumn("_mid", mid).withColumn("_pid", F.shiftright("_mid", 33))
+         .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))))
+    per_part = t.groupBy(*g, "_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_pos").alias("_first"))
+    w = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_part.select(*g, "_pid", "_first", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"),
+                              F.sum("_c").over(Window.partitionBy(*g)).alias("_n"))
+    ranked = t.join(offsets, [*g, "_pid"]).select(
+        *g, "_v", "_n", (F.col("_off") + F.col("_pos") - F.col("_first")).alias("_rank"))
+    wanted = []
+    for i, p in enumerate(fractions):
+        pos = F.lit(float(p)) * (F.col("_n") - 1)
+        lo = F.floor(pos)
+        wanted.append(F.struct(F.lit(i).alias("i"), lo.alias("lo"),
+                               F.least(lo + 1, F.col("_n") - 1).alias("hi"), (pos - lo).alias("frac")))
+    picks = ranked.select(*g, "_v", "_n", "_rank", F.explode(F.array(*wanted)).alias("w")) \
+        .where((F.col("_rank") == F.col("w.lo")) | (F.col("_rank") == F.col("w.hi")))
+    per_q = picks.groupBy(*g, "w.i").agg(
+        F.max(F.when(F.col("_rank") == F.col("w.lo"), F.col("_v"))).alias("vlo"),
+        F.max(F.when(F.col("_rank") == F.col("w.hi"), F.col("_v"))).alias("vhi"),
+        F.first("w.frac").alias("frac"))
+    val = F.when(F.col("frac") == 0, F.col("vlo")).otherwise(
+        F.col("vlo") + (F.col("vhi") - F.col("vlo")) * F.col("frac"))
+    return per_q.groupBy(*g).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct(F.col("i"), val.alias("v")))), lambda s: s["v"])
+        .alias("_q"))
