@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from tillroll.session import materialize
 from tillroll.functions.stats import (DEFAULT_QUANTILES, DEFAULT_STATS, feature_suffix,
-                                      final_stat_columns, stat_labels, stat_name, stats_exprs)
+                                      final_stat_columns, quantile_label, stat_labels, stat_name,
+                                      stats_exprs)
 
 DAY = "_day"
 
@@ -167,18 +168,41 @@ def daily_stats(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence[s
 
     With ``densify`` every observed date x category appears (statistics of an
     empty cell are null).  ``nan_quantiles`` makes a quantile null when the cell
-    holds a null value, as NumPy does.  Exact quantiles keep each (date, group)'s
-    distinct values in one task; pass ``approx_accuracy`` for hot groups (bounded,
-    mergeable sketches, partial aggregation map-side).
+    holds a null value, as NumPy does.  Exact quantiles use the distributed rank
+    method of ``profile.exact_grouped_quantiles`` (no cell is held by one task);
+    ``approx_accuracy`` uses bounded, mergeable sketches instead.
     """
     g = list(group_cols)
     suffix = feature_suffix(g)
-    aggs, finals = [], []
-    for v in value_cols:
-        aggs += stats_exprs(v, stats, quantiles, suffix=suffix, null_if_any_null=nan_quantiles,
-                            approx_accuracy=approx_accuracy)
-        finals += final_stat_columns(v, stats, quantiles, suffix)
-    out = df.groupBy(date_col, *g).agg(*aggs).select(date_col, *g, *finals)
+    keys = [date_col, *g]
+    if approx_accuracy is not None or not quantiles:
+        aggs, finals = [], []
+        for v in value_cols:
+            aggs += stats_exprs(v, stats, quantiles, suffix=suffix, null_if_any_null=nan_quantiles,
+                                approx_accuracy=approx_accuracy)
+            finals += final_stat_columns(v, stats, quantiles, suffix)
+        out = df.groupBy(*keys).agg(*aggs).select(*keys, *finals)
+    else:
+        # plain statistics combine map-side; exact quantiles use the distributed
+        # rank method, so a hot (date, group) cell is spread over many tasks
+        from tillroll.operators.profile import exact_grouped_quantiles
+        plain = [e for v in value_cols for e in stats_exprs(v, stats, (), suffix=suffix)]
+        counts = [F.count(F.col(v)).alias(f"_nn_{v}") for v in value_cols]
+        out = df.groupBy(*keys).agg(*plain, *counts, F.count(F.lit(1)).alias("_rows"))
+        fractions = [float(q) / 100 for q in quantiles]
+        for v in value_cols:
+            qv = exact_grouped_quantiles(df, keys, v, fractions).withColumnRenamed("_q", f"_q_{v}")
+            out = out.join(qv, keys, "left")
+        cols = []
+        for v in value_cols:
+            cols += [F.col(stat_name(v, s_, suffix)) for s_ in stats]
+            has_null = F.col("_rows") > F.col(f"_nn_{v}")
+            for i, q in enumerate(quantiles):
+                val = F.col(f"_q_{v}").getItem(i)
+                if nan_quantiles:
+                    val = F.when(has_null, F.lit(None).cast("double")).otherwise(val)
+                cols.append(val.alias(stat_name(v, quantile_label(q), suffix)))
+        out = out.select(*keys, *cols)
     if g and densify:
         out = materialize(out)
         out = dense_grid(out, g, date_col).join(out, [date_col, *g], "left")
