@@ -170,8 +170,14 @@ def preview(df: DataFrame, n: int = 5, order_cols: Sequence[str] = ()) -> DataFr
     return (df.orderBy(*order_cols) if order_cols else df).limit(n)
 
 
+# Groups up to this many rows take Spark's ``percentile`` aggregate (the group's
+# values provably fit one task); larger groups use the distributed rank method.
+SINGLE_TASK_MAX_ROWS = 1_000_000
+
+
 def exact_grouped_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                            fractions: Sequence[float], partitions: int | None = None) -> DataFrame:
+                            fractions: Sequence[float], partitions: int | None = None,
+                            single_task_max_rows: int | None = SINGLE_TASK_MAX_ROWS) -> DataFrame:
     """Exact linear-interpolated quantiles per group, with no group held by one task.
 
     Rows are range-partitioned on (group, value), so a hot group spans many
@@ -180,9 +186,18 @@ def exact_grouped_quantiles(df: DataFrame, group_cols: Sequence[str], value_col:
     the group in earlier partitions (a table of #partitions x #groups rows), and
     only the rows at the needed ranks are kept and interpolated.
     Output: group columns and one ``_q`` array in the order of ``fractions``.
+
+    The largest group's size is checked first (one partial aggregation); when it
+    is within ``single_task_max_rows`` the plain ``percentile`` aggregate is used.
     """
     g = list(group_cols)
     spark = df.sparkSession
+    if single_task_max_rows is not None:
+        present = df.where(F.col(value_col).isNotNull())
+        largest = present.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+        if largest is None or largest <= single_task_max_rows:
+            return present.groupBy(*g).agg(
+                F.percentile(F.col(value_col).cast("double"), [float(p) for p in fractions]).alias("_q"))
     from tillroll.session import ensure_checkpoint_dir, task_slots
     ensure_checkpoint_dir(spark)
     n_parts = partitions or max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
