@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import packing, pii, quality, secrets, token_counts
+from tillroll.llm import decontamination, near_duplicates, packing, pii, quality, secrets, token_counts
 from tillroll.llm.common import read_table
 
 
@@ -16,6 +16,10 @@ def vocabulary(name: str) -> str:
     return importlib.import_module("public_tokenizers").path(name)
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(read_table(spark, sf_dir, "documents"))
 
@@ -28,6 +32,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(read_table(spark, sf_dir, "documents"))
 
 
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -37,5 +45,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op2_pii, op5_packing, op6_quality, op9_token_counts, op10_secrets]
+    found = [op1_decontamination, op2_pii, op5_packing, op6_quality, op8_jaccard, op9_token_counts, op10_secrets]
     return {f.__name__: f for f in found}
