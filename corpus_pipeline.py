@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import packing, pii, quality
+from tillroll.llm import decontamination, near_duplicates, packing, pii, quality
 from tillroll.llm.common import find_package, materialize, read_table
 from tillroll.llm.queries import vocabulary
 
@@ -21,6 +21,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
+def near_duplicate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    find_package(spark)
+    return near_duplicates.keep_one(docs)
+
+
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    return decontamination.clean(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; personal data in it is replaced by its kind."""
     find_package(spark)
@@ -33,7 +44,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, vocabulary("word_bpe_49k.json"))
 
 
-STAGES = [("quality rules", quality_rules), ("personal data", personal_data), ("packing", pack)]
+STAGES = [("quality rules", quality_rules), ("near duplicates", near_duplicate_documents),
+          ("benchmark decontamination", benchmark_passages), ("personal data", personal_data), ("packing", pack)]
 
 #: Packing depends on a tokenizer, which SQL has not: tests hold the stages against brute force.
 ORACLE_SQL = None

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontamination, near_duplicates, packing, pii, quality, secrets, token_counts
+from tillroll.llm import decontamination, html_text, near_duplicates, packing, pii, quality, secrets, token_counts
 from tillroll.llm.common import read_table
 
 
@@ -32,6 +32,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(read_table(spark, sf_dir, "documents"))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_texts(read_table(spark, sf_dir, "pages"))
+
+
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.jaccard_components(read_table(spark, sf_dir, "documents"))
 
@@ -45,5 +49,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_decontamination, op2_pii, op5_packing, op6_quality, op8_jaccard, op9_token_counts, op10_secrets]
+    found = [op1_decontamination, op2_pii, op5_packing, op6_quality, op7_html_text, op8_jaccard, op9_token_counts, op10_secrets]
     return {f.__name__: f for f in found}
