@@ -17,6 +17,8 @@ __all__ = ["byte_slices", "find_package", "materialize", "mix", "read_table", "s
 
 #: Bytes of text that one step of a Python task handles at a time; one document is never cut.
 SLICE_BYTES = 8 << 20
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 
 
 def find_package(spark: SparkSession) -> None:
@@ -74,8 +76,9 @@ def split_words(column: pa.Array, lower: bool = False) -> tuple[pa.Array, np.nda
     A-Z, and nothing else, into lower case.
     """
     column = column.cast(pa.large_string())
-    if lower:
-        column = pc.ascii_lower(column)
+    if lower:  # by a table: the library's own function loses the text of sliced columns
+        raw, offsets = text_bytes(column)
+        column = pa.LargeStringArray.from_buffers(len(column), pa.py_buffer(offsets), pa.py_buffer(_LOWER[raw]))
     parts = pc.ascii_split_whitespace(column)
     flat, parents = parts.flatten(), pc.list_parent_indices(parts)
     full = pc.greater(pc.binary_length(flat), 0)
