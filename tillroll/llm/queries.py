@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontamination, html_text, lm_score, near_duplicates, packing, pii, quality, secrets, token_counts
+from tillroll.llm import decontamination, html_text, lm_score, near_duplicates, packing, pii, quality, repeated_bytes, secrets, token_counts
 from tillroll.llm.common import read_table
 
 
@@ -28,6 +28,10 @@ def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(read_table(spark, sf_dir, "documents"))
 
 
+def op4_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -53,5 +57,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_decontamination, op2_pii, op3_lm_score, op5_packing, op6_quality, op7_html_text, op8_jaccard, op9_token_counts, op10_secrets]
+    found = [op1_decontamination, op2_pii, op3_lm_score, op4_repeated_bytes, op5_packing, op6_quality, op7_html_text, op8_jaccard, op9_token_counts, op10_secrets]
     return {f.__name__: f for f in found}
