@@ -20,14 +20,14 @@ def test_jobs_end_to_end(spark, sf_small, tmp_path):
     assert "sales_q50_wrt_type_lag16_window28" in wide.columns and "is_holiday_event" in wide.columns
     trials_path = str(tmp_path / "trials")
     trials = tune.run(spark, os.path.join(out, "manifest.json"), trials_path, n_trials=1, n_backtests=2,
-                      valset_size=16, max_iter_cap=3)
+                      valset_size=16, max_rounds=3)
     assert trials.count() == 1 and trials.first().loss >= 0
     # resumable: a second run appends the next trial id
     trials = tune.run(spark, os.path.join(out, "manifest.json"), trials_path, n_trials=1, n_backtests=2,
-                      valset_size=16, max_iter_cap=3)
+                      valset_size=16, max_rounds=3)
     assert sorted(r.trial_id for r in trials.collect()) == [0, 1]
     models = train.run(spark, os.path.join(out, "manifest.json"), trials_path, str(tmp_path / "models"),
-                       n_seeds=1, sample_frac=0.5, n_iter=1, max_iter_cap=3)
+                       n_seeds=1, sample_frac=0.5, n_iter=1)
     assert models[0][2] >= 0
     paths = score.run(spark, os.path.join(out, "manifest.json"), str(tmp_path / "models"),
                       str(tmp_path / "subs"), "2001-07-17", "2001-08-01")

@@ -5,9 +5,14 @@ import datetime as dt
 import __spark_entry__ as E
 from tillroll.sources import files
 
-# the per-series rolling step (mapInPandas) is the one deliberate Python stage
-PANDAS_OK = ("rolling_", "entry", "feature_assembly", "rmse_clipped", "backtest_loss", "best_trial",
-             "submission", "write_submission", "trials_append")
+from tillroll.operators import rolling
+from tillroll.plans import queries
+
+# exact quantiles of long frames are the one deliberate Python stage
+LONG = tuple(f"_w{w}" for w in rolling.DEFAULT_WINDOWS if w > rolling.LONG_FRAME)
+# these run jobs while being built; covered by their own tests
+RUN_JOBS = ("tune", "train_best", "model_roundtrip", "trials_append", "best_trial", "fit_gbt", "chunked_boosting",
+            "manifest_assembly")
 
 
 def _plan(df):
@@ -15,16 +20,28 @@ def _plan(df):
 
 
 def test_no_row_at_a_time_python_udfs(spark, sf_small):
-    for key, q in E.queries().items():
-        if key in ("tune", "train_best", "model_roundtrip", "trials_append", "best_trial"):
-            continue  # these run jobs while being built; covered by their own tests
+    for key, q in queries.registry().items():
+        if key in RUN_JOBS:
+            continue
         plan = _plan(q(spark, sf_small))
         assert "BatchEvalPython" not in plan, key
-        if not key.startswith(PANDAS_OK):
+        if not (key.startswith("rolling_") and key.endswith(LONG)):
             assert "MapInPandas" not in plan and "FlatMapGroupsInPandas" not in plan \
                 and "ArrowEvalPython" not in plan, key
 
 
+def test_bins_join_and_shuffle_no_unpivoted_rows(spark, sf_small):
+    for key in ("histogram", "scatter_bins"):
+        plan = _plan(queries.registry()[key](spark, sf_small))
+        lines = plan.splitlines()
+        assert any("Generate explode" in x for x in lines) and "partial_count" in plan
+        for k, line in enumerate(lines):  # binned rows (they have a ``column``) are only shuffled as partial counts
+            if "column#" in line and "Join" in line or "BroadcastExchange" in line and "string" in line:
+                raise AssertionError(line)
+            if "Exchange hashpartitioning(column#" in line:
+                assert "partial_count" in lines[k + 1], key
+
+
 def test_date_range_pushed_to_parquet_scan(spark, tmp_path):
     df = spark.createDataFrame([(dt.date(2017, 1, d), float(d)) for d in range(1, 11)], "date date, v double")
     files.save_as_parquet(df, str(tmp_path / "t"))

@@ -79,6 +79,20 @@ def test_window_and_series_methods_agree(spark):
             assert ra[k][c] == pytest.approx(rb[k][c], rel=1e-9, abs=1e-9), (k, c)
 
 
+def test_both_rolling_methods_skip_nulls(spark):
+    rows = [(D(2017, 1, 1) + dt.timedelta(days=k), "a", v) for k, v in enumerate((1.0, None, 2.0, 4.0, None, None, None, 5.0))]
+    totals = spark.createDataFrame(rows, "date date, g string, sales double")
+    for w in (1, 2, 3, 600):
+        both = [[tuple(r) for r in rolling.lagged_rolling_features(
+            totals, ["g"], ["sales"], [w], lag=0, stats=("mean", "std", "min", "max", "sum", "count"), quantiles=(25, 50),
+            method=m).orderBy("date").collect()] for m in ("window", "series")]
+        for a, b in zip(*both):
+            assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:], abs=1e-9), w
+    means = [r.sales_mean_wrt_g_lag0_window2 for r in rolling.lagged_rolling_features(
+        totals, ["g"], ["sales"], [2], lag=0, method="series").orderBy("date").collect()]
+    assert means[:3] == [1.0, 1.0, 2.0]
+
+
 def test_rolling_mean_skips_null(spark):
     df = spark.createDataFrame([(D(2017, 1, 1), 1.0), (D(2017, 1, 2), None), (D(2017, 1, 3), 2.0)],
                                "date date, v double")
@@ -214,7 +228,7 @@ def test_approx_quantiles_are_bounded_and_close(spark):
                                                   approx_accuracy=10000).collect()}
     for g in ("hot", "cold"):
         assert abs(exact[g]["sales_q50_wrt_g"] - approx[g]["sales_q50_wrt_g"]) <= 3.0
-    d = {r.g: r for r in profile.distribution_by_category(m, "g", "sales", approx_accuracy=10000).collect()}
+    d = {r.value: r for r in profile.distribution_by_category(m, "g", "sales", approx_accuracy=10000).collect()}
     assert d["hot"].n == 2000 and abs(d["hot"].q50 - 1500) <= 3.0
 
 
@@ -226,9 +240,99 @@ def test_exact_grouped_quantiles_spread_hot_group(spark):
     rows.append(("solo", 7.0))
     df = spark.createDataFrame(rows, "g string, v double")
     fr = [0.05, 0.25, 0.5, 0.75, 0.95]
-    got = {r.g: r._q for r in profile.exact_grouped_quantiles(df, ["g"], "v", fr, partitions=7,
-                                                               single_task_max_rows=100).collect()}
+    got = {r.g: r._q for r in profile.exact_grouped_quantiles(df, ["g"], "v", fr, partitions=7).collect()}
     want = {r.g: r.q for r in df.groupBy("g").agg(F.percentile("v", fr).alias("q")).collect()}
     assert got.keys() == want.keys()
     for k in want:
         assert got[k] == pytest.approx(want[k], abs=1e-9), k
+
+
+def test_assembly_joins_tables_of_any_size_behind_their_keys(spark):
+    main = spark.createDataFrame([(1, D(2017, 1, 1), 5), (2, D(2017, 1, 2), 6)], "id long, date date, store_nbr long")
+    stores = spark.createDataFrame([(5, "Quito"), (6, "Loja")], "store_nbr long, city string")
+    city = spark.range(200_000).selectExpr("date_add(date'2017-01-01', cast(id div 2 as int)) as date",
+                                           "if(id % 2 = 0, 'Quito', 'Loja') as city", "id as feature")
+    from tillroll.operators.assemble import assemble_features
+    out = assemble_features(main, [(stores, ["store_nbr"])], [(city, ["date", "city"])])
+    assert out.columns == ["id", "date", "store_nbr", "city", "feature"]
+    assert sorted((r.id, r.feature) for r in out.collect()) == [(1, 0), (2, 3)]
+
+
+def test_category_domains_of_any_size_apply_alike(spark):
+    from tillroll.sources.catmeta import apply_cat_meta
+    df = spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (3, None, "z")], "id int, c string, d string")
+    meta = spark.createDataFrame([("c", "a"), ("c", "a"), ("e", "q")], "column string, value string")
+    got = sorted((r.id, r.c, r.d) for r in apply_cat_meta(df, meta, ["c", "d"]).collect())
+    assert got == [(1, "a", None), (2, None, None), (3, None, None)]
+    many = meta.unionByName(spark.range(20_000).selectExpr("'c' as column", "cast(id as string) as value"))
+    assert sorted((r.id, r.c) for r in apply_cat_meta(df, many).collect()) == [(1, "a"), (2, None), (3, None)]
+
+
+def test_csv_columns_go_by_the_header(spark, tmp_path):
+    from tillroll.sources import files
+    (tmp_path / "stores.csv").write_text("state,city,extra,cluster,type,store_nbr\nPichincha,Quito,?,13,D,1\n")
+    row = files.read_csv(spark, str(tmp_path / "stores.csv"), "stores").first()
+    assert (row.store_nbr, row.city, row.state, row.type, row.cluster) == (1, "Quito", "Pichincha", "D", 13)
+    (tmp_path / "oil.csv").write_text("date,price\n2017-01-01,3\n")
+    with pytest.raises(ValueError):
+        files.read_csv(spark, str(tmp_path / "oil.csv"), "oil")
+    (tmp_path / "bad.csv").write_text("date,dcoilwtico\n2017-01-01,three\n")
+    with pytest.raises(Exception):
+        files.read_csv(spark, str(tmp_path / "bad.csv"), "oil").collect()
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from tillroll import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        def __init__(self, master):
+            self.master = master
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Spark:
+        def __init__(self, master):
+            self.sparkContext = Context(master)
+
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            session.ensure_checkpoint_dir(Spark(master))
+
+
+def test_undefined_losses_never_win(spark, tmp_path):
+    from tillroll.operators import model
+    trials = spark.createDataFrame([(0, "gbt", "{\"a\": 0}", float("nan"), 2), (1, "gbt", "{\"a\": 1}", 0.7, 2)], model.TRIALS_SCHEMA)
+    assert model.best_params(trials)["a"] == 1
+    folds = spark.createDataFrame([(0, 0.5), (1, None)], "fold int, loss double")
+    assert evaluate.mean_loss(folds).first().mean_loss is None
+    losses = spark.createDataFrame([(0, None), (1, 0.9)], "trial_id int, loss double")
+    assert evaluate.best_trial(losses).first().trial_id == 1
+    assert model.load_trials(spark, str(tmp_path / "none")).count() == 0
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        model.load_trials(spark, str(tmp_path / "broken")).count()
+
+
+def test_samples_do_not_depend_on_partitions(spark):
+    df = spark.range(2000).selectExpr("id", "id % 7 as k")
+    a = {r.id for r in clean.sample_rows(df.repartition(3), 0.1, 5).collect()}
+    b = {r.id for r in clean.sample_rows(df.repartition(11, "k"), 0.1, 5).collect()}
+    assert a == b and 120 < len(a) < 280
+    assert a != {r.id for r in clean.sample_rows(df, 0.1, 6).collect()}
+
+
+def test_correlations_rank_before_rounding(spark):
+    from tillroll.operators import profile
+    rows = [(float(k), float(k) + 0.4 * (k % 3), float(k) + 0.2 * (k % 3)) for k in range(60)]
+    df = spark.createDataFrame(rows, "y double, a double, b double")
+    got = profile.correlations(df, "y").collect()
+    assert [r.column for r in got] == ["b", "a"] and got[0].corr == got[1].corr == 1.0

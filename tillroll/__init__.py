@@ -11,7 +11,6 @@ functions   column builders (calendar features, percent change, statistics, nami
 operators   table-level operators (cleaning, densified totals, rolling features,
             holidays, series fill, joins, evaluation, models, profiling)
 plans       the four batch jobs: process, tune, train, score
-streaming   intentionally empty: the workload has no streaming sources
 """
 
 __version__ = "0.1.0"

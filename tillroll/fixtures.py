@@ -6,7 +6,7 @@ workload are derived from the TPC-H-like tables (definitions in FIXTURES.md §3)
 * ``main``             daily sales per (date, supplier-as-store, brand-as-family)
 * ``stores``           supplier dimension with city / state / type / cluster
 * ``oil``              weekday price series with one leading gap
-* ``holidays_events``  sparse event calendar from urgent orders
+* ``holidays_events``  event calendar from the urgent orders
 
 Each view is written with the DataFrame API so Catalyst prunes columns and
 pushes filters into the Parquet scans; ``FIXTURE_SQL`` holds the same
@@ -91,8 +91,8 @@ def holidays_events_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    # Urgent orders with order key divisible by 10 are the event rows.
-    events = o.where((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderkey") % 10 == 0))
+    # Fixed value: every urgent order is an event row.
+    events = o.where(F.col("o_orderpriority") == "1-URGENT")
     j = (events.join(c, events.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
                .join(r, n.n_regionkey == r.r_regionkey))
     nk = F.col("c_nationkey") % 3
@@ -152,11 +152,6 @@ SELECT CAST(o_orderdate AS DATE) AS date,
        o_orderpriority AS description, o_orderkey % 7 = 0 AS transferred
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
      JOIN region ON n_regionkey = r_regionkey
-WHERE o_orderpriority = '1-URGENT' AND o_orderkey % 10 = 0""",
+WHERE o_orderpriority = '1-URGENT'""",
 }
 
-
-def with_views(body: str, *names: str) -> str:
-    """Prefix an oracle statement with the fixture views it reads, as CTEs."""
-    ctes = ",\n".join(f"{n} AS ({FIXTURE_SQL[n]})" for n in names)
-    return f"WITH {ctes}\n{body}" if names else body

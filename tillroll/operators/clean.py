@@ -94,8 +94,16 @@ def apply_categories(df: DataFrame, categories: DataFrame) -> DataFrame:
     return apply_cat_meta(df, categories)
 
 
-def drop_duplicate_rows(df: DataFrame) -> DataFrame:
-    return df.dropDuplicates()
+def sample_rows(df: DataFrame, fraction: float, seed: int = 42, id_col: str = "id") -> DataFrame:
+    """A seeded sample without replacement: rows whose md5 of id and seed falls below the fraction.
+
+    The choice depends on the row alone, not on partitions or their order, so it
+    is the same on every cluster and when a lost task runs again.
+    """
+    if fraction >= 1.0:
+        return df
+    below = f"{int(fraction * (1 << 32)):08x}"
+    return df.where(F.substring(F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.lit(str(seed)))), 1, 8) < below)
 
 
 def columns_matching(df: DataFrame, contains: str | None = None, prefix: str | None = None,

@@ -23,54 +23,59 @@ def _stack(cols: Sequence[str], value_type: str = "string") -> str:
 def profile_table(df: DataFrame, approx: bool = False) -> DataFrame:
     """Per column: dtype, rows, nulls, distinct non-null values.
 
-    Exact distinct counts de-duplicate (column, value) pairs in one shuffle with
-    map-side partial aggregation; ``approx`` uses HyperLogLog++ in a single pass.
+    One aggregation over the typed columns (no unpivoting, no casts to text):
+    exact distinct counts are de-duplicated map-side; ``approx`` uses
+    HyperLogLog++ sketches.
     """
-    cols = df.columns
-    spark = df.sparkSession
-    nulls = df.agg(F.count(F.lit(1)).alias("_rows"),
-                   *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"_n{i}") for i, c in enumerate(cols)])
-    dtypes = spark.createDataFrame(list(enumerate(zip(cols, [t for _, t in df.dtypes]))),
-                                   "i int, ct struct<column:string, dtype:string>") \
-        .select("i", "ct.column", "ct.dtype")
-    null_long = nulls.select("_rows", F.expr(
-        f"stack({len(cols)}, " + ", ".join(f"{i}, _n{i}" for i in range(len(cols))) + ") AS (i, n_null)"))
-    long = df.select(F.expr(_stack(cols)))
-    if approx:
-        distinct = long.groupBy("column").agg(F.approx_count_distinct("value").alias("n_distinct"))
-    else:
-        distinct = (long.where(F.col("value").isNotNull()).distinct()
-                    .groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct")))
-    return (dtypes.join(null_long, "i").join(distinct, "column", "left")
-            .select("column", "dtype", F.col("_rows").alias("n_rows"), "n_null",
-                    F.coalesce("n_distinct", F.lit(0)).cast("long").alias("n_distinct")))
+    distinct = F.approx_count_distinct if approx else F.count_distinct
+    aggs = [F.count(F.lit(1)).alias("n_rows")]
+    for i, c in enumerate(df.columns):
+        col = F.col(f"`{c}`")
+        aggs += [F.count_if(col.isNull()).alias(f"_n{i}"), distinct(col).alias(f"_d{i}")]
+    rows = ", ".join(f"'{c}', '{t}', _n{i}, _d{i}" for i, (c, t) in enumerate(df.dtypes))
+    return df.agg(*aggs).select("n_rows", F.expr(f"stack({len(df.columns)}, {rows}) AS (column, dtype, n_null, n_distinct)")) \
+        .select("column", "dtype", "n_rows", "n_null", "n_distinct")
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     return [c for c, t in df.dtypes if is_numeric(t) and c not in exclude]
 
 
+def _bucket(value, low, high, bins: int):
+    """Equal-width bin of ``value`` (null for null); the maximum falls in the last bin, a constant in the first."""
+    width = high - low
+    place = F.when(width == 0, F.lit(0)).otherwise(F.least(F.floor((value - low) / width * bins), F.lit(bins - 1)))
+    return F.when(value.isNotNull(), place).cast("int")
+
+
 def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 100) -> DataFrame:
     """Equal-width histogram per numeric column between its min and max (nulls
-    excluded; the max falls in the last bin): column, bin, lo, hi, n."""
+    excluded; the max falls in the last bin): column, bin, lo, hi, n.
+
+    Two scans and no join with rows: the bounds of all columns are one row, read
+    as a scalar subquery; every row is binned where it is, and the bins are
+    counted map-side.
+    """
     cols = list(columns) if columns is not None else numeric_columns(df)
-    long = df.select(F.expr(_stack(cols, "double"))).where(F.col("value").isNotNull())
-    rng = long.groupBy("column").agg(F.min("value").alias("mn"), F.max("value").alias("mx"))
-    width = F.col("mx") - F.col("mn")
-    b = F.when(width == 0, F.lit(0)).otherwise(
-        F.least(F.floor((F.col("value") - F.col("mn")) / width * bins), F.lit(bins - 1))).cast("int")
-    counts = long.join(rng, "column").groupBy("column", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    return counts.join(rng, "column").select(
-        "column", "bin",
-        (F.col("mn") + (F.col("mx") - F.col("mn")) * F.col("bin") / bins).alias("lo"),
-        (F.col("mn") + (F.col("mx") - F.col("mn")) * (F.col("bin") + 1) / bins).alias("hi"), "n")
+    value = {c: F.col(f"`{c}`").cast("double") for c in cols}
+    bounds = df.agg(F.struct(*[F.struct(F.min(v).alias("mn"), F.max(v).alias("mx")).alias(f"c{i}")
+                               for i, v in enumerate(value.values())]).alias("b"))
+    one = bounds.scalar()
+    binned = F.array(*[F.struct(F.lit(c).alias("column"), _bucket(v, one[f"c{i}"]["mn"], one[f"c{i}"]["mx"], bins)
+                                .alias("bin")) for i, (c, v) in enumerate(value.items())])
+    counts = (df.select(F.explode(binned).alias("x")).where("x.bin IS NOT NULL")
+              .groupBy("x.column", "x.bin").agg(F.count(F.lit(1)).alias("n")))
+    low = F.create_map(*[e for i, c in enumerate(cols) for e in (F.lit(c), one[f"c{i}"])])
+    edge = lambda k: F.col("m.mn") + (F.col("m.mx") - F.col("m.mn")) * k / bins
+    return counts.withColumn("m", low[F.col("column")]).select(
+        "column", "bin", edge(F.col("bin")).alias("lo"), edge(F.col("bin") + 1).alias("hi"), "n")
 
 
 def correlations(df: DataFrame, target: str, columns: Sequence[str] | None = None,
                  top: int = 15, precision: int | None = 3) -> DataFrame:
     """Pearson correlation of each numeric column with ``target`` over rows where
     both are present; undefined (constant column) is null and sorts last.
-    Sorted by |corr| desc then name; the first ``top`` rows."""
+    Ranked by the unrounded |corr| desc, then name; the first ``top`` rows, rounded last."""
     cols = [c for c in (columns if columns is not None else numeric_columns(df)) if c != target]
     y = F.col(target)
     aggs = []
@@ -82,51 +87,56 @@ def correlations(df: DataFrame, target: str, columns: Sequence[str] | None = Non
     wide = df.agg(*aggs)
     long = wide.select(F.expr(f"stack({len(cols)}, " + ", ".join(f"'{c}', _c{i}" for i, c in enumerate(cols))
                               + ") AS (column, corr)"))
-    if precision is not None:
-        long = long.withColumn("corr", F.round("corr", precision))
-    w = Window.orderBy(F.abs("corr").desc_nulls_last(), F.col("column"))
-    return long.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
+    w = Window.orderBy(F.abs("corr").desc_nulls_last(), F.col("column"))  # one row per column
+    ranked = long.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
+    return ranked if precision is None else ranked.withColumn("corr", F.round("corr", precision))
 
 
 def scatter_bins(df: DataFrame, target: str, columns: Sequence[str], bins: int = 50) -> DataFrame:
-    """2-D binned counts of (column value, target) per column: column, x_bin, y_bin, n."""
-    long = (df.select(F.col(target).cast("double").alias("y"), F.expr(_stack(columns, "double")))
-            .where(F.col("value").isNotNull() & F.col("y").isNotNull()))
-    rng = long.groupBy("column").agg(F.min("value").alias("xmn"), F.max("value").alias("xmx"),
-                                     F.min("y").alias("ymn"), F.max("y").alias("ymx"))
-
-    def bucket(v, mn, mx):
-        width = F.col(mx) - F.col(mn)
-        return F.when(width == 0, F.lit(0)).otherwise(
-            F.least(F.floor((F.col(v) - F.col(mn)) / width * bins), F.lit(bins - 1))).cast("int")
-
-    return (long.join(rng, "column")
-            .groupBy("column", bucket("value", "xmn", "xmx").alias("x_bin"),
-                     bucket("y", "ymn", "ymx").alias("y_bin"))
+    """2-D binned counts of (column value, target) per column over rows that have
+    both: column, x_bin, y_bin, n.  Planned like ``histogram``."""
+    y = F.col(f"`{target}`").cast("double")
+    value = {c: F.col(f"`{c}`").cast("double") for c in columns}
+    ends = lambda v: (F.min(v).alias("mn"), F.max(v).alias("mx"))
+    pair = []
+    for i, v in enumerate(value.values()):
+        pair.append(F.struct(*ends(F.when(y.isNotNull(), v))).alias(f"x{i}"))
+        pair.append(F.struct(*ends(F.when(v.isNotNull(), y))).alias(f"y{i}"))
+    one = df.agg(F.struct(*pair).alias("b")).scalar()
+    binned = F.array(*[F.struct(F.lit(c).alias("column"),
+                                _bucket(v, one[f"x{i}"]["mn"], one[f"x{i}"]["mx"], bins).alias("x_bin"),
+                                _bucket(y, one[f"y{i}"]["mn"], one[f"y{i}"]["mx"], bins).alias("y_bin"))
+                       for i, (c, v) in enumerate(value.items())])
+    both = df.select(F.explode(binned).alias("x")).where("x.x_bin IS NOT NULL AND x.y_bin IS NOT NULL")
+    return (both.groupBy("x.column", "x.x_bin", "x.y_bin")
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def distribution_by_category(df: DataFrame, category: str, target: str,
+def distribution_by_category(df: DataFrame, categories: Sequence[str] | str, target: str,
                              quantiles: Sequence[float] = (0.25, 0.5, 0.75),
                              approx_accuracy: int | None = None) -> DataFrame:
-    """Target distribution per category value: count, mean, min, quartiles, max.
+    """Target distribution per value of each category column: column, value (as text), n, mean, min, quartiles, max.
 
     Count, mean, min and max combine map-side.  Exact quartiles come from
     ``exact_grouped_quantiles`` (a hot category is spread over many tasks);
     ``approx_accuracy`` uses bounded ``percentile_approx`` sketches instead.
     """
-    y = F.col(target)
-    present = df.where(y.isNotNull())
-    out = present.groupBy(category).agg(
+    cols = [categories] if isinstance(categories, str) else list(categories)
+    y = F.col(f"`{target}`")
+    present = df.where(y.isNotNull()).select(y.alias("_y"), F.expr(_stack(cols)))
+    y, key = F.col("_y"), ["column", "value"]
+    out = present.groupBy(*key).agg(
         F.count(F.lit(1)).alias("n"), F.avg(y).alias("mean"), F.min(y).alias("min"), F.max(y).alias("max"))
     if approx_accuracy is not None:
-        q = present.groupBy(category).agg(
+        q = present.groupBy(*key).agg(
             F.percentile_approx(y, list(quantiles), approx_accuracy).cast("array<double>").alias("_q"))
     else:
-        q = exact_grouped_quantiles(present, [category], target, quantiles)
+        q = exact_grouped_quantiles(present, key, "_y", quantiles)
+    q = q.select(F.col("column").alias("_c"), F.col("value").alias("_v"), "_q")
     names = [f"q{int(round(p * 100))}" for p in quantiles]
-    return out.join(q, category).select(category, "n", "mean", "min", "max",
-                                        *[F.col("_q").getItem(i).alias(n) for i, n in enumerate(names)])
+    same = F.col("column").eqNullSafe(F.col("_c")) & F.col("value").eqNullSafe(F.col("_v"))
+    return out.join(q, same).select(*key, "n", "mean", "min", "max",
+                                    *[F.col("_q").getItem(i).alias(n) for i, n in enumerate(names)])
 
 
 def date_spans(df: DataFrame, date_col: str = "date") -> DataFrame:
@@ -165,67 +175,52 @@ def top_categories(df: DataFrame, columns: Sequence[str], top: int = 20, buckets
     return local.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
 
 
-def preview(df: DataFrame, n: int = 5, order_cols: Sequence[str] = ()) -> DataFrame:
-    """First ``n`` rows in an explicit order (a top-n, not a full sort)."""
-    return (df.orderBy(*order_cols) if order_cols else df).limit(n)
-
-
-# Groups up to this many rows take Spark's ``percentile`` aggregate (the group's
-# values provably fit one task); larger groups use the distributed rank method.
-SINGLE_TASK_MAX_ROWS = 1_000_000
-
-
 def exact_grouped_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                            fractions: Sequence[float], partitions: int | None = None,
-                            single_task_max_rows: int | None = SINGLE_TASK_MAX_ROWS) -> DataFrame:
+                            fractions: Sequence[float], partitions: int | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles per group, with no group held by one task.
 
-    Rows are range-partitioned on (group, value), so a hot group spans many
-    partitions; the sorted layout is checkpointed (fixing partition membership),
-    every row's rank inside its group is its in-partition rank plus the counts of
-    the group in earlier partitions (a table of #partitions x #groups rows), and
-    only the rows at the needed ranks are kept and interpolated.
+    Rows are first counted per distinct (group, value), map-side, so a value that
+    fills most of a group becomes one row.  Those are range-partitioned on (group,
+    value), so a group of many values spans many partitions, and checkpointed
+    (fixing partition membership).  A value's first rank in its group is the sum
+    of the counts before it in its partition plus the group's counts in earlier
+    partitions (a table of #partitions x #groups rows); the values that
+    hold a needed rank are interpolated.  The same steps at every size.
     Output: group columns and one ``_q`` array in the order of ``fractions``.
-
-    The largest group's size is checked first (one partial aggregation); when it
-    is within ``single_task_max_rows`` the plain ``percentile`` aggregate is used.
     """
+    from tillroll.session import ensure_checkpoint_dir
     g = list(group_cols)
     spark = df.sparkSession
-    if single_task_max_rows is not None:
-        present = df.where(F.col(value_col).isNotNull())
-        largest = present.groupBy(*g).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-        if largest is None or largest <= single_task_max_rows:
-            return present.groupBy(*g).agg(
-                F.percentile(F.col(value_col).cast("double"), [float(p) for p in fractions]).alias("_q"))
-    from tillroll.session import ensure_checkpoint_dir, task_slots
     ensure_checkpoint_dir(spark)
-    n_parts = partitions or max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                                       2 * task_slots(spark)))
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     v = df.select(*g, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    laid = v.repartitionByRange(n_parts, *g, "_v").sortWithinPartitions(*g, "_v").persist()
+    counted = v.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    laid = counted.repartitionByRange(n_parts, *g, "_v").sortWithinPartitions(*g, "_v").persist()
     fixed = laid.checkpoint(eager=True)
     laid.unpersist()
-    mid = F.monotonically_increasing_id()
-    t = (fixed.withColumn("_mid", mid).withColumn("_pid", F.shiftright("_mid", 33))
-         .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))))
-    per_part = t.groupBy(*g, "_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_pos").alias("_first"))
+    t = fixed.withColumn("_pid", F.spark_partition_id())
+    per_part = t.groupBy(*g, "_pid").agg(F.sum("_c").alias("_in_part"))
     w = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select(*g, "_pid", "_first", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"),
-                              F.sum("_c").over(Window.partitionBy(*g)).alias("_n"))
-    ranked = t.join(offsets, [*g, "_pid"]).select(
-        *g, "_v", "_n", (F.col("_off") + F.col("_pos") - F.col("_first")).alias("_rank"))
+    offsets = per_part.select(*g, "_pid", F.coalesce(F.sum("_in_part").over(w), F.lit(0)).alias("_off"),
+                              F.sum("_in_part").over(Window.partitionBy(*g)).alias("_n"))
+    inside = Window.partitionBy(*g, "_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    placed = t.withColumn("_before", F.coalesce(F.sum("_c").over(inside), F.lit(0)))
+    off = offsets.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(g)], F.col("_pid").alias("_p"), "_off", "_n")
+    same = F.col("_pid") == F.col("_p")
+    for i, c in enumerate(g):
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    ranked = placed.join(off, same).select(*g, "_v", "_c", "_n", (F.col("_off") + F.col("_before")).alias("_rank"))
     wanted = []
     for i, p in enumerate(fractions):
         pos = F.lit(float(p)) * (F.col("_n") - 1)
         lo = F.floor(pos)
         wanted.append(F.struct(F.lit(i).alias("i"), lo.alias("lo"),
                                F.least(lo + 1, F.col("_n") - 1).alias("hi"), (pos - lo).alias("frac")))
-    picks = ranked.select(*g, "_v", "_n", "_rank", F.explode(F.array(*wanted)).alias("w")) \
-        .where((F.col("_rank") == F.col("w.lo")) | (F.col("_rank") == F.col("w.hi")))
+    holds = lambda rank: (F.col("_rank") <= rank) & (rank < F.col("_rank") + F.col("_c"))
+    picks = ranked.select("*", F.explode(F.array(*wanted)).alias("w")).where(holds(F.col("w.lo")) | holds(F.col("w.hi")))
     per_q = picks.groupBy(*g, "w.i").agg(
-        F.max(F.when(F.col("_rank") == F.col("w.lo"), F.col("_v"))).alias("vlo"),
-        F.max(F.when(F.col("_rank") == F.col("w.hi"), F.col("_v"))).alias("vhi"),
+        F.max(F.when(holds(F.col("w.lo")), F.col("_v"))).alias("vlo"),
+        F.max(F.when(holds(F.col("w.hi")), F.col("_v"))).alias("vhi"),
         F.first("w.frac").alias("frac"))
     val = F.when(F.col("frac") == 0, F.col("vlo")).otherwise(
         F.col("vlo") + (F.col("vhi") - F.col("vlo")) * F.col("frac"))

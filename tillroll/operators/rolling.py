@@ -32,6 +32,10 @@ DAY = "_day"
 DEFAULT_LAG = 16
 DEFAULT_WINDOWS = (1, 7, 28, 91, 365)
 
+# Longest frame whose exact quantiles Spark's own window frames compute: they
+# sort the frame again for every row.
+LONG_FRAME = 28
+
 
 def _series_window(group_cols: Sequence[str]):
     w = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()
@@ -121,11 +125,11 @@ def lagged_rolling_features(totals: DataFrame, group_cols: Sequence[str] = (),
       O(n log w) rolling quantiles and O(n) rolling min / max.  A series holds one
       row per observed day, so a group is bounded by the calendar length, never
       by the fact table's size.
-    * ``"auto"`` -- ``"window"`` for frames up to 7 rows without quantiles,
-      ``"series"`` otherwise.
+    * ``"auto"`` -- ``"series"`` if a frame is longer than ``LONG_FRAME`` rows and
+      quantiles are asked for, ``"window"`` otherwise.  Both skip nulls and give the same values.
     """
     if method == "auto":
-        method = "window" if (max(windows) <= 7 and not quantiles) else "series"
+        method = "series" if quantiles and max(windows) > LONG_FRAME else "window"
     if method == "series":
         from tillroll.operators.series_stats import rolling_series_features
         return rolling_series_features(totals, group_cols, value_cols, windows, lag, stats,

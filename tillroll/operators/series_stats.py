@@ -48,19 +48,20 @@ def _trailing_sums(v: np.ndarray, w: int) -> np.ndarray:
 
 
 def _mean_std(x: np.ndarray, w: int, lo: np.ndarray | None = None, hi: np.ndarray | None = None):
-    """Trailing mean and sample deviation in O(n).
+    """Trailing mean and sample deviation of the values present (NaN = missing) in O(n).
 
     Sums are centred on the series mean and accumulated in extended precision;
-    a frame whose min equals its max has deviation exactly 0.
+    a frame whose min equals its max has deviation exactly 0; a frame without
+    values has neither, one with a single value no deviation.
     """
-    n = len(x)
-    cnt = np.minimum(np.arange(1, n + 1), w).astype(np.longdouble)
-    c = np.longdouble(x.mean()) if n else np.longdouble(0)
-    y = x.astype(np.longdouble) - c
+    there = ~np.isnan(x)
+    cnt = _trailing_sums(there.astype(np.longdouble), w)
+    c = np.longdouble(x[there].mean()) if there.any() else np.longdouble(0)
+    y = np.where(there, x, 0.0).astype(np.longdouble) - np.where(there, c, 0)
     s1 = _trailing_sums(y, w)
     s2 = _trailing_sums(y * y, w)
-    mean = (s1 / cnt + c).astype(float)
     with np.errstate(divide="ignore", invalid="ignore"):
+        mean = np.where(cnt > 0, s1 / cnt + c, np.nan).astype(float)
         var = (s2 - s1 * s1 / cnt) / (cnt - 1)
     var = np.maximum(var.astype(float), 0.0)
     var[cnt < 2] = np.nan
@@ -70,9 +71,9 @@ def _mean_std(x: np.ndarray, w: int, lo: np.ndarray | None = None, hi: np.ndarra
 
 
 def _sorted_frames(x: np.ndarray, w: int):
-    """Every trailing frame sorted (NaN padding of partial head frames sorts last)."""
+    """Every trailing frame sorted (missing values and the padding of head frames sort last), and its number of values."""
     m = np.sort(sliding_window_view(np.concatenate([np.full(w - 1, np.nan), x]), w), axis=1)
-    return m, np.minimum(np.arange(1, len(x) + 1), w)
+    return m, _trailing_sums((~np.isnan(x)).astype(np.longdouble), w).astype(np.int64)
 
 
 def _quantiles_sorted(x: np.ndarray, w: int, qs: Sequence, sorted_frames=None) -> list[np.ndarray]:
@@ -81,27 +82,30 @@ def _quantiles_sorted(x: np.ndarray, w: int, qs: Sequence, sorted_frames=None) -
     rows = np.arange(len(x))
     out = []
     for q in qs:
-        pos = (float(q) / 100) * (cnt - 1)
+        pos = (float(q) / 100) * np.maximum(cnt - 1, 0)
         lo = np.floor(pos).astype(np.int64)
-        hi = np.minimum(lo + 1, cnt - 1)
+        hi = np.minimum(lo + 1, np.maximum(cnt - 1, 0))
         vlo, vhi = m[rows, lo], m[rows, hi]
         out.append(np.where(pos == lo, vlo, vlo + (vhi - vlo) * (pos - lo)))
     return out
 
 
 def series_stats(x: np.ndarray, w: int, stats: Sequence[str], quantiles: Sequence) -> dict[str, np.ndarray]:
-    """Statistics of the trailing ``w`` rows (at least one) for every position."""
+    """Statistics of the values present in the trailing ``w`` rows, for every position; NaN where there are none."""
     out: dict[str, np.ndarray] = {}
+    there = (~np.isnan(x)).astype(np.longdouble)
+    if "count" in stats:
+        out["count"] = _trailing_sums(there, w).astype(float)
     if w == 1:
         for s in stats:
-            out[s] = np.full(len(x), np.nan) if s == "std" else x.copy()
+            out.setdefault(s, np.full(len(x), np.nan) if s == "std" else x.copy())
         for q in quantiles:
             out[quantile_label(q)] = x.copy()
         return out
     if w <= SORTED_MATRIX_MAX_WINDOW:
         frames = _sorted_frames(x, w)
         m, cnt = frames
-        lo, hi = m[:, 0], m[np.arange(len(x)), cnt - 1]
+        lo, hi = m[:, 0], m[np.arange(len(x)), np.maximum(cnt - 1, 0)]
         qvals = _quantiles_sorted(x, w, quantiles, frames) if quantiles else []
     else:
         roll = pd.Series(x).rolling(w, min_periods=1)
@@ -111,7 +115,7 @@ def series_stats(x: np.ndarray, w: int, stats: Sequence[str], quantiles: Sequenc
     if "mean" in stats or "std" in stats:
         out["mean"], out["std"] = _mean_std(x, w, lo, hi)
     if "sum" in stats:
-        out["sum"] = _trailing_sums(x, w).astype(float)
+        out["sum"] = np.where(_trailing_sums(there, w) > 0, _trailing_sums(np.nan_to_num(x), w), np.nan).astype(float)
     for q, v in zip(quantiles, qvals):
         out[quantile_label(q)] = v
     return out
@@ -207,15 +211,12 @@ def rolling_series_features(totals: DataFrame, group_cols: Sequence[str], value_
     # hash-partition by series and sort by day: every series is contiguous inside
     # one partition, so whole Arrow batches of many series go through pandas
     # (cheaper than one grouped call per series)
-    # The partition count is fixed at min(shuffle partitions, 2 x cores): the input
-    # is small per row, so AQE would otherwise coalesce it into a few partitions
-    # and serialise the Python work, while more partitions than task slots only
-    # adds idle Python tasks.  Partitioning on a hash of the key (not the key
+    # The partition count is the session's: the input is small per row, so AQE
+    # would otherwise coalesce it into a few partitions and serialise the Python
+    # work.  Partitioning on a hash of the key (not the key
     # itself) keeps the optimizer from treating this exchange as redundant with an
     # upstream, coalescable partitioning on the same key.
-    from tillroll.session import task_slots
-    spark = totals.sparkSession
-    n_parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * task_slots(spark)))
+    n_parts = int(totals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     clustered = (src.repartition(n_parts, F.xxhash64(*keys).alias("_series_hash"))
                  .sortWithinPartitions(*keys, DAY))
     rolled = clustered.mapInPandas(fn, schema)

@@ -16,8 +16,15 @@ DECIMALS = 4
 GROUPS = ("store_nbr", "family", "city", "state", "type", "cluster")
 
 
-# Fixed value: magnitudes from here on keep no 6th decimal in a double; they pass unrounded.
-LARGE = 1e9
+# The holiday labels of the fixture calendar: (locale, locale_name, type) combinations.
+REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
+HOLIDAY_COMBOS = sorted(
+    f"combo_('{locale}', '{name}', '{kind}')" for kind in ("Additional", "Holiday")
+    for locale, name in [("National", "ALL"), *((x, r) for x in ("Regional", "Local") for r in REGIONS)])
+
+
+# Fixed value: doubles from here on are compared as whole numbers.
+WHOLE = 1e9
 
 
 def round_half_up(c, decimals: int = DECIMALS):
@@ -25,11 +32,12 @@ def round_half_up(c, decimals: int = DECIMALS):
 
     The intermediate decimal absorbs last-bit differences of floating sums, so
     exact ties (e.g. a mean of 2-decimal money over 8 rows) round the same way
-    in every engine.  NaN, infinities and magnitudes >= ``LARGE`` pass through.
+    in every engine.  A double of ``WHOLE`` or more has no room for them and is
+    rounded to a whole number; NaN and infinities pass through.
     """
-    special = F.isnan(c) | (F.abs(c) >= LARGE)
+    special = F.isnan(c) | (F.abs(c) == float("inf"))
     exact = F.round(c.cast(f"decimal(38,{decimals + 2})"), decimals).cast("double")
-    return F.when(special, c).otherwise(exact)
+    return F.when(special, c).when(F.abs(c) >= WHOLE, F.round(c)).otherwise(exact)
 
 
 def rounded(df: DataFrame, decimals: int = DECIMALS) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from tillroll.fixtures import FIXTURE_SQL
 from tillroll.functions.stats import DEFAULT_QUANTILES, DEFAULT_STATS, feature_suffix, quantile_label
 from tillroll.operators.rolling import DEFAULT_LAG, DEFAULT_WINDOWS
-from tillroll.plans.common import DECIMALS, GROUPS
+from tillroll.plans.common import DECIMALS, GROUPS, HOLIDAY_COMBOS
 
 D = DECIMALS
 
@@ -32,7 +32,7 @@ BASE_STORES = BASE + [("stores", None), ("main_stores", MAIN_STORES)]
 
 def rexpr(expr: str) -> str:
     """Same rounding as ``common.round_half_up``."""
-    return (f"CASE WHEN isnan({expr}) OR abs({expr}) >= 1e9 THEN {expr} "
+    return (f"CASE WHEN isnan({expr}) OR isinf({expr}) THEN {expr} WHEN abs({expr}) >= 1e9 THEN ROUND({expr}) "
             f"ELSE CAST(ROUND(CAST({expr} AS DECIMAL(38,{D + 2})), {D}) AS DOUBLE) END")
 
 
@@ -167,35 +167,28 @@ def pct_names() -> list[str]:
 HOL_CLEAN = ("SELECT date, CASE WHEN type = 'Transfer' THEN 'Holiday' ELSE type END AS type, locale, "
              "locale_name, description, transferred FROM holidays_events")
 COMBO = "'combo_(''' || locale || ''', ''' || locale_name || ''', ''' || type || ''')'"
+MARKS = [*HOLIDAY_COMBOS, "is_holiday_event"]
+
+
+def text(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+# the labels are fixed, so the pivot is one aggregate per label
 HOL_CTES = [("holidays_events", None), ("hc", HOL_CLEAN),
             ("hl", f"SELECT date, {COMBO} AS combo FROM hc"),
-            # a dynamic PIVOT reads its values in a separate query: keep its source self-contained
-            ("hp", "PIVOT (SELECT date, " + COMBO + " AS combo FROM ("
-                   + HOL_CLEAN.replace("FROM holidays_events", "FROM (" + FIXTURE_SQL["holidays_events"] + ")")
-                   + ")) ON combo USING max(1) GROUP BY date"),
-            ("onehot", "SELECT date, COALESCE(COLUMNS(* EXCLUDE (date)), 0), 1 AS is_holiday_event FROM hp")]
+            ("onehot", "SELECT date, " + ", ".join(
+                f'MAX(CASE WHEN combo = {text(c)} THEN 1 ELSE 0 END) AS "{c}"' for c in HOLIDAY_COMBOS)
+             + ", 1 AS is_holiday_event FROM hl GROUP BY date")]
 
-# long form of (oil LEFT JOIN onehot, filled with 0), then neighbours per column
+# oil LEFT JOIN onehot, filled with 0, then every mark's neighbours
 NEIGHBOUR_CTES = [
-    ("combos", "SELECT DISTINCT combo AS name FROM hl UNION ALL SELECT 'is_holiday_event'"),
-    ("hv", "SELECT date, combo AS name, 1 AS v FROM hl GROUP BY ALL "
-           "UNION ALL SELECT DISTINCT date, 'is_holiday_event', 1 FROM hl"),
-    ("dense", "SELECT f.date, c.name, CAST(COALESCE(hv.v, 0) AS INTEGER) AS v FROM filled f CROSS JOIN combos c "
-              "LEFT JOIN hv ON hv.date = f.date AND hv.name = c.name"),
-    ("shifted", "SELECT date, name, v FROM dense UNION ALL "
-                "SELECT date, name || '_1next', COALESCE(LEAD(v, 1) OVER w, 0) FROM dense WINDOW w AS "
-                "(PARTITION BY name ORDER BY date) UNION ALL "
-                "SELECT date, name || '_2next', COALESCE(LEAD(v, 2) OVER w, 0) FROM dense WINDOW w AS "
-                "(PARTITION BY name ORDER BY date) UNION ALL "
-                "SELECT date, name || '_1before', COALESCE(LAG(v, 1) OVER w, 0) FROM dense WINDOW w AS "
-                "(PARTITION BY name ORDER BY date) UNION ALL "
-                "SELECT date, name || '_2before', COALESCE(LAG(v, 2) OVER w, 0) FROM dense WINDOW w AS "
-                "(PARTITION BY name ORDER BY date)"),
-    ]
-# the PIVOT source carries its own WITH clause (dynamic PIVOT values are read separately)
-NEIGHBOUR_CTES.append(("wide", "PIVOT (" + sql(
-    OIL_FILLED + [c for c in HOL_CTES if c[0] in ("holidays_events", "hc", "hl")] + NEIGHBOUR_CTES,
-    "SELECT date, name, v FROM shifted") + ") ON name USING max(v) GROUP BY date"))
+    ("marked", "SELECT f.date, " + ", ".join(f'COALESCE(o."{c}", 0) AS "{c}"' for c in MARKS)
+     + " FROM filled f LEFT JOIN onehot o ON o.date = f.date"),
+    ("wide", "SELECT date, " + ", ".join(
+        f'CAST("{c}" AS INTEGER) AS "{c}", ' + ", ".join(
+            f'CAST(COALESCE({fn}("{c}", {n}) OVER (ORDER BY date), 0) AS INTEGER) AS "{c}_{n}{side}"'
+            for n in (1, 2) for fn, side in (("LEAD", "next"), ("LAG", "before"))) for c in MARKS) + " FROM marked")]
 
 
 def registry_series() -> dict[str, str]:
@@ -241,8 +234,22 @@ def cat_pairs(table: str, cols: list[str]) -> str:
                           f"WHERE {c} IS NOT NULL" for c in cols)
 
 
-def rolling_table_sql(group: str, window: int) -> str:
-    return rolling_sql(group, window)
+def manifest_assembly_sql() -> str:
+    """The registered columns of the manifest's wide table over the example date range."""
+    from tillroll.plans.queries import RANGE_END, RANGE_START, manifest_features
+    ctes, joins, outs = BASE + [("stores", None)] + process_oil_ctes() + HOL_CTES, [], []
+    for g in GROUPS:
+        for w, feature in zip(DEFAULT_WINDOWS, manifest_features(g)):
+            name = f"r_{g}_{w}"
+            ctes = ctes + [(name, f"SELECT date, {g}, \"{feature}\" FROM (" + rolling_sql(g, w, round_output=False) + ")")]
+            side = "m" if g in ("store_nbr", "family") else "st"
+            joins.append(f"LEFT JOIN {name} ON {name}.date = m.date AND {name}.{g} = {side}.{g}")
+            outs.append(r(f'{name}."{feature}"', feature))
+    return sql(ctes, f"SELECT m.id, m.date, m.store_nbr, m.family, {rexpr('m.sales')} AS sales, st.city, st.state, st.type, "
+                     f"st.cluster, {r('oilfe.dcoilwtico', 'dcoilwtico')}, onehot.is_holiday_event, {', '.join(outs)} "
+                     "FROM main_log m LEFT JOIN stores st ON st.store_nbr = m.store_nbr "
+                     "LEFT JOIN oilfe ON oilfe.date = m.date LEFT JOIN onehot ON onehot.date = m.date "
+                     + " ".join(joins) + f" WHERE m.date BETWEEN DATE '{RANGE_START}' AND DATE '{RANGE_END}'")
 
 
 def registry_sources() -> dict[str, str]:
@@ -280,6 +287,10 @@ def registry_sources() -> dict[str, str]:
                                 f"onpromotion, {rexpr('sales')} AS sales, is_train, is_test, "
                                 f"{rexpr('log_sales')} AS log_sales FROM main_log"),
         "feature_assembly": assembly,
+        "manifest_assembly": manifest_assembly_sql(),
+        "scan_csv_raw": sql([("main", None)], f"SELECT id, date, store_nbr, family, {r('sales', 'sales')}, onpromotion "
+                                              "FROM main WHERE is_train = 1"),
+        "parquet_roundtrip": sql(BASE, f"SELECT {MAIN_COLS_ROUNDED} FROM main_log"),
     }
 
 
@@ -375,24 +386,29 @@ def fold_loss_sql(pred: str) -> str:
             "AND tr.date <= s.last_val_date) END AS loss FROM sizes s")
 
 
-def registry_eval() -> dict[str, str]:
-    trials = " UNION ALL ".join(
-        f"SELECT {i} AS trial_id, '{c}' AS predictor, (SELECT AVG(COALESCE(loss, 0.0)) FROM ({fold_loss_sql(c)})) "
+def trials_sql() -> str:
+    return " UNION ALL ".join(
+        f"SELECT {i} AS trial_id, '{c}' AS predictor, (SELECT CASE WHEN COUNT(*) = COUNT(loss) THEN AVG(loss) END FROM ({fold_loss_sql(c)})) "
         "AS loss" for i, c in enumerate(CANDIDATES))
+
+
+def registry_eval() -> dict[str, str]:
+    trials = trials_sql()
     corr_cols = ["id", "store_nbr", "onpromotion", "log_sales", "is_train", "is_test"]
     corr_rows = " UNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", ROUND(CAST(covar_samp(CASE WHEN sales IS NOT NULL THEN {c} END, "
+        f"SELECT '{c}' AS \"column\", CAST(covar_samp(CASE WHEN sales IS NOT NULL THEN {c} END, "
         f"CASE WHEN {c} IS NOT NULL THEN sales END) / NULLIF(stddev_samp(CASE WHEN sales IS NOT NULL THEN {c} END) * "
-        f"stddev_samp(CASE WHEN {c} IS NOT NULL THEN sales END), 0) AS DOUBLE), 3) AS corr FROM main_log"
+        f"stddev_samp(CASE WHEN {c} IS NOT NULL THEN sales END), 0) AS DOUBLE) AS corr FROM main_log"
         for c in corr_cols)
-    num = ["id", "store_nbr", "onpromotion", "sales", "log_sales"]
+    num = ["id", "store_nbr", "onpromotion", "sales", "is_train", "is_test", "log_sales"]
     long_num = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value FROM main_log "
                                   f"WHERE {c} IS NOT NULL" for c in num)
-    prof_cols = ["id", "date", "store_nbr", "family", "onpromotion", "sales", "is_train", "is_test", "log_sales"]
+    prof_cols = {"id": "bigint", "date": "date", "store_nbr": "bigint", "family": "string", "onpromotion": "bigint",
+                 "sales": "double", "is_train": "int", "is_test": "int", "log_sales": "double"}
     prof = " UNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", COUNT(*) AS n_rows, COUNT(*) - COUNT({c}) AS n_null, "
-        f"COUNT(DISTINCT CAST({c} AS VARCHAR)) AS n_distinct FROM main_log" for c in prof_cols)
-    sc_cols = ["log_sales", "onpromotion", "store_nbr"]
+        f"SELECT '{c}' AS \"column\", '{kind}' AS dtype, COUNT(*) AS n_rows, COUNT(*) - COUNT({c}) AS n_null, "
+        f"COUNT(DISTINCT {c}) AS n_distinct FROM main_log" for c, kind in prof_cols.items())
+    sc_cols = ["id", "store_nbr", "onpromotion", "log_sales", "is_train", "is_test"]
     long_sc = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value, "
                                  f"CAST(sales AS DOUBLE) AS y FROM main_log WHERE {c} IS NOT NULL AND sales IS NOT NULL"
                                  for c in sc_cols)
@@ -400,6 +416,9 @@ def registry_eval() -> dict[str, str]:
     long_cat = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value FROM main_stores "
                                   f"WHERE {c} IS NOT NULL" for c in cat_cols)
 
+    long_value = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, sales FROM main_stores "
+                                    "WHERE sales IS NOT NULL" for c in cat_cols)
+
     def bucket(v, mn, mx, bins):
         return (f"CAST(CASE WHEN {mx} - {mn} = 0 THEN 0 ELSE LEAST(FLOOR(({v} - {mn}) / ({mx} - {mn}) * {bins}), "
                 f"{bins - 1}) END AS INTEGER)")
@@ -415,7 +434,7 @@ def registry_eval() -> dict[str, str]:
                                            "AS rmse FROM tr"),
         "backtest_loss": sql(scored_ctes() + fold_ctes() + [("fl", fold_loss_sql(PRED))],
                              f"SELECT fold, first_val_date, last_val_date, n_train, n_val, {rexpr('loss')} AS loss, "
-                             f"{rexpr('AVG(COALESCE(loss, 0.0)) OVER ()')} AS mean_loss FROM fl"),
+                             f"{rexpr('CASE WHEN COUNT(*) OVER () = COUNT(loss) OVER () THEN AVG(loss) OVER () END')} AS mean_loss FROM fl"),
         "best_trial": sql(scored_ctes() + fold_ctes() + [("trials", trials)],
                           f"SELECT trial_id, predictor, {rexpr('loss')} AS loss FROM trials "
                           "ORDER BY loss, trial_id LIMIT 1"),
@@ -429,23 +448,24 @@ def registry_eval() -> dict[str, str]:
                          "SELECT b.\"column\", b.bin, " + r("mn + (mx - mn) * bin / 100", "lo") + ", "
                          + r("mn + (mx - mn) * (bin + 1) / 100", "hi") + ", n FROM b JOIN rg USING (\"column\")"),
         "correlations": sql(BASE + [("c", corr_rows)],
-                            "SELECT \"column\", corr, CAST(ROW_NUMBER() OVER (ORDER BY abs(corr) DESC NULLS LAST, "
-                            "\"column\") AS INTEGER) AS rank FROM c QUALIFY rank <= 15"),
+                            "SELECT \"column\", ROUND(corr, 3) AS corr, CAST(ROW_NUMBER() OVER (ORDER BY abs(corr) DESC NULLS LAST, "
+                            "\"column\") AS INTEGER) AS rank FROM (SELECT * FROM c) QUALIFY rank <= 15"),
         "scatter_bins": sql(BASE + [("l", long_sc), ("rg", "SELECT \"column\", MIN(value) xmn, MAX(value) xmx, "
                                                            "MIN(y) ymn, MAX(y) ymx FROM l GROUP BY 1")],
                             f"SELECT \"column\", {bucket('value', 'xmn', 'xmx', 50)} AS x_bin, "
                             f"{bucket('y', 'ymn', 'ymx', 50)} AS y_bin, COUNT(*) AS n FROM l JOIN rg "
                             "USING (\"column\") GROUP BY 1, 2, 3"),
-        "distribution_by_category": sql(BASE_STORES, "SELECT type, COUNT(*) AS n, " + r("AVG(sales)", "mean") + ", "
+        "distribution_by_category": sql(BASE_STORES + [("lc", long_value)], "SELECT \"column\", value, COUNT(*) AS n, "
+                                        + r("AVG(sales)", "mean") + ", "
                                         + r("MIN(sales)", "min") + ", " + r("MAX(sales)", "max") + ", "
                                         + r("quantile_cont(sales, 0.25)", "q25") + ", "
                                         + r("quantile_cont(sales, 0.5)", "q50") + ", "
                                         + r("quantile_cont(sales, 0.75)", "q75")
-                                        + " FROM main_stores WHERE sales IS NOT NULL GROUP BY type"),
+                                        + " FROM lc GROUP BY 1, 2"),
         "date_spans": sql(BASE, "SELECT 'all' AS subset, MIN(date) AS min_date, MAX(date) AS max_date FROM main_log "
                                 "UNION ALL SELECT 'train', MIN(date), MAX(date) FROM main_log WHERE is_train = 1 "
                                 "UNION ALL SELECT 'test', MIN(date), MAX(date) FROM main_log WHERE is_test = 1"),
-        "duplicate_rows": sql(BASE, "SELECT date, family, onpromotion, COUNT(*) AS n FROM main_log "
+        "duplicate_rows": sql(BASE, f"SELECT {MAIN_COLS_ROUNDED}, COUNT(*) AS n FROM main_log "
                                     "GROUP BY ALL HAVING COUNT(*) > 1"),
         "top_categories": sql(BASE_STORES + [("l", long_cat), ("cnt", "SELECT \"column\", value, COUNT(*) AS n "
                                                                       "FROM l GROUP BY 1, 2")],
@@ -454,6 +474,39 @@ def registry_eval() -> dict[str, str]:
     }
 
 
+def registry_models() -> dict[str, str]:
+    """Results with a known answer: ids, slots of sorted domains, and losses below the constant predictor's."""
+    from tillroll.plans.queries import SMOKE_FOLDS, SMOKE_TRIALS
+    sub = registry_eval()
+    slots = ", ".join(f"COALESCE((SELECT slot FROM d WHERE d.c = '{g}' AND d.v = CAST(ms.{g} AS VARCHAR)), "
+                      f"(SELECT COUNT(*) FROM d WHERE d.c = '{g}')) AS {g}_slot" for g in GROUPS)
+    known = " + ".join(f"(SELECT COUNT(*) FROM d WHERE d.c = '{g}' AND d.v = CAST(ms.{g} AS VARCHAR))" for g in GROUPS)
+    domain = " UNION ALL ".join(f"SELECT '{g}' AS c, CAST({g} AS VARCHAR) AS v FROM main_stores WHERE is_train = 1 "
+                                "GROUP BY ALL" for g in GROUPS)
+    return {
+        "sample_fact": sql(BASE, f"SELECT {MAIN_COLS_ROUNDED} FROM main_log WHERE substr(md5(CAST(id AS VARCHAR) || ':42'), "
+                                 f"1, 8) < '{int(0.1 * (1 << 32)):08x}'"),
+        "encode_features": sql(BASE_STORES + [
+            ("dv", domain), ("d", "SELECT c, v, CAST(ROW_NUMBER() OVER (PARTITION BY c ORDER BY v) - 1 AS INTEGER) AS slot "
+                                  "FROM dv")],
+            "SELECT id, " + ", ".join(f"CAST({g}_slot AS INTEGER) AS {g}_slot" for g in sorted(GROUPS))
+            + f", CAST(known + onpromotion AS DOUBLE) AS feature_sum FROM (SELECT ms.id, ms.onpromotion, {slots}, {known} AS known "
+              "FROM main_stores ms)"),
+        "fit_gbt": sql([("main", None)], "SELECT id, TRUE AS predicted, TRUE AS beats_constant FROM main WHERE is_test = 1"),
+        "model_roundtrip": sql([("main", None)], "SELECT id, TRUE AS equal FROM main WHERE is_test = 1"),
+        "tune": sql([("main", None)], f"SELECT CAST(i AS INTEGER) AS trial_id, 'gbt' AS study, {SMOKE_FOLDS} AS n_folds, "
+                    f"COUNT(*) > 0 AS defined_loss, TRUE AS fitted_rounds_recorded FROM range({SMOKE_TRIALS}) t(i), main "
+                    "WHERE is_train = 1 GROUP BY i"),
+        "train_best": sql([("main", None)], "SELECT 0 AS seed, COUNT(*) > 0 AS beats_constant FROM main WHERE is_train = 1"),
+        "chunked_boosting": sql([("main", None)], "SELECT CAST(i AS INTEGER) AS chunk, COUNT(*) > 0 AS beats_constant "
+                                                  "FROM range(2) t(i), main WHERE is_train = 1 GROUP BY i"),
+        "trials_append": sql(scored_ctes() + fold_ctes() + [("trials", trials_sql())],
+                             f"SELECT CAST(trial_id AS INTEGER) AS trial_id, 'predictor' AS study, predictor AS params, "
+                             f"{rexpr('loss')} AS loss, {FOLDS} AS n_folds FROM trials"),
+        "write_submission": sub["submission"],
+    }
+
+
 def registry() -> dict[str, str]:
     o: dict[str, str] = {}
     o.update(registry_core())
@@ -461,4 +514,5 @@ def registry() -> dict[str, str]:
     o.update(registry_sources())
     o.update(registry_variants())
     o.update(registry_eval())
+    o.update(registry_models())
     return o

@@ -26,7 +26,9 @@ from tillroll.operators.assemble import assemble_features
 from tillroll.session import materialize, scratch_path
 from tillroll.sources import catmeta as _cm
 from tillroll.sources import files as _files
-from tillroll.plans.common import GROUPS, main_df, main_stores, rounded
+from tillroll.plans import process_data
+from tillroll.plans.common import GROUPS, HOLIDAY_COMBOS, main_df, main_stores, rounded
+from tillroll.sources.manifest import load_and_merge_from_manifest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,19 +109,23 @@ def q_holiday_clean(spark, sf_dir):
     return clean.clean_holidays_events(fixtures.holidays_events_view(spark, sf_dir))
 
 
+def _onehot(spark, sf_dir):
+    return _hol.process_holidays_events(fixtures.holidays_events_view(spark, sf_dir), HOLIDAY_COMBOS)
+
+
 def q_holiday_onehot(spark, sf_dir):
-    return _hol.process_holidays_events(fixtures.holidays_events_view(spark, sf_dir))
+    return _onehot(spark, sf_dir)
 
 
 def q_holiday_neighbours(spark, sf_dir):
     oil = _series.clean_oil(fixtures.oil_view(spark, sf_dir))
-    hol = _hol.process_holidays_events(fixtures.holidays_events_view(spark, sf_dir))
+    hol = _onehot(spark, sf_dir)
     return rounded(_joins.merge_series_holidays(oil, hol))
 
 
 def q_merge_all(spark, sf_dir):
     oil = _series.process_oil(fixtures.oil_view(spark, sf_dir))
-    hol = _hol.process_holidays_events(fixtures.holidays_events_view(spark, sf_dir))
+    hol = _onehot(spark, sf_dir)
     return rounded(_joins.merge_all(main_df(spark, sf_dir), fixtures.stores_view(spark, sf_dir), oil, hol))
 
 
@@ -156,9 +162,11 @@ def _scratch(spark, name):
 
 
 def q_scan_csv_raw(spark, sf_dir):
-    path = _scratch(spark, "stores_csv")
-    _files.write_csv(fixtures.stores_view(spark, sf_dir), path)
-    return _files.read_csv(spark, path, "stores")
+    path = _scratch(spark, "train_csv")
+    fact = clean.get_train(fixtures.main_view(spark, sf_dir))
+    # written in another column order: the scan goes by the header
+    _files.write_csv(fact.select("sales", "family", "date", "store_nbr", "onpromotion", "id"), path)
+    return rounded(_files.read_csv(spark, path, "train"))
 
 
 def q_parquet_roundtrip(spark, sf_dir):
@@ -193,7 +201,7 @@ def feature_tables(spark, sf_dir):
     ms = main_stores(spark, sf_dir)
     secondary = [(fixtures.stores_view(spark, sf_dir), ["store_nbr"]),
                  (_series.process_oil(fixtures.oil_view(spark, sf_dir)), ["date"]),
-                 (_hol.process_holidays_events(fixtures.holidays_events_view(spark, sf_dir)), ["date"])]
+                 (_onehot(spark, sf_dir), ["date"])]
     rolls = [(rolling.compute_rolling_stats(ms, ["family"], windows=(7,)), ["date", "family"]),
              (rolling.compute_rolling_stats(ms, ["type"], windows=(28,)), ["date", "type"])]
     return m, secondary, rolls
@@ -204,6 +212,24 @@ def q_feature_assembly(spark, sf_dir):
     return rounded(assemble_features(m, secondary, rolls))
 
 
+def q_manifest_assembly(spark, sf_dir):
+    """The process job's tables for all six groups, read back by their manifest over a date range."""
+    out = _scratch(spark, "manifest")
+    process_data.run(spark, out, sf_dir=sf_dir, combos=HOLIDAY_COMBOS)
+    wide = load_and_merge_from_manifest(spark, f"{out}/manifest.json", start_date=RANGE_START, end_date=RANGE_END)
+    return rounded(wide.select(*MANIFEST_COLUMNS, *[c for g in GROUPS for c in manifest_features(g)]))
+
+
+# One feature of each kind and window from every group's rolling table, beside the joined dimensions.
+MANIFEST_COLUMNS = ("id", "date", "store_nbr", "family", "sales", "city", "state", "type", "cluster", "dcoilwtico",
+                    "is_holiday_event")
+
+
+def manifest_features(group):
+    return [f"sales_{s}_wrt_{group}_lag16_window{w}" for s, w in
+            zip(("mean", "q50", "max", "q95", "min"), rolling.DEFAULT_WINDOWS)]
+
+
 def registry_sources() -> dict[str, Query]:
     return {
         "scan_csv_raw": q_scan_csv_raw,
@@ -213,6 +239,7 @@ def registry_sources() -> dict[str, Query]:
         "category_union": q_category_union,
         "apply_categories": q_apply_categories,
         "feature_assembly": q_feature_assembly,
+        "manifest_assembly": q_manifest_assembly,
     }
 
 
@@ -292,12 +319,13 @@ def q_backtest_loss(spark, sf_dir):
     folds = _ev.backtest_predictor(clean.get_train(scored_frame(spark, sf_dir)), "log_sales", PRED_COL,
                                    TUNE_FOLDS, TUNE_DAYS)
     # the fold table has TUNE_FOLDS rows, so an un-partitioned window over it is tiny
-    return rounded(folds.withColumn("mean_loss", F.avg(F.coalesce("loss", F.lit(0.0))).over(
-        Window.partitionBy())))
+    every = Window.partitionBy()
+    mean = F.when(F.count_if(F.col("loss").isNull()).over(every) == 0, F.avg("loss").over(every))
+    return rounded(folds.withColumn("mean_loss", mean))
 
 
 def predictor_trials(spark, sf_dir):
-    train = clean.get_train(scored_frame(spark, sf_dir)).cache()
+    train = clean.get_train(scored_frame(spark, sf_dir))  # written already: nothing to cache
     rows = []
     for i, c in enumerate(CANDIDATES):
         folds = _ev.backtest_predictor(train, "log_sales", c, TUNE_FOLDS, TUNE_DAYS)
@@ -313,21 +341,24 @@ def q_best_trial(spark, sf_dir):
     return rounded(_ev.best_trial(predictor_trials(spark, sf_dir)))
 
 
-def q_submission(spark, sf_dir):
-    return rounded(_ev.submission(clean.get_test(scored_frame(spark, sf_dir)), PRED_COL))
+def scored_test(spark, sf_dir):
+    """The test rows only, filtered before the join; nothing is written."""
+    feats = rolling.compute_rolling_stats(main_stores(spark, sf_dir), ["family"], windows=(7,))
+    return clean.get_test(main_df(spark, sf_dir)).join(feats, ["date", "family"], "left")
 
 
-# --- profiling --------------------------------------------------------------------------
+def q_submission(spark, sf_dir):
+    return rounded(_ev.submission(scored_test(spark, sf_dir), PRED_COL))
 
-PROFILE_NUMERIC = ["id", "store_nbr", "onpromotion", "sales", "log_sales"]
 
+# --- profiling --------------------------------------------------------------------------
 
 def q_profile_table(spark, sf_dir):
-    return _pf.profile_table(main_df(spark, sf_dir)).drop("dtype")
+    return _pf.profile_table(main_df(spark, sf_dir))
 
 
 def q_histogram(spark, sf_dir):
-    return rounded(_pf.histogram(main_df(spark, sf_dir), PROFILE_NUMERIC, bins=100))
+    return rounded(_pf.histogram(main_df(spark, sf_dir), bins=100))
 
 
 def q_correlations(spark, sf_dir):
@@ -336,12 +367,16 @@ def q_correlations(spark, sf_dir):
                                                  "is_train", "is_test"]))
 
 
+# Every numeric column but the target.
+SCATTER_COLUMNS = ["id", "store_nbr", "onpromotion", "log_sales", "is_train", "is_test"]
+
+
 def q_scatter_bins(spark, sf_dir):
-    return _pf.scatter_bins(main_df(spark, sf_dir), "sales", ["log_sales", "onpromotion", "store_nbr"], bins=50)
+    return _pf.scatter_bins(main_df(spark, sf_dir), "sales", SCATTER_COLUMNS, bins=50)
 
 
 def q_distribution_by_category(spark, sf_dir):
-    return rounded(_pf.distribution_by_category(main_stores(spark, sf_dir), "type", "sales"))
+    return rounded(_pf.distribution_by_category(main_stores(spark, sf_dir), GROUPS, "sales"))
 
 
 def q_date_spans(spark, sf_dir):
@@ -349,7 +384,7 @@ def q_date_spans(spark, sf_dir):
 
 
 def q_duplicate_rows(spark, sf_dir):
-    return _pf.duplicate_rows(main_df(spark, sf_dir).select("date", "family", "onpromotion"))
+    return rounded(_pf.duplicate_rows(main_df(spark, sf_dir)))
 
 
 def q_top_categories(spark, sf_dir):
@@ -377,7 +412,7 @@ def registry_eval() -> dict[str, Query]:
     }
 
 
-# --- models, trials and sinks (rows-only checks) ----------------------------------------
+# --- models, trials and sinks: results with a known answer --------------------------------
 
 
 # Small-run settings for the driver-run model keys (2 trials,
@@ -392,19 +427,29 @@ def model_frame(spark, sf_dir):
 
 
 def q_sample_fact(spark, sf_dir):
-    return rounded(main_df(spark, sf_dir).sample(withReplacement=False, fraction=0.1, seed=42))
+    return rounded(clean.sample_rows(main_df(spark, sf_dir), 0.1, seed=42))
 
 
 def q_encode_features(spark, sf_dir):
     df = model_frame(spark, sf_dir)
     enc = _model.encode_features(clean.get_train(df), df)
-    return enc.select("id", vector_to_array("features").alias("features"))
+    slots = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda s, x: s + x)
+    # slot of each category (the domain's size if unknown), and the sum of the whole feature vector
+    return enc.select("id", *[F.col(f"{c}__idx").cast("int").alias(f"{c}_slot") for c in sorted(GROUPS)],
+                      slots.alias("feature_sum"))
 
 
 def q_fit_gbt(spark, sf_dir):
     df = model_frame(spark, sf_dir)
-    model = _model.build_model(df, GBT_PARAMS).fit(clean.get_train(df))
-    return model.transform(clean.get_test(df)).select("id", "prediction")
+    train = clean.get_train(df)
+    model, rmse = _model.fit_scored(train, GBT_PARAMS)
+    return model.transform(clean.get_test(df)).select(
+        "id", F.col("prediction").isNotNull().alias("predicted"), F.lit(rmse < constant_rmse(train)).alias("beats_constant"))
+
+
+def constant_rmse(train) -> float:
+    """RMSE of the best constant predictor."""
+    return train.agg(F.stddev_pop("log_sales")).first()[0]
 
 
 def q_model_roundtrip(spark, sf_dir):
@@ -416,21 +461,38 @@ def q_model_roundtrip(spark, sf_dir):
     test = clean.get_test(df)
     a = model.transform(test).select("id", F.col("prediction").alias("p_fitted"))
     b = loaded.transform(test).select("id", F.col("prediction").alias("p_loaded"))
-    return a.join(b, "id").withColumn("equal", F.col("p_fitted") == F.col("p_loaded"))
+    return a.join(b, "id").select("id", (F.col("p_fitted") == F.col("p_loaded")).alias("equal"))
 
 
-def q_tune(spark, sf_dir):
+def run_trials(spark, sf_dir):
     df = clean.get_train(model_frame(spark, sf_dir)).cache()
-    return _model.tune(df, SMOKE_TRIALS, _scratch(spark, "trials"), n_backtests=SMOKE_FOLDS,
-                       valset_size=SMOKE_DAYS, max_iter_cap=SMOKE_ITER)
+    try:
+        return _model.tune(df, SMOKE_TRIALS, _scratch(spark, "trials"), n_backtests=SMOKE_FOLDS,
+                           valset_size=SMOKE_DAYS, space=_model.with_rounds(SMOKE_ITER))
+    finally:
+        df.unpersist()
+
+
+def q_tune(spark, sf_dir):
+    rounds = F.get_json_object("params", "$.n_estimators").cast("int")
+    return run_trials(spark, sf_dir).select(
+        "trial_id", "study", "n_folds", (F.col("loss") > 0).alias("defined_loss"),
+        (rounds <= SMOKE_ITER).alias("fitted_rounds_recorded"))
 
 
 def q_train_best(spark, sf_dir):
     df = model_frame(spark, sf_dir)
-    trials = q_tune(spark, sf_dir)
-    hp = _model.best_params(trials)
-    res = _model.train_best(df, hp, n_seeds=1, sample_frac=0.1, n_iter=2, max_iter_cap=SMOKE_ITER)
-    return spark.createDataFrame([(s, r) for s, _, r in res], "seed int, train_rmse double")
+    hp = _model.best_params(run_trials(spark, sf_dir))
+    best = constant_rmse(clean.get_train(df))
+    res = _model.train_best(df, hp, n_seeds=1, sample_frac=0.1, n_iter=2)
+    return spark.createDataFrame([(s, r < best) for s, _, r in res], "seed int, beats_constant boolean")
+
+
+def q_chunked_boosting(spark, sf_dir):
+    df = model_frame(spark, sf_dir)
+    best = constant_rmse(clean.get_train(df))
+    _, losses = _model.train_chunked(df, GBT_PARAMS, sample_frac=0.1, n_iter=2)
+    return spark.createDataFrame([(i, x < best) for i, x in enumerate(losses)], "chunk int, beats_constant boolean")
 
 
 def q_trials_append(spark, sf_dir):
@@ -438,14 +500,14 @@ def q_trials_append(spark, sf_dir):
     path = _scratch(spark, "trials_table")
     for t in trials:
         _model.append_trials(spark, [(int(t["trial_id"]), "predictor", t["predictor"], float(t["loss"]), 8)], path)
-    return _model.load_trials(spark, path)
+    return rounded(_model.load_trials(spark, path))
 
 
 def q_write_submission(spark, sf_dir):
-    sub = _ev.submission(clean.get_test(scored_frame(spark, sf_dir)), PRED_COL)
+    sub = _ev.submission(scored_test(spark, sf_dir), PRED_COL)
     path = _scratch(spark, "submission_csv")
     _files.write_csv(sub, path)
-    return _files.read_csv(spark, path, "id long, sales double")
+    return rounded(_files.read_csv(spark, path, "id long, sales double"))
 
 
 def registry_models() -> dict[str, Query]:
@@ -456,6 +518,7 @@ def registry_models() -> dict[str, Query]:
         "model_roundtrip": q_model_roundtrip,
         "tune": q_tune,
         "train_best": q_train_best,
+        "chunked_boosting": q_chunked_boosting,
         "trials_append": q_trials_append,
         "write_submission": q_write_submission,
     }

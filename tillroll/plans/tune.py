@@ -17,12 +17,17 @@ from tillroll.sources.manifest import load_and_merge_from_manifest
 
 def run(spark: SparkSession, manifest_path: str, trials_path: str, n_trials: int = 5, n_backtests: int = 8,
         valset_size: int = 16, n_jobs: int = 1, study: str = "gbt", seed: int = 42,
-        max_iter_cap: int | None = None, sample: float = 1.0):
+        max_rounds: int | None = None, sample: float = 1.0, **plugins):
+    """``max_rounds`` narrows the search space; ``plugins`` are ``model.tune``'s (space, model_builder, loss_fn)."""
     df = clean.get_train(load_and_merge_from_manifest(spark, manifest_path, sample=sample, seed=seed))
     # every fold of every trial filters this frame: keep it (spilling to disk if needed)
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    return model.tune(df, n_trials, trials_path, study, seed, n_backtests, valset_size, n_jobs,
-                      max_iter_cap=max_iter_cap)
+    if max_rounds is not None:
+        plugins.setdefault("space", model.with_rounds(max_rounds))
+    try:
+        return model.tune(df, n_trials, trials_path, study, seed, n_backtests, valset_size, n_jobs, **plugins)
+    finally:
+        df.unpersist()
 
 
 def main(argv=None):
@@ -34,11 +39,11 @@ def main(argv=None):
     ap.add_argument("--valset-size", type=int, default=16)
     ap.add_argument("--n-jobs", type=int, default=1)
     ap.add_argument("--study", default="gbt")
-    ap.add_argument("--max-iter-cap", type=int)
+    ap.add_argument("--max-rounds", type=int, help="upper bound of n_estimators in the search space")
     a = ap.parse_args(argv)
     spark = job_session("tillroll-tune")
     run(spark, a.manifest, a.trials, a.n_trials, a.n_backtests, a.valset_size, a.n_jobs, a.study,
-        max_iter_cap=a.max_iter_cap)
+        max_rounds=a.max_rounds)
 
 
 if __name__ == "__main__":

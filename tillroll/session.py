@@ -6,7 +6,9 @@ is unset (local runs and tests).
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -30,6 +32,9 @@ JOB_DEFAULTS = {
 }
 
 
+NO_SHARED_FOLDER = "spark.checkpoint.dir is not set: it has to name a folder that the driver and all executors share"
+
+
 def job_session(app_name: str) -> SparkSession:
     """Session for the batch jobs: the cluster's settings plus ``JOB_DEFAULTS``."""
     builder = SparkSession.builder.appName(app_name)
@@ -39,7 +44,7 @@ def job_session(app_name: str) -> SparkSession:
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app_name: str = "tillroll", driver_memory: str = "16g") -> SparkSession:
+                  app_name: str = "tillroll", driver_memory: str = "8g") -> SparkSession:
     """Session for tests and single-node benchmarks."""
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app_name)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -55,8 +60,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be a shared file system path set by the operator;
-    only when it is unset (local runs, tests) a scratch folder is created.
+    On a cluster this must be a shared file system path set by the operator:
+    executors cannot see each other's local folders, so an unset one is an error
+    there.  Only a local session (tests, single node) gets a scratch folder.
     """
     try:
         sc = spark.sparkContext
@@ -65,15 +71,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if not configured:
-            configured = tempfile.mkdtemp(prefix="tillroll-ckpt-")
-            spark.conf.set("spark.checkpoint.dir", configured)
+            raise RuntimeError(NO_SHARED_FOLDER)
         return configured
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError(NO_SHARED_FOLDER)
         configured = tempfile.mkdtemp(prefix="tillroll-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
