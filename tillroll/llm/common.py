@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from tillroll.session import materialize
 
-__all__ = ["byte_slices", "find_package", "materialize", "mix", "read_table", "segment_sums", "split_words", "text_bytes", "texts"]
+__all__ = ["byte_slices", "find_package", "hash_strings", "materialize", "mix",
+           "powers", "read_table", "segment_sums", "split_words", "text_bytes", "texts"]
 
 #: Bytes of text that one step of a Python task handles at a time; one document is never cut.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -95,6 +96,32 @@ def segment_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
+_BASE = 0x9E3779B97F4A7C15
+_made: list[np.ndarray] = []
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the rolling hash's base and of its inverse, modulo 2**64; kept for the next call."""
+    if not _made or len(_made[0]) < n:
+        made = []
+        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+            x = np.full(max(n, 1 << 16), base, np.uint64)
+            x[0] = 1
+            made.append(np.multiply.accumulate(x))
+        _made[:] = made
+    return _made[0][:n], _made[1][:n]
+
+
+def hash_strings(column: pa.Array) -> np.ndarray:
+    """64-bit hash of each string of a column without nulls: a polynomial in its bytes, mixed."""
+    raw, off = text_bytes(column)
+    up, down = powers(len(raw) + 1)
+    total = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:len(raw)], out=total[1:])
+    begin, end = off[:-1], off[1:]
+    return mix((total[end] - total[begin]) * down[begin] + mix((end - begin).astype(np.uint64)))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """64-bit finaliser (splitmix64), element by element."""
     x = x.astype(np.uint64, copy=True)

@@ -32,15 +32,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import byte_slices, materialize, mix, segment_sums, split_words, texts
+from tillroll.llm.common import byte_slices, hash_strings, materialize, mix, segment_sums, split_words, texts
 
 #: Words counted at a time in a task, and bytes of text to a part.
-BLOCK_WORDS, PART_BYTES = 1 << 22, 16 << 20
+BLOCK_WORDS, PART_BYTES = 1 << 21, 16 << 20
 FREQUENT = 1 << 21
 #: Filter: bits for each entry and probes for each test.  False-positive rate about 2 %.
 BITS, PROBES = 8, 5
@@ -56,8 +55,7 @@ def held_out(doc_id: Column) -> Column:
 def word_keys(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The hash of each word and end of all rows, and each row's offset (one more at the end)."""
     words, idx, off = split_words(text, lower=True)
-    hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, words.cast(pa.large_binary()).to_pylist()), np.uint64, len(words))
-    return np.insert(hashed[idx], off[1:], END), off + np.arange(len(off))
+    return np.insert(hash_strings(words)[idx], off[1:], END), off + np.arange(len(off))
 
 
 def pair_keys(keys: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -220,8 +218,9 @@ def rounds(built: DataFrame, parts: int, limit: int) -> list[tuple[int, int]]:
 
 
 def _bits(built: DataFrame, column: str, begin: int, end: int) -> list[bytes]:
-    rows = dict(built.where(F.col("part").between(begin, end - 1)).select("part", column).collect())
-    return [bytes(rows.get(p, b"\0" * 8)) for p in range(begin, end)]
+    chosen = built.where(F.col("part").between(begin, end - 1)).select("part", column)
+    rows = {part: bits for part, bits in chosen.toLocalIterator()}  # a few parts at a time pass through the JVM
+    return [rows.get(p, b"\0" * 8) for p in range(begin, end)]
 
 
 def score(docs: DataFrame, round_bytes: int = ROUND_BYTES, prior: float = PRIOR, frequent: int = FREQUENT,
