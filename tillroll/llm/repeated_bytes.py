@@ -33,40 +33,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import byte_slices, materialize, mix, text_bytes, texts
+from tillroll.llm.common import byte_slices, materialize, mix, powers, text_bytes, texts
 from tillroll.llm.suffix_array import common_prefixes, suffix_array
 
 LENGTH, GRAM = 200, 64
 #: Offsets that an anchor can have in a window.
 OFFSETS = LENGTH - GRAM + 1
 #: Different stretches that one anchor may bring to a shard, and bytes of a shard.
-GROUP, SHARD_BYTES = 256, 2 << 20
+GROUP, SHARD_BYTES = 4096, 2 << 20
 #: Window starts handled at a time; longer texts are cut between windows.
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 BROADCAST_BYTES = 32 << 20
 #: Stands between stretches in a shard; no UTF-8 text holds it.
 SEPARATOR = 0xFF
-_BASE = 0x9E3779B97F4A7C15
-_powers: list[np.ndarray] = []
-
-
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    if not _powers or len(_powers[0]) < n:
-        made = []
-        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-            x = np.full(n, base, np.uint64)
-            x[0] = 1
-            made.append(np.multiply.accumulate(x))
-        _powers[:] = made
-    return _powers[0][:n], _powers[1][:n]
 
 
 def anchors(raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
     """Stretches of the texts ``raw[begin[k]:end[k]]`` (each of ``LENGTH`` bytes at least): text, first window, number
     of windows, anchor, anchor's hash."""
     n = len(raw)
-    up, down = _power(n + 1)
+    up, down = powers(n + 1)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
     hashed = np.full(n, ~np.uint64(0))
@@ -196,7 +182,7 @@ def split(rows: DataFrame) -> DataFrame:
 def shard_repeats(pieces: list[bytes]) -> Iterator[tuple[int, int, int]]:
     """(piece, first window, number of windows) of the runs of windows that stand twice or more in the pieces."""
     text = np.frombuffer(bytes([SEPARATOR]).join(pieces), np.uint8)
-    order = suffix_array(text)
+    order = suffix_array(text, LENGTH)
     before, length = common_prefixes(text, order, LENGTH)
     same = np.flatnonzero(length >= LENGTH)
     again = np.zeros(len(text) + 1, bool)

@@ -2,10 +2,9 @@
 
 ``suffix_array`` classifies suffixes as smaller (S) or larger (L) than the next
 one, sorts the substrings between leftmost S positions by inducing, names them, sorts the
-string of names recursively, and induces the whole array from it.  Over bytes
-the induction goes bucket by bucket and, in a bucket, wave by wave, each a few
-array operations; total work is linear.  Strings of names have a large
-alphabet and are induced entry by entry.
+string of names in turn, and induces the whole array from it.  The
+induction goes bucket by bucket and, in a bucket, wave by wave, each a few
+array operations on linear work.  The string of names is sorted by doubling ranks.
 """
 
 from __future__ import annotations
@@ -46,7 +45,7 @@ def _gather(parts: list[np.ndarray]) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, np.int64)
 
 
-def _induce_bytes(text: np.ndarray, small: np.ndarray, lms: np.ndarray) -> np.ndarray:
+def _induce(text: np.ndarray, small: np.ndarray, lms: np.ndarray) -> np.ndarray:
     """All suffixes in order, from the leftmost S suffixes in order (or, for sorting substrings, by first character)."""
     n = len(text)
     ends: dict[int, list[np.ndarray]] = {}
@@ -82,34 +81,23 @@ def _induce_bytes(text: np.ndarray, small: np.ndarray, lms: np.ndarray) -> np.nd
     return _gather([x for c in chars for x in (large[c][0], smaller[c][0][::-1])])
 
 
-def _induce_names(text: np.ndarray, small: np.ndarray, lms: np.ndarray) -> np.ndarray:
-    """The same for a large alphabet, entry by entry."""
-    n, size = len(text), np.bincount(text)
-    ends = np.cumsum(size)
-    heads, tails = (ends - size).tolist(), ends.tolist()
-    t, s, out = text.tolist(), small.tolist(), [-1] * n
-    last = list(tails)
-    for j in reversed(lms.tolist()):
-        c = t[j]
-        last[c] -= 1
-        out[last[c]] = j
-    at = heads
-    c = t[n - 1]
-    out[at[c]] = n - 1
-    at[c] += 1
-    for j in out:
-        if j > 0 and not s[j - 1]:
-            c = t[j - 1]
-            out[at[c]] = j - 1
-            at[c] += 1
-    at = tails
-    for k in range(n - 1, -1, -1):
-        j = out[k]
-        if j > 0 and s[j - 1]:
-            c = t[j - 1]
-            at[c] -= 1
-            out[at[c]] = j - 1
-    return np.array(out, np.int64)
+def _rank_names(names: np.ndarray, most: int | None) -> np.ndarray:
+    """Order of the suffixes of a string of names, or of their first ``most`` names at least, by doubling.
+
+    Induction over so large an alphabet goes entry by entry, which costs several times more here.
+    """
+    n = len(names)
+    rank, step = names.astype(np.int64), 1
+    while True:
+        key = rank * (n + 1)
+        key[:-step or n] += rank[step:] + 1
+        order = np.argsort(key)
+        key = key[order]
+        new = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])
+        rank[order] = new
+        step *= 2
+        if new[-1] == n - 1 or step >= n or most is not None and step >= most:
+            return order
 
 
 def _names(text: np.ndarray, lms: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, int]:
@@ -130,22 +118,23 @@ def _names(text: np.ndarray, lms: np.ndarray, order: np.ndarray) -> tuple[np.nda
     return name, int(name.max()) + 1
 
 
-def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Start positions of the suffixes of ``text`` (whole numbers from 0) in ascending order."""
+def suffix_array(text: np.ndarray, most: int | None = None) -> np.ndarray:
+    """Start positions of the suffixes of ``text`` (bytes) in ascending order; with ``most``, suffixes that agree in
+    so many bytes may stand in any order among themselves."""
     n = len(text)
     if n < 2:
         return np.arange(n)
-    induce = _induce_bytes if text.dtype == np.uint8 else _induce_names
     small = _types(text)
     lms = _leftmost(small)
     if len(lms) > 1:
-        order = induce(text, small, lms)
+        order = _induce(text, small, lms)
         mark = np.zeros(n, bool)
         mark[lms] = True
         order = order[mark[order]]
         name, distinct = _names(text, lms, order)
-        lms = order if distinct == len(lms) else lms[suffix_array(name)]
-    return induce(text, small, lms)
+        # two neighbouring leftmost S positions are two bytes apart at least
+        lms = order if distinct == len(lms) else lms[_rank_names(name, None if most is None else most // 2 + 2)]
+    return _induce(text, small, lms)
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
