@@ -45,8 +45,9 @@ def test_stage_keeps_columns_and_empty_tables(spark):
 def test_policies_and_ablations_equal_evaluating_each(spark):
     ledger = q.rule_ledger(awkward.docs(spark, NOISE)).cache()
     rows = [r.fail_bits for r in ledger.collect()]
-    for policy in (q.BASE, q.DEFAULT):
-        flags = q.apply_policies(ledger, [policy]).agg(F.sum(F.col(f"rejected_{policy.name}_v1").cast("int"))).first()[0]
+    for policy in (q.BASE, q.EVERY, q.DEFAULT):
+        verdict = F.col(f"rejected_{policy.name}_v{policy.version}").cast("int")
+        flags = q.apply_policies(ledger, [policy]).agg(F.sum(verdict)).first()[0]
         assert flags == sum(b & policy.mask != 0 for b in rows)
         for r in q.ablations(ledger, policy).collect():
             bit = 1 << list(q.RULES).index(r["rule"])

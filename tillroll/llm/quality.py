@@ -42,7 +42,7 @@ RULES: dict[str, str] = {
     "duplicate_lines": "100 * n_dup_lines > 30 * n_lines",
     "short_words": "word_chars < 2 * n_words",
     "long_words": "word_chars > 20 * n_words",
-    "few_letters": "100 * n_alpha_words < 60 * n_words",
+    "few_letters": "100 * n_alpha_words < 50 * n_words",
 }
 
 
@@ -60,8 +60,10 @@ class Policy:
 
 
 BASE = Policy("base", 1, ("few_words", "repeated_windows"))
-#: The two base rules plus those that mark noise, markup and boilerplate.
-DEFAULT = Policy("default", 1, tuple(RULES))
+#: All rules: version 1 also rejected short texts for one repeated licence line.
+EVERY = Policy("default", 1, tuple(RULES))
+#: The two base rules plus those that mark noise and markup.  Repeated lines are measured, but no reason to reject.
+DEFAULT = Policy("default", 2, tuple(r for r in RULES if r != "duplicate_lines"))
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
