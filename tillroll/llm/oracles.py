@@ -2,12 +2,13 @@
 
 The others have none and are held against brute force in ``tests/llm``:
 alignment (1), checksums over letters (2), a Bloom filter's own errors (3),
-bytes across all documents (4), tokenizers (5, 9), HTML (7), and look-around
-expressions with offsets (10).
+bytes across all documents (4), tokenizers (5, 9) and HTML (7).
 """
 
 from __future__ import annotations
 
+from tillroll.llm import secrets
+
 WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -52,5 +53,38 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
 FROM d JOIN c ON c.rid = d.rid LEFT JOIN n ON n.rid = d.rid"""
 
 
+def secrets_sql() -> str:
+    text = lambda s: "'" + s.replace("'", "''") + "'"
+    matches = []
+    for rank, k in enumerate(secrets.KINDS):
+        pattern, counts = k.pattern, f"length(parts[i]) >= {k.least}"
+        if k.name == "key40":  # no look-around here: whole runs that are 40 long and mixed
+            pattern = "[A-Za-z0-9+/=]+"
+            counts = "length(runs[i]) = 40 AND runs[i] NOT LIKE '%=%'" + "".join(
+                f" AND regexp_matches(runs[i], '{c}')" for c in ("[0-9]", "[A-Z]", "[a-z]"))
+        matches.append(
+            f"SELECT rid, '{k.name}' AS kind, {rank} AS rank, '{k.role}' AS role, {k.strong} AS strong, i, "
+            f"length(gaps[i]) + length(runs[i]) AS step, length(runs[i]) AS size, {counts} AS counts FROM (SELECT rid, "
+            f"string_split_regex(t, {text(pattern)}) AS gaps, regexp_extract_all(t, {text(pattern)}) AS runs, "
+            f"regexp_extract_all(t, {text(pattern)}, {k.group}) AS parts FROM d), unnest(range(1, len(runs) + 1)) x(i)")
+    needs = " OR ".join(f"(w.role = '{role}' AND o.role IN ({', '.join(map(text, roles))}))"
+                        for role, roles in secrets.NEEDS.items())
+    spans = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank)"
+    counts = ", ".join(f"CAST(count(*) FILTER (kind = '{k}') AS BIGINT) AS n_{k}" for k in secrets.BASE_KINDS)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({" UNION ALL ".join(matches)}),
+e AS (SELECT *, sum(step) OVER (PARTITION BY rid, kind ORDER BY i) AS stop FROM m),
+p AS (SELECT rid, kind, rank, role, strong, stop - size AS start, stop FROM e WHERE counts),
+linked AS (SELECT w.rid, w.kind, w.rank, w.start, w.stop FROM p w JOIN p o ON o.rid = w.rid
+           AND abs(o.start - w.start) <= {secrets.SCOPE} AND ({needs}) WHERE NOT w.strong
+           GROUP BY ALL HAVING count(DISTINCT o.role) >= CASE WHEN any_value(w.role) = 'endpoint' THEN 2 ELSE 1 END),
+s AS (SELECT rid, kind, rank, start, stop FROM p WHERE strong UNION ALL SELECT * FROM linked),
+g AS (SELECT rid, {counts}, {spans} AS spans,
+             {spans} FILTER (rank < {len(secrets.BASE_KINDS)}) AS base FROM s GROUP BY rid)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in secrets.BASE_KINDS)},
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g ON g.rid = d.rid"""
+
+
 def registry() -> dict[str, str]:
-    return {"op6_quality": quality_sql(), "op8_jaccard": jaccard_sql()}
+    return {"op6_quality": quality_sql(), "op8_jaccard": jaccard_sql(), "op10_secrets": secrets_sql()}
