@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import byte_slices, materialize, mix, split_words, texts
+from tillroll.llm.common import byte_slices, hash_strings, materialize, mix, split_words, texts
 from tillroll.llm.components import components
 
 WIDTH, PERCENT = 5, 80
@@ -54,10 +54,9 @@ _MULTIPLIERS = mix(np.arange(1, WIDTH + 1, dtype=np.uint64) * np.uint64(0x9E3779
 def shingles(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(row, shingle) of each distinct shingle of each row, sorted."""
     words, idx, off = split_words(text, lower=True)
-    hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, words.cast(pa.large_binary()).to_pylist()), np.uint64, len(words))
     n = np.diff(off)
     row = np.repeat(np.arange(len(n)), n)
-    value = hashed[idx]
+    value = hash_strings(words)[idx]
     at = np.flatnonzero(np.arange(len(idx)) + WIDTH <= off[1:][row])
     key = np.zeros(len(at), np.uint64)
     for k in range(WIDTH):
@@ -66,32 +65,46 @@ def shingles(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     whole = np.array([sum((int(value[off[r] + k]) * int(_MULTIPLIERS[k]) for k in range(n[r])), int(n[r])) & (2**64 - 1)
                       for r in few.tolist()], np.uint64)
     row, key = np.concatenate([row[at], few]), mix(np.concatenate([key, whole]))
-    order = np.lexsort((key, row))
+    joined = row.astype(np.uint64) << np.uint64(44) | key >> np.uint64(20)
+    order = np.argsort(joined)
+    if len(n) >= 1 << 20 or _ambiguous(joined[order], key[order]):
+        order = np.lexsort((key, row))
     row, key = row[order], key[order]
     new = np.ones(len(row), bool)
     new[1:] = (row[1:] != row[:-1]) | (key[1:] != key[:-1])
     return row[new], key[new]
 
 
+def _ambiguous(joined: np.ndarray, key: np.ndarray) -> bool:
+    """Whether different shingles look the same in the abridged sort key."""
+    return bool(((joined[1:] == joined[:-1]) & (key[1:] != key[:-1])).any())
+
+
 def repeated(docs: DataFrame) -> DataFrame:
     """``shingle``, ``n``: counts of the shingles that stand in several texts of a task's share."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-
-        def done():
-            key, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(key[n > 1].view(np.int64)), pa.array(n[n > 1])],
+        held, size = np.empty(COUNTED, np.uint64), 0
+
+        def done(key: np.ndarray) -> pa.RecordBatch:
+            key.sort()  # in place: a task holds one block
+            same = np.flatnonzero(key[1:] == key[:-1])
+            found = key[same]  # a shingle that stands k times makes k - 1 equal neighbours
+            first = np.flatnonzero(np.append(True, found[1:] != found[:-1])) if len(found) else same
+            n = np.diff(np.append(first, len(found))) + 1
+            return pa.RecordBatch.from_arrays([pa.array(found[first].view(np.int64)), pa.array(n.astype(np.int64))],
                                               names=["shingle", "n"])
 
         for batch in byte_slices(batches):
             key = shingles(batch.column(0))[1]
-            held.append(key)
+            if size + len(key) > len(held):
+                yield done(held[:size])
+                size = 0
+            if len(key) > len(held):  # one huge text: its shingles differ
+                continue
+            held[size:size + len(key)] = key
             size += len(key)
-            if size >= COUNTED:
-                yield done()
-                held, size = [], 0
-        if held:
-            yield done()
+        if size:
+            yield done(held[:size])
 
     found = docs.select("text").mapInArrow(count, "shingle long, n long")
     return materialize(found.groupBy("shingle").agg(F.sum("n").alias("n")), "near_repeated")
@@ -128,8 +141,10 @@ def profiles(docs: DataFrame, table: np.ndarray) -> DataFrame:
             if len(known):
                 at = np.minimum(np.searchsorted(known, key), len(known) - 1)
                 place = np.where(known[at] == key, rank[at], 0)
-            moved = np.lexsort((place, row)) if place.any() else np.arange(len(key))  # stable: by hash where equal
-            ordered, lengths = key[moved], prefix_length(n)
+            ordered, lengths = key.copy(), prefix_length(n)
+            common = np.flatnonzero(np.bincount(row, place > 0, batch.num_rows)[row])  # the rows to sort anew
+            if len(common):  # stable: by hash where the place is the same
+                ordered[common] = key[common[np.argsort(row[common] << 32 | place[common], kind="stable")]]
             raw = key.tobytes()
             classes, groups, prefixes = [], [], []
             for r, (k, p) in enumerate(zip(n.tolist(), lengths.tolist())):
@@ -156,19 +171,18 @@ def profiles(docs: DataFrame, table: np.ndarray) -> DataFrame:
 
 
 def postings(groups: DataFrame) -> DataFrame:
-    """``shingle``, ``gid``, ``n``, ``m``, ``pos`` of each prefix entry."""
+    """``shingle``, ``gid``, ``m``, ``pos`` of each prefix entry."""
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_slices(batches, "prefix"):
-            raw = batch.column(3).to_pylist()
+            raw = batch.column(2).to_pylist()
             size = np.array([len(x) // 8 for x in raw], np.int64)
             row = pa.array(np.repeat(np.arange(len(raw)), size))
             pos = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.frombuffer(b"".join(raw), np.int64)), *(batch.column(c).take(row) for c in range(3)),
-                 pa.array(pos.astype(np.int32))], names=["shingle", "gid", "n", "m", "pos"])
+                [pa.array(np.frombuffer(b"".join(raw), np.int64)), batch.column(0).take(row), batch.column(1).take(row),
+                 pa.array(pos.astype(np.int32))], names=["shingle", "gid", "m", "pos"])
 
-    return groups.select("gid", F.col("n").cast("int"), F.col("m").cast("int"), "prefix").mapInArrow(
-        explode, "shingle long, gid long, n int, m int, pos int")
+    return groups.select("gid", F.col("m").cast("int"), "prefix").mapInArrow(explode, "shingle long, gid long, m int, pos int")
 
 
 def possible(n1: str, pos1: str, n2: str, pos2: str) -> Column:
@@ -208,16 +222,16 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
     members = materialize(found.select("cid", "text").mapInArrow(sets, "cid long, members binary")
                           .dropDuplicates(["cid"]), "near_sets")
 
-    def whole(raw: bytes) -> np.ndarray:
-        out = np.zeros((len(raw) // 6, 8), np.uint8)
+    def whole(raw: pa.Buffer) -> np.ndarray:
+        out = np.zeros((raw.size // 6, 8), np.uint8)
         out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
         return out.view(np.uint64).ravel()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = whole(x), whole(y)
+            for k in range(batch.num_rows):  # in place: sets of a batch are not copied at once
+                x, y = (whole(batch.column(c)[k].as_buffer()) for c in (2, 3))
                 both = np.sort(np.concatenate([x, y]), kind="stable")
                 shared = int((both[1:] == both[:-1]).sum())
                 linked.append(100 * shared >= PERCENT * (len(x) + len(y) - shared))
@@ -249,7 +263,7 @@ def indexed(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
             .withColumn("cid", F.monotonically_increasing_id()), "near_classes")
         sizes = materialize(classes.groupBy("grp").agg(F.count("*").alias("m"), F.min("cid").alias("leader")), "near_sizes")
         entries = postings(groups.join(sizes, "grp"))
-        pivot = F.min(F.struct("pos", "n", "gid")).alias("pivot")
+        pivot = F.min(F.struct("pos", "gid")).alias("pivot")
         heads = materialize(entries.groupBy("shingle").agg(F.sum("m").alias("size"), pivot).where("size > 1"), "near_heads")
         long = heads.where(F.col("size") > LONG_LIST).select("size", "shingle").toPandas().sort_values(["size", "shingle"])
         new = long["shingle"].to_numpy(np.int64).view(np.uint64)
@@ -257,7 +271,11 @@ def indexed(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         if not len(new):
             break
         table = np.concatenate([table, new])
-    lists = materialize(entries.join(heads.select("shingle", "pivot"), "shingle"), "near_lists")
+    n_of = small(materialize(groups.select("gid", F.col("n").cast("int").alias("n")), "near_group_sizes"), 32)
+    lists = entries.select("shingle", "gid", "pos").join(heads.select("shingle", "pivot"), "shingle").select(
+        "shingle", "gid", "pos", F.col("pivot.gid").alias("pivot_gid"), F.col("pivot.pos").alias("pivot_pos"))
+    pivot_n = n_of.select(F.col("gid").alias("pivot_gid"), F.col("n").alias("pivot_n"))
+    lists = materialize(lists.join(n_of, "gid").join(pivot_n, "pivot_gid"), "near_lists")
     numbered = materialize(classes.join(groups.select("grp", "gid").join(sizes, "grp"), "grp").select(
         "class", "text_key", "label", "cid", "gid", "leader"), "near_numbered")
     return found, numbered, lists
@@ -265,8 +283,8 @@ def indexed(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 def links(docs: DataFrame, classes: DataFrame, lists: DataFrame) -> DataFrame:
     """Verified links (``a``, ``b`` of class ids) that connect exactly the classes which all links connect."""
-    meet = lists.where((F.col("gid") != F.col("pivot.gid")) & possible("n", "pos", "pivot.n", "pivot.pos")).select(
-        F.col("pivot.gid").alias("other"), "gid").distinct()
+    meet = lists.where((F.col("gid") != F.col("pivot_gid")) & possible("n", "pos", "pivot_n", "pivot_pos")).select(
+        F.col("pivot_gid").alias("other"), "gid").distinct()
     leaders = classes.select(F.col("gid").alias("other"), "leader").distinct()
     members = classes.select("gid", "cid")
     across = meet.join(leaders, "other").join(members, "gid").select(*ordered_pairs("leader", "cid"))
