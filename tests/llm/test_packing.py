@@ -53,6 +53,21 @@ def test_round_trip(spark, sf_small):
         check_round_trip(df, packing.pack(df, PATH))
 
 
+def test_words_have_the_ids_of_the_library(sf_small):
+    import pyarrow.parquet as pq
+    model = Tokenizer.from_file(PATH)
+    words = {w for t in pq.read_table(f"{sf_small}/documents.parquet")["text"].to_pylist() for w in (t or "").split()}
+    words |= {"don't", "DON'T.", "ÀÉß!", "ſtart", "İx", "Ω", "a.b", "...", "x,", ",", "é", "e\u0301", "ﬁn", "Ÿa", "ÿ;", "µm", "ªa",
+              "<|endoftext|>", "a1", "z" * 300, "\x01", "a\x01", "\u212A", "\u212Bng", "STRA\u1E9EE.", "İ", "Ǆ", "<|STARTOFTEXT|>"}
+    words = sorted(words)
+    encoder = packing.WordEncoder(PATH)
+    assert encoder.fast is not None
+    for _ in range(2):
+        coded, first, second = encoder.encode(packing.pa.array(words, packing.pa.large_string()))
+        coded = [np.frombuffer(x, np.uint32).tolist() for x in coded] + [[]]
+        assert [coded[a] + coded[b] for a, b in zip(first, second)] == [e.ids for e in model.encode_batch(words, add_special_tokens=False)]
+
+
 def test_windows_hold_the_target_proportions(spark, sf_small):
     df = spark.read.parquet(f"{sf_small}/documents.parquet").selectExpr("doc_id", "text", "lang as source")
     rows = check_round_trip(df, packing.pack(df, PATH))
