@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Iterator
 
@@ -44,9 +45,19 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: workers wait for their next task between stages, and several share an executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: nothing to do
+        pass
+
+
 def byte_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
                 limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts record batches into slices of at most ``limit`` text bytes (one row at least)."""
+    give_back()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -58,6 +69,7 @@ def byte_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
             stop = max(at + 1, int(np.searchsorted(ends, done + limit, side="right")))
             yield batch.slice(at, stop - at)
             at = stop
+    give_back()
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

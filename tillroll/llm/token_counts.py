@@ -37,7 +37,7 @@ MODEL_LIMIT = 512
 #: Characters of a chunk and of its first overlap; texts above one chunk are spliced.
 CHUNK, OVERLAP = 1 << 15, 256
 #: Pieces a worker remembers, and the longest one it does.
-TABLE_SIZE, TABLE_CHARS = 400_000, 64
+TABLE_SIZE, TABLE_CHARS = 300_000, 64
 
 _PIECE = re.compile(r"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
 #: White space by any definition besides the ASCII one: texts with it are encoded by chunks.
