@@ -54,9 +54,19 @@ def give_back() -> None:
         pass
 
 
-def byte_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
-                limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cuts record batches into slices of at most ``limit`` text bytes (one row at least)."""
+#: Tables that a worker keeps between the tasks of one operator.
+worker_tables: list[dict] = []
+
+
+def byte_slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES,
+                keep_tables: bool = False) -> Iterator[pa.RecordBatch]:
+    """Cuts record batches into slices of at most ``limit`` text bytes (one row at least).
+
+    A task of another operator empties the tables that the worker has kept.
+    """
+    if not keep_tables:
+        for table in worker_tables:
+            table.clear()
     give_back()
     for batch in batches:
         if not batch.num_rows:

@@ -44,13 +44,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import byte_slices, materialize, split_words
+from tillroll.llm.common import byte_slices, materialize, split_words, worker_tables
 
 SIZE = 2048
 END_ID = 1
 MAX_QUEUES, REST_QUEUES = 1000, 64
 #: Words a worker remembers, and the longest one it does.
-TABLE_SIZE, TABLE_CHARS = 250_000, 64
+TABLE_SIZE, TABLE_CHARS = 150_000, 64
 _loaded: dict[str, WordEncoder] = {}
 
 
@@ -78,6 +78,7 @@ class WordEncoder:
         self.library.no_padding()
         self.table: dict[str, bytes] = {}
         self.letters: dict[str, bytes] = {}
+        worker_tables.extend((self.table, self.letters))
         self.fast = self._ranks(json.loads(self.library.to_str()))
 
     def _ranks(self, made: dict):
@@ -188,7 +189,7 @@ def tokenised(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, given = TaskContext.get().partitionId(), {}
-        for batch in byte_slices(batches, "_text"):
+        for batch in byte_slices(batches, "_text", keep_tables=True):
             ids, off = encode_column(batch.column(2), path, end_id)
             n, place = np.diff(off), []
             for source, k in zip(batch.column(1).to_pylist(), n.tolist()):
