@@ -112,3 +112,40 @@ def test_plan_empties_any_queues():
 
 def test_empty_table(spark):
     assert packing.pack(awkward.empty(spark), PATH).count() == 0
+
+
+def test_sources_beyond_the_named_queues_have_their_shares_and_targets(spark, monkeypatch):
+    monkeypatch.setattr(packing, "MAX_QUEUES", 2)
+    monkeypatch.setattr(packing, "REST_QUEUES", 2)
+    rows = [(k, "word " * (30 + k % 7), f"s{k % 12}" if k % 3 else "large") for k in range(700)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    size, total, per = 256, defaultdict(int), defaultdict(int)
+    for r in packing.pack(df, PATH, size=size).collect():
+        total[r.source] += r.length
+        per[r.sequence_id, r.source] += r.length
+    every = sum(total.values())
+    for source, n in total.items():
+        for window in range(every // size):
+            assert abs(per[window, source] - size * n / every) < 8
+    check_round_trip(df, packing.pack(df, PATH))
+    small = min(total, key=lambda s: (total[s], s))
+    first = defaultdict(int)
+    for r in packing.pack(df, PATH, {small: 1, "large": 1}, size).where("sequence_id = 0").collect():
+        first[r.source] += r.length
+    assert dict(first) == {small: size // 2, "large": size // 2}
+
+
+def test_shared_queue_gives_every_place_once():
+    rng = random.Random(6)
+    for _ in range(60):
+        inner = [rng.choice([1, 7, 300, rng.randrange(1, 9000)]) for _ in range(rng.randrange(1, 9))]
+        lengths = [sum(inner), rng.randrange(1, 20000)]
+        stretches = packing.plan(lengths, rng.choice([None, [0, 1], [3, 1]]), 64)
+        taken = []
+        for path, n in zip(packing.paths(inner), inner):
+            for start, length, out in packing.pieces_of(stretches, 0, 0, n, 64, path):
+                assert length > 0 and out // 64 == (out + length - 1) // 64
+                taken += range(out, out + length)
+        for _, length, out in packing.pieces_of(stretches, 1, 0, lengths[1], 64):
+            taken += range(out, out + length)
+        assert sorted(taken) == list(range(sum(lengths)))

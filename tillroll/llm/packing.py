@@ -17,8 +17,10 @@ filled by water-filling among the others, and the formula goes on with the queue
 
 Steps: tokenise once and write ids with each document's place in its (task,
 source) queue; add up the queues' lengths; give each document its place in the whole queue;
-cut it at the windows.  Only per-queue totals reach the driver (``MAX_QUEUES``
-sources by name, the rest share ``REST_QUEUES`` queues by hash; no document is left out).
+cut it at the windows.  Only per-queue totals reach the driver: the ``MAX_QUEUES`` largest sources and those with
+a target have queues of their own, the rest share one for each ``REST_SOURCES`` of them, by hash.  Inside a shared
+queue the same halving goes on over its sources (``paths``, a table joined by source), so each of them has its share of
+every window too, within a token for each level.
 
 All windows are full.  What is left at the end forms sequences of power-of-two
 length, so nothing is padded at all.
@@ -48,7 +50,7 @@ from tillroll.llm.common import byte_slices, materialize, split_words, worker_ta
 
 SIZE = 2048
 END_ID = 1
-MAX_QUEUES, REST_QUEUES = 1000, 64
+MAX_QUEUES, REST_QUEUES, REST_SOURCES = 1000, 64, 10_000
 #: Words a worker remembers, and the longest one it does.
 TABLE_SIZE, TABLE_CHARS = 150_000, 64
 _loaded: dict[str, WordEncoder] = {}
@@ -234,6 +236,31 @@ class Stretch(NamedTuple):
         return self.shares(k, g)[1]
 
 
+def paths(weights: list[int]) -> list[list[int]]:
+    """For each source of a shared queue the halvings down to it: weight of the left half, of both, whether it is in the right."""
+    total = [0]
+    for w in weights:
+        total.append(total[-1] + w)
+    out = []
+    for k in range(len(weights)):
+        low, high, path = 0, len(weights), []
+        while high - low > 1:
+            mid = (low + high) // 2
+            path += [total[mid] - total[low], total[high] - total[low], int(k >= mid)]
+            low, high = (low, mid) if k < mid else (mid, high)
+        out.append(path)
+    return out
+
+
+def descend(path: list[int], g: int) -> tuple[int, int]:
+    """Of the first ``g`` tokens of a shared queue: those of the sources before the one at ``path``, and its own."""
+    before = 0
+    for left, total, right in zip(path[::3], path[1::3], path[2::3]):
+        x = g * left // total
+        before, g = (before + x, g - x) if right else (before, x)
+    return before, g
+
+
 def plan(lengths: list[int], targets: list[int] | None = None, size: int = SIZE) -> list[Stretch]:
     """Stretches of windows that empty queues of these ``lengths``; ``targets`` are whole-numbered weights,
     by default the lengths themselves (all queues then end together)."""
@@ -298,23 +325,36 @@ def tail_cuts(total: int, size: int = SIZE) -> list[int]:
     return cuts
 
 
-def pieces_of(stretches: list[Stretch], k: int, place: int, n: int, size: int = SIZE) -> Iterator[tuple[int, int, int]]:
-    """(start in the document, length, output position) of the pieces of a document that lies at ``place`` in queue ``k``."""
-    start = 0
+def pieces_of(stretches: list[Stretch], k: int, place: int, n: int, size: int = SIZE,
+              path: list[int] | None = None) -> Iterator[tuple[int, int, int]]:
+    """(start in the document, length, output position) of the pieces of a document that lies at ``place`` in queue ``k``,
+    or, where the queue is shared, in its source at ``path``."""
+    start, path = 0, path or []
+    part, whole = 1, 1  # the source's share of its queue
+    for left, total, right in zip(path[::3], path[1::3], path[2::3]):
+        part, whole = part * (total - left if right else left), whole * total
+
+    def shares(s: Stretch, g: int) -> tuple[int, int]:
+        before, given = s.shares(k, g)
+        inside, own = descend(path, s.given[k] + given)
+        return before + inside, own
+
     for s in stretches:
         weight = s.weights[k + 1] - s.weights[k]
-        end = s.given[k] + s.quota(k, s.length) if weight else 0
-        while start < n and s.given[k] <= place + start < end:
-            at = place + start - s.given[k]
-            # the window whose share of queue k holds position ``at``: quota(g) <= at < quota(g + size)
-            slack = 2 * s.weights[-1] // (weight * size) + 2
-            guess = at * s.weights[-1] // (weight * size)
+        begin = shares(s, 0)[1]
+        end = shares(s, s.length)[1] if weight else begin
+        while start < n and begin <= place + start < end:
+            at = place + start
+            # the window whose share of the queue (of the source) holds position ``at``: own(g) <= at < own(g + size)
+            rate, per = weight * part * size, s.weights[-1] * whole
+            slack = (2 + 2 * len(path)) * per // rate + 2
+            guess = (at - begin) * per // rate
             low, high = max(0, guess - slack), min(-(-s.length // size) - 1, guess + slack)
             while low < high:
                 mid = (low + high) // 2
-                low, high = (low, mid) if s.quota(k, min(s.length, (mid + 1) * size)) > at else (mid + 1, high)
+                low, high = (low, mid) if shares(s, min(s.length, (mid + 1) * size))[1] > at else (mid + 1, high)
             g, g_end = low * size, min(s.length, (low + 1) * size)
-            (before, given), (before_end, given_end) = s.shares(k, g), s.shares(k, g_end)
+            (before, given), (before_end, given_end) = shares(s, g), shares(s, g_end)
             length = min(n - start, given_end - at)
             yield start, length, s.begin + g + before_end - before + at - given
             start += length
@@ -330,15 +370,25 @@ def pack(docs: DataFrame, path: str, targets: dict[str, int] | None = None, size
     spark = docs.sparkSession
     coded = tokenised(docs, path, end_id)
     by_part = materialize(coded.groupBy("source", "part").agg(F.sum("n").alias("n")), "packing_queues")
-    first = F.col("total").desc(), F.col("source")
-    named = [r["source"] for r in by_part.groupBy("source").agg(F.sum("n").alias("total")).orderBy(*first)
-             .limit(MAX_QUEUES).collect()]
-    names = spark.createDataFrame([(s, f"={s}") for s in named], "source string, named string")
-    rest = F.concat(F.lit("~"), F.pmod(F.xxhash64("source"), F.lit(REST_QUEUES)).cast("string"))
-    before = Window.partitionBy("queue").orderBy("source", "part").rowsBetween(Window.unboundedPreceding, -1)
-    queued = by_part.join(F.broadcast(names), "source", "left").withColumn("queue", F.coalesce("named", rest))
-    places = materialize(queued.select("source", "part", "queue", F.coalesce(F.sum("n").over(before), F.lit(0))
-                                       .alias("base"), "n"), "packing_places")
+    by_source = by_part.groupBy("source").agg(F.sum("n").alias("total"))
+    named = {r["source"] for r in by_source.orderBy(F.col("total").desc(), F.col("source")).limit(MAX_QUEUES).collect()}
+    named |= set(targets or ())
+    names = spark.createDataFrame([(s, f"={s}") for s in sorted(named)], "source string, named string")
+    shared = max(REST_QUEUES, -(-by_source.count() // REST_SOURCES))
+    rest = F.concat(F.lit("~"), F.pmod(F.xxhash64("source"), F.lit(shared)).cast("string"))
+    totals = by_source.join(F.broadcast(names), "source", "left").withColumn("queue", F.coalesce("named", rest))
+
+    def walk(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("source")
+        return pa.table({"source": rows["source"], "path": pa.array(paths(rows["total"].to_pylist()), pa.list_(pa.int64()))})
+
+    inside = totals.where("named is null").select("source", "total", "queue").groupBy("queue").applyInArrow(
+        walk, "source string, path array<long>")
+    before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    places = materialize(
+        by_part.join(totals.select("source", "queue"), "source").join(inside, "source", "left").select(
+            "source", "part", "queue", "path", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"), "n"),
+        "packing_places")
     queues = sorted((r["queue"], r["n"]) for r in places.groupBy("queue").agg(F.sum("n").alias("n")).collect())
     weights = None if targets is None else [int(targets.get(q[1:], 0)) if q[0] == "=" else 0 for q, _ in queues]
     stretches = plan([n for _, n in queues], weights, size)
@@ -350,10 +400,10 @@ def pack(docs: DataFrame, path: str, targets: dict[str, int] | None = None, size
         for batch in byte_slices(batches, "ids"):
             out = [[] for _ in range(7)]
             row_of = []
-            cols = [batch.column(c).to_pylist() for c in ("queue", "place", "n", "ids")]
-            for row, (queue, place, n, ids) in enumerate(zip(*cols)):
+            cols = [batch.column(c).to_pylist() for c in ("queue", "place", "n", "ids", "path")]
+            for row, (queue, place, n, ids, path) in enumerate(zip(*cols)):
                 ids = np.frombuffer(ids, width).astype("<u4").tobytes()
-                for start, length, at in pieces_of(stretches, number[queue], place, n, size):
+                for start, length, at in pieces_of(stretches, number[queue], place, n, size, path):
                     while length:  # the tail's sequences cut further
                         if at < total - total % size:
                             sequence, offset, take = at // size, at % size, length
@@ -372,8 +422,8 @@ def pack(docs: DataFrame, path: str, targets: dict[str, int] | None = None, size
                  batch.column(1).take(row_of)],
                 names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"])
 
-    placed = coded.join(places.select("source", "part", "queue", "base"), ["source", "part"]).select(
-        "doc_id", "source", "queue", (F.col("place") + F.col("base")).alias("place"), "n", "ids")
+    placed = coded.join(places.select("source", "part", "queue", "path", "base"), ["source", "part"]).select(
+        "doc_id", "source", "queue", (F.col("place") + F.col("base")).alias("place"), "n", "ids", "path")
     schema = T.StructType([placed.schema["doc_id"], *(T.StructField(c, T.LongType()) for c in (
         "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")), T.StructField("source", T.StringType())])
     return placed.mapInArrow(cut, schema)
