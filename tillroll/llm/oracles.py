@@ -2,7 +2,7 @@
 
 The others have none and are held against brute force in ``tests/llm``:
 alignment (1), checksums over letters (2), a Bloom filter's own errors (3),
-bytes across all documents (4), tokenizers (5, 9) and HTML (7).
+bytes across all documents (4), tokenizers (5, 9), HTML (7) and runs of words (11).
 """
 
 from __future__ import annotations
@@ -86,5 +86,55 @@ SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in secrets.BASE_K
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g ON g.rid = d.rid"""
 
 
+def nearest_sql() -> str:
+    fits = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 " \
+           "AND len(list_filter(embedding, lambda x: x <> 0)) > 0"
+    return f"""
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id IS NOT NULL AND {fits}),
+p AS (SELECT q.rid, q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+      FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e) WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(row_number() OVER w AS INT) AS rank, vec_id, score FROM p
+WINDOW w AS (PARTITION BY rid ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 20"""
+
+
+def crc32_sql(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text, bit by bit."""
+    bit = "lambda c, _: xor(c >> 1, (c & 1) * 3988292384)"
+    step = f"lambda c, b: list_reduce([xor(c, b)] || [0, 0, 0, 0, 0, 0, 0, 0], {bit})"
+    codes = f"list_transform(string_split({text}, ''), lambda x: CAST(ord(x) AS BIGINT))"
+    return f"xor(list_reduce([CAST(4294967295 AS BIGINT)] || {codes}, {step}), 4294967295)"
+
+
+def merkle_sql() -> str:
+    encoded = lambda x: f"coalesce(strlen(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR), '-')"
+    leaf = lambda n: "sha256(" + " || ".join(map(encoded, ("doc_id", "source", "lang", n, "text"))) + ")"
+    up = "sha256(string_agg(node, '' ORDER BY idx))"
+    return f"""
+WITH RECURSIVE l AS (SELECT coalesce('=' || lang, '') AS tree, doc_id, {leaf("n_chars")} AS leaf,
+       CASE WHEN n_chars IS NOT NULL AND doc_id IS NOT NULL AND {crc32_sql("CAST(doc_id AS VARCHAR)")} % 7 = 0
+            THEN {leaf("n_chars + 1")} END AS bad FROM documents),
+o AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+             row_number() OVER () AS rid, count(*) OVER (PARTITION BY tree) AS n FROM l),
+t AS (SELECT tree, 0 AS lev, idx, n, leaf AS node FROM o
+      UNION ALL SELECT tree, lev + 1, idx // 2, (any_value(n) + 1) // 2, {up} FROM t WHERE n > 1 GROUP BY tree, lev, idx // 2),
+s AS (SELECT tree, node AS subroot, row_number() OVER (ORDER BY tree) - 1 AS idx, count(*) OVER () AS n FROM t WHERE n = 1),
+u AS (SELECT 0 AS lev, idx, n, subroot AS node FROM s
+      UNION ALL SELECT lev + 1, idx // 2, (any_value(n) + 1) // 2, {up} FROM u WHERE n > 1 GROUP BY lev, idx // 2),
+steps AS (SELECT o.rid, t.lev AS lev, t.idx AS spot, b.node AS other FROM o JOIN t ON t.tree = o.tree AND t.idx = o.idx >> t.lev AND t.n > 1
+          LEFT JOIN t b ON b.tree = t.tree AND b.lev = t.lev AND b.idx = xor(t.idx, 1)
+          UNION ALL SELECT o.rid, 100 + u.lev, u.idx, b.node FROM o JOIN s ON s.tree = o.tree JOIN u ON u.idx = s.idx >> u.lev AND u.n > 1
+          LEFT JOIN u b ON b.lev = u.lev AND b.idx = xor(u.idx, 1)),
+way AS (SELECT rid, row_number() OVER (PARTITION BY rid ORDER BY lev) AS k, spot, other FROM steps),
+proof AS (SELECT rid, sha256(coalesce(string_agg(other, '' ORDER BY k), '')) AS proof_sha256, max(k) AS top FROM way GROUP BY rid),
+f AS (SELECT rid, 0 AS k, coalesce(bad, leaf) AS node FROM o
+      UNION ALL SELECT f.rid, f.k + 1, sha256(CASE WHEN spot % 2 = 1 THEN coalesce(other, '') || node ELSE node || coalesce(other, '') END)
+      FROM f JOIN way ON way.rid = f.rid AND way.k = f.k + 1)
+SELECT o.doc_id, o.leaf, s.subroot, r.node AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256,
+       f.node AS folded_root, f.node = r.node AS verified
+FROM o JOIN s ON s.tree = o.tree JOIN (SELECT node FROM u WHERE n = 1) r ON TRUE
+LEFT JOIN proof ON proof.rid = o.rid JOIN f ON f.rid = o.rid AND f.k = coalesce(proof.top, 0)"""
+
+
 def registry() -> dict[str, str]:
-    return {"op6_quality": quality_sql(), "op8_jaccard": jaccard_sql(), "op10_secrets": secrets_sql()}
+    return {"op6_quality": quality_sql(), "op8_jaccard": jaccard_sql(), "op10_secrets": secrets_sql(),
+            "op12_nearest_vectors": nearest_sql(), "op13_merkle_manifest": merkle_sql()}

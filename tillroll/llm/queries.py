@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import decontamination, html_text, lm_score, near_duplicates, packing, pii, quality, repeated_bytes, secrets, token_counts
+from tillroll.llm import decontamination, html_text, lm_score, merkle_manifest, near_duplicates, nearest_vectors, packing, periodic_runs, pii, quality, repeated_bytes, secrets, token_counts
 from tillroll.llm.common import read_table
 
 
@@ -56,6 +56,19 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(read_table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(read_table(spark, sf_dir, "documents"))
+
+
+def op12_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_vectors.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.manifest(read_table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_decontamination, op2_pii, op3_lm_score, op4_repeated_bytes, op5_packing, op6_quality, op7_html_text, op8_jaccard, op9_token_counts, op10_secrets]
+    found = [op1_decontamination, op2_pii, op3_lm_score, op4_repeated_bytes, op5_packing, op6_quality, op7_html_text, op8_jaccard, op9_token_counts, op10_secrets,
+             op11_periodic_runs, op12_nearest_vectors, op13_merkle_manifest]
     return {f.__name__: f for f in found}
