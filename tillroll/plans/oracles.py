@@ -65,11 +65,12 @@ STAT_SQL = {"mean": "AVG({c})", "std": "STDDEV_SAMP({c})", "min": "MIN({c})", "m
 
 
 def rolling_sql(group: str | None, window: int, lag: int = DEFAULT_LAG,
-                stats=DEFAULT_STATS, quantiles=DEFAULT_QUANTILES, round_output: bool = True) -> str:
+                stats=DEFAULT_STATS, quantiles=DEFAULT_QUANTILES, round_output: bool = True,
+                values=("sales", "log_sales")) -> str:
     g = [group] if group else []
     suffix = feature_suffix(g, lag, window)
     exprs, names = [], []
-    for v in ("sales", "log_sales"):
+    for v in values:
         for s in stats:
             names.append(f"{v}_{s}{suffix}")
             exprs.append(f"{STAT_SQL[s].format(c=v)} OVER w AS \"{names[-1]}\"")
@@ -241,7 +242,9 @@ def manifest_assembly_sql() -> str:
     for g in GROUPS:
         for w, feature in zip(DEFAULT_WINDOWS, manifest_features(g)):
             name = f"r_{g}_{w}"
-            ctes = ctes + [(name, f"SELECT date, {g}, \"{feature}\" FROM (" + rolling_sql(g, w, round_output=False) + ")")]
+            stat = feature.split("_")[1]  # only the statistic that is returned
+            one = {"stats": (), "quantiles": (int(stat[1:]),)} if stat[0] == "q" else {"stats": (stat,), "quantiles": ()}
+            ctes = ctes + [(name, rolling_sql(g, w, round_output=False, values=("sales",), **one))]
             side = "m" if g in ("store_nbr", "family") else "st"
             joins.append(f"LEFT JOIN {name} ON {name}.date = m.date AND {name}.{g} = {side}.{g}")
             outs.append(r(f'{name}."{feature}"', feature))
@@ -287,6 +290,7 @@ def registry_sources() -> dict[str, str]:
                                 f"onpromotion, {rexpr('sales')} AS sales, is_train, is_test, "
                                 f"{rexpr('log_sales')} AS log_sales FROM main_log"),
         "feature_assembly": assembly,
+        "bucketed_assembly": assembly,
         "manifest_assembly": manifest_assembly_sql(),
         "scan_csv_raw": sql([("main", None)], f"SELECT id, date, store_nbr, family, {r('sales', 'sales')}, onpromotion "
                                               "FROM main WHERE is_train = 1"),

@@ -28,7 +28,7 @@ from tillroll.sources import catmeta as _cm
 from tillroll.sources import files as _files
 from tillroll.plans import process_data
 from tillroll.plans.common import GROUPS, HOLIDAY_COMBOS, main_df, main_stores, rounded
-from tillroll.sources.manifest import load_and_merge_from_manifest
+from tillroll.sources.manifest import lay_out, load_and_merge_from_manifest, load_laid_out, table_spec, write_manifest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -212,6 +212,24 @@ def q_feature_assembly(spark, sf_dir):
     return rounded(assemble_features(m, secondary, rolls))
 
 
+#: Buckets of the registered layout.
+BUCKETS = 16
+
+
+def q_bucketed_assembly(spark, sf_dir):
+    """The same tables laid out once: the fact meets its largest group of tables bucket by bucket."""
+    out = _scratch(spark, "bucketed")
+    main, secondary, rolls = feature_tables(spark, sf_dir)
+    specs = []
+    for k, (df, keys) in enumerate([(main, ()), *secondary, *rolls]):
+        _files.save_as_parquet(df, f"{out}/table_{k}")
+        specs.append(table_spec(f"table_{k}", f"{out}/table_{k}", None, keys))
+    cut = 1 + len(secondary)
+    write_manifest(spark, {"main_data": specs[0], "secondary_data": specs[1:cut], "rolling_stats": specs[cut:]}, f"{out}/manifest.json")
+    lay_out(spark, f"{out}/manifest.json", f"{out}/laid_out", BUCKETS)
+    return rounded(load_laid_out(spark, f"{out}/laid_out"))
+
+
 def q_manifest_assembly(spark, sf_dir):
     """The process job's tables for all six groups, read back by their manifest over a date range."""
     out = _scratch(spark, "manifest")
@@ -239,6 +257,7 @@ def registry_sources() -> dict[str, Query]:
         "category_union": q_category_union,
         "apply_categories": q_apply_categories,
         "feature_assembly": q_feature_assembly,
+        "bucketed_assembly": q_bucketed_assembly,
         "manifest_assembly": q_manifest_assembly,
     }
 
