@@ -92,9 +92,16 @@ def correlations(df: DataFrame, target: str, columns: Sequence[str] | None = Non
     return ranked if precision is None else ranked.withColumn("corr", F.round("corr", precision))
 
 
-def scatter_bins(df: DataFrame, target: str, columns: Sequence[str], bins: int = 50) -> DataFrame:
+def scatter_bins(df: DataFrame, target: str, columns: Sequence[str] | None = None, bins: int = 50,
+                 top: int | None = None) -> DataFrame:
     """2-D binned counts of (column value, target) per column over rows that have
-    both: column, x_bin, y_bin, n.  Planned like ``histogram``."""
+    both: column, x_bin, y_bin, n.  Planned like ``histogram``.
+
+    ``columns`` defaults to all numeric columns but the target.  ``top`` keeps the
+    columns that ``correlations`` ranks first, inside the same plan: their names
+    are a scalar, and the bins of other columns are null before they are exploded.
+    """
+    columns = [c for c in (columns if columns is not None else numeric_columns(df)) if c != target]
     y = F.col(f"`{target}`").cast("double")
     value = {c: F.col(f"`{c}`").cast("double") for c in columns}
     ends = lambda v: (F.min(v).alias("mn"), F.max(v).alias("mx"))
@@ -103,11 +110,15 @@ def scatter_bins(df: DataFrame, target: str, columns: Sequence[str], bins: int =
         pair.append(F.struct(*ends(F.when(y.isNotNull(), v))).alias(f"x{i}"))
         pair.append(F.struct(*ends(F.when(v.isNotNull(), y))).alias(f"y{i}"))
     one = df.agg(F.struct(*pair).alias("b")).scalar()
-    binned = F.array(*[F.struct(F.lit(c).alias("column"),
-                                _bucket(v, one[f"x{i}"]["mn"], one[f"x{i}"]["mx"], bins).alias("x_bin"),
-                                _bucket(y, one[f"y{i}"]["mn"], one[f"y{i}"]["mx"], bins).alias("y_bin"))
-                       for i, (c, v) in enumerate(value.items())])
-    both = df.select(F.explode(binned).alias("x")).where("x.x_bin IS NOT NULL AND x.y_bin IS NOT NULL")
+    entries = [F.struct(F.lit(c).alias("column"),
+                        _bucket(v, one[f"x{i}"]["mn"], one[f"x{i}"]["mx"], bins).alias("x_bin"),
+                        _bucket(y, one[f"y{i}"]["mn"], one[f"y{i}"]["mx"], bins).alias("y_bin"))
+               for i, (c, v) in enumerate(value.items())]
+    if top is not None:
+        ranked = correlations(df, target, columns, top, precision=None)
+        names = ranked.agg(F.collect_set("column")).scalar()  # at most ``top`` names
+        entries = [F.when(F.array_contains(names, F.lit(c)), x) for c, x in zip(value, entries)]
+    both = df.select(F.explode(F.array(*entries)).alias("x")).where("x.x_bin IS NOT NULL AND x.y_bin IS NOT NULL")
     return (both.groupBy("x.column", "x.x_bin", "x.y_bin")
             .agg(F.count(F.lit(1)).alias("n")))
 
@@ -157,6 +168,51 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
         .where(F.col("n") > 1)
 
 
+def repeated_rows(df: DataFrame) -> DataFrame:
+    """Rows that occur more than once, with their multiplicity ``n``, by fingerprint first.
+
+    A 64-bit print of each row (nulls marked, so that they count) is counted
+    map-side; only rows whose print occurs more than once are shuffled whole and
+    compared column by column, so equal prints of different rows do no harm.
+    """
+    marked = [x for c in df.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    printed = df.withColumn("_print", F.xxhash64(*marked))
+    again = printed.groupBy("_print").count().where("count > 1").select("_print")
+    return duplicate_rows(printed.join(again, "_print", "left_semi").drop("_print"))
+
+
+def missing_spans(df: DataFrame, group_cols: Sequence[str], date_col: str = "date", value_col: str | None = None,
+                  calendar: DataFrame | None = None) -> DataFrame:
+    """Days without a row (or without a ``value_col``) in each group's series, as spans: group, first, last, n_days.
+
+    Gaps and islands: distinct days of a group in order, each compared with the one
+    before.  Spans lie between a group's first and last day; with ``calendar``
+    (rows of ``date_col``) between the calendar's.  Days are de-duplicated
+    map-side, so a series holds one row a day whatever the size of the fact.
+    """
+    g = list(group_cols)
+    seen = df if value_col is None else df.where(F.col(f"`{value_col}`").isNotNull())
+    days = seen.where(F.col(date_col).isNotNull()).select(*g, date_col).distinct()
+    if calendar is not None:  # a day before the calendar's first and one past its last close the series
+        ends = calendar.agg(F.array(F.date_sub(F.min(date_col), 1), F.date_add(F.max(date_col), 1))).scalar()
+        days = days.unionByName(df.select(*g).distinct().select(*g, F.explode(ends).alias(date_col)))
+    before = F.lag(date_col).over((Window.partitionBy(*g) if g else Window.partitionBy()).orderBy(date_col))
+    gap = days.withColumn("_before", before).where(F.datediff(date_col, "_before") > 1)
+    return gap.select(*g, F.date_add("_before", 1).alias("first"), F.date_sub(date_col, 1).alias("last"),
+                      (F.datediff(date_col, "_before") - 1).alias("n_days"))
+
+
+def head(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
+    """The first ``n`` rows in the order of the columns ``order`` (nulls last), with their ``row`` from 1.
+
+    A table has no order of its own, so it is stated; the columns that are left
+    break ties, and equal rows are interchangeable.  Each task keeps ``n`` rows.
+    """
+    keys = [F.col(f"`{c}`").asc_nulls_last() for c in (*order, *(c for c in df.columns if c not in order))]
+    first = df.orderBy(*keys).limit(n)  # a top-n per partition, then of those
+    return first.withColumn("row", F.row_number().over(Window.orderBy(*keys)))
+
+
 def top_categories(df: DataFrame, columns: Sequence[str], top: int = 20, buckets: int = 64) -> DataFrame:
     """The ``top`` most frequent non-null values per column (ties by value).
 
@@ -175,6 +231,17 @@ def top_categories(df: DataFrame, columns: Sequence[str], top: int = 20, buckets
     return local.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
 
 
+def exact_quantiles_by_column(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str],
+                              fractions: Sequence[float]) -> DataFrame:
+    """``exact_grouped_quantiles`` of several columns in one pass: the columns are ranked together as (group, column,
+    value), with one checkpoint.  Output: group columns and a map ``_q`` from column to its quantiles."""
+    g = list(group_cols)
+    long = df.select(*g, F.expr(_stack(value_cols, "DOUBLE")))
+    each = exact_grouped_quantiles(long, [*g, "column"], "value", fractions)
+    pairs = F.map_from_entries(F.collect_list(F.struct("column", "_q")))  # one entry a column
+    return each.groupBy(*g).agg(pairs.alias("_q"))
+
+
 def exact_grouped_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                             fractions: Sequence[float], partitions: int | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles per group, with no group held by one task.

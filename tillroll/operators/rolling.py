@@ -189,20 +189,18 @@ def daily_stats(df: DataFrame, value_cols: Sequence[str], group_cols: Sequence[s
     else:
         # plain statistics combine map-side; exact quantiles use the distributed
         # rank method, so a hot (date, group) cell is spread over many tasks
-        from tillroll.operators.profile import exact_grouped_quantiles
+        from tillroll.operators.profile import exact_quantiles_by_column
         plain = [e for v in value_cols for e in stats_exprs(v, stats, (), suffix=suffix)]
         counts = [F.count(F.col(v)).alias(f"_nn_{v}") for v in value_cols]
         out = df.groupBy(*keys).agg(*plain, *counts, F.count(F.lit(1)).alias("_rows"))
-        fractions = [float(q) / 100 for q in quantiles]
-        for v in value_cols:
-            qv = exact_grouped_quantiles(df, keys, v, fractions).withColumnRenamed("_q", f"_q_{v}")
-            out = out.join(qv, keys, "left")
+        qv = exact_quantiles_by_column(df, keys, value_cols, [float(q) / 100 for q in quantiles])
+        out = out.join(qv, keys, "left")
         cols = []
         for v in value_cols:
             cols += [F.col(stat_name(v, s_, suffix)) for s_ in stats]
             has_null = F.col("_rows") > F.col(f"_nn_{v}")
             for i, q in enumerate(quantiles):
-                val = F.col(f"_q_{v}").getItem(i)
+                val = F.col("_q")[v][i]
                 if nan_quantiles:
                     val = F.when(has_null, F.lit(None).cast("double")).otherwise(val)
                 cols.append(val.alias(stat_name(v, quantile_label(q), suffix)))

@@ -396,7 +396,21 @@ def trials_sql() -> str:
         "AS loss" for i, c in enumerate(CANDIDATES))
 
 
+#: What type and name tell of the training rows' columns.
+COLUMN_KINDS = [
+    *[("category", c) for c in ("store_nbr", "family", "city", "state", "type", "cluster")], ("number", "onpromotion"), ("target", "log_sales"),
+    *[("numeric type", c) for c in ("store_nbr", "onpromotion", "cluster")], *[("other type", c) for c in ("family", "city", "state", "type")],
+    *[("flag by prefix", c) for c in ("is_train", "is_test")], *[("sales by part", c) for c in ("sales", "log_sales")],
+    *[("key by pattern", c) for c in ("id", "store_nbr")]]
+
+
+def two_columns_ctes(g: str) -> list[tuple[str, str]]:
+    both = f"{daily_stats_select(g)}, {daily_stats_select(g, 'onpromotion')}"
+    return [(name, text.replace(daily_stats_select(g), both) if name == "ds" else text) for name, text in daily_stats_ctes(g)]
+
+
 def registry_eval() -> dict[str, str]:
+    from tillroll.plans.queries import RANGE_END, RANGE_START
     trials = trials_sql()
     corr_cols = ["id", "store_nbr", "onpromotion", "log_sales", "is_train", "is_test"]
     corr_rows = " UNION ALL ".join(
@@ -471,6 +485,27 @@ def registry_eval() -> dict[str, str]:
                                 "UNION ALL SELECT 'test', MIN(date), MAX(date) FROM main_log WHERE is_test = 1"),
         "duplicate_rows": sql(BASE, f"SELECT {MAIN_COLS_ROUNDED}, COUNT(*) AS n FROM main_log "
                                     "GROUP BY ALL HAVING COUNT(*) > 1"),
+        "repeated_rows": sql(BASE, f"SELECT {MAIN_COLS_ROUNDED}, CAST(2 AS BIGINT) AS n FROM main_log "
+                                   f"WHERE date BETWEEN DATE '{RANGE_START}' AND DATE '{RANGE_END}'"),
+        "missing_spans": sql(BASE + [
+            ("seen", "SELECT DISTINCT store_nbr, family, date FROM main_log WHERE is_train = 1 AND sales IS NOT NULL AND date IS NOT NULL"),
+            ("g", "SELECT *, LAG(date) OVER (PARTITION BY store_nbr, family ORDER BY date) AS before FROM seen")],
+            "SELECT store_nbr, family, CAST(before + 1 AS DATE) AS first, CAST(date - 1 AS DATE) AS last, "
+            "CAST(date_diff('day', before, date) - 1 AS INTEGER) AS n_days FROM g WHERE date_diff('day', before, date) > 1"),
+        "head_rows": sql(BASE, f"SELECT {MAIN_COLS_ROUNDED}, CAST(ROW_NUMBER() OVER (ORDER BY date NULLS LAST, store_nbr NULLS LAST, "
+                               "family NULLS LAST, id NULLS LAST) AS INTEGER) AS row FROM main_log QUALIFY row <= 20"),
+        "scatter_top_correlates": sql(BASE + [("c", corr_rows), ("l", long_sc), ("rg", "SELECT \"column\", MIN(value) xmn, MAX(value) xmx, "
+                                                                                   "MIN(y) ymn, MAX(y) ymx FROM l GROUP BY 1")],
+                                      f"SELECT \"column\", {bucket('value', 'xmn', 'xmx', 50)} AS x_bin, "
+                                      f"{bucket('y', 'ymn', 'ymx', 50)} AS y_bin, COUNT(*) AS n FROM l JOIN rg USING (\"column\") "
+                                      "WHERE \"column\" IN (SELECT \"column\" FROM c ORDER BY abs(corr) DESC NULLS LAST, \"column\" LIMIT 3) GROUP BY 1, 2, 3"),
+        "columns_by_kind": sql(BASE_STORES, " UNION ALL ".join(
+            f"SELECT '{kind}' AS kind, '{c}' AS \"column\", COUNT({c}) AS n FROM main_stores WHERE is_train = 1" for kind, c in COLUMN_KINDS)),
+        "sketch_profile": sql(BASE, " UNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", COUNT(*) AS n_rows, COUNT(*) - COUNT({c}) AS n_null, COUNT(DISTINCT {c}) AS n_distinct, TRUE AS within_error "
+            f"FROM main_log WHERE date BETWEEN DATE '{RANGE_START}' AND DATE '{RANGE_END}'" for c in prof_cols if c != "date")),
+        "daily_stats_two_columns": sql(two_columns_ctes("family"), select_rounded(
+            "dsd", daily_stats_names("family") + daily_stats_names("family", "onpromotion"), ["date", "family"])),
         "top_categories": sql(BASE_STORES + [("l", long_cat), ("cnt", "SELECT \"column\", value, COUNT(*) AS n "
                                                                       "FROM l GROUP BY 1, 2")],
                               "SELECT \"column\", value, n, CAST(ROW_NUMBER() OVER (PARTITION BY \"column\" "
@@ -478,9 +513,34 @@ def registry_eval() -> dict[str, str]:
     }
 
 
+def boosted_stumps_sql() -> str:
+    """Boosting of stumps on two yes/no features, stated over their four cells: each round takes the feature whose
+    two group means explain more of the targets (the label, later twice the residual) and adds them times the step."""
+    from tillroll.plans.queries import SMOKE_DAYS, STUMP_ROUNDS, STUMP_STEP
+    pick = lambda c: f"max(CASE WHEN cell = {c} THEN {{}} END)"
+    cells = ", ".join(f"{pick(c).format(x)} AS {x}{c}" for c in range(4) for x in ("n", "s", "m", "v"))
+    total = "vq + " + " + ".join(f"(coalesce(m{c}, 0) * f{c} * f{c} - 2 * f{c} * coalesce(v{c}, 0))" for c in range(4))
+    mean = {"a0": "(t0 + t1) / (n0 + n1)", "a1": "(t2 + t3) / (n2 + n3)", "b0": "(t0 + t2) / (n0 + n2)", "b1": "(t1 + t3) / (n1 + n3)"}
+    step = ", ".join(f"f{c} + w * CASE WHEN first THEN {mean[f'a{c // 2}']} ELSE {mean[f'b{c % 2}']} END AS f{c}" for c in range(4))
+    targets = ", ".join(f"CASE WHEN round = 0 THEN s{c} ELSE 2 * (s{c} - n{c} * f{c}) END AS t{c}" for c in range(4))
+    gain = "((t0 + t1) * {a0} + (t2 + t3) * {a1}) >= ((t0 + t2) * {b0} + (t1 + t3) * {b1})".format(**mean)
+    keep = ", ".join(f"{x}{c}" for c in range(4) for x in ("n", "s", "m", "v"))
+    return sql(BASE, "").replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + ", " + (
+        f"x AS (SELECT 2 * (store_nbr % 2) + CAST(dayofweek(date) IN (0, 6) AS INT) AS cell, log_sales AS y, "
+        f"date_diff('day', date, max(date) OVER ()) < {SMOKE_DAYS} AS held FROM main_log WHERE is_train = 1 AND log_sales IS NOT NULL), "
+        f"g AS (SELECT cell, CAST(count(*) FILTER (NOT held) AS DOUBLE) AS n, sum(y) FILTER (NOT held) AS s, "
+        f"CAST(count(*) FILTER (held) AS DOUBLE) AS m, sum(y) FILTER (held) AS v, sum(y * y) FILTER (held) AS q FROM x GROUP BY cell), "
+        f"c AS (SELECT {cells}, sum(q) AS vq, sum(m) AS held FROM g), "
+        f"b AS (SELECT 0 AS round, 0.0::DOUBLE AS f0, 0.0::DOUBLE AS f1, 0.0::DOUBLE AS f2, 0.0::DOUBLE AS f3, * FROM c UNION ALL "
+        f"SELECT round + 1, {step}, {keep}, vq, held FROM (SELECT *, {gain} AS first, CASE WHEN round = 0 THEN 1 ELSE {STUMP_STEP} END AS w "
+        f"FROM (SELECT *, {targets} FROM b WHERE round < {STUMP_ROUNDS}))), "
+        f"e AS (SELECT round, ({total}) / held AS mse FROM b WHERE round > 0) "
+        f"SELECT CAST(round AS INT) AS round, {r('mse', 'mse')}, round = (SELECT arg_min(round, mse) FROM e) AS kept FROM e")
+
+
 def registry_models() -> dict[str, str]:
     """Results with a known answer: ids, slots of sorted domains, and losses below the constant predictor's."""
-    from tillroll.plans.queries import SMOKE_FOLDS, SMOKE_TRIALS
+    from tillroll.plans.queries import PENALTY, SMOKE_FOLDS, SMOKE_TRIALS
     sub = registry_eval()
     slots = ", ".join(f"COALESCE((SELECT slot FROM d WHERE d.c = '{g}' AND d.v = CAST(ms.{g} AS VARCHAR)), "
                       f"(SELECT COUNT(*) FROM d WHERE d.c = '{g}')) AS {g}_slot" for g in GROUPS)
@@ -497,6 +557,10 @@ def registry_models() -> dict[str, str]:
             + f", CAST(known + onpromotion AS DOUBLE) AS feature_sum FROM (SELECT ms.id, ms.onpromotion, {slots}, {known} AS known "
               "FROM main_stores ms)"),
         "fit_gbt": sql([("main", None)], "SELECT id, TRUE AS predicted, TRUE AS beats_constant FROM main WHERE is_test = 1"),
+        "early_stopping": boosted_stumps_sql(),
+        "penalised_leaves": sql(BASE, "SELECT CAST(store_nbr % 2 AS DOUBLE) AS odd_store, CAST(ROUND(CAST(SUM(log_sales) / (COUNT(*) + "
+                                      f"{PENALTY}) AS DECIMAL(38,8)), 6) AS DOUBLE) AS prediction, COUNT(*) AS n FROM main_log "
+                                      "WHERE is_train = 1 AND log_sales IS NOT NULL GROUP BY 1"),
         "model_roundtrip": sql([("main", None)], "SELECT id, TRUE AS equal FROM main WHERE is_test = 1"),
         "tune": sql([("main", None)], f"SELECT CAST(i AS INTEGER) AS trial_id, 'gbt' AS study, {SMOKE_FOLDS} AS n_folds, "
                     f"COUNT(*) > 0 AS defined_loss, TRUE AS fitted_rounds_recorded FROM range({SMOKE_TRIALS}) t(i), main "

@@ -10,11 +10,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillroll import fixtures
+from tillroll.operators import boosting as _boosting
 from tillroll.operators import clean, rolling
 from tillroll.operators import evaluate as _ev
 from tillroll.operators import holidays as _hol
@@ -22,6 +25,7 @@ from tillroll.operators import joins as _joins
 from tillroll.operators import model as _model
 from tillroll.operators import profile as _pf
 from tillroll.operators import series as _series
+from tillroll.operators import sketches as _sk
 from tillroll.operators.assemble import assemble_features
 from tillroll.session import materialize, scratch_path
 from tillroll.sources import catmeta as _cm
@@ -406,6 +410,63 @@ def q_duplicate_rows(spark, sf_dir):
     return rounded(_pf.duplicate_rows(main_df(spark, sf_dir)))
 
 
+def q_repeated_rows(spark, sf_dir):
+    """Rows that two scans of the fact share: all of the first, the example range of the second."""
+    m = main_df(spark, sf_dir)
+    return rounded(_pf.repeated_rows(m.unionByName(_files.filter_date_range(m, RANGE_START, RANGE_END))))
+
+
+def q_missing_spans(spark, sf_dir):
+    """Days on which a store sold nothing of a family, between the pair's first and last training day."""
+    return _pf.missing_spans(clean.get_train(main_df(spark, sf_dir)), ["store_nbr", "family"], value_col="sales")
+
+
+HEAD_ROWS = 20
+
+
+def q_head_rows(spark, sf_dir):
+    return rounded(_pf.head(main_df(spark, sf_dir), HEAD_ROWS, ["date", "store_nbr", "family", "id"]))
+
+
+SCATTER_TOP = 3
+
+
+def q_scatter_top_correlates(spark, sf_dir):
+    return _pf.scatter_bins(main_df(spark, sf_dir), "sales", bins=50, top=SCATTER_TOP)
+
+
+def q_columns_by_kind(spark, sf_dir):
+    """The training rows' columns told apart by type and name, with their values counted in one pass."""
+    train = clean.get_train(main_stores(spark, sf_dir))
+    features = clean.get_features(train)
+    cats, nums = _model.feature_columns(features)
+    kinds = {"category": cats, "number": nums, "target": clean.get_targets(train).columns,
+             "numeric type": clean.columns_of_type(features, numeric=True), "other type": clean.columns_of_type(features, numeric=False),
+             "flag by prefix": clean.columns_matching(train, prefix="is_"), "sales by part": clean.columns_matching(train, contains="sales"),
+             "key by pattern": clean.columns_matching(train, regex="_nbr$|^id$")}
+    names = sorted({c for columns in kinds.values() for c in columns})
+    counts = train.agg(F.struct(*[F.count(F.col(c)).alias(c) for c in names]).alias("n"))
+    rows = [F.struct(F.lit(kind).alias("kind"), F.lit(c).alias("column"), F.col("n")[c].alias("n")) for kind, columns in kinds.items() for c in columns]
+    return counts.select(F.inline(F.array(*rows)))
+
+
+def q_sketch_profile(spark, sf_dir):
+    """Profile of the example range out of daily sketches alone, beside what holds of the exact one."""
+    m = main_df(spark, sf_dir)
+    path = _scratch(spark, "sketches")
+    _sk.daily_sketches(m).write.parquet(path)
+    merged = _sk.merged_profile(spark.read.parquet(path), RANGE_START, RANGE_END)
+    exact = _pf.profile_table(_files.filter_date_range(m, RANGE_START, RANGE_END)).select("column", F.col("n_distinct").alias("_exact"))
+    off = F.abs(F.col("n_distinct") - F.col("_exact"))
+    return merged.join(exact, "column").select("column", "n_rows", "n_null", F.col("_exact").alias("n_distinct"),
+                                               (off <= _sk.distinct_error() * F.col("_exact") + 1).alias("within_error"))
+
+
+def q_daily_stats_two_columns(spark, sf_dir):
+    """Two value columns ranked in one pass."""
+    return rounded(rolling.daily_stats(main_stores(spark, sf_dir), ["sales", "onpromotion"], ["family"]))
+
+
 def q_top_categories(spark, sf_dir):
     return _pf.top_categories(main_stores(spark, sf_dir), ["store_nbr", "family", "city", "state", "type",
                                                            "cluster"], top=20)
@@ -427,6 +488,13 @@ def registry_eval() -> dict[str, Query]:
         "distribution_by_category": q_distribution_by_category,
         "date_spans": q_date_spans,
         "duplicate_rows": q_duplicate_rows,
+        "repeated_rows": q_repeated_rows,
+        "missing_spans": q_missing_spans,
+        "head_rows": q_head_rows,
+        "scatter_top_correlates": q_scatter_top_correlates,
+        "columns_by_kind": q_columns_by_kind,
+        "sketch_profile": q_sketch_profile,
+        "daily_stats_two_columns": q_daily_stats_two_columns,
         "top_categories": q_top_categories,
     }
 
@@ -471,6 +539,40 @@ def constant_rmse(train) -> float:
     return train.agg(F.stddev_pop("log_sales")).first()[0]
 
 
+# Two yes/no features, stumps, rounds and step of the cases whose fit SQL can state.
+STUMP_ROUNDS, STUMP_STEP, PENALTY = 8, 0.3, 10.0
+STUMP_FEATURES = ("odd_store", "weekend")
+
+
+def stump_rows(spark, sf_dir):
+    """Training rows with two yes/no features, and whether they are of the last ``SMOKE_DAYS`` days."""
+    train = clean.get_train(main_df(spark, sf_dir)).where(F.col("log_sales").isNotNull())
+    last = train.agg(F.max("date")).scalar()
+    rows = train.select("log_sales", (F.col("store_nbr") % 2).cast("double").alias("odd_store"),
+                        F.dayofweek("date").isin(1, 7).cast("double").alias("weekend"),
+                        (F.datediff(last, "date") < SMOKE_DAYS).alias("held_out"))
+    return VectorAssembler(inputCols=list(STUMP_FEATURES), outputCol="features").transform(rows)
+
+
+def _stumps(rounds):
+    return GBTRegressor(labelCol="log_sales", maxIter=rounds, maxDepth=1, stepSize=STUMP_STEP, maxBins=32, seed=1)
+
+
+def q_early_stopping(spark, sf_dir):
+    """Error on the held-out days after every round, and the round that a patience of 100 keeps."""
+    rows = stump_rows(spark, sf_dir)
+    model, errors = _boosting.fit_with_patience(_stumps(STUMP_ROUNDS), rows.where("NOT held_out"), rows.where("held_out"), "log_sales", 100)
+    found = [(k, e, k == model.getNumTrees) for k, e in enumerate(errors, 1)]
+    return rounded(spark.createDataFrame(found, "round int, mse double, kept boolean"))
+
+
+def q_penalised_leaves(spark, sf_dir):
+    """One stump on one feature with an L2 penalty on its leaves: its prediction for every training row."""
+    rows = VectorAssembler(inputCols=["odd_store"], outputCol="features").transform(stump_rows(spark, sf_dir).drop("features"))
+    model = _boosting.shrink_leaves(_stumps(1).fit(rows), rows, "log_sales", PENALTY)
+    return rounded(model.transform(rows).groupBy("odd_store", "prediction").agg(F.count(F.lit(1)).alias("n")), 6)
+
+
 def q_model_roundtrip(spark, sf_dir):
     df = model_frame(spark, sf_dir)
     model = _model.build_model(df, GBT_PARAMS).fit(clean.get_train(df))
@@ -503,7 +605,7 @@ def q_train_best(spark, sf_dir):
     df = model_frame(spark, sf_dir)
     hp = _model.best_params(run_trials(spark, sf_dir))
     best = constant_rmse(clean.get_train(df))
-    res = _model.train_best(df, hp, n_seeds=1, sample_frac=0.1, n_iter=2)
+    res = _model.train_best(df, hp, n_seeds=1, sample_frac=0.1, n_iter=10)
     return spark.createDataFrame([(s, r < best) for s, _, r in res], "seed int, beats_constant boolean")
 
 
@@ -534,6 +636,8 @@ def registry_models() -> dict[str, Query]:
         "sample_fact": q_sample_fact,
         "encode_features": q_encode_features,
         "fit_gbt": q_fit_gbt,
+        "early_stopping": q_early_stopping,
+        "penalised_leaves": q_penalised_leaves,
         "model_roundtrip": q_model_roundtrip,
         "tune": q_tune,
         "train_best": q_train_best,
