@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import os
 from collections.abc import Iterator
 
@@ -14,11 +15,15 @@ from pyspark.sql import functions as F
 
 from tillroll.session import materialize
 
-__all__ = ["byte_slices", "find_package", "hash_strings", "materialize", "mix",
+__all__ = ["bound_batches", "byte_slices", "find_package", "hash_strings", "materialize", "mix",
            "powers", "read_table", "segment_sums", "split_words", "text_bytes", "texts"]
 
 #: Bytes of text that one step of a Python task handles at a time; one document is never cut.
 SLICE_BYTES = 2 << 20
+#: Bytes of a batch between the JVM and a worker (one row at least).
+BATCH_BYTES = 8 << 20
+_BATCH_CONF, _BATCH_DEFAULTS = "spark.sql.execution.arrow.maxBytesPerBatch", ("256MB", "268435456", "268435456b")
+_COLLECTOR = gc.get_threshold()
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -34,6 +39,13 @@ def find_package(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, paths)))
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bounds what Spark sends to a worker at a time, unless the session says otherwise: a batch stands in the JVM
+    and again in the worker, and the default of 256 MB is large where several tasks share an executor."""
+    if spark.conf.get(_BATCH_CONF) in _BATCH_DEFAULTS:
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -58,6 +70,15 @@ def give_back() -> None:
 worker_tables: list[dict] = []
 
 
+def forget() -> None:
+    """Empties the tables that operators keep in a worker, and undoes what they set for its garbage collector."""
+    for table in worker_tables:
+        table.clear()
+    if gc.get_threshold() != _COLLECTOR:
+        gc.unfreeze()
+        gc.set_threshold(*_COLLECTOR)
+
+
 def byte_slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES,
                 keep_tables: bool = False) -> Iterator[pa.RecordBatch]:
     """Cuts record batches into slices of at most ``limit`` text bytes (one row at least).
@@ -65,8 +86,7 @@ def byte_slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit:
     A task of another operator empties the tables that the worker has kept.
     """
     if not keep_tables:
-        for table in worker_tables:
-            table.clear()
+        forget()
     give_back()
     for batch in batches:
         if not batch.num_rows:
@@ -120,16 +140,21 @@ def segment_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 _BASE = 0x9E3779B97F4A7C15
 _made: list[np.ndarray] = []
+#: 2 ** 21 numbers, twice: 32 MB; a slice of texts needs no more unless one text does.
+KEPT_POWERS = 1 << 21
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of the rolling hash's base and of its inverse, modulo 2**64; kept for the next call."""
+    """The first ``n`` powers of the rolling hash's base and of its inverse, modulo 2**64; up to ``KEPT_POWERS`` are
+    kept for the next call, the powers for a longer text only while it is worked on."""
     if not _made or len(_made[0]) < n:
         made = []
         for base in (_BASE, pow(_BASE, -1, 1 << 64)):
             x = np.full(max(n, 1 << 16), base, np.uint64)
             x[0] = 1
-            made.append(np.multiply.accumulate(x))
+            made.append(np.multiply.accumulate(x, out=x))
+        if n > KEPT_POWERS:
+            return made[0], made[1]
         _made[:] = made
     return _made[0][:n], _made[1][:n]
 

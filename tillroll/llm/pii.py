@@ -205,8 +205,14 @@ def detect(docs: DataFrame) -> DataFrame:
 def redact_docs(docs: DataFrame) -> DataFrame:
     """``docs`` (all columns, all rows) with every reported span of ``text`` replaced by ``<kind>``;
     ``n_chars``, where there is such a column, becomes the new length of a changed text."""
+    @F.arrow_udf("string")
+    def redacted_text(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for text in parts:  # null where nothing was found: only changed texts come back
+            made = [x for x in _detect(iter([pa.RecordBatch.from_arrays([text], names=[TEXT])]))]
+            yield pa.concat_arrays([x.column(1) for x in made]) if made else pa.array([], pa.string())
+
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
-    found = _detected(docs.select(row, F.coalesce(F.col("text"), F.lit("")).alias(TEXT)))
+    found = docs.select(row, redacted_text(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("redacted"))
     changed = {"text": F.coalesce("redacted", "_row.text")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType

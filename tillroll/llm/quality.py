@@ -107,14 +107,17 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=[*(batch.schema.names[k] for k in kept), *MEASURES])
 
 
+def _fail_bits(rows: DataFrame) -> DataFrame:
+    bits = sum((F.when(F.expr(rule), F.lit(1 << k)).otherwise(F.lit(0)) for k, rule in enumerate(RULES.values())),
+               F.lit(0))
+    return rows.withColumn("fail_bits", bits.cast("long"))
+
+
 def _measured(rows: DataFrame) -> DataFrame:
     """``rows`` with the measurements in place of their column ``TEXT``."""
     fields = [f for f in rows.schema.fields if f.name != TEXT]
     fields += [T.StructField(m, T.LongType()) for m in MEASURES]
-    measured = rows.mapInArrow(_measure, T.StructType(fields))
-    bits = sum((F.when(F.expr(rule), F.lit(1 << k)).otherwise(F.lit(0)) for k, rule in enumerate(RULES.values())),
-               F.lit(0))
-    return measured.withColumn("fail_bits", bits.cast("long"))
+    return _fail_bits(rows.mapInArrow(_measure, T.StructType(fields)))
 
 
 def rule_ledger(docs: DataFrame) -> DataFrame:
@@ -162,10 +165,19 @@ def quality(docs: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
 def keep_good(docs: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
     """``docs`` (all columns, as they are) without the rows that the base rules or ``policy`` reject.
 
-    The whole row travels with its measurements, so there is no join, and
-    repeated rows or null ids need no care.
+    Only the text goes to the workers and only the measurements come back; the
+    rows wait for them in Spark, so there is no join, and repeated rows or null
+    ids need no care.
     """
+    @F.arrow_udf("array<long>")
+    def measures(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for text in parts:
+            made = [m for m in _measure(iter([pa.RecordBatch.from_arrays([text], names=[TEXT])]))]
+            rows = np.concatenate([np.stack([m.column(c).to_numpy() for c in MEASURES], axis=1) for m in made]
+                                  or [np.zeros((0, len(MEASURES)), np.int64)])
+            yield pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * len(MEASURES)), pa.array(rows.ravel()))
+
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
-    text = F.coalesce(F.col("text"), F.lit("")).alias(TEXT)
-    ledger = _measured(docs.select(row, text))
+    with_all = docs.select(row, measures(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_m"))
+    ledger = _fail_bits(with_all.select("_row", *(F.col("_m")[k].alias(m) for k, m in enumerate(MEASURES))))
     return ledger.where(~(rejected(BASE) | rejected(policy))).select("_row.*")
