@@ -1,42 +1,43 @@
 """Mixture-controlled packing by deficit round-robin.
 
-Each source is a queue of documents.  Every window of ``size`` tokens takes
-from each queue its target share; what a queue is owed or has had too much is
-carried into the next window.  The shares are kept in closed form: of the first
-``g`` tokens of output, the left half of the queues (in a fixed order) gives
-``floor(g * weight of the left half / weight of all)``, the right half the
-rest, and so on within each half.  Every queue is thus within two tokens of its target
-at every window's end, no queue ever gives back a token, and a window's content
-follows from its number alone: the carried deficits are the same whichever
-partition computes a window, and partitions need no order among them.
-
-When targets differ from what the queues hold, one runs dry first.  Up to the
-last whole window before that, the formula holds; the one window in which the queue ends is
-filled by water-filling among the others, and the formula goes on with the queues left
-(at most one such step for each queue).
+Each source is a queue of documents, taken in turns: a queue gives a whole
+document (of a longer one at most ``size`` tokens) and is then passed over until
+the others have caught up, so what it gave too much is its deficit, carried over
+as many windows as it takes to repay.  The turns are kept in closed form: a
+stretch of a document that begins ``p`` tokens into its queue is due when the
+queues have given ``p / target`` each, and the output is all stretches in the order of
+their due times, cut every ``size`` tokens.  At any point of the output a queue
+is thus ahead of the common time by less than one stretch and never behind it;
+a stretch's due time follows from its own place, so partitions carry the same
+deficits without seeing each other.  A queue that runs dry drops out and the
+others go on in their proportions; sources without a target come after all others.
+
+Documents stay whole where they can: a piece ends at its document's end, after
+``size`` tokens of a longer document, or at a window's end.
 
 Steps: tokenise once and write ids with each document's place in its (task,
-source) queue; add up the queues' lengths; give each document its place in the whole queue;
-cut it at the windows.  Only per-queue totals reach the driver: the ``MAX_QUEUES`` largest sources and those with
-a target have queues of their own, the rest share one for each ``REST_SOURCES`` of them, by hash.  Inside a shared
-queue the same halving goes on over its sources (``paths``, a table joined by source), so each of them has its share of
-every window too, within a token for each level.
+source) queue; add up the queues' lengths, which gives places in whole queues and
+due times; range-partition by due time, write with running positions; add the
+earlier partitions' totals and cut at the windows.  Sources are rows of tables
+joined by source, however many there are; the driver sees one total a partition.
 
 All windows are full.  What is left at the end forms sequences of power-of-two
 length, so nothing is padded at all.
 
-Defined results: a null or empty text is the single end id; a null source is
-the source ''; repeated rows are separate documents.
+Defined results: a null or empty text is the single end id; a null source is the
+source ''; repeated rows are separate documents; texts of any length are taken
+whole; columns other than doc_id, source and text are ignored whatever their
+names; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import bisect
 import gc
 import json
 import os
 import zlib
 from collections.abc import Iterator
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -46,14 +47,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import byte_slices, materialize, split_words, worker_tables
+from tillroll.llm.common import byte_slices, forget, materialize, split_words, worker_tables
 
 SIZE = 2048
 END_ID = 1
-MAX_QUEUES, REST_QUEUES, REST_SOURCES = 1000, 64, 10_000
 #: Words a worker remembers, and the longest one it does.
 TABLE_SIZE, TABLE_CHARS = 150_000, 64
 _loaded: dict[str, WordEncoder] = {}
+worker_tables.append(_loaded)
 
 
 class WordEncoder:
@@ -80,7 +81,6 @@ class WordEncoder:
         self.library.no_padding()
         self.table: dict[str, bytes] = {}
         self.letters: dict[str, bytes] = {}
-        worker_tables.extend((self.table, self.letters))
         self.fast = self._ranks(json.loads(self.library.to_str()))
 
     def _ranks(self, made: dict):
@@ -212,109 +212,6 @@ def tokenised(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     return materialize(rows.mapInArrow(encode, schema), "packing_ids")
 
 
-class Stretch(NamedTuple):
-    """Windows in which the same weights hold: output tokens ``begin`` to ``begin + length``."""
-
-    begin: int
-    length: int
-    #: Cumulative weights, one more than there are queues.
-    weights: tuple[int, ...]
-    #: Tokens that each queue has given before.
-    given: tuple[int, ...]
-
-    def shares(self, k: int, g: int) -> tuple[int, int]:
-        """Of the first ``g`` tokens of the stretch: those of the queues before ``k``, and those of queue ``k``."""
-        low, high, before, w = 0, len(self.weights) - 1, 0, self.weights
-        while high - low > 1 and g:
-            mid = (low + high) // 2
-            total = w[high] - w[low]
-            left = g * (w[mid] - w[low]) // total if total else 0
-            low, high, before, g = (low, mid, before, left) if k < mid else (mid, high, before + left, g - left)
-        return before, g
-
-    def quota(self, k: int, g: int) -> int:
-        return self.shares(k, g)[1]
-
-
-def paths(weights: list[int]) -> list[list[int]]:
-    """For each source of a shared queue the halvings down to it: weight of the left half, of both, whether it is in the right."""
-    total = [0]
-    for w in weights:
-        total.append(total[-1] + w)
-    out = []
-    for k in range(len(weights)):
-        low, high, path = 0, len(weights), []
-        while high - low > 1:
-            mid = (low + high) // 2
-            path += [total[mid] - total[low], total[high] - total[low], int(k >= mid)]
-            low, high = (low, mid) if k < mid else (mid, high)
-        out.append(path)
-    return out
-
-
-def descend(path: list[int], g: int) -> tuple[int, int]:
-    """Of the first ``g`` tokens of a shared queue: those of the sources before the one at ``path``, and its own."""
-    before = 0
-    for left, total, right in zip(path[::3], path[1::3], path[2::3]):
-        x = g * left // total
-        before, g = (before + x, g - x) if right else (before, x)
-    return before, g
-
-
-def plan(lengths: list[int], targets: list[int] | None = None, size: int = SIZE) -> list[Stretch]:
-    """Stretches of windows that empty queues of these ``lengths``; ``targets`` are whole-numbered weights,
-    by default the lengths themselves (all queues then end together)."""
-    stretches, begin, left = [], 0, list(lengths)
-    given = [0] * len(lengths)
-    targets = list(targets or lengths)
-
-    def add(length: int, weights: list[int]) -> None:
-        nonlocal begin
-        total = [0]
-        for w in weights:
-            total.append(total[-1] + w)
-        s = Stretch(begin, length, tuple(total), tuple(given))
-        stretches.append(s)
-        begin += length
-        for k in range(len(left)):
-            x = s.quota(k, length)
-            left[k] -= x
-            given[k] += x
-
-    while any(left):
-        weights = [t if n else 0 for t, n in zip(targets, left)]
-        if not any(weights):  # only queues without a target are left
-            weights = list(left)
-        if weights == left:  # they all end together
-            add(sum(left), weights)
-            break
-        total = [0]
-        for w in weights:
-            total.append(total[-1] + w)
-        trial = Stretch(0, 0, tuple(total), ())
-        low, high = 0, sum(left) // size
-        while low < high:  # the most whole windows that no queue is too short for
-            mid = (low + high + 1) // 2
-            low, high = (mid, high) if all(trial.quota(k, mid * size) <= n for k, n in enumerate(left)) else (low, mid - 1)
-        if low:
-            add(low * size, weights)
-            continue
-        fill, room = [0] * len(left), min(size, sum(left))
-        while room:
-            open_ = [w if n > f else 0 for w, n, f in zip(weights, left, fill)]
-            if not any(open_):
-                open_ = [n - f for n, f in zip(left, fill)]
-            done = sum(open_)
-            step = [min(n - f, max(room * w // done, 0)) for w, n, f in zip(open_, left, fill)]
-            if not any(step):
-                k = max(range(len(open_)), key=lambda k: (open_[k] > 0, open_[k]))
-                step[k] = 1
-            fill = [f + x for f, x in zip(fill, step)]
-            room -= sum(step)
-        add(sum(fill), fill)
-    return stretches
-
-
 def tail_cuts(total: int, size: int = SIZE) -> list[int]:
     """Output positions at which the sequences after the last full window begin: power-of-two lengths, largest first."""
     cuts, at = [], total - total % size
@@ -325,105 +222,103 @@ def tail_cuts(total: int, size: int = SIZE) -> list[int]:
     return cuts
 
 
-def pieces_of(stretches: list[Stretch], k: int, place: int, n: int, size: int = SIZE,
-              path: list[int] | None = None) -> Iterator[tuple[int, int, int]]:
-    """(start in the document, length, output position) of the pieces of a document that lies at ``place`` in queue ``k``,
-    or, where the queue is shared, in its source at ``path``."""
-    start, path = 0, path or []
-    part, whole = 1, 1  # the source's share of its queue
-    for left, total, right in zip(path[::3], path[1::3], path[2::3]):
-        part, whole = part * (total - left if right else left), whole * total
-
-    def shares(s: Stretch, g: int) -> tuple[int, int]:
-        before, given = s.shares(k, g)
-        inside, own = descend(path, s.given[k] + given)
-        return before + inside, own
-
-    for s in stretches:
-        weight = s.weights[k + 1] - s.weights[k]
-        begin = shares(s, 0)[1]
-        end = shares(s, s.length)[1] if weight else begin
-        while start < n and begin <= place + start < end:
-            at = place + start
-            # the window whose share of the queue (of the source) holds position ``at``: own(g) <= at < own(g + size)
-            rate, per = weight * part * size, s.weights[-1] * whole
-            slack = (2 + 2 * len(path)) * per // rate + 2
-            guess = (at - begin) * per // rate
-            low, high = max(0, guess - slack), min(-(-s.length // size) - 1, guess + slack)
-            while low < high:
-                mid = (low + high) // 2
-                low, high = (low, mid) if shares(s, min(s.length, (mid + 1) * size))[1] > at else (mid + 1, high)
-            g, g_end = low * size, min(s.length, (low + 1) * size)
-            (before, given), (before_end, given_end) = shares(s, g), shares(s, g_end)
-            length = min(n - start, given_end - at)
-            yield start, length, s.begin + g + before_end - before + at - given
-            start += length
+def due_times(coded: DataFrame, targets: dict[str, int] | None) -> DataFrame:
+    """``source``, ``part``, ``base`` (tokens of its queue before the part) and ``weight``, ``late`` of the queue: a
+    token at place p is due at ``late + p / weight``."""
+    by_part = materialize(coded.groupBy("source", "part").agg(F.sum("n").alias("n")), "packing_queues")
+    before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    base = F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")
+    totals = by_part.groupBy("source").agg(F.sum("n").cast("double").alias("weight"))
+    if targets is None:  # each queue's own length: they all end together
+        queues = totals.withColumn("late", F.lit(0.0))
+    else:
+        named = coded.sparkSession.createDataFrame([(s, float(t)) for s, t in targets.items() if t > 0] or [("", None)],
+                                                   "source string, target double")
+        queues = totals.join(named, "source", "left")
+        last = queues.agg(F.coalesce(F.max(F.col("weight") / F.col("target")), F.lit(0.0))).scalar()
+        queues = queues.select("source", F.coalesce("target", "weight").alias("weight"),
+                               F.when(F.col("target").isNull(), last + 1).otherwise(0.0).alias("late"))
+    return materialize(by_part.select("source", "part", base).join(queues, "source"), "packing_places")
+
+
+def stretches(coded: DataFrame, queues: DataFrame, size: int, width: int) -> DataFrame:
+    """Stretches of at most ``size`` tokens: ``doc_id, source, due, place, start, n, doc_tokens, ids``."""
+    rows = coded.join(queues, ["source", "part"]).withColumn("place", F.col("place") + F.col("base"))
+    starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(size).cast("long")))
+    rows = rows.select("doc_id", "source", "place", "weight", "late", F.col("n").alias("doc_tokens"), "ids", starts.alias("start"))
+    place = F.col("place") + F.col("start")
+    cut = F.when(F.col("doc_tokens") <= size, F.col("ids")).otherwise(
+        F.substring("ids", (F.col("start") * width + 1).cast("int"), F.lit(size * width)))
+    return rows.select("doc_id", "source", (F.col("late") + place / F.col("weight")).alias("due"), place.alias("place"), "start",
+                       F.least(F.lit(size).cast("long"), F.col("doc_tokens") - F.col("start")).alias("n"), "doc_tokens", cut.alias("ids"))
+
+
+def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the task's number and the tokens before each stretch in it."""
+    part, done = TaskContext.get().partitionId(), 0
+    forget()
+    for batch in batches:
+        n = batch.column(batch.schema.get_field_index("n")).to_numpy()
+        ends = done + np.cumsum(n)
+        yield batch.append_column("part", pa.array(np.full(len(n), part, np.int32))).append_column("at", pa.array(ends - n))
+        done = int(ends[-1]) if len(ends) else done
+
+
+def cut_at_windows(at: int, n: int, total: int, cuts: list[int], size: int) -> Iterator[tuple[int, int, int]]:
+    """(sequence, offset, length) of the pieces of ``n`` tokens that stand at ``at`` of ``total``; ``cuts``: ``tail_cuts``."""
+    whole = total // size
+    while n:
+        if at < whole * size:
+            sequence, offset, take = at // size, at % size, min(n, size - at % size)
+        else:
+            c = bisect.bisect_right(cuts, at) - 1
+            end = cuts[c + 1] if c + 1 < len(cuts) else total
+            sequence, offset, take = whole + c, at - cuts[c], min(n, end - at)
+        yield sequence, offset, take
+        at, n = at + take, n - take
 
 
 def pack(docs: DataFrame, path: str, targets: dict[str, int] | None = None, size: int = SIZE,
          end_id: int = END_ID) -> DataFrame:
     """Pieces of all documents: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source``.
 
-    ``targets`` gives whole-numbered weights by source (0 for one that is not
-    named); by default each source has its share of the corpus.
+    ``targets`` gives whole-numbered weights by source (a source that is not named
+    comes after those that are); by default each source has its share of the corpus.
     """
-    spark = docs.sparkSession
-    coded = tokenised(docs, path, end_id)
-    by_part = materialize(coded.groupBy("source", "part").agg(F.sum("n").alias("n")), "packing_queues")
-    by_source = by_part.groupBy("source").agg(F.sum("n").alias("total"))
-    named = {r["source"] for r in by_source.orderBy(F.col("total").desc(), F.col("source")).limit(MAX_QUEUES).collect()}
-    named |= set(targets or ())
-    names = spark.createDataFrame([(s, f"={s}") for s in sorted(named)], "source string, named string")
-    shared = max(REST_QUEUES, -(-by_source.count() // REST_SOURCES))
-    rest = F.concat(F.lit("~"), F.pmod(F.xxhash64("source"), F.lit(shared)).cast("string"))
-    totals = by_source.join(F.broadcast(names), "source", "left").withColumn("queue", F.coalesce("named", rest))
-
-    def walk(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("source")
-        return pa.table({"source": rows["source"], "path": pa.array(paths(rows["total"].to_pylist()), pa.list_(pa.int64()))})
-
-    inside = totals.where("named is null").select("source", "total", "queue").groupBy("queue").applyInArrow(
-        walk, "source string, path array<long>")
-    before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    places = materialize(
-        by_part.join(totals.select("source", "queue"), "source").join(inside, "source", "left").select(
-            "source", "part", "queue", "path", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"), "n"),
-        "packing_places")
-    queues = sorted((r["queue"], r["n"]) for r in places.groupBy("queue").agg(F.sum("n").alias("n")).collect())
-    weights = None if targets is None else [int(targets.get(q[1:], 0)) if q[0] == "=" else 0 for q, _ in queues]
-    stretches = plan([n for _, n in queues], weights, size)
-    number = {q: k for k, (q, _) in enumerate(queues)}
-    total = sum(n for _, n in queues)
-    cuts, width = tail_cuts(total, size), id_type(path)
+    coded, width = tokenised(docs, path, end_id), id_type(path)
+    rows = stretches(coded, due_times(coded, targets), size, np.dtype(width).itemsize)
+    keys = ["due", "source", "place"]
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = rows.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).drop("due", "place")
+    schema = T.StructType([*ordered.schema.fields, T.StructField("part", T.IntegerType()), T.StructField("at", T.LongType())])
+    laid = materialize(ordered.mapInArrow(_running, schema), "packing_order")
+    sums = {r[0]: r[1] for r in laid.groupBy("part").agg(F.sum("n")).collect()}  # one row a partition
+    before, total = {}, 0
+    for part in sorted(sums):
+        before[part] = total
+        total += sums[part]
+    cuts = tail_cuts(total, size)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_slices(batches, "ids"):
-            out = [[] for _ in range(7)]
-            row_of = []
-            cols = [batch.column(c).to_pylist() for c in ("queue", "place", "n", "ids", "path")]
-            for row, (queue, place, n, ids, path) in enumerate(zip(*cols)):
+            row_of, out = [], [[] for _ in range(5)]
+            columns = [batch.column(c).to_pylist() for c in ("part", "at", "start", "n", "ids")]
+            for row, (part, at, start, n, ids) in enumerate(zip(*columns)):
                 ids = np.frombuffer(ids, width).astype("<u4").tobytes()
-                for start, length, at in pieces_of(stretches, number[queue], place, n, size, path):
-                    while length:  # the tail's sequences cut further
-                        if at < total - total % size:
-                            sequence, offset, take = at // size, at % size, length
-                        else:
-                            c = max(k for k, x in enumerate(cuts) if x <= at)
-                            end = cuts[c + 1] if c + 1 < len(cuts) else total
-                            sequence, offset, take = total // size + c, at - cuts[c], min(length, end - at)
-                        row_of.append(row)
-                        for x, v in zip(out, (start, take, zlib.crc32(ids[4 * start:4 * (start + take)]), n,
-                                              sequence, offset)):
-                            x.append(v)
-                        start, length, at = start + take, length - take, at + take
+                done = 0
+                for sequence, offset, take in cut_at_windows(before[part] + at, n, total, cuts, size):
+                    row_of.append(row)
+                    for x, v in zip(out, (start + done, take, zlib.crc32(ids[4 * done:4 * (done + take)]), sequence, offset)):
+                        x.append(v)
+                    done += take
             row_of = pa.array(row_of, pa.int64())
+            starts, lengths, crcs, sequences, offsets = (pa.array(x, pa.int64()) for x in out)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(row_of), *(pa.array(x, pa.int64()) for x in out[:6]),
+                [batch.column(0).take(row_of), starts, lengths, crcs, batch.column(2).take(row_of), sequences, offsets,
                  batch.column(1).take(row_of)],
                 names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"])
 
-    placed = coded.join(places.select("source", "part", "queue", "path", "base"), ["source", "part"]).select(
-        "doc_id", "source", "queue", (F.col("place") + F.col("base")).alias("place"), "n", "ids", "path")
+    placed = laid.select("doc_id", "source", "doc_tokens", "part", "at", "start", "n", "ids")
     schema = T.StructType([placed.schema["doc_id"], *(T.StructField(c, T.LongType()) for c in (
         "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")), T.StructField("source", T.StringType())])
     return placed.mapInArrow(cut, schema)
