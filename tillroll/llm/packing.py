@@ -17,8 +17,9 @@ Documents stay whole where they can: a piece ends at its document's end, after
 
 Steps: tokenise once and write ids with each document's place in its (task,
 source) queue; add up the queues' lengths, which gives places in whole queues and
-due times; range-partition by due time, write with running positions; add the
-earlier partitions' totals and cut at the windows.  Sources are rows of tables
+due times; range-partition the stretches by due time, without their ids, and
+write running positions; add the earlier partitions' totals, join them to the
+ids and cut at the windows.  Sources are rows of tables
 joined by source, however many there are; the driver sees one total a partition.
 
 All windows are full.  What is left at the end forms sequences of power-of-two
@@ -47,7 +48,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import byte_slices, forget, materialize, split_words, worker_tables
+from tillroll.llm.common import byte_slices, materialize, split_words, worker_tables
 
 SIZE = 2048
 END_ID = 1
@@ -241,22 +242,20 @@ def due_times(coded: DataFrame, targets: dict[str, int] | None) -> DataFrame:
     return materialize(by_part.select("source", "part", base).join(queues, "source"), "packing_places")
 
 
-def stretches(coded: DataFrame, queues: DataFrame, size: int, width: int) -> DataFrame:
-    """Stretches of at most ``size`` tokens: ``doc_id, source, due, place, start, n, doc_tokens, ids``."""
-    rows = coded.join(queues, ["source", "part"]).withColumn("place", F.col("place") + F.col("base"))
-    starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(size).cast("long")))
-    rows = rows.select("doc_id", "source", "place", "weight", "late", F.col("n").alias("doc_tokens"), "ids", starts.alias("start"))
-    place = F.col("place") + F.col("start")
-    cut = F.when(F.col("doc_tokens") <= size, F.col("ids")).otherwise(
-        F.substring("ids", (F.col("start") * width + 1).cast("int"), F.lit(size * width)))
-    return rows.select("doc_id", "source", (F.col("late") + place / F.col("weight")).alias("due"), place.alias("place"), "start",
-                       F.least(F.lit(size).cast("long"), F.col("doc_tokens") - F.col("start")).alias("n"), "doc_tokens", cut.alias("ids"))
+def stretches(coded: DataFrame, queues: DataFrame, size: int) -> DataFrame:
+    """Stretches of at most ``size`` tokens, without their ids: the document's ``source, doc_part, place``, and ``start, n,
+    due, queue_place``."""
+    rows = coded.select("source", "part", "place", F.col("n").alias("doc_tokens")).join(queues, ["source", "part"])
+    starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("doc_tokens") - 1, F.lit(size).cast("long")))
+    rows = rows.withColumn("start", starts).withColumn("queue_place", F.col("base") + F.col("place") + F.col("start"))
+    return rows.select("source", F.col("part").alias("doc_part"), "place", "start", "queue_place",
+                       F.least(F.lit(size).cast("long"), F.col("doc_tokens") - F.col("start")).alias("n"),
+                       (F.col("late") + F.col("queue_place") / F.col("weight")).alias("due"))
 
 
 def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds the task's number and the tokens before each stretch in it."""
     part, done = TaskContext.get().partitionId(), 0
-    forget()
     for batch in batches:
         n = batch.column(batch.schema.get_field_index("n")).to_numpy()
         ends = done + np.cumsum(n)
@@ -286,10 +285,10 @@ def pack(docs: DataFrame, path: str, targets: dict[str, int] | None = None, size
     comes after those that are); by default each source has its share of the corpus.
     """
     coded, width = tokenised(docs, path, end_id), id_type(path)
-    rows = stretches(coded, due_times(coded, targets), size, np.dtype(width).itemsize)
-    keys = ["due", "source", "place"]
+    rows = stretches(coded, due_times(coded, targets), size)
+    keys = ["due", "source", "queue_place"]
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).drop("due", "place")
+    ordered = rows.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).drop("due", "queue_place")
     schema = T.StructType([*ordered.schema.fields, T.StructField("part", T.IntegerType()), T.StructField("at", T.LongType())])
     laid = materialize(ordered.mapInArrow(_running, schema), "packing_order")
     sums = {r[0]: r[1] for r in laid.groupBy("part").agg(F.sum("n")).collect()}  # one row a partition
@@ -302,15 +301,15 @@ def pack(docs: DataFrame, path: str, targets: dict[str, int] | None = None, size
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_slices(batches, "ids"):
             row_of, out = [], [[] for _ in range(5)]
-            columns = [batch.column(c).to_pylist() for c in ("part", "at", "start", "n", "ids")]
-            for row, (part, at, start, n, ids) in enumerate(zip(*columns)):
-                ids = np.frombuffer(ids, width).astype("<u4").tobytes()
-                done = 0
-                for sequence, offset, take in cut_at_windows(before[part] + at, n, total, cuts, size):
-                    row_of.append(row)
-                    for x, v in zip(out, (start + done, take, zlib.crc32(ids[4 * done:4 * (done + take)]), sequence, offset)):
-                        x.append(v)
-                    done += take
+            for row, (ids, own) in enumerate(zip(batch.column(3), batch.column(4).to_pylist())):
+                ids = np.frombuffer(ids.as_buffer(), width).astype("<u4").tobytes()
+                for s in own:
+                    start = s["start"]
+                    for sequence, offset, take in cut_at_windows(before[s["part"]] + s["at"], s["n"], total, cuts, size):
+                        row_of.append(row)
+                        for x, v in zip(out, (start, take, zlib.crc32(ids[4 * start:4 * (start + take)]), sequence, offset)):
+                            x.append(v)
+                        start += take
             row_of = pa.array(row_of, pa.int64())
             starts, lengths, crcs, sequences, offsets = (pa.array(x, pa.int64()) for x in out)
             yield pa.RecordBatch.from_arrays(
@@ -318,7 +317,10 @@ def pack(docs: DataFrame, path: str, targets: dict[str, int] | None = None, size
                  batch.column(1).take(row_of)],
                 names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"])
 
-    placed = laid.select("doc_id", "source", "doc_tokens", "part", "at", "start", "n", "ids")
+    # a document's stretches are as many as its length allows; its ids travel once
+    own = laid.groupBy("source", F.col("doc_part").alias("part"), "place").agg(
+        F.collect_list(F.struct("start", "n", "part", "at")).alias("own"))
+    placed = coded.join(own, ["source", "part", "place"]).select("doc_id", "source", F.col("n").alias("doc_tokens"), "ids", "own")
     schema = T.StructType([placed.schema["doc_id"], *(T.StructField(c, T.LongType()) for c in (
         "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")), T.StructField("source", T.StringType())])
     return placed.mapInArrow(cut, schema)
