@@ -20,9 +20,12 @@ from tillroll.llm.queries import vocabulary
 
 
 def _ready(spark: SparkSession) -> None:
-    """The stages follow each other in the same executors and workers: each batch of texts or sets is kept small."""
+    """The stages follow each other in the same executors and workers: batches of texts or sets are kept small, and
+    workers allocate so that what they free goes back to the system."""
     find_package(spark)
     bound_batches(spark)
+    for name, value in (("ARROW_DEFAULT_MEMORY_POOL", "system"), ("MALLOC_ARENA_MAX", "2")):
+        spark.sparkContext.environment.setdefault(name, value)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
