@@ -14,7 +14,7 @@ from tools.compare import TABLES, rows_of
 SUBSET = ["combine_train_test", "main_stores_join", "daily_totals_family", "rolling_family_w7",
           "rolling_store_nbr_w365", "rolling_type_w1", "process_oil", "holiday_onehot", "holiday_neighbours",
           "feature_assembly", "daily_stats", "roll_daily_stats", "rolling_7d_store", "backtest_loss",
-          "best_trial", "correlations", "top_categories", "category_union", "ascending_dates"]
+          "best_trial", "missing_spans", "repeated_rows", "head_rows", "early_stopping", "penalised_leaves", "correlations", "top_categories", "category_union", "ascending_dates"]
 KEYS = sorted(E.oracle_sql()) if os.environ.get("TILLROLL_FULL") else SUBSET
 
 

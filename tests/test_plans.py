@@ -12,7 +12,7 @@ from tillroll.plans import queries
 LONG = tuple(f"_w{w}" for w in rolling.DEFAULT_WINDOWS if w > rolling.LONG_FRAME)
 # these run jobs while being built; covered by their own tests
 RUN_JOBS = ("tune", "train_best", "model_roundtrip", "trials_append", "best_trial", "fit_gbt", "chunked_boosting",
-            "manifest_assembly", "bucketed_assembly")
+            "manifest_assembly", "bucketed_assembly", "early_stopping", "penalised_leaves", "sketch_profile")
 
 
 def _plan(df):
