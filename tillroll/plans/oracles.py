@@ -558,9 +558,9 @@ def registry_models() -> dict[str, str]:
               "FROM main_stores ms)"),
         "fit_gbt": sql([("main", None)], "SELECT id, TRUE AS predicted, TRUE AS beats_constant FROM main WHERE is_test = 1"),
         "early_stopping": boosted_stumps_sql(),
-        "penalised_leaves": sql(BASE, "SELECT CAST(store_nbr % 2 AS DOUBLE) AS odd_store, CAST(ROUND(CAST(SUM(log_sales) / (COUNT(*) + "
-                                      f"{PENALTY}) AS DECIMAL(38,8)), 6) AS DOUBLE) AS prediction, COUNT(*) AS n FROM main_log "
-                                      "WHERE is_train = 1 AND log_sales IS NOT NULL GROUP BY 1"),
+        "penalised_leaves": sql(BASE, "SELECT CAST(store_nbr % 2 AS DOUBLE) AS odd_store, CAST(ROUND(CAST(any_value(base) + SUM(log_sales - base) / (COUNT(*) + "
+                                      f"{PENALTY}) AS DECIMAL(38,8)), 6) AS DOUBLE) AS prediction, COUNT(*) AS n FROM (SELECT *, AVG(log_sales) OVER () "
+                                      "AS base FROM main_log WHERE is_train = 1 AND log_sales IS NOT NULL) GROUP BY 1"),
         "model_roundtrip": sql([("main", None)], "SELECT id, TRUE AS equal FROM main WHERE is_test = 1"),
         "tune": sql([("main", None)], f"SELECT CAST(i AS INTEGER) AS trial_id, 'gbt' AS study, {SMOKE_FOLDS} AS n_folds, "
                     f"COUNT(*) > 0 AS defined_loss, TRUE AS fitted_rounds_recorded FROM range({SMOKE_TRIALS}) t(i), main "
