@@ -5,18 +5,24 @@
    the containers inside it; semantic tags and telling class names weigh more.
 2. A page votes for the generalised tag-class paths of its best containers (numbers in names
    become ``#``), with weights relative to the best one.  Votes are added up
-   by host and path in Spark (pre-aggregated, so a host may hold any share of the pages).
-3. Pages are read again: the text comes from the container on the host's
-   highest-ranked path that the page has text in, or else from the page's own best container.
+   by host and path in Spark (pre-aggregated, so a host may hold any share of the pages); every voted path counts.
+3. Each page's own paths are joined with the votes by (host, path).  The path with the greatest product of the
+   host's trust in it, its votes over one more than the host's pages that have text there (so a container around
+   many templates gains nothing from their number), and the root of the page's own score wins; pages are read again and the text
+   comes from the best container on it.
 
 Boilerplate (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles,
-comments of readers) is told by tag, role, class and id, and by being hidden.
+comments of readers) is told by tag, role, class and id, and by being hidden.  A class or id tells it only if
+all its parts do (``site-header``, but neither ``has-sidebar`` nor ``share-price``), and neither a
+name nor a form counts where the page's ``main`` element stands inside, or where hardly any plain text is left outside of it.
 
 Result: the container's blocks in page order, one per line; white space in a
 block, line-break tags included, is one space; character references are decoded.
 
 Defined results: a null or empty page, and one without text, gives the empty text; a null or unparsable url is
-the host ''; repeated rows are pages of their own (each votes).
+the host ''; repeated rows are pages of their own (each votes, all get the same text); of paths with equal products the
+first by name wins; very long pages are read whole; other columns are ignored, whatever their names; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,14 +32,20 @@ from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.llm.common import byte_slices, materialize
 
-#: Share of a container's score that counts for the one around it; what a vote must have of the best; paths kept a host.
-INHERITED, VOTES_FROM, PATHS = 0.7, 0.5, 8
+#: Share of a container's score that counts for the one around it; what a vote must have of the best.
+INHERITED, VOTES_FROM = 0.7, 0.5
+#: A suspect is main text after all if so many characters of plain text stand in it, and at most this share of them outside of any.
+RESCUED_FROM, OUTSIDE = 250, 0.1
+#: Readings of a page after which names tell nothing any more.
+READINGS = 8
+#: Parts that the votes of one (host, path) are spread over in the join with pages.
+SALTS = 16
 BROADCAST_BYTES = 32 << 20
 
 _MARK = re.compile(r"""<(?:(!--)|([!?])|(/?)([A-Za-z][^\s/>]*)((?:[^>"'<]|"[^"<]*"|'[^'<]*')*+)(/?)>)""")
@@ -53,7 +65,7 @@ ENDS = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt
 ENDS = {k: (frozenset(a.split()), frozenset(b)) for k, (a, b) in ENDS.items()}
 SCOPE = frozenset("button td th table body html".split())
 
-SKIPPED = frozenset("""aside audio button canvas dialog footer form head header iframe input label math menu nav noscript object
+SKIPPED = frozenset("""aside audio button canvas dialog footer head header iframe input label math menu nav noscript object
     script select style svg template textarea title video""".split())
 SKIPPED_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 SKIPPED_NAMES = frozenset("""ad ads advert adverts advertisement advertising alert aside banner breadcrumb breadcrumbs comment
@@ -61,34 +73,78 @@ SKIPPED_NAMES = frozenset("""ad ads advert adverts advertisement advertising ale
     newsletter notice notices notification pager pagination popup promo promotion recommended related reply replies respond
     search share sharing sidebar signup social sponsor sponsored subscribe teaser toolbar topbar widget""".split())
 GOOD_NAMES = frozenset("article articlebody body content entry main page post prose story text".split())
+#: Parts of a name that say nothing against boilerplate beside them.
+NEUTRAL_NAMES = GOOD_NAMES | frozenset("""area bar block bottom box btn button buttons column col container desktop fixed floating form
+    global google group icons inner inline item items left link links list mobile module outer panel post posts primary right
+    row secondary section site slot sticky the top unit user view wrap wrapper""".split())
+
+
+class Suspect:
+    """An outermost element that its names tell to be boilerplate: where it begins, and what stands in it."""
+
+    __slots__ = ("at", "plain", "main")
+
+    def __init__(self, at):
+        self.at, self.plain, self.main = at, 0, False
 
 
 class Element:
-    __slots__ = ("tag", "path", "skip", "weight", "own", "links", "inner", "parent", "container")
+    __slots__ = ("tag", "path", "skip", "suspect", "weight", "own", "links", "inner", "parent", "container")
 
-    def __init__(self, tag, path, skip, weight, parent, container):
-        self.tag, self.path, self.skip, self.weight = tag, path, skip, weight
+    def __init__(self, tag, path, skip, suspect, weight, parent, container):
+        self.tag, self.path, self.skip, self.suspect, self.weight = tag, path, skip, suspect, weight
         self.own = self.links = 0
         self.inner = 0.0
         self.parent, self.container = parent, container
 
 
-def _names(attributes: str) -> tuple[str, set[str], bool, bool]:
-    """Generalised class part of a path, the words of class and id, whether the element is boilerplate, whether it is main."""
+def _names(attributes: str) -> tuple[str, set[str], bool, bool, bool]:
+    """Generalised class part of a path, the words of class and id, whether the element is boilerplate for sure, whether
+    its names say so, whether it is main."""
     if not attributes or attributes.isspace():
-        return "", set(), False, False
+        return "", set(), False, False, False
     values = {k.lower(): v.strip("\"'").lower() for k, v in _ATTRIBUTE.findall(attributes)}
     label = values.get("class", "")
-    words = {w.lower() for w in _NAME.findall(label + " " + values.get("id", ""))}
+    tokens = f"{label} {values.get('id', '')}".split()
+    words = {w for t in tokens for w in _NAME.findall(t)}
+    suspect = any(_is_boilerplate(t) for t in tokens) if words & SKIPPED_NAMES else False
     role = values.get("role", "")
     hidden = "hidden" in values or values.get("aria-hidden") == "true" or "display:none" in values.get("style", "").replace(" ", "")
     path = "".join("." + re.sub(r"[0-9]+", "#", c) for c in sorted(label.split())[:3])
-    return path, words, hidden or role in SKIPPED_ROLES or bool(words & SKIPPED_NAMES), role == "main"
+    return path, words, hidden or role in SKIPPED_ROLES, suspect, role == "main"
+
+
+def _is_boilerplate(token: str) -> bool:
+    """Whether all parts of one class or id tell boilerplate or nothing, and one does."""
+    parts = {w for w in _NAME.findall(token) if w.isalpha()}
+    return bool(parts & SKIPPED_NAMES) and parts <= SKIPPED_NAMES | NEUTRAL_NAMES
 
 
 def parse(html: str) -> tuple[list[Element], list[tuple[Element, str]]]:
-    """All containers outside boilerplate, and the text blocks (nearest container, text) in page order."""
-    root = Element("html", "", False, 1.0, None, True)
+    """All containers outside boilerplate, and the text blocks (nearest container, text) in page order.
+
+    The page is read again without suspicion of an element that holds its main text.
+    """
+    trusted: set[int] | None = set()
+    for k in range(READINGS + 1):
+        containers, blocks, suspects = _read(html, trusted if k < READINGS else None)
+        outside = sum(map(_plain, containers))
+        found = {s.at for s in suspects if s.main}
+        if not found and suspects:
+            largest = max(suspects, key=lambda s: s.plain)
+            total = outside + sum(s.plain for s in suspects)
+            if largest.plain >= RESCUED_FROM and outside <= OUTSIDE * total:
+                found = {largest.at}
+        if not found:
+            break
+        trusted |= found
+    return containers, blocks
+
+
+def _read(html: str, trusted: set[int] | None) -> tuple[list[Element], list[tuple[Element, str]], list[Suspect]]:
+    """One reading; elements that begin at a place in ``trusted`` are under no suspicion, nor is any where it is ``None``."""
+    suspects: list[Suspect] = []
+    root = Element("html", "", False, None, 1.0, None, True)
     stack, containers, blocks = [root], [root], []
     text: list[str] = []
     linked, at, depth = 0, 0, 0
@@ -125,9 +181,12 @@ def parse(html: str) -> tuple[list[Element], list[tuple[Element, str]]]:
         stop = m.start() if m else size
         if stop > at and not stack[-1].skip:
             piece = html[at:stop]
-            text.append(piece)
-            if depth:
-                linked += len(piece.strip())
+            if stack[-1].suspect is not None:
+                stack[-1].suspect.plain += 0 if depth else len(piece.strip())
+            else:
+                text.append(piece)
+                if depth:
+                    linked += len(piece.strip())
         if not m:
             break
         at = m.end()
@@ -180,16 +239,23 @@ def parse(html: str) -> tuple[list[Element], list[tuple[Element, str]]]:
                 close(1)
             elif tag == "html" or any(e.tag == "body" for e in stack):
                 continue
-        label, words, boiler, main = _names(m[5])
+        label, words, boiler, named, main = _names(m[5])
         above = stack[-1]
         skip = above.skip or tag in SKIPPED or boiler and tag != "body"
+        suspect = above.suspect
+        if suspect is not None:
+            suspect.main |= not skip and (tag == "main" or main)
+        elif (named or tag == "form") and not skip and tag != "body" and trusted is not None and m.start() not in trusted:
+            suspect = Suspect(m.start())
+            suspect.main = tag == "main" or main
+            suspects.append(suspect)
         container = tag in CONTAINERS and not (tag == "section" and not label)
         weight = 1.5 if tag in ("article", "main") or main else 1.25 if words & GOOD_NAMES else 1.0
-        e = Element(tag, f"{above.path}/{tag}{label}" if container or tag in BLOCKS else above.path, skip, weight, above,
-                    container)
+        e = Element(tag, f"{above.path}/{tag}{label}" if container or tag in BLOCKS else above.path, skip, suspect, weight,
+                    above, container)
         stack.append(e)
         depth += tag == "a"
-        if container and not skip:
+        if container and not skip and suspect is None:
             containers.append(e)
     close(1)
     flush()
@@ -199,7 +265,7 @@ def parse(html: str) -> tuple[list[Element], list[tuple[Element, str]]]:
             while not holder.container:
                 holder = holder.parent
             holder.inner += INHERITED * (_plain(e) + e.inner)
-    return containers, blocks
+    return containers, blocks, suspects
 
 
 def _plain(e: Element) -> float:
@@ -210,29 +276,23 @@ def score(e: Element) -> float:
     return e.weight * (_plain(e) + e.inner)
 
 
-def votes(html: str | None) -> list[tuple[str, int]]:
-    """(path, weight in thousandths) of the page's best containers."""
+def paths(html: str | None) -> list[tuple[str, int, float]]:
+    """(path, vote in thousandths, score) of the best container on each path of the page that has plain text; only the
+    best containers vote."""
     containers, _ = parse(html or "")
-    best = max(map(score, containers))
-    if best <= 0:
-        return []
     by_path: dict[str, float] = {}
     for e in containers:
         by_path[e.path] = max(by_path.get(e.path, 0.0), score(e))
-    return [(p, int(1000 * s / best)) for p, s in by_path.items() if s >= VOTES_FROM * best]
+    best = max(by_path.values())
+    return [(p, int(1000 * s / best) if s >= VOTES_FROM * best else 0, s) for p, s in by_path.items() if s > 0]
 
 
-def extract(html: str | None, paths: list[str] | None) -> str:
-    """The page's main text, from the first of ``paths`` under which it has text."""
+def extract(html: str | None, path: str | None) -> str:
+    """The page's main text, from the best container on ``path``, or of all where the page has none there."""
     containers, blocks = parse(html or "")
     if not blocks:
         return ""
-    top = {}
-    for e in containers:
-        if e.path not in top or score(e) > score(top[e.path]):
-            top[e.path] = e
-    chosen = next((top[p] for p in paths or () if p in top and _plain(top[p]) + top[p].inner > 0), None)
-    chosen = chosen or max(containers, key=score)
+    chosen = max((e for e in containers if e.path == path), key=score, default=None) or max(containers, key=score)
     lines, inside = [], {}
     for holder, line in blocks:
         if holder not in inside:
@@ -251,29 +311,47 @@ def _pages(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", host.alias("host"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
 
 
-def host_paths(pages: DataFrame) -> DataFrame:
-    """Written once: ``host``, ``paths`` (the ``PATHS`` paths with the most votes, best first)."""
-    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _keyed(pages: DataFrame) -> DataFrame:
+    """``_pages`` with what stands for the markup in the tables of paths: pages of one host with the same share their path."""
+    return _pages(pages).withColumns({"page": F.xxhash64("html"), "size": F.octet_length("html")})
+
+
+def page_paths(pages: DataFrame) -> DataFrame:
+    """Written once: ``host``, ``page``, ``size``, and each ``path`` of a page with its ``vote`` and ``score``."""
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_slices(batches, "html"):
-            out = [(h, p, w) for h, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for p, w in votes(x)]
-            host, path, weight = zip(*out) if out else ((),) * 3
-            yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(path, pa.string()),
-                                              pa.array(weight, pa.int64())], names=["host", "path", "weight"])
+            found = [paths(x) for x in batch.column(3).to_pylist()]
+            row = pa.array([k for k, f in enumerate(found) for _ in f], pa.int64())
+            path, vote, points = zip(*(x for f in found for x in f)) if len(row) else ((),) * 3
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k).take(row) for k in range(3)), pa.array(path, pa.string()), pa.array(vote, pa.int64()),
+                 pa.array(points, pa.float64())], names=["host", "page", "size", "path", "vote", "score"])
+
+    rows = _keyed(pages).select("host", "page", "size", "html")
+    return materialize(rows.mapInArrow(look, "host string, page long, size int, path string, vote long, score double"), "page_paths")
+
+
+def chosen_paths(pages: DataFrame) -> DataFrame:
+    """Written once: ``host``, ``page``, ``size``, ``path``: the path that the text of such a page comes from.
 
-    counted = _pages(pages).select("host", "html").mapInArrow(vote, "host string, path string, weight long")
-    counted = counted.groupBy("host", "path").agg(F.sum("weight").alias("weight"))
-    rank = F.row_number().over(Window.partitionBy("host").orderBy(F.col("weight").desc(), "path"))
-    best = counted.withColumn("rank", rank).where(F.col("rank") <= PATHS)
-    return materialize(best.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("rank", "path"))).alias("r"))
-                       .select("host", F.col("r.path").alias("paths")), "host_paths")
+    One path of one host may stand on a large share of all pages: its votes are
+    added up before the shuffle, and the trust in it is repeated for ``SALTS`` parts of the pages.
+    """
+    found = page_paths(pages)
+    total = found.groupBy("host", "path").agg(F.sum("vote").alias("votes"), F.count("*").alias("n")).where("votes > 0")
+    total = total.select("host", "path", (F.col("votes") / (F.col("n") + 1)).alias("trust")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = found.withColumn("salt", F.pmod("page", F.lit(SALTS)).cast("int"))
+    order = F.struct((-F.col("trust") * F.sqrt("score")).alias("value"), "path")
+    return materialize(salted.join(total, ["host", "path", "salt"]).groupBy("host", "page", "size")
+                       .agg(F.min_by("path", order).alias("path")), "chosen_paths")
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
     """``page_id``, ``url``, ``text``, ``n_chars`` of each row of ``pages``."""
-    paths = host_paths(pages)
-    size = paths.agg(F.sum(F.octet_length("host") + F.octet_length(F.array_join("paths", ",")) + 64)).first()[0] or 0
-    rows = _pages(pages).join(F.broadcast(paths) if size <= BROADCAST_BYTES else paths, "host", "left").select(
-        "page_id", "url", "paths", "html")
+    chosen = chosen_paths(pages)
+    size = chosen.agg(F.sum(F.octet_length("host") + F.octet_length("path") + 64)).first()[0] or 0
+    rows = _keyed(pages).join(F.broadcast(chosen) if size <= BROADCAST_BYTES else chosen, ["host", "page", "size"], "left").select(
+        "page_id", "url", "path", "html")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_slices(batches, "html"):
