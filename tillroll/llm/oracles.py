@@ -32,7 +32,8 @@ v AS (SELECT *, coalesce(chars, 0) AS word_chars,
              CAST((n_words < 10) AS INT) + 2 * CAST((100 * n_repeat_words > 20 * n_words) AS INT)
              + 4 * CAST((100 * n_symbols > 10 * n_words) AS INT) + 8 * CAST((100 * n_dup_lines > 30 * n_lines) AS INT)
              + 16 * CAST((coalesce(chars, 0) < 2 * n_words) AS INT) + 32 * CAST((coalesce(chars, 0) > 20 * n_words) AS INT)
-             + 64 * CAST((100 * n_alpha_words < 50 * n_words) AS INT) AS bits FROM m)
+             + 64 * CAST((100 * n_alpha_words < 50 * n_words) AS INT)
+             + 128 * CAST((n_dup_lines >= 5 AND 100 * n_dup_lines > 30 * n_lines) AS INT) AS bits FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, bits & ~8 = 0 AS kept, CAST(bits AS BIGINT) AS fail_bits
 FROM v"""

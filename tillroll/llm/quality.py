@@ -7,8 +7,9 @@ AND, and the ablation of any policy is an aggregation over the distinct masks,
 so neither ever reads a text again.
 
 Defined results: a null or empty text has no words (all measurements 0, the
-rules ``few_words`` fails); documents may repeat, each row is judged alone;
-other columns of the input are ignored.
+rule ``few_words`` fails); documents may repeat, each row is judged alone;
+other columns of the input are ignored by the ledger and kept by the stage, whatever their names;
+very long texts are measured whole; an empty table gives an empty ledger.
 """
 
 from __future__ import annotations
@@ -43,6 +44,7 @@ RULES: dict[str, str] = {
     "short_words": "word_chars < 2 * n_words",
     "long_words": "word_chars > 20 * n_words",
     "few_letters": "100 * n_alpha_words < 50 * n_words",
+    "many_duplicate_lines": "n_dup_lines >= 5 AND 100 * n_dup_lines > 30 * n_lines",
 }
 
 
@@ -60,10 +62,12 @@ class Policy:
 
 
 BASE = Policy("base", 1, ("few_words", "repeated_windows"))
-#: All rules: version 1 also rejected short texts for one repeated licence line.
-EVERY = Policy("default", 1, tuple(RULES))
-#: The two base rules plus those that mark noise and markup.  Repeated lines are measured, but no reason to reject.
-DEFAULT = Policy("default", 2, tuple(r for r in RULES if r != "duplicate_lines"))
+#: Version 1 also rejected short texts for one or two repeated lines, such as a licence.
+EVERY = Policy("default", 1, tuple(r for r in RULES if r != "many_duplicate_lines"))
+#: Version 2 left repeated lines out altogether.
+LENIENT = Policy("default", 2, tuple(r for r in EVERY.rules if r != "duplicate_lines"))
+#: Version 3 rejects them where the text repeats at least five: pages of menu lines go, short texts are spared.
+DEFAULT = Policy("default", 3, (*LENIENT.rules, "many_duplicate_lines"))
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
