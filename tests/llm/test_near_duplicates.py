@@ -1,6 +1,8 @@
+import math
 import random
 
 import awkward
+import numpy as np
 from pyspark.sql import functions as F
 
 from tillroll.llm import near_duplicates as nd
@@ -85,6 +87,41 @@ def test_frequent_table_does_not_change_the_links(spark, monkeypatch):
         assert got == want
 
 
+def test_letters_around_one_passage_make_few_pairs(spark, monkeypatch):
+    """The passage is taken for rare, so every letter stands in its lists; parities leave next to no pair to verify."""
+    rng = random.Random(11)
+    form = awkward.words(rng, 60, 5000)
+    rows = [(k, f"{awkward.words(rng, 100, 10**6)} {form} {awkward.words(rng, 60 + k % 40, 10**6)}", "en", "a", 1) for k in range(150)]
+    rows += [(1000 + k, rows[k][1] + " one more", "en", "a", 1) for k in range(20)]
+    seen = []
+    whole = nd.verified
+
+    def counted(pairs, *rest):
+        seen.append(pairs.count())
+        return whole(pairs, *rest)
+
+    monkeypatch.setattr(nd, "verified", counted)
+    monkeypatch.setattr(nd, "FREQUENT", 10**9)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert awkward.multiset(nd.jaccard_components(df), "doc_id", "n_shingles", "component_id") == brute([r[:2] for r in rows])
+    assert len(seen) == 2 and seen[1] < len(rows)
+
+
+def test_linked_sets_pass_the_filters():
+    """Sizes of linked sets have neighbouring bands; their parities differ in no more bits than they may differ in shingles."""
+    rng = np.random.default_rng(2)
+    for n in range(1, 3000):
+        band = lambda x: math.floor(math.log(x) / math.log(nd.BAND))
+        assert band(-(-nd.PERCENT * n // 100)) >= band(n) - 1
+    for n in (1, 4, 9, 60, 700):
+        key = nd.mix(rng.integers(0, 2**63, 3 * n).astype(np.uint64))
+        for shared in range(0, n + 1, max(1, n // 20)):
+            a, b = key[:n], np.concatenate([key[:shared], key[n:2 * n - shared]])
+            odd = nd.parities(np.repeat([0, 1], n), np.concatenate([a, b]), 2).view(np.uint64)
+            differ = sum(int(x ^ y).bit_count() for x, y in zip(*odd.tolist()))
+            assert differ <= 2 * (n - shared)
+
+
 def test_whole_small_table(spark, sf_small):
     table = spark.read.parquet(f"{sf_small}/documents.parquet")
     rows = [tuple(r) for r in table.select("doc_id", "text").collect()]

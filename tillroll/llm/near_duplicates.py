@@ -16,9 +16,13 @@ Two documents link when ``100 * shared >= PERCENT * all``.
    copies through one of them.  Then every pair of members that are not yet
    connected, and were not verified, is verified as well.  So no link between
    unconnected documents is lost, and a family of n copies costs about n pairs, not n * n.
+   Such pairs meet by shingle and band of sizes, and only where the parities of their sets
+   (``PARITIES`` bits, each telling whether an odd number of shingles falls on it) differ in
+   no more bits than two linked sets differ in shingles.
 
 If a list that step 1 took for rare turns out longer than ``LONG_LIST``, its
-shingle joins the frequent ones and the prefixes are taken again.
+shingle joins the frequent ones (the longest lists first, at most ``TABLE`` each time) and the prefixes
+are taken again, at most ``TURNS`` times.  Longer lists that are left only take more time.
 
 Texts are never gathered: verification reads the sets of the classes in
 question again from the documents.
@@ -30,6 +34,7 @@ the one shingle; rows that repeat are equal sets; a component's id is its smalle
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,7 +50,11 @@ from tillroll.llm.components import components
 WIDTH, PERCENT = 5, 80
 #: Shingles counted at a time in a task; entries of the table of frequent ones; their least count.
 COUNTED, TABLE, FREQUENT = 1 << 22, 1 << 20, 16
-LONG_LIST = 2000
+LONG_LIST, TURNS = 2000, 3
+#: Longs that hold the parities of a set, 64 each.
+PARITIES = ("odd0", "odd1", "odd2", "odd3")
+#: Sizes of linked sets differ by a factor of 100 / PERCENT at most, so their bands are the same or neighbours.
+BAND = 100 / PERCENT + 0.01
 #: A side of a join up to this size is broadcast, a larger one is shuffled.
 BROADCAST_BYTES = 32 << 20
 _MULTIPLIERS = mix(np.arange(1, WIDTH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -119,13 +128,21 @@ def frequent(counts: DataFrame) -> np.ndarray:
     return rows["shingle"].to_numpy(np.int64).view(np.uint64)
 
 
+def parities(row: np.ndarray, key: np.ndarray, rows: int) -> np.ndarray:
+    """Of each row, ``64 * len(PARITIES)`` bits as 64-bit numbers: whether an odd number of its shingles falls on the bit."""
+    width = 64 * len(PARITIES)
+    bit = (key >> np.uint64(32)) % np.uint64(width)
+    odd = np.bincount(row * width + bit.astype(np.int64), minlength=rows * width) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(rows, len(PARITIES))
+
+
 def prefix_length(n):
     return n - (PERCENT * n + 99) // 100 + 1
 
 
 def profiles(docs: DataFrame, table: np.ndarray) -> DataFrame:
-    """Written once, per document: ``doc_id``, ``text_key``, ``n``, ``class`` and ``grp`` (fingerprints of its set, and of
-    prefix and size) and, once in a task for each group, the ``prefix``."""
+    """Written once, per document: ``doc_id``, ``text_key``, ``n``, ``PARITIES``, ``class`` and ``grp`` (fingerprints of its
+    set, and of prefix and size) and, once in a task for each group, the ``prefix``."""
     spark = docs.sparkSession
     order = np.argsort(table)
     shared = spark.sparkContext.broadcast((table[order], order + 1))
@@ -145,7 +162,7 @@ def profiles(docs: DataFrame, table: np.ndarray) -> DataFrame:
             common = np.flatnonzero(np.bincount(row, place > 0, batch.num_rows)[row])  # the rows to sort anew
             if len(common):  # stable: by hash where the place is the same
                 ordered[common] = key[common[np.argsort(row[common] << 32 | place[common], kind="stable")]]
-            raw = key.tobytes()
+            raw, odd = key.tobytes(), parities(row, key, batch.num_rows)
             classes, groups, prefixes = [], [], []
             for r, (k, p) in enumerate(zip(n.tolist(), lengths.tolist())):
                 if not k:
@@ -162,11 +179,12 @@ def profiles(docs: DataFrame, table: np.ndarray) -> DataFrame:
                     seen.clear()
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(n), pa.array(classes, pa.binary()),
-                 pa.array(groups, pa.binary()), pa.array(prefixes, pa.binary())],
-                names=["doc_id", "text_key", "n", "class", "grp", "prefix"])
+                 pa.array(groups, pa.binary()), pa.array(prefixes, pa.binary()), *map(pa.array, odd.T)],
+                names=["doc_id", "text_key", "n", "class", "grp", "prefix", *PARITIES])
 
     rows = docs.select("doc_id", F.unhex(F.md5("text")).alias("text_key"), "text")
-    fields = [T.StructField("n", T.LongType()), *(T.StructField(c, T.BinaryType()) for c in ("class", "grp", "prefix"))]
+    fields = [T.StructField("n", T.LongType()), *(T.StructField(c, T.BinaryType()) for c in ("class", "grp", "prefix")),
+              *(T.StructField(c, T.LongType()) for c in PARITIES)]
     return materialize(rows.mapInArrow(profile, T.StructType([*rows.schema.fields[:2], *fields])), "near_profiles")
 
 
@@ -185,9 +203,20 @@ def postings(groups: DataFrame) -> DataFrame:
     return groups.select("gid", F.col("m").cast("int"), "prefix").mapInArrow(explode, "shingle long, gid long, m int, pos int")
 
 
+def least_shared(n1: str, n2: str) -> Column:
+    """How many shingles linked sets of these sizes share at least."""
+    return F.expr(f"({PERCENT} * ({n1} + {n2}) + {99 + PERCENT}) div {100 + PERCENT}")
+
+
+def alike(n1: str, n2: str, suffix1: str = "1") -> Column:
+    """Whether sets of these sizes with these parities can link: a bit differs only where a shingle of one set is not in the other."""
+    bits = sum((F.bit_count(F.col(f"{c}{suffix1}").bitwiseXOR(F.col(c))) for c in PARITIES), F.lit(0))
+    return bits <= F.expr(f"{n1} + {n2}") - 2 * least_shared(n1, n2)
+
+
 def possible(n1: str, pos1: str, n2: str, pos2: str) -> Column:
     """Whether sets of these sizes that share a shingle, their first common one, at these positions can link."""
-    least = F.expr(f"({PERCENT} * ({n1} + {n2}) + {99 + PERCENT}) div {100 + PERCENT}")
+    least = least_shared(n1, n2)
     return (F.expr(f"100 * least({n1}, {n2}) >= {PERCENT} * greatest({n1}, {n2})")
             & (F.expr(f"least({n1} - {pos1}, {n2} - {pos2})") >= least))
 
@@ -252,20 +281,25 @@ def indexed(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(profiles, classes, lists), all written: documents; classes with ``cid`` and their group's ``gid`` and ``leader``;
     prefix entries of the shingles that several classes have in front, with the list's ``pivot``."""
     table = frequent(repeated(docs))
-    while True:
+    for turn in range(TURNS + 1):
         found = profiles(docs, table)
         full = found.where("n > 0")
         groups = materialize(full.where("prefix is not null").groupBy("grp").agg(
             F.min("n").alias("n"), F.min("prefix").alias("prefix"))
             .withColumn("gid", F.monotonically_increasing_id()), "near_groups")
         classes = materialize(full.groupBy("class").agg(
-            F.min("text_key").alias("text_key"), F.min("doc_id").alias("label"), F.min("grp").alias("grp"))
+            F.min("text_key").alias("text_key"), F.min("doc_id").alias("label"), F.min("grp").alias("grp"),
+            *(F.min(c).alias(c) for c in PARITIES))
             .withColumn("cid", F.monotonically_increasing_id()), "near_classes")
         sizes = materialize(classes.groupBy("grp").agg(F.count("*").alias("m"), F.min("cid").alias("leader")), "near_sizes")
         entries = postings(groups.join(sizes, "grp"))
         pivot = F.min(F.struct("pos", "gid")).alias("pivot")
         heads = materialize(entries.groupBy("shingle").agg(F.sum("m").alias("size"), pivot).where("size > 1"), "near_heads")
-        long = heads.where(F.col("size") > LONG_LIST).select("size", "shingle").toPandas().sort_values(["size", "shingle"])
+        if turn == TURNS:
+            break
+        long = heads.where(F.col("size") > LONG_LIST).select("size", "shingle")
+        least = -(-(long.agg(F.sum("size")).first()[0] or 0) // TABLE)  # no more than TABLE lists can be so long
+        long = long.where(F.col("size") >= least).toPandas().sort_values(["size", "shingle"])
         new = long["shingle"].to_numpy(np.int64).view(np.uint64)
         new = new[~np.isin(new, table)]
         if not len(new):
@@ -277,7 +311,7 @@ def indexed(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     pivot_n = n_of.select(F.col("gid").alias("pivot_gid"), F.col("n").alias("pivot_n"))
     lists = materialize(lists.join(n_of, "gid").join(pivot_n, "pivot_gid"), "near_lists")
     numbered = materialize(classes.join(groups.select("grp", "gid").join(sizes, "grp"), "grp").select(
-        "class", "text_key", "label", "cid", "gid", "leader"), "near_numbered")
+        "class", "text_key", "label", "cid", "gid", "leader", *PARITIES), "near_numbered")
     return found, numbered, lists
 
 
@@ -302,12 +336,15 @@ def links(docs: DataFrame, classes: DataFrame, lists: DataFrame) -> DataFrame:
     split = materialize(shares.groupBy("shingle").agg(
         F.count("*").alias("roots"), F.max(F.struct("k", "root")).alias("top")).where("roots > 1")
         .select("shingle", F.col("top.root").alias("main")), "near_split")
-    open_ = materialize(entry.join(split, "shingle"), "near_open")
-    one = open_.where("root <> main").select("shingle", *(F.col(c).alias(f"{c}1") for c in ("cid", "root", "main", "n", "pos")))
+    band = F.floor(F.ln("n") / math.log(BAND)).cast("int").alias("band")
+    open_ = materialize(entry.join(split, "shingle").join(classes.select("cid", *PARITIES), "cid").select("*", band), "near_open")
+    one = open_.where("root <> main").select(
+        "shingle", F.explode(F.sequence(F.col("band") - 1, F.col("band") + 1)).alias("band"),
+        *(F.col(c).alias(f"{c}1") for c in ("cid", "root", "main", "n", "pos", *PARITIES)))
     # a pair off the main root meets once from each side; the smaller id is taken
     apart = ((F.col("root1") != F.col("root")) & ((F.col("root") == F.col("main1")) | (F.col("cid1") < F.col("cid")))
-             & possible("n1", "pos1", "n", "pos"))
-    rest = one.join(open_.select("shingle", "cid", "root", "n", "pos"), "shingle").where(apart)
+             & possible("n1", "pos1", "n", "pos") & alike("n1", "n"))
+    rest = one.join(open_.select("shingle", "band", "cid", "root", "n", "pos", *PARITIES), ["shingle", "band"]).where(apart)
     rest = rest.select(*ordered_pairs("cid1", "cid")).distinct().join(pairs, ["a", "b"], "left_anti")
     second = verified(materialize(rest, "near_pairs"), classes, docs)
     return found.unionByName(second.where("linked").select("a", "b"))
