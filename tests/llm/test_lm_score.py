@@ -69,6 +69,21 @@ def test_rare_words_parts_and_rounds_do_not_change_results(spark):
     assert np.allclose([r[5:] for r in got], [r[5:] for r in want])
 
 
+def test_word_filters_in_rounds_do_not_change_results(spark):
+    df = awkward.docs(spark)
+    key = lambda r: repr(r[:4])
+    built, parts = lm.model(lm.texts(df).where(~lm.held_out(lm.F.col("doc_id"))), 2000, bits_each=40)
+    sizes = dict(built.select("part", lm.F.length("word_bits")).collect())
+    limit = 2 * max(sizes.values())
+    ranges = lm.rounds(built, parts, limit, "word_bits")
+    assert parts == len(sizes) and len(ranges) > 1 and [p for a, b in ranges for p in range(a, b)] == list(range(parts))
+    assert all(sum(sizes[p] for p in range(a, b)) <= limit for a, b in ranges)  # nothing larger is sent at once
+    want, got = (sorted((tuple(r) for r in lm.score(df, part_bytes=2000, bits_each=40, **more).collect()), key=key)
+                 for more in ({}, {"round_bytes": limit}))
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    assert np.allclose([r[5:] for r in got], [r[5:] for r in want])
+
+
 def test_filter_reads_no_count_too_low():
     rng = np.random.default_rng(3)
     keys = lm.mix(np.arange(20000, dtype=np.uint64))

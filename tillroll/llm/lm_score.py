@@ -14,9 +14,11 @@ Steps:
 1. One pass counts words and pairs in blocks and sends them, as sorted packed keys, to
    ``parts`` by key range.  Keys are hashes, so no part is hot whatever the words, and the number of parts follows
    the text's bytes.  Each part sums its counts, and builds a filter sized for exactly its entries.
-2. The parts' filters are broadcast.  ``ROUND_BYTES`` bounds what is sent at once: if the
-   pair filters are larger, documents are scored in several rounds, each with the
-   pairs of some parts; the sums are the same.
+2. The parts' filters are broadcast.  ``ROUND_BYTES`` bounds what is sent at once, word
+   filters and pair filters alike.  If the word filters are larger, the levels of each
+   text's words are read in several rounds into a written column; if the
+   pair filters are, documents are scored in several rounds, each with the
+   pairs of some parts.  The sums are the same.
 3. The exact add-one score needs exact counts.  Words that have at least one in ``FREQUENT``
    tokens, at most ``FREQUENT`` of them whatever the corpus, are looked up in the same pass; the
    others go to their counts by a join.
@@ -188,7 +190,7 @@ def model(training: DataFrame, part_bytes: int = PART_BYTES, block_words: int =
                  pa.array([int(n.sum())], pa.int64()), pa.array([len(words)], pa.int64())],
                 names=["part", "words", "counts", "word_bits", "pair_bits", "n", "v"])
 
-    sent = training.select("text").mapInArrow(count, schema).repartition(parts, "part")
+    sent = training.select("text").mapInArrow(count, schema).repartitionById(parts, "part")  # a task for each part
     built = sent.mapInArrow(build, "part int, words binary, counts binary, word_bits binary, pair_bits binary, n long, v long")
     return materialize(built, "lm_parts"), parts
 
@@ -204,9 +206,9 @@ def vocabulary(built: DataFrame, least: int = 1) -> DataFrame:
     return built.select("words", "counts").mapInArrow(explode, "key long, c long")
 
 
-def rounds(built: DataFrame, parts: int, limit: int) -> list[tuple[int, int]]:
-    """Ranges of parts whose pair filters stay under ``limit`` bytes together (one part at least)."""
-    sizes = dict(built.select("part", F.length("pair_bits")).collect())
+def rounds(built: DataFrame, parts: int, limit: int, column: str = "pair_bits") -> list[tuple[int, int]]:
+    """Ranges of parts whose filters stay under ``limit`` bytes together (one part at least)."""
+    sizes = dict(built.select("part", F.length(column)).collect())
     out, size = [[0, 0]], 0
     for p in range(parts):
         if size and size + sizes.get(p, 0) > limit:
@@ -223,6 +225,29 @@ def _bits(built: DataFrame, column: str, begin: int, end: int) -> list[bytes]:
     return [rows.get(p, b"\0" * 8) for p in range(begin, end)]
 
 
+def written_levels(rows: DataFrame, built: DataFrame, parts: int, ranges: list[tuple[int, int]]) -> DataFrame:
+    """``rows`` with ``levels``, a byte for each word and end of the text, read from the word filters of one range of parts after the other."""
+    out = rows.withColumn("levels", F.lit(None).cast("binary"))
+    for begin, end in ranges:
+        words = rows.sparkSession.sparkContext.broadcast(Filter(_bits(built, "word_bits", begin, end), parts, begin))
+
+        def read(batches: Iterator[pa.RecordBatch], words=words) -> Iterator[pa.RecordBatch]:
+            for batch in byte_slices(batches):
+                at = batch.schema.get_field_index("levels")
+                keys, off = word_keys(batch.column(batch.schema.get_field_index("text")))
+                single, of = np.unique(keys, return_inverse=True)
+                levels = np.maximum(words.value.levels(single), 0).astype(np.uint8)[of]
+                before = b"".join(x for x in batch.column(at).to_pylist() if x is not None)
+                if before:
+                    levels = np.maximum(levels, np.frombuffer(before, np.uint8))
+                raw = levels.tobytes()
+                cut = [raw[a:b] for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
+                yield batch.set_column(at, "levels", pa.array(cut, pa.binary()))
+
+        out = materialize(out.mapInArrow(read, out.schema), "lm_levels")
+    return out
+
+
 def score(docs: DataFrame, round_bytes: int = ROUND_BYTES, prior: float = PRIOR, frequent: int = FREQUENT,
           part_bytes: int = PART_BYTES, block_words: int = BLOCK_WORDS, bits_each: int = BITS) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of each row."""
@@ -235,13 +260,21 @@ def score(docs: DataFrame, round_bytes: int = ROUND_BYTES, prior: float = PRIOR,
     order = np.argsort(hot["key"].to_numpy(np.int64).view(np.uint64))
     known = spark.sparkContext.broadcast((hot["key"].to_numpy(np.int64).view(np.uint64)[order],
                                           hot["c"].to_numpy(np.int64)[order]))
-    words = spark.sparkContext.broadcast(Filter(_bits(built, "word_bits", 0, parts), parts))
-
-    def model_score(keys: np.ndarray, off: np.ndarray, pairs: Filter) -> np.ndarray:
+    word_ranges = rounds(built, parts, round_bytes, "word_bits")
+    words = None
+    if len(word_ranges) > 1:
+        rows = written_levels(rows, built, parts, word_ranges)
+    else:
+        words = spark.sparkContext.broadcast(Filter(_bits(built, "word_bits", 0, parts), parts))
+
+    def model_score(batch: pa.RecordBatch, keys: np.ndarray, off: np.ndarray, pairs: Filter) -> np.ndarray:
         """Sum of log probabilities of the words whose pair is in these parts, by row."""
-        single, at = np.unique(keys, return_inverse=True)
-        single = mean_count(words.value.levels(single))
-        count = single[at]
+        if words is None:
+            levels = b"".join(batch.column(batch.schema.get_field_index("levels")).to_pylist())
+            count = mean_count(np.frombuffer(levels, np.uint8).astype(np.int64))
+        else:
+            single, at = np.unique(keys, return_inverse=True)
+            count = mean_count(words.value.levels(single))[at]
         both, of = np.unique(pair_keys(keys, off), return_inverse=True)
         levels = pairs.levels(both)
         joint, here = mean_count(levels)[of], (levels >= 0)[of]
@@ -277,7 +310,7 @@ def score(docs: DataFrame, round_bytes: int = ROUND_BYTES, prior: float = PRIOR,
                         [*batch.columns, pa.array(np.diff(off)), pa.array(segment_sums(hit, off)), pa.array(logs),
                          pa.ListArray.from_arrays(pa.array(ends), pa.array(rare_key[new].view(np.int64))),
                          pa.ListArray.from_arrays(pa.array(ends), pa.array(copies.astype(np.int32))),
-                         pa.array(model_score(keys, off, pairs.value))],
+                         pa.array(model_score(batch, keys, off, pairs.value))],
                         names=[*batch.schema.names, "n_tokens", "hot_known", "hot_logs", "rare", "copies", "score"])
 
             fields = [T.StructField("n_tokens", T.LongType()), T.StructField("hot_known", T.LongType()),
@@ -289,14 +322,14 @@ def score(docs: DataFrame, round_bytes: int = ROUND_BYTES, prior: float = PRIOR,
                 for batch in byte_slices(batches):
                     at = batch.schema.get_field_index("score")
                     keys, off = word_keys(batch.column(batch.schema.get_field_index("text")))
-                    new = batch.column(at).to_numpy(zero_copy_only=False) + model_score(keys, off, pairs.value)
+                    new = batch.column(at).to_numpy(zero_copy_only=False) + model_score(batch, keys, off, pairs.value)
                     yield batch.set_column(at, "score", pa.array(new))
 
             out = out.mapInArrow(more, out.schema)
         if n + 1 < len(ranges):  # the next round's filter is sent when this one's work is done
             out = materialize(out, "lm_scored")
         else:
-            out = materialize(out.drop("text").withColumn("row", F.monotonically_increasing_id()), "lm_scored")
+            out = materialize(out.drop("text", "levels").withColumn("row", F.monotonically_increasing_id()), "lm_scored")
     rare = out.where("size(rare) > 0").select("row", F.explode(F.arrays_zip("rare", "copies")).alias("r")).select(
         "row", F.col("r.rare").alias("key"), F.col("r.copies").alias("copies"))
     looked_up = rare.join(materialize(vocabulary(built), "lm_words"), "key").groupBy("row").agg(
