@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tillroll.session import materialize
 
-__all__ = ["bound_batches", "byte_slices", "find_package", "hash_strings", "materialize", "mix",
+__all__ = ["bound_batches", "byte_slices", "drop_written", "find_package", "hash_strings", "materialize", "mix",
            "powers", "read_table", "segment_sums", "split_words", "text_bytes", "texts"]
 
 #: Bytes of text that one step of a Python task handles at a time; one document is never cut.
@@ -51,6 +51,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def drop_written(df: DataFrame) -> None:
+    """Deletes a table that ``materialize`` wrote, once everything that reads it has been written itself."""
+    spark = df.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``text`` only (other columns cannot clash); a null text is the empty text."""
     return docs.select(F.col(f"`{id_col}`").alias("doc_id"),

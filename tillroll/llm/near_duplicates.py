@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import byte_slices, hash_strings, materialize, mix, split_words, texts
+from tillroll.llm.common import byte_slices, drop_written, hash_strings, materialize, mix, split_words, texts
 from tillroll.llm.components import components
 
 WIDTH, PERCENT = 5, 80
@@ -270,7 +270,9 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
     left = members.select(F.col("cid").alias("a"), F.col("members").alias("x"))
     right = members.select(F.col("cid").alias("b"), F.col("members").alias("y"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return materialize(both.mapInArrow(compare, "a long, b long, linked boolean"), "near_verified")
+    compared = materialize(both.mapInArrow(compare, "a long, b long, linked boolean"), "near_verified")
+    drop_written(members), drop_written(wanted)
+    return compared
 
 
 def ordered_pairs(a: str, b: str) -> list[Column]:
@@ -280,7 +282,9 @@ def ordered_pairs(a: str, b: str) -> list[Column]:
 def indexed(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(profiles, classes, lists), all written: documents; classes with ``cid`` and their group's ``gid`` and ``leader``;
     prefix entries of the shingles that several classes have in front, with the list's ``pivot``."""
-    table = frequent(repeated(docs))
+    counts = repeated(docs)
+    table = frequent(counts)
+    drop_written(counts)
     for turn in range(TURNS + 1):
         found = profiles(docs, table)
         full = found.where("n > 0")
