@@ -178,3 +178,15 @@ def test_long_passages_of_longer_items_are_found(spark):
     got = {(r.doc_id, r.item_id, round(r.score, 9), r.start_word, r.end_word) for r in dc.contaminated(df, bench).collect()}
     assert got == {(4000 + k, k, round(n / len(items[k][1].split()), 9), 2, 2 + n) for k, _, n in parts[:4]}
     assert {r.doc_id for r in df.collect()} - {r.doc_id for r in dc.clean(df, bench).collect()} == {4000, 4001, 4002, 4003}
+
+
+def test_pairs_that_share_only_frequent_ngrams_are_found(spark):
+    items, extra = edited_copies()
+    for k, text in items[:6]:  # four words in a row at most: neither a rare n-gram (none is) nor a long one
+        words = [f"other{n}" if n % 5 == 4 else w for n, w in enumerate(text.split())]
+        extra.append((3100 + k, " ".join(words), "en", "a", 1))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    text, own = {r[0]: plain(r[1]) for r in awkward.rows(extra)}, {i: plain(t) for i, t in items}
+    want = {x for x in brute(awkward.rows(extra), items) if runs(text[x[0]], 3) & runs(own[x[1]], 3)}
+    assert any(not runs(text[d], dc.LONG) & runs(own[i], dc.LONG) for d, i, _ in want)
+    assert pairs(dc.contaminated(awkward.docs(spark, extra), bench, rare=0)) == want

@@ -4,8 +4,10 @@
 2. An n-gram is rare if what it can propose in the whole corpus, its count times the places at which items have
    it, is at most ``RARE``.  Rare n-grams are seeds.  A frequent one is a seed only together with the words after
    it, ``LONG`` words in all (or the whole of a shorter item), so phrases that half the benchmark begins with cost
-   nothing where a document goes on differently.  Any ``SEED`` words in a row that are rare, and any
-   ``LONG`` words in a row, thus propose the pair, however often an item stands in the corpus.
+   nothing where a document goes on differently.  What is left, items that share only frequent n-grams with a
+   document, is met exactly: each such item is proposed whose words found anywhere in the document could reach the
+   score (``_rest``).  So any ``SEED`` words in a row propose every pair that can be reported, and no number of
+   places or copies drops one.
 3. Seeds found in a document join its passages to items; hits of an item on near
    diagonals form one candidate passage.  A candidate goes on only if its words that the item has
    could reach the score in any order (``bound``): no pair is lost by that.
@@ -195,6 +197,43 @@ def _proposed(numbers: np.ndarray, off: np.ndarray, index: Index) -> tuple[np.nd
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
+def _rest(numbers: np.ndarray, off: np.ndarray, index: Index, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``_proposed``, by frequent n-grams alone: all items that have one, but for those too few of whose words stand
+    in the row for the score, in whatever order.  A row at a time, so no more than the block's words are held."""
+    at, gram = _hits(numbers, off, index)
+    often = index.frequent[gram]
+    at, gram = at[often], gram[often]
+    found = [(np.zeros(0, np.int64),) * 3]
+    if not len(at):
+        return found[0]
+    size = np.array([len(x) for x in index.items], np.int64)
+    words, start = np.concatenate(index.items), np.cumsum(size) - size
+    least = np.array([needed(n, threshold) for n in size.tolist()])
+    row = np.searchsorted(off, at, side="right") - 1
+    ends = np.append(np.flatnonzero(np.diff(row)) + 1, len(row)).tolist()
+    there, kept = np.zeros(len(index.vocabulary) + 1, bool), np.zeros(len(size), bool)
+    for a, b in zip([0, *ends], ends):
+        text = numbers[off[row[a]]:off[row[a] + 1]]
+        there[text] = True
+        there[0] = False
+        grams, own = np.unique(gram[a:b], return_inverse=True)
+        copies = index.seeds.first[grams + 1] - index.seeds.first[grams]
+        item, place = index.seeds.where[_spread(index.seeds.first[grams], copies)].T
+        some = np.unique(item)
+        count = np.add.reduceat(there[words[_spread(start[some], size[some])]].astype(np.int64),
+                                np.cumsum(size[some]) - size[some])
+        kept[some[MATCH * count >= least[some]]] = True
+        stays = kept[item]
+        if stays.any():
+            left = np.bincount(np.repeat(np.arange(len(grams)), copies)[stays], minlength=len(grams))
+            item, place = item[stays], place[stays]
+            each = left[own]
+            from_ = _spread((np.cumsum(left) - left)[own], each)
+            found.append((np.repeat(at[a:b], each), item[from_], place[from_]))
+        there[text], kept[some] = False, False
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
 def align(items: np.ndarray, passages: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Best local alignment of each row of ``items`` with the same row of ``passages``: score, and the last word of
     either side.  Rows are padded: items with -1, passages with -2.
@@ -249,7 +288,8 @@ def _pad(parts: list[np.ndarray], fill: int) -> np.ndarray:
 def find(text: pa.Array, index: Index, threshold: float = THRESHOLD) -> list[tuple]:
     """(row, item number, score, first word, word after the last) of the reported pairs, the best passage of each pair."""
     numbers, off = _numbers(text, index)
-    at, item, place = _proposed(numbers, off, index)
+    proposed, rest = _proposed(numbers, off, index), _rest(numbers, off, index, threshold)
+    at, item, place = (np.concatenate(x) for x in zip(proposed, rest))
     if not len(at):
         return []
     row = np.searchsorted(off, at, side="right") - 1
