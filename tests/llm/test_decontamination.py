@@ -190,3 +190,15 @@ def test_pairs_that_share_only_frequent_ngrams_are_found(spark):
     want = {x for x in brute(awkward.rows(extra), items) if runs(text[x[0]], 3) & runs(own[x[1]], 3)}
     assert any(not runs(text[d], dc.LONG) & runs(own[i], dc.LONG) for d, i, _ in want)
     assert pairs(dc.contaminated(awkward.docs(spark, extra), bench, rare=0)) == want
+
+
+def test_words_are_numbered_as_one_by_one():
+    index = dc.build_index([(1, "Alpha beta's gamma\u00e9 d-e 42 \u0130x stra\u00dfe a\u00a0b"), (2, "x y z")])
+    words = dc.pa.array(["Alpha,", "(BETA'S)", "gamma\u00c9!", "--", "d-e", "\u00abd-e\u00bb", "42.", "a\u00a0b", "a\x1cb", "\u0130x", "STRASSE",
+                         "STRA\u00dfE", "\u2014", "unknown", "z\x7f", "\x1f", "Z"])
+    number, size = dc._word_numbers(words, index.vocabulary)
+    parts = [dc.plain(w) for w in words.to_pylist()]
+    assert size.tolist() == [len(p) for p in parts]
+    assert number.tolist() == [index.vocabulary.get(w, 0) for p in parts for w in p]
+    none = dc._word_numbers(words.slice(0, 0), index.vocabulary)
+    assert not len(none[0]) and not len(none[1]) and dc._word_numbers(words, {})[0].tolist() == [0] * len(number)

@@ -36,6 +36,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -148,13 +149,30 @@ def choose_seeds(index: Index, counts: np.ndarray, rare: int = RARE) -> Index:
     return Index(index.ids, index.vocabulary, index.items, seeds, frequent, longer)
 
 
+def _word_numbers(words: pa.Array, vocabulary: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of each word's parts, and how many parts it has: ASCII words all at once, as ``plain`` has them."""
+    simple = pc.fill_null(pc.match_substring_regex(words, "^[!-~]+$"), False)
+    flags = simple.to_numpy(zero_copy_only=False)
+    some = pc.ascii_lower(pc.ascii_trim(words.filter(simple), characters="".join(c for c in PUNCTUATION if c.isascii())))
+    known = pa.array(vocabulary, some.type)  # numbered from 1 in this order
+    look = pc.fill_null(pc.index_in(some, value_set=known), -1).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+    one = pc.binary_length(some).to_numpy(zero_copy_only=False) > 0
+    get = vocabulary.get
+    parts = [plain(w) for w in words.filter(pc.invert(simple)).to_pylist()]  # more than one at white space beyond ASCII's
+    size = np.zeros(len(words), np.int64)
+    size[flags] = one
+    size[~flags] = np.fromiter(map(len, parts), np.int64, len(parts))
+    number, first = np.zeros(int(size.sum()), np.int64), np.cumsum(size) - size
+    number[first[flags][one]] = look[one]
+    at = _spread(first[~flags], size[~flags])
+    number[at] = np.fromiter((get(w, 0) for p in parts for w in p), np.int64, len(at))
+    return number, size
+
+
 def _numbers(text: pa.Array, index: Index) -> tuple[np.ndarray, np.ndarray]:
     """The known words' numbers of all rows in a row, and each row's offset; words of punctuation only are left out."""
     words, idx, off = split_words(text)
-    get = index.vocabulary.get
-    parts = [plain(w) for w in words.to_pylist()]  # more than one where other white space than ASCII's stands
-    size = np.fromiter(map(len, parts), np.int64, len(parts))
-    number = np.fromiter((get(w, 0) for p in parts for w in p), np.int64, int(size.sum()))
+    number, size = _word_numbers(words, index.vocabulary)
     numbers = number[_spread((np.cumsum(size) - size)[idx], size[idx])]
     return numbers, np.concatenate([[0], np.cumsum(size[idx])])[off]
 
