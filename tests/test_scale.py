@@ -74,3 +74,22 @@ def test_short_frames_with_quantiles_sort_no_window_frames(spark):
         frames = rolling.compute_rolling_stats(df, ["store_nbr"], windows=(w,), method="window")
         got, want = (sorted(map(tuple, common.rounded(x).collect())) for x in (auto, frames))
         assert got == want
+
+
+def test_category_domains_are_read_from_the_fact_once(spark, tmp_path):
+    """Each value of the domains passes a counter when it is computed."""
+    from tillroll.sources import catmeta
+    passed = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            passed.add(batch.num_rows)
+            yield batch
+
+    rows = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), ("c", 1)], "x string, y int")
+    meta = catmeta.category_metadata(rows.where("x <> 'b'").mapInArrow(count, rows.schema), ["x", "y"])
+    for bound in (0, 1, 2000):
+        passed.value = 0
+        got = catmeta.apply_cat_meta(rows, meta, bound=bound).collect()
+        assert sorted(map(tuple, got), key=str) == sorted([("a", 1), (None, None), (None, None), ("c", 1)], key=str)
+        assert passed.value == 2
