@@ -93,3 +93,8 @@ def test_category_domains_are_read_from_the_fact_once(spark, tmp_path):
         got = catmeta.apply_cat_meta(rows, meta, bound=bound).collect()
         assert sorted(map(tuple, got), key=str) == sorted([("a", 1), (None, None), (None, None), ("c", 1)], key=str)
         assert passed.value == 2
+
+
+def test_stump_rows_are_computed_once(spark, sf_small):
+    plan = queries.stump_rows(spark, sf_small)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
