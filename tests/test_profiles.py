@@ -91,3 +91,18 @@ def test_merged_sketches_hold_their_stated_errors(spark, tmp_path):
     for f, name in ((.25, "q25"), (.5, "q50"), (.75, "q75")):
         assert abs(np.searchsorted(value, got["value"][name]) / len(value) - f) <= sketches.rank_error()
     assert got["name"]["q50"] is None and got["none"]["q50"] is None
+
+
+def test_columns_of_many_values_are_counted_in_parts_by_value(spark, monkeypatch):
+    monkeypatch.setattr(profile, "DISTINCT_BOUND", 10)
+    monkeypatch.setattr(profile, "DISTINCT_ROWS", 50)
+    rows = [(i % 3, i // 2, None if i % 5 == 0 else i * 0.5, None, str(i % 40)) for i in range(300)] + [(0, 0, float("nan"), None, None)] * 2
+    df = spark.createDataFrame(rows, "few int, `a b` int, d double, none string, s string")
+    dealt = []
+    count = profile._distinct_values
+    monkeypatch.setattr(profile, "_distinct_values", lambda v, parts: dealt.append(parts) or count(v, parts))
+    got = {r["column"]: (r.dtype, r.n_rows, r.n_null, r.n_distinct) for r in profile.profile_table(df).collect()}
+    assert got == {"few": ("int", 302, 0, 3), "a b": ("int", 302, 0, 150), "d": ("double", 302, 60, 241), "none": ("string", 302, 302, 0),
+                   "s": ("string", 302, 2, 40)}
+    assert dealt == [7, 7, 7]
+    assert {r["column"]: r.n_distinct for r in profile.profile_table(df.limit(0)).collect()} == dict.fromkeys(got, 0)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.operators.joins import is_numeric
+from tillroll.session import materialize
 
 
 def _stack(cols: Sequence[str], value_type: str = "string") -> str:
@@ -20,23 +21,48 @@ def _stack(cols: Sequence[str], value_type: str = "string") -> str:
     return f"stack({len(cols)}, {pairs}) AS (column, value)"
 
 
+# Most distinct values of a column that are counted in the one aggregation of all columns, and rows of a column to a task beyond.
+DISTINCT_BOUND, DISTINCT_ROWS = 50_000, 1_000_000
+
+
 def profile_table(df: DataFrame, approx: bool = False) -> DataFrame:
     """Per column: dtype, rows, nulls, distinct non-null values.
 
     One aggregation over the typed columns (no unpivoting, no casts to text):
     exact distinct counts are de-duplicated map-side; ``approx`` uses
     HyperLogLog++ sketches.
+
+    Exact counts keep every value of a column once per task, so sketches first
+    tell the columns of few values from the others (the rows are written, several
+    passes read them).  A column of many values is dealt out alone by value, in
+    as many parts as its rows ask for: what a task holds does not grow with the table.
     """
-    distinct = F.approx_count_distinct if approx else F.count_distinct
+    name = {i: F.col(f"`{c}`") for i, c in enumerate(df.columns)}
+    sketch = {i: F.approx_count_distinct(c) for i, c in name.items()}
+    many = {}
+    if not approx:
+        df = materialize(df, "profiled")
+        about = df.agg(F.count(F.lit(1)), *sketch.values()).first()
+        parts = -(-about[0] // DISTINCT_ROWS)
+        many = {f"_d{i}": _distinct_values(df.select(c.alias("v")), parts) for i, c in name.items()
+                if about[i + 1] > DISTINCT_BOUND}
     aggs = [F.count(F.lit(1)).alias("n_rows")]
-    for i, c in enumerate(df.columns):
-        col = F.col(f"`{c}`")
-        aggs += [F.count_if(col.isNull()).alias(f"_n{i}"), distinct(col).alias(f"_d{i}")]
+    for i, c in name.items():
+        aggs.append(F.count_if(c.isNull()).alias(f"_n{i}"))
+        if f"_d{i}" not in many:
+            aggs.append((sketch[i] if approx else F.count_distinct(c)).alias(f"_d{i}"))
     rows = ", ".join(f"'{c}', '{t}', _n{i}, _d{i}" for i, (c, t) in enumerate(df.dtypes))
-    return df.agg(*aggs).select("n_rows", F.expr(f"stack({len(df.columns)}, {rows}) AS (column, dtype, n_null, n_distinct)")) \
+    return df.agg(*aggs).withColumns(many) \
+        .select("n_rows", F.expr(f"stack({len(df.columns)}, {rows}) AS (column, dtype, n_null, n_distinct)")) \
         .select("column", "dtype", "n_rows", "n_null", "n_distinct")
 
 
+def _distinct_values(values: DataFrame, parts: int):
+    """The number of distinct non-null ``v`` as a scalar, counted in ``parts`` parts by value."""
+    dealt = values.where("v IS NOT NULL").repartition(parts, "v")
+    return dealt.groupBy("v").agg(F.count(F.lit(1)).alias("n")).agg(F.count(F.lit(1)).alias("n_distinct")).scalar()
+
+
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     return [c for c, t in df.dtypes if is_numeric(t) and c not in exclude]
 
