@@ -98,3 +98,23 @@ def test_category_domains_are_read_from_the_fact_once(spark, tmp_path):
 def test_stump_rows_are_computed_once(spark, sf_small):
     plan = queries.stump_rows(spark, sf_small)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and "Aggregate" not in plan
+
+
+def test_ranges_given_beforehand_leave_the_rows_computed_once(spark, tmp_path):
+    """Each batch of rows passes a counter when it is computed."""
+    from tillroll.sources import files
+    passed = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            passed.add(len(b))
+            yield b
+
+    df = spark.sql("SELECT date_add(DATE '2020-01-01', CAST(id % 10 AS int)) AS date, id FROM range(0, 500, 1, 4)")
+    ranges = files.equal_ranges(df, "date", 3)
+    files.save_as_parquet(df.mapInPandas(count, df.schema), str(tmp_path / "t"), cluster_by="date", ranges=ranges, parts=3)
+    assert passed.value == 500
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    assert stored.columns == ["date", "id"] and sorted(stored.collect()) == sorted(df.collect())
+    spans = stored.groupBy(F.input_file_name().alias("f")).agg(F.min("date").alias("lo"), F.max("date").alias("hi")).orderBy("lo").collect()
+    assert len(spans) == 3 and all(a.hi < b.lo for a, b in zip(spans, spans[1:]))
