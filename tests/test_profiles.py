@@ -1,6 +1,7 @@
 """Gaps, repeated rows, heads, top correlates, shared rank passes and daily sketches against brute force."""
 
 import datetime as dt
+import math
 import random
 
 import numpy as np
@@ -106,3 +107,18 @@ def test_columns_of_many_values_are_counted_in_parts_by_value(spark, monkeypatch
                    "s": ("string", 302, 2, 40)}
     assert dealt == [7, 7, 7]
     assert {r["column"]: r.n_distinct for r in profile.profile_table(df.limit(0)).collect()} == dict.fromkeys(got, 0)
+
+
+def test_exact_quantiles_rank_only_the_spans_that_hold_them(spark, monkeypatch):
+    ranked = []
+    ranks = profile._ranks
+    monkeypatch.setattr(profile, "_ranks", lambda counted, *a: ranked.append(counted.count()) or ranks(counted, *a))
+    rows = [("wide", float(i) - 5000.5) for i in range(10_001)] + [("edge", x) for x in (
+        float("nan"), float("inf"), float("-inf"), -0.0, 0.0, 5e-324, -5e-324, 1.7e308)] + [(None, 3.0), ("one", 7.25)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    fr = [0.0, 0.03, 0.25, 0.5, 0.75, 1.0]
+    got = {r.g: r._q for r in profile.exact_grouped_quantiles(df, ["g"], "v", fr).collect()}
+    assert got["wide"] == pytest.approx([10_000 * f - 5000.5 for f in fr], abs=1e-9)
+    assert got["edge"][0] == float("-inf") and math.isnan(got["edge"][-1]) and got["edge"][3] == 0.0
+    assert got[None] == [3.0] * 6 and got["one"] == [7.25] * 6
+    assert sum(ranked) < 300  # all 10,012 values before

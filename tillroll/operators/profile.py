@@ -7,6 +7,9 @@ columns adds rows, not jobs.
 
 from __future__ import annotations
 
+import functools
+import math
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -157,10 +160,14 @@ def distribution_by_category(df: DataFrame, categories: Sequence[str] | str, tar
     Count, mean, min and max combine map-side.  Exact quartiles come from
     ``exact_grouped_quantiles`` (a hot category is spread over many tasks);
     ``approx_accuracy`` uses bounded ``percentile_approx`` sketches instead.
+    The target and the categories are written first, one row a row: several passes read them.
     """
     cols = [categories] if isinstance(categories, str) else list(categories)
     y = F.col(f"`{target}`")
-    present = df.where(y.isNotNull()).select(y.alias("_y"), F.expr(_stack(cols)))
+    rows = materialize(df.where(y.isNotNull()).select(
+        y.alias("_y"), *[F.col(f"`{c}`").cast("string").alias(f"_c{i}") for i, c in enumerate(cols)]), "distribution")
+    pairs = ", ".join(f"'{c}', _c{i}" for i, c in enumerate(cols))
+    present = rows.select("_y", F.expr(f"stack({len(cols)}, {pairs}) AS (column, value)"))
     y, key = F.col("_y"), ["column", "value"]
     out = present.groupBy(*key).agg(
         F.count(F.lit(1)).alias("n"), F.avg(y).alias("mean"), F.min(y).alias("min"), F.max(y).alias("max"))
@@ -260,25 +267,43 @@ def top_categories(df: DataFrame, columns: Sequence[str], top: int = 20, buckets
 def exact_quantiles_by_column(df: DataFrame, group_cols: Sequence[str], value_cols: Sequence[str],
                               fractions: Sequence[float]) -> DataFrame:
     """``exact_grouped_quantiles`` of several columns in one pass: the columns are ranked together as (group, column,
-    value), with one checkpoint.  Output: group columns and a map ``_q`` from column to its quantiles."""
+    value).  Output: group columns and a map ``_q`` from column to its quantiles."""
     g = list(group_cols)
-    long = df.select(*g, F.expr(_stack(value_cols, "DOUBLE")))
+    rows = materialize(df.select(*dict.fromkeys([*g, *value_cols])), "quantile_rows")
+    long = rows.select(*g, F.expr(_stack(value_cols, "DOUBLE")))
     each = exact_grouped_quantiles(long, [*g, "column"], "value", fractions)
     pairs = F.map_from_entries(F.collect_list(F.struct("column", "_q")))  # one entry a column
     return each.groupBy(*g).agg(pairs.alias("_q"))
 
 
+#: Spans of a power of two in which exact quantiles first count a group's values.
+SPANS = 256
+
+
+def _span(v):
+    """The span of a double: ascends with it, ``SPANS`` to a power of two, mirrored below zero; at most 5 million in all."""
+    size = F.abs(v)
+    of_size = F.floor(F.log(size) * F.lit(SPANS / math.log(2))) + F.lit(2_000_000)  # above 0 for the least double
+    return F.when(F.isnan(v), F.lit(5_000_000)).when(size == 0, F.lit(0)).when(
+        size == float("inf"), F.signum(v) * F.lit(4_000_000)).otherwise(F.when(v < 0, -of_size).otherwise(of_size)).cast("int")
+
+
+def _same(left: Sequence[str], right: Sequence[str]):
+    """Whether the columns agree one by one, nulls included."""
+    return functools.reduce(operator.and_, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)])
+
+
 def exact_grouped_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                             fractions: Sequence[float], partitions: int | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles per group, with no group held by one task.
 
-    Rows are first counted per distinct (group, value), map-side, so a value that
-    fills most of a group becomes one row.  Those are range-partitioned on (group,
-    value), so a group of many values spans many partitions, and checkpointed
-    (fixing partition membership).  A value's first rank in its group is the sum
-    of the counts before it in its partition plus the group's counts in earlier
-    partitions (a table of #partitions x #groups rows); the values that
-    hold a needed rank are interpolated.  The same steps at every size.
+    A first pass counts each group's values by spans of size (``_span``), map-side,
+    with the least and the greatest of each: a group is as many rows as it has
+    spans, whatever its rows.  The counts tell the span of every needed rank; the
+    first and the last rank of a span, and all of a span with one value, are known.
+    A second pass reads only the spans that hold another needed rank and ranks
+    their values (``_ranks``).  So ``df`` is read twice: better a written table.
+    The same steps at every size.
     Output: group columns and one ``_q`` array in the order of ``fractions``.
     """
     from tillroll.session import ensure_checkpoint_dir
@@ -286,37 +311,68 @@ def exact_grouped_quantiles(df: DataFrame, group_cols: Sequence[str], value_col:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    v = df.select(*g, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    counted = v.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    laid = counted.repartitionByRange(n_parts, *g, "_v").sortWithinPartitions(*g, "_v").persist()
-    fixed = laid.checkpoint(eager=True)
-    laid.unpersist()
-    t = fixed.withColumn("_pid", F.spark_partition_id())
-    per_part = t.groupBy(*g, "_pid").agg(F.sum("_c").alias("_in_part"))
-    w = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select(*g, "_pid", F.coalesce(F.sum("_in_part").over(w), F.lit(0)).alias("_off"),
-                              F.sum("_in_part").over(Window.partitionBy(*g)).alias("_n"))
-    inside = Window.partitionBy(*g, "_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    placed = t.withColumn("_before", F.coalesce(F.sum("_c").over(inside), F.lit(0)))
-    off = offsets.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(g)], F.col("_pid").alias("_p"), "_off", "_n")
-    same = F.col("_pid") == F.col("_p")
-    for i, c in enumerate(g):
-        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
-    ranked = placed.join(off, same).select(*g, "_v", "_c", "_n", (F.col("_off") + F.col("_before")).alias("_rank"))
-    wanted = []
+    value = F.col(value_col).cast("double")
+    v = df.select(*g, F.when(value == 0, F.lit(0.0)).otherwise(value).alias("_v")).where(F.col("_v").isNotNull())
+    v = v.withColumn("_span", _span(F.col("_v")))
+    spans = v.groupBy(*g, "_span").agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    each = Window.partitionBy(*g)
+    placed = spans.withColumn("_n", F.sum("_c").over(each)).withColumn("_before", F.coalesce(
+        F.sum("_c").over(each.orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    wanted, held = [], F.lit(False)
     for i, p in enumerate(fractions):
         pos = F.lit(float(p)) * (F.col("_n") - 1)
         lo = F.floor(pos)
-        wanted.append(F.struct(F.lit(i).alias("i"), lo.alias("lo"),
-                               F.least(lo + 1, F.col("_n") - 1).alias("hi"), (pos - lo).alias("frac")))
-    holds = lambda rank: (F.col("_rank") <= rank) & (rank < F.col("_rank") + F.col("_c"))
-    picks = ranked.select("*", F.explode(F.array(*wanted)).alias("w")).where(holds(F.col("w.lo")) | holds(F.col("w.hi")))
-    per_q = picks.groupBy(*g, "w.i").agg(
-        F.max(F.when(holds(F.col("w.lo")), F.col("_v"))).alias("vlo"),
-        F.max(F.when(holds(F.col("w.hi")), F.col("_v"))).alias("vhi"),
-        F.first("w.frac").alias("frac"))
+        for upper, rank in ((False, lo), (True, F.least(lo + 1, F.col("_n") - 1))):
+            rank = rank - F.col("_before")
+            held = held | rank.between(F.lit(0), F.col("_c") - 1)
+            wanted.append(F.struct(F.lit(i).alias("i"), F.lit(upper).alias("upper"), (pos - lo).alias("frac"),
+                                   rank.alias("rank")))
+    picks = placed.where(held).select(*g, "_span", "_c", "_lo", "_hi", F.explode(F.array(*wanted)).alias("w")) \
+        .where("w.rank >= 0 AND w.rank < _c").select(*g, "_span", "w.*", F.when(
+            (F.col("w.rank") == 0) | (F.col("_lo") == F.col("_hi")), F.col("_lo")).when(
+            F.col("w.rank") == F.col("_c") - 1, F.col("_hi")).alias("_v"))
+    picks = materialize(picks, "quantile_picks")
+    left = picks.where("_v IS NULL")
+    keys, other = [*g, "_span"], [f"_k{i}" for i in range(len(g) + 1)]
+    sought = materialize(left.select(*[F.col(c).alias(o) for c, o in zip(keys, other)]).distinct(), "quantile_spans")
+    found = picks.where("_v IS NOT NULL")
+    if not sought.isEmpty():
+        counted = v.join(sought, _same(keys, other), "left_semi").groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+        ranks = _ranks(counted, keys, n_parts)
+        ranks = ranks.select(*[F.col(c).alias(o) for c, o in zip(keys, other)], F.col("_v").alias("_value"), "_c", "_rank")
+        holds = (F.col("_rank") <= F.col("rank")) & (F.col("rank") < F.col("_rank") + F.col("_c"))
+        found = found.unionByName(left.join(ranks, _same(keys, other) & holds)
+                                  .select(*keys, "i", "upper", "frac", "rank", F.col("_value").alias("_v")))
+    per_q = found.groupBy(*g, "i").agg(
+        F.max(F.when(~F.col("upper"), F.col("_v"))).alias("vlo"),
+        F.max(F.when(F.col("upper"), F.col("_v"))).alias("vhi"),
+        F.first("frac").alias("frac"))
     val = F.when(F.col("frac") == 0, F.col("vlo")).otherwise(
         F.col("vlo") + (F.col("vhi") - F.col("vlo")) * F.col("frac"))
     return per_q.groupBy(*g).agg(
         F.transform(F.array_sort(F.collect_list(F.struct(F.col("i"), val.alias("v")))), lambda s: s["v"])
         .alias("_q"))
+
+
+def _ranks(counted: DataFrame, group_cols: Sequence[str], n_parts: int) -> DataFrame:
+    """The first rank ``_rank``, from 0, in its group of each value ``_v`` that stands ``_c`` times.
+
+    The values are range-partitioned on (group, value), so a group of many values
+    spans many partitions, and checkpointed (fixing partition membership).  A
+    value's rank is the sum of the counts before it in its partition plus the
+    group's counts in earlier partitions (a table of #partitions x #groups rows).
+    """
+    g = list(group_cols)
+    laid = counted.repartitionByRange(n_parts, *g, "_v").sortWithinPartitions(*g, "_v").persist()
+    fixed = laid.checkpoint(eager=True)
+    laid.unpersist()
+    t = fixed.withColumn("_pid", F.spark_partition_id())
+    per_part = t.groupBy(*g, "_pid").agg(F.sum("_c").alias("_in_part"))
+    w = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_part.select(*g, "_pid", F.coalesce(F.sum("_in_part").over(w), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy(*g, "_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    placed = t.withColumn("_before", F.coalesce(F.sum("_c").over(inside), F.lit(0)))
+    names = [f"_g{i}" for i in range(len(g))]
+    off = offsets.select(*[F.col(c).alias(o) for c, o in zip(g, names)], F.col("_pid").alias("_p"), "_off")
+    return placed.join(off, (F.col("_pid") == F.col("_p")) & _same(g, names)).select(
+        *g, "_v", "_c", (F.col("_off") + F.col("_before")).alias("_rank"))
