@@ -163,3 +163,17 @@ def test_components_of_chains_stars_and_rings(spark):
         a, b = find(a), find(b)
         root[max(a, b)] = min(a, b)
     assert got == {x: find(x) for e in edges for x in e if e[0] != e[1]}
+
+
+def test_tables_without_a_reader_are_deleted(spark):
+    import glob
+    from tillroll.session import scratch_path
+    left = lambda name: set(glob.glob(scratch_path(spark, f"{name}/*").removeprefix("file:")))
+    names = ["near_groups", "near_classes", "near_sizes", "near_heads", "near_lists", "near_entries", "near_open",
+             "near_pairs", "component_edges", "component_minima"]
+    before = {n: left(n) for n in names}
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(words[i % 3:])) for i in range(9)] + [(20, "other words stand here alone now")]
+    got = {r.doc_id: r.component_id for r in nd.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {**{i: 0 for i in range(9)}, 20: 20}
+    assert {n: left(n) - before[n] for n in names} == {n: set() for n in names}

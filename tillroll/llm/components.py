@@ -10,11 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import materialize
+from tillroll.llm.common import drop_written, materialize
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One step on edges (u, v), v < u: hangs the neighbours of each node on the smallest of them and itself."""
+    """One step on edges (u, v), v < u, written and deleted here: hangs the neighbours of each node on the smallest of
+    them and itself."""
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
     least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "component_minima")
     moved = both.join(least, "u")
@@ -23,7 +24,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     else:
         new = moved.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             least.select("u", F.col("m").alias("v")))
-    return materialize(new.where("u <> v").distinct(), "component_edges")
+    hung = materialize(new.where("u <> v").distinct(), "component_edges")
+    drop_written(least), drop_written(edges)
+    return hung
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -38,4 +41,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             break
         state = new
     stars = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return materialize(stars.unionByName(stars.select(F.col("root").alias("node"), "root")).distinct(), "components")
+    found = materialize(stars.unionByName(stars.select(F.col("root").alias("node"), "root")).distinct(), "components")
+    drop_written(now)
+    return found

@@ -309,13 +309,18 @@ def indexed(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         if not len(new):
             break
         table = np.concatenate([table, new])
-    n_of = small(materialize(groups.select("gid", F.col("n").cast("int").alias("n")), "near_group_sizes"), 32)
+        for written in (found, groups, classes, sizes, heads):  # the next turn writes them anew
+            drop_written(written)
+    group_sizes = materialize(groups.select("gid", F.col("n").cast("int").alias("n")), "near_group_sizes")
+    n_of = small(group_sizes, 32)
     lists = entries.select("shingle", "gid", "pos").join(heads.select("shingle", "pivot"), "shingle").select(
         "shingle", "gid", "pos", F.col("pivot.gid").alias("pivot_gid"), F.col("pivot.pos").alias("pivot_pos"))
     pivot_n = n_of.select(F.col("gid").alias("pivot_gid"), F.col("n").alias("pivot_n"))
     lists = materialize(lists.join(n_of, "gid").join(pivot_n, "pivot_gid"), "near_lists")
     numbered = materialize(classes.join(groups.select("grp", "gid").join(sizes, "grp"), "grp").select(
         "class", "text_key", "label", "cid", "gid", "leader", *PARITIES), "near_numbered")
+    for written in (groups, classes, sizes, heads, group_sizes):
+        drop_written(written)
     return found, numbered, lists
 
 
@@ -336,12 +341,14 @@ def links(docs: DataFrame, classes: DataFrame, lists: DataFrame) -> DataFrame:
         classes.select("gid", "cid").join(roots, F.col("cid") == F.col("node"), "left").select(
             "gid", "cid", F.coalesce("root", "cid").alias("root")), "gid")
     entry = materialize(entry, "near_entries")
+    drop_written(lists), drop_written(roots)
     shares = entry.groupBy("shingle", "root").agg(F.count("*").alias("k"))
     split = materialize(shares.groupBy("shingle").agg(
         F.count("*").alias("roots"), F.max(F.struct("k", "root")).alias("top")).where("roots > 1")
         .select("shingle", F.col("top.root").alias("main")), "near_split")
     band = F.floor(F.ln("n") / math.log(BAND)).cast("int").alias("band")
     open_ = materialize(entry.join(split, "shingle").join(classes.select("cid", *PARITIES), "cid").select("*", band), "near_open")
+    drop_written(entry), drop_written(split)
     one = open_.where("root <> main").select(
         "shingle", F.explode(F.sequence(F.col("band") - 1, F.col("band") + 1)).alias("band"),
         *(F.col(c).alias(f"{c}1") for c in ("cid", "root", "main", "n", "pos", *PARITIES)))
@@ -350,7 +357,10 @@ def links(docs: DataFrame, classes: DataFrame, lists: DataFrame) -> DataFrame:
              & possible("n1", "pos1", "n", "pos") & alike("n1", "n"))
     rest = one.join(open_.select("shingle", "band", "cid", "root", "n", "pos", *PARITIES), ["shingle", "band"]).where(apart)
     rest = rest.select(*ordered_pairs("cid1", "cid")).distinct().join(pairs, ["a", "b"], "left_anti")
-    second = verified(materialize(rest, "near_pairs"), classes, docs)
+    rest = materialize(rest, "near_pairs")
+    drop_written(open_), drop_written(pairs)
+    second = verified(rest, classes, docs)
+    drop_written(rest)
     return found.unionByName(second.where("linked").select("a", "b"))
 
 
@@ -361,7 +371,9 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     roots = components(links(docs, classes, lists))
     rooted = classes.join(roots, F.col("cid") == F.col("node"), "left").select(
         "class", "label", F.coalesce("root", "cid").alias("root"))
-    return found, materialize(rooted, "near_roots")
+    written = materialize(rooted, "near_roots")
+    drop_written(classes), drop_written(roots)
+    return found, written
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
