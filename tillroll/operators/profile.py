@@ -335,14 +335,12 @@ def exact_grouped_quantiles(df: DataFrame, group_cols: Sequence[str], value_col:
     left = picks.where("_v IS NULL")
     keys, other = [*g, "_span"], [f"_k{i}" for i in range(len(g) + 1)]
     sought = materialize(left.select(*[F.col(c).alias(o) for c, o in zip(keys, other)]).distinct(), "quantile_spans")
-    found = picks.where("_v IS NOT NULL")
-    if not sought.isEmpty():
-        counted = v.join(sought, _same(keys, other), "left_semi").groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-        ranks = _ranks(counted, keys, n_parts)
-        ranks = ranks.select(*[F.col(c).alias(o) for c, o in zip(keys, other)], F.col("_v").alias("_value"), "_c", "_rank")
-        holds = (F.col("_rank") <= F.col("rank")) & (F.col("rank") < F.col("_rank") + F.col("_c"))
-        found = found.unionByName(left.join(ranks, _same(keys, other) & holds)
-                                  .select(*keys, "i", "upper", "frac", "rank", F.col("_value").alias("_v")))
+    counted = v.join(sought, _same(keys, other), "left_semi").groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    ranks = _ranks(counted, keys, n_parts)
+    ranks = ranks.select(*[F.col(c).alias(o) for c, o in zip(keys, other)], F.col("_v").alias("_value"), "_c", "_rank")
+    holds = (F.col("_rank") <= F.col("rank")) & (F.col("rank") < F.col("_rank") + F.col("_c"))
+    found = picks.where("_v IS NOT NULL").unionByName(left.join(ranks, _same(keys, other) & holds)
+                                                      .select(*keys, "i", "upper", "frac", "rank", F.col("_value").alias("_v")))
     per_q = found.groupBy(*g, "i").agg(
         F.max(F.when(~F.col("upper"), F.col("_v"))).alias("vlo"),
         F.max(F.when(F.col("upper"), F.col("_v"))).alias("vhi"),
