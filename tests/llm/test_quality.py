@@ -1,7 +1,10 @@
 import re
+import tracemalloc
 from collections import Counter
 
 import awkward
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tillroll.llm import quality as q
@@ -65,3 +68,18 @@ def test_policies_and_ablations_equal_evaluating_each(spark):
     s = q.mask_summary(ledger).first()
     assert s.any_failed & 1 and s.all_failed == 0
     ledger.unpersist()
+
+
+def test_measuring_holds_little_beside_the_batch():
+    """A worker keeps the numbers of a small slice only, and none for each byte of the text."""
+    few = np.random.default_rng(5).integers(0, 900, (400, 1500))
+    text = pa.array([" ".join(f"w{k}#" if k % 9 == 0 else f"word{k}" for k in row) for row in few.tolist()])
+    assert text.nbytes > 2 << 20
+    batch = pa.RecordBatch.from_arrays([text], names=[q.TEXT])
+    tracemalloc.start()
+    made = list(q._measure(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    found = [n for m in made for n in m.column(q.MEASURES.index("n_symbols")).to_pylist()]
+    assert found == (few % 9 == 0).sum(axis=1).tolist()
+    assert peak < 3 * text.nbytes

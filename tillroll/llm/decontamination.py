@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import byte_slices, split_words, texts
+from tillroll.llm.common import WORD_SLICE_BYTES, byte_slices, split_words, texts
 
 SEED, LONG = 3, 6
 #: Candidates that a rare n-gram can propose in the whole corpus.
@@ -364,7 +364,7 @@ def blocks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES
 
         def count(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             total = np.zeros(len(index.seeds.grams), np.int64)
-            for batch in byte_slices(batches):
+            for batch in byte_slices(batches, limit=WORD_SLICE_BYTES):
                 total += np.bincount(_hits(*_numbers(batch.column(0), index), index)[1], minlength=len(total))
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["gram", "n"])
@@ -387,7 +387,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     out = docs.sparkSession.createDataFrame([], schema)
     for index in blocks(docs, benchmark, block_bytes, rare):
         def search(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            for batch in byte_slices(batches):
+            for batch in byte_slices(batches, limit=WORD_SLICE_BYTES):
                 pairs = find(batch.column(1), index, threshold)
                 row, item, score, start, end = zip(*pairs) if pairs else ([],) * 5
                 yield pa.RecordBatch.from_arrays(
@@ -409,7 +409,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
         def holds(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for text in parts:
                 flags, at = np.zeros(len(text), bool), 0
-                for piece in byte_slices(iter([pa.RecordBatch.from_arrays([text], names=["text"])])):
+                for piece in byte_slices(iter([pa.RecordBatch.from_arrays([text], names=["text"])]), limit=WORD_SLICE_BYTES):
                     flags[[at + r for r, *_ in find(piece.column(0), index, threshold)]] = True
                     at += piece.num_rows
                 yield pa.array(flags)

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import byte_slices, drop_written, hash_strings, materialize, mix, split_words, texts
+from tillroll.llm.common import WORD_SLICE_BYTES, byte_slices, drop_written, hash_strings, materialize, mix, split_words, texts
 from tillroll.llm.components import components
 
 WIDTH, PERCENT = 5, 80
@@ -103,7 +103,7 @@ def repeated(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(found[first].view(np.int64)), pa.array(n.astype(np.int64))],
                                               names=["shingle", "n"])
 
-        for batch in byte_slices(batches):
+        for batch in byte_slices(batches, limit=WORD_SLICE_BYTES):
             key = shingles(batch.column(0))[1]
             if size + len(key) > len(held):
                 yield done(held[:size])
@@ -150,7 +150,7 @@ def profiles(docs: DataFrame, table: np.ndarray) -> DataFrame:
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, rank = shared.value
         seen: set[bytes] = set()
-        for batch in byte_slices(batches):
+        for batch in byte_slices(batches, limit=WORD_SLICE_BYTES):
             row, key = shingles(batch.column(2))
             n = np.bincount(row, minlength=batch.num_rows)
             off = np.concatenate([[0], np.cumsum(n)])
@@ -233,7 +233,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in byte_slices(batches):
+        for batch in byte_slices(batches, limit=WORD_SLICE_BYTES):
             cid = batch.column(0).to_pylist()
             new = [k for k, c in enumerate(cid) if not (c in seen or seen.add(c))]
             if len(seen) > 1 << 18:

@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import byte_slices, materialize, split_words, worker_tables
+from tillroll.llm.common import WORD_SLICE_BYTES, byte_slices, materialize, split_words, worker_tables
 
 SIZE = 2048
 END_ID = 1
@@ -192,7 +192,7 @@ def tokenised(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, given = TaskContext.get().partitionId(), {}
-        for batch in byte_slices(batches, "_text", keep_tables=True):
+        for batch in byte_slices(batches, "_text", WORD_SLICE_BYTES, keep_tables=True):
             ids, off = encode_column(batch.column(2), path, end_id)
             n, place = np.diff(off), []
             for source, k in zip(batch.column(1).to_pylist(), n.tolist()):

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import byte_slices, mix, segment_sums, split_words, text_bytes, texts
+from tillroll.llm.common import WORD_SLICE_BYTES, byte_slices, mix, segment_sums, split_words, text_bytes, texts
 
 #: Symbols whose density marks markup or noise (fixed by the contract of the query).
 SYMBOLS = b"#*$%&|<>"
@@ -71,9 +71,9 @@ DEFAULT = Policy("default", 3, (*LENIENT.rules, "many_duplicate_lines"))
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    symbol = np.zeros(256, np.int64)
-    symbol[list(SYMBOLS)] = 1
-    for batch in byte_slices(batches, TEXT):
+    symbol = np.zeros(256, bool)
+    symbol[list(SYMBOLS)] = True
+    for batch in byte_slices(batches, TEXT, WORD_SLICE_BYTES):
         text = batch.column(batch.schema.get_field_index(TEXT))
         words, idx, off = split_words(text)
         n = np.diff(off)
@@ -102,7 +102,8 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             twice = start[order[np.union1d(same, same + 1)]]
             np.add.at(repeated, twice, 1)
             np.add.at(repeated, twice + WINDOW, -1)
-        values = (n, segment_sums(chars[idx], off), segment_sums(symbol[raw], at), n_lines,
+        n_symbols = np.diff(np.searchsorted(np.flatnonzero(symbol[raw]), at))
+        values = (n, segment_sums(chars[idx], off), n_symbols, n_lines,
                   n_lines - np.bincount(distinct, minlength=len(text)),
                   segment_sums(np.cumsum(repeated[:-1]) > 0, off), segment_sums(alpha[idx], off))
         kept = [k for k, name in enumerate(batch.schema.names) if name != TEXT]
